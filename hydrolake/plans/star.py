@@ -96,7 +96,7 @@ def fact_flood_risk(silver_flood_risk: DataFrame, dim_loc: DataFrame, dim_wx: Da
     year, month = int(dt[:4]), int(dt[5:7])
     risk = silver_flood_risk.where(F.col("month") == month)
     wx = dim_wx.where(F.col("dt") == dt) if "dt" in dim_wx.columns else dim_wx
-    j = (risk.join(dim_loc.select("geocode", "location_key", "prov_code"), "geocode")
+    j = (risk.drop("prov_code").join(dim_loc.select("geocode", "location_key", "prov_code"), "geocode")
          .join(wx.select("prov_code", "weather_key", "rainfall_forecast_mm", "is_heavy_rain_24h"), "prov_code"))
     loaded = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
     return j.select(

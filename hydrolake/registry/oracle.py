@@ -166,3 +166,248 @@ SELECT dr.reservoir_id, dr.reservoir_name, dr.reservoir_type, dr.region, round(d
 FROM fact_water f JOIN dim_reservoir dr ON f.reservoir_key = dr.reservoir_key JOIN dim_date dd ON f.date_key = dd.date_key
 WHERE dd.full_date >= DATE '{LO_30D}' AND dd.full_date <= DATE '{RUN_DATE}'
 ORDER BY dr.reservoir_name, dd.full_date""")
+
+# ---------------------------------------------------------------- weather / hazard / map
+
+cte("bronze_weather", [], f"""
+SELECT o.o_orderkey AS _offset,
+  CASE WHEN o.o_orderkey % 53 = 0 THEN 'x' ELSE CAST(n.n_nationkey AS VARCHAR) END AS prov_code,
+  'prov-' || CAST(n.n_nationkey AS VARCHAR) AS prov_th, n.n_name AS prov_en, r.r_name AS region,
+  CASE WHEN o.o_orderkey % 41 = 0 THEN NULL ELSE {DAY('o.o_orderdate')} END AS forecast_date,
+  CAST(CAST(30 + o.o_orderkey % 8 AS DOUBLE) AS VARCHAR) AS temp_max_c,
+  CAST(CAST(20 + o.o_orderkey % 5 AS DOUBLE) AS VARCHAR) AS temp_min_c,
+  CAST(rain AS VARCHAR) AS rainfall_forecast_mm, {RAIN('rain')} AS rain_intensity,
+  CAST(CAST(50 + o.o_custkey % 50 AS DOUBLE) AS VARCHAR) AS humidity_pct,
+  CAST((o.o_orderkey % 30) * 3.6::DOUBLE AS VARCHAR) AS wind_speed_kmh,
+  CASE WHEN o.o_orderkey % 9 = 0 THEN NULL
+       WHEN rain >= 35.0 THEN list_extract(['True', '1', ' yes ', 't'], CAST(o.o_orderkey % 4 + 1 AS INTEGER))
+       ELSE list_extract(['False', '0', 'no', 'f'], CAST(o.o_orderkey % 4 + 1 AS INTEGER)) END AS is_heavy_rain_24h,
+  CASE WHEN o.o_orderstatus = 'F' THEN 'tmd_api' ELSE 'mock_tmd' END AS data_source,
+  CASE WHEN o.o_orderkey % 31 = 0 THEN NULL ELSE {DAY('o.o_orderdate')} || 'T' || lpad(CAST(o.o_orderkey % 24 AS VARCHAR), 2, '0') || ':00:00+07:00' END AS generated_at,
+  {DAY('o.o_orderdate')} AS dt
+FROM (SELECT *, CAST(CAST(floor(o_totalprice) AS BIGINT) % 1200 AS DOUBLE) / 10.0::DOUBLE AS rain FROM orders) o
+JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+JOIN region r ON n.n_regionkey = r.r_regionkey""")
+
+cte("silver_weather", ["bronze_weather"], f"""
+SELECT prov_code, prov_th, prov_en, region, forecast_date, temp_max_c, temp_min_c, rainfall_forecast_mm,
+  rain_intensity, humidity_pct, wind_speed_kmh, is_heavy_rain_24h, data_source, dt
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY prov_code, forecast_date, dt ORDER BY generated_at DESC NULLS LAST, _offset DESC) AS rn
+  FROM (
+    SELECT _offset, {intg('prov_code')} AS prov_code, trim(COALESCE(prov_th, '')) AS prov_th,
+      trim(COALESCE(prov_en, '')) AS prov_en, trim(COALESCE(region, '')) AS region,
+      COALESCE(TRY_CAST(forecast_date AS DATE), CAST(dt AS DATE)) AS forecast_date,
+      {num('temp_max_c')} AS temp_max_c, {num('temp_min_c')} AS temp_min_c,
+      {num('rainfall_forecast_mm')} AS rainfall_forecast_mm, trim(COALESCE(rain_intensity, '')) AS rain_intensity,
+      {num('humidity_pct')} AS humidity_pct, {num('wind_speed_kmh')} AS wind_speed_kmh,
+      COALESCE(lower(trim(is_heavy_rain_24h)) IN ('true', '1', 'yes', 't'), false) AS is_heavy_rain_24h,
+      trim(COALESCE(data_source, '')) AS data_source, generated_at, dt
+    FROM bronze_weather) c) d
+WHERE rn = 1""")
+
+cte("hazard", [], """
+SELECT p_partkey AS _offset,
+  CASE WHEN p_partkey % 37 = 0 THEN '' ELSE CAST(p_size % 12 + 1 AS VARCHAR) END AS "Month",
+  CAST(p_partkey // 3 AS VARCHAR) AS "GEOCODE",
+  CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE ' tambon ' || CAST(p_partkey // 3 AS VARCHAR) END AS "TAMBON_T",
+  p_name AS "TAMBON_E", CAST(p_partkey // 30 AS VARCHAR) AS "AMPHOE_CODE",
+  'amphoe ' || CAST(p_partkey // 30 AS VARCHAR) AS "AMPHOE_T", p_type AS "AMPHOE_E",
+  CAST((p_partkey // 3) % 25 AS VARCHAR) AS "PROV_CODE", 'prov-' || CAST((p_partkey // 3) % 25 AS VARCHAR) AS "PROV_T",
+  'NATION_' || CAST((p_partkey // 3) % 25 AS VARCHAR) AS "PROV_E", CAST(p_size % 18 AS VARCHAR) AS "COUNT 17 YEAR",
+  p_brand AS "CRITERIA",
+  CASE WHEN p_size <= 12 THEN 'เสี่ยงต่ำ' WHEN p_size <= 25 THEN 'เสี่ยงปานกลาง' WHEN p_size <= 37 THEN 'เสี่ยงสูง'
+       WHEN p_size <= 48 THEN 'เสี่ยงสูงมาก' END AS "RISK"
+FROM part""")
+
+cte("silver_flood_risk", ["hazard"], f"""
+SELECT geocode, month, tambon_th, tambon_en, amphoe_code, amphoe_th, amphoe_en, prov_code, prov_th, prov_en,
+  flood_count_17yr, flood_criteria, risk_level,
+  CAST(CASE risk_level WHEN 'เสี่ยงต่ำ' THEN 1 WHEN 'เสี่ยงปานกลาง' THEN 2 WHEN 'เสี่ยงสูง' THEN 3
+       WHEN 'เสี่ยงสูงมาก' THEN 4 ELSE 0 END AS BIGINT) AS risk_score
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY geocode, month ORDER BY geocode, month, _offset) AS rn
+  FROM (
+    SELECT _offset, {intg('"Month"')} AS month,
+      CASE WHEN length("GEOCODE") < 6 THEN lpad("GEOCODE", 6, '0') ELSE "GEOCODE" END AS geocode,
+      trim(COALESCE("TAMBON_T", '')) AS tambon_th, trim(COALESCE("TAMBON_E", '')) AS tambon_en,
+      {intg('"AMPHOE_CODE"')} AS amphoe_code, "AMPHOE_T" AS amphoe_th, "AMPHOE_E" AS amphoe_en,
+      {intg('"PROV_CODE"')} AS prov_code, "PROV_T" AS prov_th, "PROV_E" AS prov_en,
+      {intg('"COUNT 17 YEAR"')} AS flood_count_17yr, "CRITERIA" AS flood_criteria,
+      trim(COALESCE("RISK", 'ไม่ระบุ')) AS risk_level
+    FROM hazard) c) d
+WHERE rn = 1""")
+
+cte("downstream_map", [], """
+SELECT CASE WHEN n.n_nationkey = 0 THEN '' ELSE 'dam ' || CAST(n.n_nationkey AS VARCHAR) END AS reservoir_name_th,
+  n.n_name AS reservoir_name_en, r.r_name AS river_basin_th, lower(r.r_name) AS river_basin_en,
+  n.n_nationkey AS dam_province_code, 'prov-' || CAST(n.n_nationkey AS VARCHAR) AS dam_province_th,
+  5.0::DOUBLE + n.n_nationkey * 0.5::DOUBLE AS lat, 97.0::DOUBLE + n.n_regionkey * 0.5::DOUBLE AS lon,
+  c.codes || ', x,,' AS downstream_prov_codes, '' AS downstream_prov_th, n.n_nationkey * 100.0::DOUBLE AS capacity_mcm_ref,
+  CASE WHEN n.n_nationkey % 2 = 0 THEN 'dam' ELSE 'reservoir' END AS source_type
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+JOIN (SELECT n_regionkey, string_agg(CAST(n_nationkey AS VARCHAR), ',' ORDER BY CAST(n_nationkey AS VARCHAR)) AS codes
+      FROM nation GROUP BY n_regionkey) c ON n.n_regionkey = c.n_regionkey""")
+
+cte("map_edges", ["downstream_map"], """
+SELECT map_id, CAST(trim(code) AS INTEGER) AS prov_code
+FROM (SELECT reservoir_name_en AS map_id, unnest(string_split(downstream_prov_codes, ',')) AS code FROM downstream_map) t
+WHERE regexp_full_match(trim(code), '[0-9]+')""")
+
+cte("dim_location", ["silver_flood_risk"], f"""
+SELECT TRY_CAST(geocode AS INTEGER) AS location_key, geocode, max(tambon_th) AS tambon_th, max(tambon_en) AS tambon_en,
+  CAST(max(amphoe_code) AS INTEGER) AS amphoe_code, max(amphoe_th) AS amphoe_th, max(amphoe_en) AS amphoe_en,
+  CAST(max(prov_code) AS INTEGER) AS prov_code, max(prov_th) AS prov_th, max(prov_en) AS prov_en,
+  {REGION('CAST(max(prov_code) AS INTEGER)')} AS region
+FROM silver_flood_risk GROUP BY geocode""")
+
+cte("dim_weather", ["silver_weather"], f"""
+SELECT CAST(prov_code AS INTEGER) AS weather_key, {DKEY('forecast_date')} AS date_key, CAST(prov_code AS INTEGER) AS prov_code,
+  prov_th, prov_en, region, temp_max_c, temp_min_c, rainfall_forecast_mm, rain_intensity, humidity_pct,
+  wind_speed_kmh, is_heavy_rain_24h, data_source, dt
+FROM silver_weather WHERE dt = '{RUN_DATE}'""")
+
+cte("fact_flood_risk", ["silver_flood_risk", "dim_location", "dim_weather"], f"""
+SELECT {MD5INT("sfr.geocode || '_' || CAST(sfr.month AS VARCHAR)")} AS fact_key,
+  CAST(strftime(TRY_CAST('{RUN_DATE[:4]}-' || lpad(CAST(sfr.month AS VARCHAR), 2, '0') || '-01' AS DATE), '%Y%m%d') AS INTEGER) AS date_key,
+  dl.location_key, dw.weather_key, sfr.geocode, sfr.month AS risk_month, sfr.flood_count_17yr AS historical_flood_count,
+  sfr.risk_level, sfr.risk_score, sfr.flood_criteria, dw.rainfall_forecast_mm AS rain_forecast_mm,
+  dw.is_heavy_rain_24h AS is_heavy_rain_forecast, '{RUN_DATE}' AS dt
+FROM silver_flood_risk sfr JOIN dim_location dl ON sfr.geocode = dl.geocode JOIN dim_weather dw ON dl.prov_code = dw.prov_code
+WHERE sfr.month = {RUN_MONTH}""")
+
+# ---------------------------------------------------------------- features / alerts
+
+FEATURE_SELECT = f"""reservoir_id, reservoir_name, source, region, capacity_mcm, volume_mcm, percent_storage,
+  inflow_mcm, outflow_mcm, inflow_mcm - outflow_mcm AS net_flow_mcm, storage_trend_7d,
+  COALESCE(delta, 0.0) AS storage_delta_1d,
+  CASE WHEN abs(inflow_mcm - outflow_mcm) >= 0.001 THEN greatest(-365.0, least(365.0, (capacity_mcm - volume_mcm) / (inflow_mcm - outflow_mcm))) END AS days_to_full,
+  {STATUS('percent_storage')} AS reservoir_status, {FILLING('COALESCE(delta, 0.0)')} AS filling_rate"""
+
+cte("feat_window", ["silver_reservoir"], """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY reservoir_id, source, dt ORDER BY record_date DESC NULLS LAST, fetched_at DESC NULLS LAST) AS rn
+  FROM silver_reservoir WHERE dt BETWEEN '""" + LO_7D + "' AND '" + RUN_DATE + """') t WHERE rn = 1""")
+
+cte("features", ["feat_window"], f"""
+SELECT '{RUN_DATE}' AS feature_date, {FEATURE_SELECT}
+FROM (
+  SELECT t.*, t.percent_storage - y.pct_y AS delta, tr.storage_trend_7d
+  FROM (SELECT * FROM feat_window WHERE record_date = (
+          SELECT COALESCE(max(CASE WHEN record_date = DATE '{RUN_DATE}' THEN record_date END), max(record_date)) FROM feat_window)) t
+  LEFT JOIN (SELECT reservoir_id, source, percent_storage AS pct_y FROM feat_window WHERE record_date = DATE '{YESTERDAY}') y
+    ON t.reservoir_id = y.reservoir_id AND t.source = y.source
+  LEFT JOIN (SELECT reservoir_id, source, avg(percent_storage) AS storage_trend_7d FROM feat_window GROUP BY 1, 2) tr
+    ON t.reservoir_id = tr.reservoir_id AND t.source = tr.source) x""")
+
+cte("features_daily", ["silver_reservoir"], f"""
+SELECT dt AS feature_date, {FEATURE_SELECT}
+FROM (
+  SELECT *,
+    CASE WHEN lag(_day) OVER w = _day - INTERVAL 1 DAY THEN percent_storage - lag(percent_storage) OVER w END AS delta,
+    avg(percent_storage) OVER (PARTITION BY reservoir_id, source ORDER BY _day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) AS storage_trend_7d
+  FROM (SELECT *, CAST(dt AS DATE) AS _day FROM (
+          SELECT *, row_number() OVER (PARTITION BY reservoir_id, source, dt ORDER BY record_date DESC NULLS LAST, fetched_at DESC NULLS LAST) AS rn
+          FROM silver_reservoir) a WHERE rn = 1) b
+  WINDOW w AS (PARTITION BY reservoir_id, source ORDER BY _day)) x
+WHERE record_date = _day""")
+
+NAME_MATCH = """(
+  (length(trim(m.reservoir_name_th)) > 0 AND length(trim(f.reservoir_name)) > 0 AND
+   (contains(trim(f.reservoir_name), trim(m.reservoir_name_th)) OR contains(trim(m.reservoir_name_th), trim(f.reservoir_name))))
+  OR
+  (length(trim(m.reservoir_name_en)) > 0 AND length(trim(f.reservoir_name)) > 0 AND
+   (contains(lower(trim(f.reservoir_name)), lower(trim(m.reservoir_name_en))) OR contains(lower(trim(m.reservoir_name_en)), lower(trim(f.reservoir_name))))))"""
+
+cte("matched", ["features", "downstream_map", "map_edges"], f"""
+SELECT DISTINCT e.prov_code, p.reservoir_id, p.source
+FROM (SELECT DISTINCT f.reservoir_id, f.source, m.reservoir_name_en AS map_id FROM features f, downstream_map m WHERE {NAME_MATCH}) p
+JOIN map_edges e ON p.map_id = e.map_id""")
+
+cte("alerts", ["silver_weather", "silver_flood_risk", "features", "matched"], f"""
+SELECT row_number() OVER (ORDER BY p.prov_code, p.prov_th) AS alert_key, {RUN_DATE_KEY} AS date_key, -1 AS location_key,
+  -1 AS weather_key, DATE '{RUN_DATE}' AS alert_date, p.prov_code, p.prov_th,
+  {ALERT('(r + w + h)')} AS alert_level, round(r + w + h, 2) AS alert_score, round(r, 2) AS reservoir_score,
+  round(w, 2) AS weather_score, round(h, 2) AS historical_risk_score,
+  COALESCE(triggers, '') AS trigger_reservoirs, COALESCE(statuses, '') AS trigger_reservoir_statuses,
+  round(COALESCE(max_pct, 0.0), 2) AS max_reservoir_pct, round(COALESCE(rain, 0.0), 2) AS rainfall_forecast_mm,
+  COALESCE(risk_level, 'เสี่ยงต่ำ') AS historical_risk_level, COALESCE(subd, 0) AS affected_subdistricts_count,
+  '{RUN_DATE}' AS dt
+FROM (
+  SELECT p.prov_code, p.prov_th, COALESCE(res.reservoir_score, 0.0) AS r,
+    {WEATHER_PTS('COALESCE(rn.rain, 0.0)')} AS w,
+    CASE WHEN hi.max_risk IS NULL THEN 5.0
+         ELSE CASE CAST(hi.max_risk AS INTEGER) WHEN 4 THEN 25.0 WHEN 3 THEN 18.0 WHEN 2 THEN 10.0 WHEN 1 THEN 5.0 ELSE 0.0 END END AS h,
+    res.triggers, res.statuses, res.max_pct, rn.rain, hm.risk_level, hi.subd
+  FROM (SELECT DISTINCT CAST(prov_code AS INTEGER) AS prov_code, prov_th FROM silver_weather WHERE dt = '{RUN_DATE}') p
+  LEFT JOIN (
+    SELECT prov_code, COALESCE(rainfall_forecast_mm, 0.0) AS rain FROM (
+      SELECT CAST(prov_code AS INTEGER) AS prov_code, rainfall_forecast_mm,
+        row_number() OVER (PARTITION BY CAST(prov_code AS INTEGER) ORDER BY forecast_date DESC NULLS LAST, prov_th, rainfall_forecast_mm DESC) AS k
+      FROM silver_weather WHERE dt = '{RUN_DATE}') z WHERE k = 1) rn ON p.prov_code = rn.prov_code
+  LEFT JOIN (
+    SELECT prov_code, max(rscore) AS reservoir_score, max(percent_storage) AS max_pct,
+      string_agg(reservoir_name, ',' ORDER BY rk) FILTER (WHERE rk <= 3) AS triggers,
+      string_agg(reservoir_status, ',' ORDER BY rk) FILTER (WHERE rk <= 3) AS statuses
+    FROM (
+      SELECT m.prov_code, f.reservoir_name, f.reservoir_status, f.percent_storage, s.rscore,
+        row_number() OVER (PARTITION BY m.prov_code ORDER BY s.rscore DESC, f.reservoir_name, f.reservoir_id, f.source) AS rk
+      FROM matched m JOIN features f ON m.reservoir_id = f.reservoir_id AND m.source = f.source,
+      LATERAL (SELECT {ROWSCORE('f.reservoir_status', 'f.filling_rate')} AS rscore) s) q
+    GROUP BY prov_code) res ON p.prov_code = res.prov_code
+  LEFT JOIN (
+    SELECT CAST(prov_code AS INTEGER) AS prov_code, max(COALESCE(CAST(risk_score AS DOUBLE), 1.0)) AS max_risk,
+      count(DISTINCT geocode) AS subd
+    FROM silver_flood_risk WHERE month = {RUN_MONTH} GROUP BY 1) hi ON p.prov_code = hi.prov_code
+  LEFT JOIN (
+    SELECT prov_code, risk_level FROM (
+      SELECT CAST(prov_code AS INTEGER) AS prov_code, risk_level,
+        row_number() OVER (PARTITION BY CAST(prov_code AS INTEGER) ORDER BY count(*) DESC, risk_level) AS k
+      FROM silver_flood_risk WHERE month = {RUN_MONTH} GROUP BY 1, 2) z WHERE k = 1) hm ON p.prov_code = hm.prov_code
+) p""")
+
+oracle("silver_weather", ["silver_weather"], "SELECT * FROM silver_weather")
+oracle("silver_flood_risk", ["silver_flood_risk"], "SELECT * FROM silver_flood_risk")
+oracle("dim_location", ["dim_location"], "SELECT * FROM dim_location")
+oracle("dim_weather", ["dim_weather"], "SELECT * FROM dim_weather")
+oracle("fact_flood_risk", ["fact_flood_risk"], "SELECT * FROM fact_flood_risk")
+oracle("reservoir_features", ["features"], "SELECT * FROM features")
+oracle("reservoir_features_daily", ["features_daily"], "SELECT * FROM features_daily")
+oracle("match_upstream", ["matched"], "SELECT * FROM matched")
+oracle("fact_flood_alert", ["alerts"], "SELECT * FROM alerts")
+
+oracle("mart_hot_reservoirs", ["fact_water", "dim_reservoir", "dim_date", "dim_location", "dim_weather"], f"""
+SELECT dl.prov_th, dl.prov_en, dl.region, COUNT(DISTINCT dr.reservoir_id) AS hot_reservoirs,
+  round(avg(f.percent_storage), 1) AS avg_pct_storage, round(max(f.percent_storage), 1) AS max_pct_storage,
+  round(dw.rainfall_forecast_mm, 1) AS rain_forecast_mm, dw.rain_intensity, dd.full_date AS data_date
+FROM fact_water f JOIN dim_reservoir dr ON f.reservoir_key = dr.reservoir_key JOIN dim_date dd ON f.date_key = dd.date_key
+JOIN dim_location dl ON dr.region = dl.region
+JOIN dim_weather dw ON dl.prov_code = dw.prov_code AND f.date_key = dw.date_key
+WHERE f.percent_storage > 80 AND dw.is_heavy_rain_24h = TRUE AND f.dt = '{RUN_DATE}'
+GROUP BY dl.prov_th, dl.prov_en, dl.region, dw.rainfall_forecast_mm, dw.rain_intensity, dd.full_date""")
+
+oracle("mart_top10_subdistricts", ["fact_flood_risk", "dim_location", "dim_weather"], f"""
+SELECT dl.geocode, dl.tambon_th, dl.amphoe_th, dl.prov_th, dl.region, max(ffr.historical_flood_count) AS flood_count_17yr,
+  ffr.risk_level, ffr.flood_criteria, round(avg(dw.rainfall_forecast_mm), 1) AS avg_rain_forecast_mm
+FROM fact_flood_risk ffr JOIN dim_location dl ON ffr.location_key = dl.location_key
+JOIN dim_weather dw ON dl.prov_code = dw.prov_code
+LEFT JOIN (SELECT prov_code, is_heavy_rain_24h FROM dim_weather WHERE date_key = {RUN_DATE_KEY}) lw ON dl.prov_code = lw.prov_code
+GROUP BY dl.geocode, dl.tambon_th, dl.amphoe_th, dl.prov_th, dl.region, ffr.risk_level, ffr.flood_criteria
+ORDER BY flood_count_17yr DESC, dl.geocode, ffr.risk_level, ffr.flood_criteria LIMIT 10""")
+
+oracle("view_level_summary", ["alerts"], f"""
+SELECT alert_level_en, count(*) AS province_count,
+  CASE alert_level_en WHEN 'CRISIS' THEN 1 WHEN 'ALERT' THEN 2 WHEN 'WATCH' THEN 3 WHEN 'NORMAL' THEN 4 ELSE 5 END AS level_order
+FROM (SELECT {LEVEL_EN('alert_level')} AS alert_level_en FROM alerts) a GROUP BY alert_level_en""")
+
+oracle("view_score_breakdown", ["alerts"], f"""
+SELECT prov_code, prov_th, alert_score, alert_level_en, component, points FROM (
+  SELECT *, {LEVEL_EN('alert_level')} AS alert_level_en FROM alerts) a
+UNPIVOT (points FOR component IN (reservoir_score, weather_score, historical_risk_score))
+WHERE alert_level_en <> 'NORMAL'""")
+
+oracle("view_region_slice", ["alerts"], f"""
+SELECT * EXCLUDE (dt), dt, {LEVEL_EN('alert_level')} AS alert_level_en, {REGION_EN('prov_code')} AS region_en
+FROM alerts WHERE alert_date = DATE '{RUN_DATE}'""")
+
+oracle("view_top_alerts", ["alerts"], "SELECT * FROM alerts ORDER BY alert_score DESC, prov_code LIMIT 10")

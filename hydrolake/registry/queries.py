@@ -47,3 +47,84 @@ def q_fact_water(spark, sf_dir):
 def q_mart_30d_trend(spark, sf_dir):
     d = _dom(spark, sf_dir)
     return marts.mart_30d_trend(d.fact_water, d.dim_reservoir, d.dim_date, RUN_DATE)
+
+
+@register("silver_weather")
+def q_silver_weather(spark, sf_dir):
+    return _dom(spark, sf_dir).silver_weather.drop("silver_loaded_at")
+
+
+@register("silver_flood_risk")
+def q_silver_flood_risk(spark, sf_dir):
+    return _dom(spark, sf_dir).silver_flood_risk.drop("silver_loaded_at")
+
+
+@register("dim_location")
+def q_dim_location(spark, sf_dir):
+    return _dom(spark, sf_dir).dim_location
+
+
+@register("dim_weather")
+def q_dim_weather(spark, sf_dir):
+    return _dom(spark, sf_dir).dim_weather
+
+
+@register("fact_flood_risk")
+def q_fact_flood_risk(spark, sf_dir):
+    return _dom(spark, sf_dir).fact_flood_risk.drop("loaded_at")
+
+
+@register("reservoir_features")
+def q_reservoir_features(spark, sf_dir):
+    return _dom(spark, sf_dir).features.drop("computed_at")
+
+
+@register("reservoir_features_daily")
+def q_reservoir_features_daily(spark, sf_dir):
+    from ..plans.features import reservoir_features_daily
+    return reservoir_features_daily(_dom(spark, sf_dir).silver_reservoir).drop("computed_at")
+
+
+@register("match_upstream")
+def q_match_upstream(spark, sf_dir):
+    from ..plans.scoring import match_upstream
+    d = _dom(spark, sf_dir)
+    return match_upstream(d.features, d.downstream_map).select("prov_code", "reservoir_id", "source")
+
+
+@register("fact_flood_alert")
+def q_fact_flood_alert(spark, sf_dir):
+    return _dom(spark, sf_dir).alerts.drop("loaded_at")
+
+
+@register("mart_hot_reservoirs")
+def q_mart_hot_reservoirs(spark, sf_dir):
+    d = _dom(spark, sf_dir)
+    return marts.mart_hot_reservoirs(d.fact_water, d.dim_reservoir, d.dim_date, d.dim_location, d.dim_weather,
+                                     RUN_DATE)
+
+
+@register("mart_top10_subdistricts")
+def q_mart_top10(spark, sf_dir):
+    d = _dom(spark, sf_dir)
+    return marts.mart_top10_subdistricts(d.fact_flood_risk, d.dim_location, d.dim_weather, RUN_DATE)
+
+
+@register("view_level_summary")
+def q_view_level_summary(spark, sf_dir):
+    return marts.view_level_summary(_dom(spark, sf_dir).alerts)
+
+
+@register("view_score_breakdown")
+def q_view_score_breakdown(spark, sf_dir):
+    return marts.view_score_breakdown(_dom(spark, sf_dir).alerts)
+
+
+@register("view_region_slice")
+def q_view_region_slice(spark, sf_dir):
+    return marts.view_region_slice(_dom(spark, sf_dir).alerts.drop("loaded_at"), date=RUN_DATE)
+
+
+@register("view_top_alerts")
+def q_view_top_alerts(spark, sf_dir):
+    return marts.view_top_alerts(_dom(spark, sf_dir).alerts.drop("loaded_at"))
