@@ -154,7 +154,9 @@ def oracle(name: str, deps: list[str], final: str) -> None:
 
 oracle("silver_reservoir", ["silver_reservoir"], "SELECT * FROM silver_reservoir")
 oracle("dim_reservoir", ["dim_reservoir"], "SELECT * FROM dim_reservoir")
-oracle("dim_date", ["dim_date"], "SELECT * FROM dim_date")
+oracle("dim_date", ["dim_date", "silver_reservoir"],
+       "SELECT * FROM dim_date WHERE full_date BETWEEN (SELECT min(record_date) FROM silver_reservoir) "
+       "AND (SELECT max(record_date) FROM silver_reservoir)")
 oracle("fact_water", ["fact_water"], "SELECT * FROM fact_water")
 oracle("mart_30d_trend", ["fact_water", "dim_reservoir", "dim_date"], f"""
 SELECT dr.reservoir_id, dr.reservoir_name, dr.reservoir_type, dr.region, round(dr.capacity_mcm, 2) AS capacity_mcm,
@@ -411,3 +413,218 @@ SELECT * EXCLUDE (dt), dt, {LEVEL_EN('alert_level')} AS alert_level_en, {REGION_
 FROM alerts WHERE alert_date = DATE '{RUN_DATE}'""")
 
 oracle("view_top_alerts", ["alerts"], "SELECT * FROM alerts ORDER BY alert_score DESC, prov_code LIMIT 10")
+
+# ---------------------------------------------------------------- data quality / exports / aggregates
+
+cte("staged", ["bronze_readings"], f"""
+SELECT _offset, reservoir_id, reservoir_name, region, source, owner, record_date, capacity_mcm, volume_mcm,
+  {CLIP('CASE WHEN pct = 0 AND capacity_mcm > 0 THEN round(' + CLIP('volume_mcm / capacity_mcm * 100') + ', 2) ELSE pct END')} AS percent_storage,
+  inflow_mcm, outflow_mcm, active_storage_mcm, dead_storage_mcm, fetched_at, dt
+FROM (
+  SELECT _offset, trim(COALESCE(reservoir_id, '')) AS reservoir_id, trim(COALESCE(reservoir_name, 'Unknown')) AS reservoir_name,
+    COALESCE(NULLIF(trim(COALESCE(region, '')), ''), 'Unknown') AS region, source,
+    trim(COALESCE(owner, 'กรมชลประทาน')) AS owner, COALESCE(TRY_CAST(record_date AS DATE), CAST(dt AS DATE)) AS record_date,
+    {num('capacity_mcm')} AS capacity_mcm, {num('volume_mcm')} AS volume_mcm, {num('percent_storage')} AS pct,
+    {num('inflow_mcm')} AS inflow_mcm, {num('outflow_mcm')} AS outflow_mcm,
+    {num('active_storage_mcm')} AS active_storage_mcm, {num('dead_storage_mcm')} AS dead_storage_mcm, fetched_at, dt
+  FROM bronze_readings) c
+WHERE reservoir_id <> ''""")
+
+cte("province_catalogue", [], """
+SELECT n.n_nationkey AS prov_code, 'prov-' || CAST(n.n_nationkey AS VARCHAR) AS prov_th, n.n_name AS prov_en,
+  r.r_name AS region, 5.0::DOUBLE + n.n_nationkey * 0.5::DOUBLE AS lat, 97.0::DOUBLE + n.n_regionkey * 0.5::DOUBLE AS lon
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""")
+
+_DQ_RULES = [
+    ("NULL_CHECK:reservoir_id", True, "reservoir_id IS NULL OR trim(CAST(reservoir_id AS VARCHAR)) = ''"),
+    ("NULL_CHECK:record_date", True, "record_date IS NULL OR trim(CAST(record_date AS VARCHAR)) = ''"),
+    ("NULL_CHECK:percent_storage", True, "percent_storage IS NULL OR trim(CAST(percent_storage AS VARCHAR)) = ''"),
+    ("RANGE_CHECK:percent_storage[0.0,100.0]", True, "percent_storage < 0.0 OR percent_storage > 100.0"),
+    ("RANGE_CHECK:volume_mcm[0.0,99999.0]", True, "volume_mcm < 0.0 OR volume_mcm > 99999.0"),
+    ("RANGE_CHECK:inflow_mcm[-10.0,9999.0]", False, "inflow_mcm < -10.0 OR inflow_mcm > 9999.0"),
+    ("RANGE_CHECK:outflow_mcm[-10.0,9999.0]", False, "outflow_mcm < -10.0 OR outflow_mcm > 9999.0"),
+]
+
+
+def dq_rows(src: str, table: str, by_dt: bool) -> str:
+    """DQ result rows over CTE ``src`` (per dt or whole)."""
+    g = "dt" if by_dt else "1"
+    gsel = "dt, " if by_dt else ""
+    gby = "GROUP BY dt" if by_dt else ""
+    fails = ", ".join(f"count_if({c}) AS f{i}" for i, (_, _, c) in enumerate(_DQ_RULES))
+    parts = []
+    for i, (name, crit, _) in enumerate(_DQ_RULES):
+        st = "'FAIL'" if crit else "'WARN'"
+        parts.append(f"SELECT {gsel}'{name}' AS rule, '{table}' AS \"table\", CASE WHEN f{i} = 0 THEN 'PASS' ELSE {st} END AS status, "
+                     f"{str(crit).upper()} AS critical, total AS total_rows, f{i} AS failed_rows, "
+                     f"round(100.0 * (1.0 - CAST(f{i} AS DOUBLE) / greatest(total, 1)), 2) AS pass_rate_pct, "
+                     f"CASE WHEN f{i} > 0 THEN 'UNCHECKED' ELSE '' END AS details FROM base")
+    parts.append(f"SELECT {gsel}'DUPLICATE_CHECK:(reservoir_id, record_date, source)' AS rule, '{table}' AS \"table\", "
+                 "CASE WHEN COALESCE(dup, 0) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, TRUE AS critical, total AS total_rows, "
+                 "COALESCE(dup, 0) AS failed_rows, round(100.0 * (1.0 - CAST(COALESCE(dup, 0) AS DOUBLE) / greatest(total, 1)), 2) AS pass_rate_pct, "
+                 "CASE WHEN COALESCE(dup, 0) > 0 THEN 'Duplicate key examples: [' || array_to_string(list_transform(samp, lambda x: '''' || x || ''''), ', ') || ']' ELSE '' END AS details "
+                 "FROM base")
+    dsum_join = "LEFT JOIN dsum d ON b.dt = d.dt" if by_dt else "CROSS JOIN (SELECT sum(dup) AS dup, max(samp) AS samp FROM dsum) d"
+    return f"""(WITH b0 AS (SELECT {gsel}count(*) AS total, {fails} FROM {src} {gby} HAVING count(*) > 0),
+  dups AS (SELECT {gsel}reservoir_id || '|' || CAST(record_date AS VARCHAR) || '|' || source AS k, count(*) AS n
+           FROM {src} GROUP BY {gsel}reservoir_id, record_date, source HAVING count(*) > 1),
+  dsum AS (SELECT {gsel}sum(n) AS dup, list(k ORDER BY k) FILTER (WHERE r <= 3) AS samp
+           FROM (SELECT *, row_number() OVER (PARTITION BY {g} ORDER BY k) AS r FROM dups) z {gby}),
+  base AS (SELECT b.*, d.dup, d.samp FROM b0 b {dsum_join})
+  {' UNION ALL '.join(parts)})"""
+
+
+cte("dq_staged", ["staged"], "SELECT * FROM " + dq_rows("staged", "staged_reservoir", True) + " q")
+cte("dq_silver", ["silver_reservoir"], "SELECT * FROM " + dq_rows("silver_reservoir", "silver_reservoir", True) + " q")
+cte("staged_day", ["staged"], f"SELECT * FROM staged WHERE dt = '{RUN_DATE}'")
+cte("silver_day", ["silver_reservoir"], f"SELECT * FROM silver_reservoir WHERE dt = '{RUN_DATE}'")
+cte("dq_day", ["staged_day"], "SELECT * FROM " + dq_rows("staged_day", "staged_reservoir", False) + " q")
+cte("dq_silver_day", ["silver_day"], "SELECT * FROM " + dq_rows("silver_day", "silver_reservoir", False) + " q")
+
+oracle("dq_report_staged", ["dq_staged"], "SELECT * FROM dq_staged")
+oracle("dq_report_silver", ["dq_silver"], "SELECT * FROM dq_silver")
+oracle("dq_report_day", ["dq_day"], "SELECT * FROM dq_day")
+oracle("dq_summary", ["dq_staged"], """
+SELECT dt, count_if(status = 'PASS') AS passed, count_if(status = 'WARN') AS warned, count_if(status = 'FAIL') AS failed,
+  count(*) AS total_checks, CASE WHEN count_if(status = 'FAIL') > 0 THEN 'FAIL' ELSE 'PASS' END AS overall
+FROM dq_staged GROUP BY dt""")
+
+oracle("dbt_not_null", ["silver_reservoir", "silver_flood_risk", "silver_weather"], """
+SELECT "table", column_name, failures, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (
+  SELECT 'silver_reservoir' AS "table", 'reservoir_id' AS column_name, count_if(reservoir_id IS NULL) AS failures FROM silver_reservoir
+  UNION ALL SELECT 'silver_reservoir', 'record_date', count_if(record_date IS NULL) FROM silver_reservoir
+  UNION ALL SELECT 'silver_reservoir', 'percent_storage', count_if(percent_storage IS NULL) FROM silver_reservoir
+  UNION ALL SELECT 'silver_flood_risk', 'geocode', count_if(geocode IS NULL) FROM silver_flood_risk
+  UNION ALL SELECT 'silver_flood_risk', 'month', count_if(month IS NULL) FROM silver_flood_risk
+  UNION ALL SELECT 'silver_weather', 'prov_code', count_if(prov_code IS NULL) FROM silver_weather
+  UNION ALL SELECT 'silver_weather', 'forecast_date', count_if(forecast_date IS NULL) FROM silver_weather) t""")
+
+oracle("flag_duplicates", ["staged"], """
+SELECT reservoir_id, record_date, source, dt, _offset,
+  count(*) OVER (PARTITION BY reservoir_id, record_date, source, dt) > 1 AS is_duplicate FROM staged""")
+
+EXPORT_PCT = (f"CASE WHEN (s.percent_storage IS NULL OR s.percent_storage = 0) AND s.capacity_mcm > 0 "
+              f"THEN round({CLIP('s.volume_mcm / s.capacity_mcm * 100.0')}, 1) ELSE s.percent_storage END")
+
+cte("export_reservoirs", ["silver_reservoir", "features"], f"""
+SELECT s.reservoir_id, s.reservoir_name, s.source, s.region, s.record_date, s.capacity_mcm, s.volume_mcm,
+  {EXPORT_PCT} AS percent_storage, s.inflow_mcm, s.outflow_mcm, f.net_flow_mcm, f.storage_trend_7d, f.storage_delta_1d,
+  f.days_to_full, CASE WHEN ({EXPORT_PCT}) IS NULL THEN 'NORMAL' ELSE {STATUS('(' + EXPORT_PCT + ')')} END AS reservoir_status,
+  f.filling_rate
+FROM silver_reservoir s LEFT JOIN features f ON s.reservoir_id = f.reservoir_id AND s.source = f.source
+WHERE s.dt = '{RUN_DATE}'""")
+
+ALERT_EXPORT_GOLD = """SELECT alert_date, COALESCE(CAST(prov_code AS INTEGER), 0) AS prov_code, COALESCE(prov_th, '') AS prov_th,
+  COALESCE(alert_level, 'ปกติ') AS alert_level, round(COALESCE(alert_score, 0.0), 1) AS alert_score,
+  round(COALESCE(reservoir_score, 0.0), 1) AS reservoir_score, round(COALESCE(weather_score, 0.0), 1) AS weather_score,
+  round(COALESCE(historical_risk_score, 0.0), 1) AS historical_risk_score, COALESCE(trigger_reservoirs, '') AS trigger_reservoirs,
+  round(COALESCE(max_reservoir_pct, 0.0), 1) AS max_reservoir_pct, round(COALESCE(rainfall_forecast_mm, 0.0), 1) AS rainfall_forecast_mm,
+  COALESCE(historical_risk_level, '') AS historical_risk_level,
+  COALESCE(CAST(affected_subdistricts_count AS BIGINT), 0) AS affected_subdistricts_count"""
+
+ALERT_EXPORT_WX = f"""SELECT forecast_date AS alert_date, COALESCE(CAST(prov_code AS INTEGER), 0) AS prov_code,
+  COALESCE(prov_th, '') AS prov_th, {ALERT('w')} AS alert_level, round(w, 1) AS alert_score, 0.0 AS reservoir_score,
+  w AS weather_score, 0.0 AS historical_risk_score, '' AS trigger_reservoirs, 0.0 AS max_reservoir_pct,
+  round(rain, 1) AS rainfall_forecast_mm, '' AS historical_risk_level, CAST(0 AS BIGINT) AS affected_subdistricts_count
+FROM (SELECT *, {WEATHER_PTS('rain')} AS w FROM (SELECT *, COALESCE(CAST(rainfall_forecast_mm AS DOUBLE), 0.0) AS rain
+      FROM silver_weather WHERE dt = '{RUN_DATE}') a) b"""
+
+cte("export_alerts", ["alerts", "silver_weather"], f"""
+{ALERT_EXPORT_GOLD} FROM alerts
+UNION ALL
+SELECT * FROM ({ALERT_EXPORT_WX}) z WHERE NOT EXISTS (SELECT 1 FROM alerts)""")
+
+oracle("export_reservoirs", ["export_reservoirs"], "SELECT * FROM export_reservoirs")
+oracle("export_reservoirs_csv", ["export_reservoirs"],
+       "SELECT * REPLACE (CASE WHEN abs(days_to_full) < 365.0 THEN days_to_full END AS days_to_full) FROM export_reservoirs")
+oracle("export_alerts", ["export_alerts"], "SELECT * FROM export_alerts")
+oracle("export_alerts_fallback", ["silver_weather"], ALERT_EXPORT_WX)
+oracle("export_alerts_csv", ["export_alerts", "province_catalogue"], f"""
+SELECT a.alert_date, a.prov_code, a.prov_th, a.alert_level, {LEVEL_EN('a.alert_level')} AS alert_level_en, a.alert_score,
+  a.reservoir_score, a.weather_score, a.historical_risk_score, a.trigger_reservoirs, a.max_reservoir_pct,
+  a.rainfall_forecast_mm, a.historical_risk_level, a.affected_subdistricts_count, p.lat, p.lon,
+  {REGION_EN('a.prov_code')} AS region_en
+FROM export_alerts a LEFT JOIN province_catalogue p ON a.prov_th = p.prov_th""")
+
+oracle("export_meta_row", ["export_reservoirs", "export_alerts", "dq_silver_day"], f"""
+SELECT '{RUN_DATE}' AS export_date, r.reservoir_count, r.latest_record_date, n.alert_province_count,
+  a.alert_crisis, a.alert_warning, a.alert_watch, a.alert_normal, q.dq_overall, q.dq_passed, q.dq_total
+FROM (SELECT count(*) AS reservoir_count, max(record_date) AS latest_record_date FROM export_reservoirs) r,
+  (SELECT count(*) AS alert_province_count FROM export_alerts) n,
+  (SELECT count_if(alert_level = 'วิกฤต') AS alert_crisis, count_if(alert_level = 'เตือนภัย') AS alert_warning,
+          count_if(alert_level = 'เฝ้าระวัง') AS alert_watch, count_if(alert_level = 'ปกติ') AS alert_normal FROM export_alerts) a,
+  (SELECT CASE WHEN count_if(status = 'FAIL') > 0 THEN 'FAIL' ELSE 'PASS' END AS dq_overall,
+          count_if(status = 'PASS') AS dq_passed, count(*) AS dq_total FROM dq_silver_day) q""")
+
+oracle("agg_value_counts", ["features_daily"], "SELECT reservoir_status, count(*) AS n FROM features_daily GROUP BY 1")
+oracle("agg_pivot_counts", ["silver_weather"], f"""
+SELECT forecast_date AS alert_date, count_if(lvl = 'วิกฤต') AS alert_crisis, count_if(lvl = 'เตือนภัย') AS alert_warning,
+  count_if(lvl = 'เฝ้าระวัง') AS alert_watch, count_if(lvl = 'ปกติ') AS alert_normal
+FROM (SELECT forecast_date, {ALERT(WEATHER_PTS('COALESCE(rainfall_forecast_mm, 0.0)'))} AS lvl FROM silver_weather) t
+GROUP BY forecast_date""")
+oracle("agg_profile", ["silver_reservoir"], """
+SELECT count(*) AS row_count, count_if(reservoir_id IS NULL) AS nulls_reservoir_id, count_if(record_date IS NULL) AS nulls_record_date,
+  count_if(percent_storage IS NULL) AS nulls_percent_storage, count_if(capacity_mcm IS NULL) AS nulls_capacity_mcm,
+  min(percent_storage) AS min_percent_storage, max(percent_storage) AS max_percent_storage,
+  avg(percent_storage) AS mean_percent_storage, count_if(percent_storage = 0) AS zeros_percent_storage
+FROM silver_reservoir""")
+oracle("agg_profile_weather", ["silver_weather"], """
+SELECT count(*) AS row_count, count_if(prov_code IS NULL) AS nulls_prov_code, count_if(forecast_date IS NULL) AS nulls_forecast_date,
+  count_if(rainfall_forecast_mm IS NULL) AS nulls_rainfall_forecast_mm, min(rainfall_forecast_mm) AS min_rainfall_forecast_mm,
+  max(rainfall_forecast_mm) AS max_rainfall_forecast_mm, avg(rainfall_forecast_mm) AS mean_rainfall_forecast_mm,
+  count_if(is_heavy_rain_24h) AS true_is_heavy_rain_24h
+FROM silver_weather""")
+oracle("agg_count_by_partition", ["silver_reservoir"], "SELECT dt, count(*) AS row_count FROM silver_reservoir GROUP BY dt ORDER BY dt DESC")
+oracle("agg_province_risk", ["silver_flood_risk"], f"""
+SELECT h.prov_code, h.max_risk_score, m.risk_level, h.subdistrict_count FROM
+ (SELECT CAST(prov_code AS INTEGER) AS prov_code, max(COALESCE(CAST(risk_score AS DOUBLE), 1.0)) AS max_risk_score,
+         count(DISTINCT geocode) AS subdistrict_count FROM silver_flood_risk WHERE month = {RUN_MONTH} GROUP BY 1) h
+ JOIN (SELECT prov_code, risk_level FROM (
+         SELECT CAST(prov_code AS INTEGER) AS prov_code, risk_level,
+           row_number() OVER (PARTITION BY CAST(prov_code AS INTEGER) ORDER BY count(*) DESC, risk_level) AS k
+         FROM silver_flood_risk WHERE month = {RUN_MONTH} GROUP BY 1, 2) z WHERE k = 1) m ON h.prov_code = m.prov_code""")
+oracle("distinct_pairs", ["silver_weather"], "SELECT DISTINCT prov_code, prov_th FROM silver_weather")
+oracle("union_distinct_dates", ["silver_reservoir", "silver_weather"], f"""
+SELECT DISTINCT dt FROM (SELECT dt FROM silver_reservoir UNION ALL SELECT dt FROM silver_weather UNION ALL SELECT '{RUN_DATE}') t
+WHERE TRY_CAST(dt AS DATE) IS NOT NULL AND regexp_full_match(dt, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') ORDER BY dt""")
+oracle("fallback_per_key", ["silver_weather", "province_catalogue"], f"""
+SELECT COALESCE(p.prov_code, s.prov_code) AS prov_code,
+  CASE WHEN p.prov_code IS NOT NULL THEN p.rainfall_forecast_mm ELSE s.rainfall_forecast_mm END AS rainfall_forecast_mm,
+  CASE WHEN p.prov_code IS NOT NULL THEN p.temp_max_c ELSE s.temp_max_c END AS temp_max_c,
+  CASE WHEN p.prov_code IS NOT NULL THEN 'tmd_api' ELSE 'mock_tmd' END AS data_source
+FROM (SELECT CAST(prov_code AS INTEGER) AS prov_code, rainfall_forecast_mm, temp_max_c FROM silver_weather WHERE dt = '{RUN_DATE}') p
+FULL JOIN (SELECT CAST(prov_code AS INTEGER) AS prov_code, lat * 2.0::DOUBLE AS rainfall_forecast_mm, 30.0::DOUBLE AS temp_max_c
+           FROM province_catalogue) s ON p.prov_code = s.prov_code""")
+
+_DELTA = "(inflow_mcm - outflow_mcm)"
+_DTF = f"CASE WHEN abs({_DELTA}) >= 0.001 THEN greatest(-365.0, least(365.0, (capacity_mcm - volume_mcm) / {_DELTA})) END"
+_RCODE = "(CAST(substring(reservoir_id, 4, 3) AS INTEGER) % 100)"
+oracle("fn_classify_battery", ["silver_reservoir"], f"""
+SELECT reservoir_id, source, record_date, dt, {STATUS('percent_storage')} AS status, {FILLING(_DELTA)} AS filling,
+  {RAIN('(volume_mcm / 50.0)')} AS rain_label, {WEATHER_PTS('(volume_mcm / 50.0)')} AS weather_pts,
+  CASE CAST(trunc(fmod(dead_storage_mcm / 10.0, 5.0)) AS INTEGER) WHEN 4 THEN 25.0 WHEN 3 THEN 18.0 WHEN 2 THEN 10.0 WHEN 1 THEN 5.0 ELSE 0.0 END AS hist_pts,
+  {ROWSCORE(STATUS('percent_storage'), FILLING(_DELTA))} AS row_score,
+  {ALERT('percent_storage')} AS level, {LEVEL_EN(ALERT('percent_storage'))} AS level_en,
+  {_DTF} AS days_to_full, CASE WHEN abs({_DTF}) < 365.0 THEN {_DTF} END AS days_to_full_csv,
+  {REGION(_RCODE)} AS region_code, {REGION_EN(_RCODE)} AS region_en,
+  CASE WHEN trim(region) IN ('C', 'E', 'NE', 'N', 'W', 'S') THEN trim(region) WHEN trim(region) = 'ภาคกลาง' THEN 'C'
+       WHEN trim(region) = 'ภาคตะวันออก' THEN 'E' WHEN trim(region) = 'ภาคตะวันออกเฉียงเหนือ' THEN 'NE'
+       WHEN trim(region) = 'ภาคเหนือ' THEN 'N' WHEN trim(region) = 'ภาคตะวันตก' THEN 'W' WHEN trim(region) = 'ภาคใต้' THEN 'S'
+       ELSE 'Unknown' END AS region_norm
+FROM silver_reservoir""")
+
+_PAD_SRC = "CAST(TRY_CAST(substring(reservoir_id, 2, 5) AS INTEGER) AS VARCHAR)"
+oracle("fn_string_date_battery", ["bronze_readings"], f"""
+SELECT _offset, {num('percent_storage')} AS pct_num, {intg('capacity_mcm')} AS cap_int,
+  COALESCE(NULLIF(trim(reservoir_id), ''), NULLIF(trim(reservoir_name), '')) AS first_id,
+  COALESCE(NULLIF(trim(COALESCE(owner, 'none')), ''), 'none') AS owner_filled,
+  CASE WHEN length({_PAD_SRC}) < 6 THEN lpad({_PAD_SRC}, 6, '0') ELSE {_PAD_SRC} END AS padded,
+  {CLIP(num('volume_mcm') + ' / 20.0')} AS clipped,
+  list_transform(list_filter(list_transform(string_split(concat_ws(',', CAST(CAST(CAST(outflow_mcm AS DOUBLE) AS INTEGER) AS VARCHAR), ' 63', 'x', source), ','), lambda x: trim(x)),
+                 lambda x: regexp_full_match(x, '[0-9]+')), lambda x: CAST(x AS INTEGER)) AS codes,
+  {DKEY("COALESCE(TRY_CAST(record_date AS DATE), CAST(dt AS DATE))")} AS date_key,
+  CAST(strftime(TRY_CAST(substring(dt, 1, 4) || '-' || lpad(CAST(_offset % 13 AS VARCHAR), 2, '0') || '-01' AS DATE), '%Y%m%d') AS INTEGER) AS month_key,
+  list_extract(['มกราคม','กุมภาพันธ์','มีนาคม','เมษายน','พฤษภาคม','มิถุนายน','กรกฎาคม','สิงหาคม','กันยายน','ตุลาคม','พฤศจิกายน','ธันวาคม'], month(CAST(dt AS DATE))) AS month_th,
+  {RKEY("reservoir_id || '_' || source")} AS rkey, TRY_CAST(substring(reservoir_id, 2, 5) AS INTEGER) AS nat_key,
+  CAST(60 AS INTEGER) AS span
+FROM bronze_readings""")

@@ -35,7 +35,9 @@ def q_dim_reservoir(spark, sf_dir):
 
 @register("dim_date")
 def q_dim_date(spark, sf_dir):
-    return _dom(spark, sf_dir).dim_date
+    """Dim_Date over the span of reading dates present in Silver."""
+    from ..plans.star import dim_date_for
+    return dim_date_for(_dom(spark, sf_dir).silver_reservoir, "record_date")
 
 
 @register("fact_water")
@@ -128,3 +130,231 @@ def q_view_region_slice(spark, sf_dir):
 @register("view_top_alerts")
 def q_view_top_alerts(spark, sf_dir):
     return marts.view_top_alerts(_dom(spark, sf_dir).alerts.drop("loaded_at"))
+
+
+# ---------------------------------------------------------------- data quality
+
+def _staged(d):
+    from ..plans.silver import clean_reservoir
+    return clean_reservoir(d.bronze_readings)
+
+
+@register("dq_report_silver")
+def q_dq_report_silver(spark, sf_dir):
+    from ..operators.quality import dq_report
+    return dq_report(_dom(spark, sf_dir).silver_reservoir, "silver_reservoir", group=["dt"])
+
+
+@register("dq_report_staged")
+def q_dq_report_staged(spark, sf_dir):
+    from ..operators.quality import dq_report
+    return dq_report(_staged(_dom(spark, sf_dir)), "staged_reservoir", group=["dt"])
+
+
+@register("dq_summary")
+def q_dq_summary(spark, sf_dir):
+    from ..operators.quality import dq_report, dq_summary
+    return dq_summary(dq_report(_staged(_dom(spark, sf_dir)), "staged_reservoir", group=["dt"]), ["dt"])
+
+
+@register("dq_report_day")
+def q_dq_report_day(spark, sf_dir):
+    """Whole-frame report of one run day (the reference's unit)."""
+    from pyspark.sql import functions as F
+    from ..operators.quality import dq_report
+    return dq_report(_staged(_dom(spark, sf_dir)).where(F.col("dt") == RUN_DATE), "staged_reservoir")
+
+
+@register("dbt_not_null")
+def q_dbt_not_null(spark, sf_dir):
+    from ..operators.quality import dbt_not_null
+    d = _dom(spark, sf_dir)
+    return dbt_not_null({"silver_reservoir": d.silver_reservoir, "silver_flood_risk": d.silver_flood_risk,
+                         "silver_weather": d.silver_weather})
+
+
+@register("flag_duplicates")
+def q_flag_duplicates(spark, sf_dir):
+    from ..operators.dedup import flag_duplicates
+    st = _staged(_dom(spark, sf_dir)).select("reservoir_id", "record_date", "source", "dt", "_offset")
+    return flag_duplicates(st, ["reservoir_id", "record_date", "source", "dt"])
+
+
+# ---------------------------------------------------------------- exports
+
+def _silver_day(d):
+    from pyspark.sql import functions as F
+    return d.silver_reservoir.where(F.col("dt") == RUN_DATE)
+
+
+@register("export_reservoirs")
+def q_export_reservoirs(spark, sf_dir):
+    from ..plans.exports import export_reservoirs
+    d = _dom(spark, sf_dir)
+    return export_reservoirs(_silver_day(d), d.features)
+
+
+@register("export_reservoirs_csv")
+def q_export_reservoirs_csv(spark, sf_dir):
+    from ..plans.exports import export_reservoirs, export_reservoirs_csv
+    d = _dom(spark, sf_dir)
+    return export_reservoirs_csv(export_reservoirs(_silver_day(d), d.features))
+
+
+def _wx_day(d):
+    from pyspark.sql import functions as F
+    return d.silver_weather.where(F.col("dt") == RUN_DATE)
+
+
+@register("export_alerts")
+def q_export_alerts(spark, sf_dir):
+    from ..plans.exports import export_alerts
+    d = _dom(spark, sf_dir)
+    return export_alerts(d.alerts, _wx_day(d))
+
+
+@register("export_alerts_fallback")
+def q_export_alerts_fallback(spark, sf_dir):
+    """Gold partition for a day with no alerts -> weather-only scoring of the run day."""
+    from pyspark.sql import functions as F
+    from ..plans.exports import export_alerts
+    d = _dom(spark, sf_dir)
+    return export_alerts(d.alerts.where(F.col("alert_date") < F.to_date(F.lit("1900-01-01"))), _wx_day(d))
+
+
+@register("export_alerts_csv")
+def q_export_alerts_csv(spark, sf_dir):
+    from ..plans.exports import export_alerts, export_alerts_csv
+    d = _dom(spark, sf_dir)
+    return export_alerts_csv(export_alerts(d.alerts, _wx_day(d)), d.provinces)
+
+
+@register("export_meta_row")
+def q_export_meta_row(spark, sf_dir):
+    from ..operators.quality import dq_report, dq_summary
+    from ..plans.exports import export_alerts, export_meta_row, export_reservoirs
+    d = _dom(spark, sf_dir)
+    res = export_reservoirs(_silver_day(d), d.features)
+    summ = dq_summary(dq_report(_silver_day(d), "silver_reservoir"))
+    return export_meta_row(RUN_DATE, res, export_alerts(d.alerts, _wx_day(d)), summ)
+
+
+# ---------------------------------------------------------------- aggregates / set ops
+
+@register("agg_value_counts")
+def q_agg_value_counts(spark, sf_dir):
+    from ..operators.aggregates import value_counts
+    from ..plans.features import reservoir_features_daily
+    return value_counts(reservoir_features_daily(_dom(spark, sf_dir).silver_reservoir), "reservoir_status")
+
+
+@register("agg_pivot_counts")
+def q_agg_pivot_counts(spark, sf_dir):
+    """Weather-only alert levels per day flattened into four count columns."""
+    from ..operators.aggregates import pivot_counts
+    from ..plans.exports import weather_only_alerts
+    a = weather_only_alerts(_dom(spark, sf_dir).silver_weather)
+    return pivot_counts(a, ["alert_date"], "alert_level", {"วิกฤต": "alert_crisis", "เตือนภัย": "alert_warning",
+                                                            "เฝ้าระวัง": "alert_watch", "ปกติ": "alert_normal"})
+
+
+@register("agg_profile")
+def q_agg_profile(spark, sf_dir):
+    from ..operators.aggregates import profile
+    return profile(_dom(spark, sf_dir).silver_reservoir, ["reservoir_id", "record_date", "percent_storage",
+                                                          "capacity_mcm"], "percent_storage", "percent_storage")
+
+
+@register("agg_profile_weather")
+def q_agg_profile_weather(spark, sf_dir):
+    from ..operators.aggregates import profile
+    return profile(_dom(spark, sf_dir).silver_weather, ["prov_code", "forecast_date", "rainfall_forecast_mm"],
+                   "rainfall_forecast_mm", true_col="is_heavy_rain_24h")
+
+
+@register("agg_count_by_partition")
+def q_agg_count_by_partition(spark, sf_dir):
+    from ..operators.aggregates import count_by_partition
+    return count_by_partition(_dom(spark, sf_dir).silver_reservoir).orderBy("dt", ascending=False)
+
+
+@register("agg_province_risk")
+def q_agg_province_risk(spark, sf_dir):
+    from ..plans.scoring import historical_by_province
+    return historical_by_province(_dom(spark, sf_dir).silver_flood_risk, 6).withColumnsRenamed(
+        {"_max_risk": "max_risk_score", "_risk_level": "risk_level", "_subdistricts": "subdistrict_count"})
+
+
+@register("distinct_pairs")
+def q_distinct_pairs(spark, sf_dir):
+    from ..operators.dedup import distinct_rows
+    return distinct_rows(_dom(spark, sf_dir).silver_weather, ["prov_code", "prov_th"])
+
+
+@register("union_distinct_dates")
+def q_union_distinct_dates(spark, sf_dir):
+    from ..sources.io import partition_dates
+    d = _dom(spark, sf_dir)
+    return partition_dates([d.silver_reservoir, d.silver_weather], include=RUN_DATE)
+
+
+@register("fallback_per_key")
+def q_fallback_per_key(spark, sf_dir):
+    """Per province: the run day's forecast if present, else a catalogue-derived default."""
+    from pyspark.sql import functions as F
+    from ..operators.joins import fallback_per_key
+    d = _dom(spark, sf_dir)
+    prim = _wx_day(d).select(F.col("prov_code").cast("int").alias("prov_code"), "rainfall_forecast_mm", "temp_max_c")
+    sec = d.provinces.select("prov_code", (F.col("lat") * 2.0).alias("rainfall_forecast_mm"),
+                             F.lit(30.0).alias("temp_max_c"))
+    return fallback_per_key(prim, sec, ["prov_code"], ["rainfall_forecast_mm", "temp_max_c"], "tmd_api", "mock_tmd")
+
+
+# ---------------------------------------------------------------- scalar function batteries
+
+@register("fn_classify_battery")
+def q_fn_classify_battery(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ..functions import classify as C
+    s = _dom(spark, sf_dir).silver_reservoir
+    delta = F.col("inflow_mcm") - F.col("outflow_mcm")
+    return s.select(
+        "reservoir_id", "source", "record_date", "dt",
+        C.classify_status("percent_storage").alias("status"),
+        C.classify_filling_rate(delta).alias("filling"),
+        C.classify_rain(F.col("volume_mcm") / 50.0).alias("rain_label"),
+        C.weather_component(F.col("volume_mcm") / 50.0).alias("weather_pts"),
+        C.historical_component(F.pmod(F.col("dead_storage_mcm") / 10.0, F.lit(5.0))).alias("hist_pts"),
+        C.reservoir_row_score(C.classify_status("percent_storage"), C.classify_filling_rate(delta)).alias("row_score"),
+        C.alert_level(F.col("percent_storage")).alias("level"),
+        C.alert_level_en(C.alert_level(F.col("percent_storage"))).alias("level_en"),
+        C.days_to_full("capacity_mcm", "volume_mcm", delta).alias("days_to_full"),
+        C.blank_sentinel(C.days_to_full("capacity_mcm", "volume_mcm", delta)).alias("days_to_full_csv"),
+        C.region_from_code(F.substring("reservoir_id", 4, 3).cast("int") % 100).alias("region_code"),
+        C.region_from_code(F.substring("reservoir_id", 4, 3).cast("int") % 100, english=True).alias("region_en"),
+        C.normalize_region("region").alias("region_norm"))
+
+
+@register("fn_string_date_battery")
+def q_fn_string_date_battery(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ..functions import coerce as X
+    from ..functions import dates as D
+    from ..functions import keys as Kk
+    r = _dom(spark, sf_dir).bronze_readings
+    return r.select(
+        "_offset",
+        X.coerce_numeric("percent_storage").alias("pct_num"),
+        X.coerce_int("capacity_mcm").alias("cap_int"),
+        X.first_truthy("reservoir_id", "reservoir_name").alias("first_id"),
+        X.fill_default_string("owner", "none", blank_to_default=True).alias("owner_filled"),
+        X.zero_pad(F.substring("reservoir_id", 2, 5).try_cast("int").cast("string"), 6).alias("padded"),
+        X.clip(X.coerce_numeric("volume_mcm") / 20.0).alias("clipped"),
+        X.parse_code_list(F.concat_ws(",", F.col("outflow_mcm").cast("double").cast("int").cast("string"),
+                                      F.lit(" 63"), F.lit("x"), F.col("source"))).alias("codes"),
+        D.date_key(D.to_date_lenient("record_date", F.col("dt").cast("date"))).alias("date_key"),
+        D.month_start_key(F.substring("dt", 1, 4).cast("int"), F.pmod(F.col("_offset"), F.lit(13))).alias("month_key"),
+        D.thai_month_name(F.month(F.col("dt").cast("date"))).alias("month_th"),
+        Kk.reservoir_key("reservoir_id", "source").alias("rkey"),
+        Kk.natural_int_key(F.substring("reservoir_id", 2, 5)).alias("nat_key"),
+        F.datediff(F.date_add(F.col("dt").cast("date"), 30), F.date_sub(F.col("dt").cast("date"), 30)).alias("span"))
