@@ -628,3 +628,50 @@ SELECT _offset, {num('percent_storage')} AS pct_num, {intg('capacity_mcm')} AS c
   {RKEY("reservoir_id || '_' || source")} AS rkey, TRY_CAST(substring(reservoir_id, 2, 5) AS INTEGER) AS nat_key,
   CAST(60 AS INTEGER) AS span
 FROM bronze_readings""")
+
+# ---------------------------------------------------------------- scans / sinks / payloads / streaming
+
+oracle("scan_partition", ["silver_weather"], f"SELECT * FROM silver_weather WHERE dt = '{RUN_DATE}'")
+oracle("scan_latest_partition", ["silver_weather"],
+       "SELECT * FROM silver_weather WHERE dt = (SELECT max(dt) FROM silver_weather)")
+oracle("scan_all_if_empty", ["silver_weather"], "SELECT * FROM silver_weather")
+oracle("scan_window", ["silver_weather"], f"SELECT * FROM silver_weather WHERE dt BETWEEN '{LO_7D}' AND '{RUN_DATE}'")
+oracle("scan_partition_dates", ["silver_weather"],
+       f"SELECT DISTINCT dt FROM (SELECT dt FROM silver_weather UNION ALL SELECT '{RUN_DATE}') t ORDER BY dt")
+oracle("scan_mixed_formats", ["silver_flood_risk"], "SELECT * FROM silver_flood_risk")
+oracle("sink_orc_partition", ["alerts"], "SELECT * FROM alerts")
+oracle("scan_csv_bom", ["silver_flood_risk"], "SELECT * FROM silver_flood_risk")
+
+_NDJSON = """SELECT _offset, source, reservoir_id, reservoir_name, region, CASE WHEN source = 'dam' THEN NULL ELSE owner END AS owner,
+  record_date, capacity_mcm, volume_mcm, percent_storage, inflow_mcm, outflow_mcm, active_storage_mcm, dead_storage_mcm,
+  fetched_at, dt
+FROM bronze_readings WHERE _offset % 101 <> 0 AND _offset % 103 <> 0"""
+oracle("scan_ndjson", ["bronze_readings"], _NDJSON)
+oracle("scan_union_sources", ["bronze_readings"], _NDJSON)
+
+oracle("flatten_nested_payload", ["bronze_readings"], f"""
+SELECT source, NULLIF(trim(reservoir_id), '') AS reservoir_id,
+  CASE WHEN source = 'dam' THEN COALESCE(reservoir_name, '') ELSE COALESCE(NULLIF(trim(reservoir_name), ''), '') END AS reservoir_name,
+  COALESCE(region, '') AS region, COALESCE(NULLIF(trim(owner), ''), 'กรมชลประทาน') AS owner,
+  COALESCE(NULLIF(trim(record_date), ''), dt) AS record_date,
+  {num('capacity_mcm')} AS capacity_mcm, {num('volume_mcm')} AS volume_mcm, {num('percent_storage')} AS percent_storage,
+  {num('inflow_mcm')} AS inflow_mcm, {num('outflow_mcm')} AS outflow_mcm, {num('active_storage_mcm')} AS active_storage_mcm,
+  {num('dead_storage_mcm')} AS dead_storage_mcm, '{RUN_DATE}T00:00:00+07:00' AS fetched_at
+FROM bronze_readings""")
+
+oracle("extract_forecast_payload", ["bronze_weather"], f"""
+SELECT _offset, dt, round({num('temp_max_c')}, 1) AS temp_max_c, round({num('temp_min_c')}, 1) AS temp_min_c,
+  round({num('rainfall_forecast_mm')}, 1) AS rainfall_forecast_mm, round({num('humidity_pct')}, 1) AS humidity_pct,
+  round(CAST(_offset % 20 AS DOUBLE) * 3.6::DOUBLE, 1) AS wind_speed_kmh, 'tmd_api' AS data_source
+FROM bronze_weather WHERE _offset % 23 <> 0""")
+
+oracle("stream_ingest", ["bronze_readings"], f"""
+SELECT source, reservoir_id, reservoir_name, region, owner, record_date, CAST(NULL AS VARCHAR) AS date, capacity_mcm,
+  volume_mcm, percent_storage, inflow_mcm, outflow_mcm, active_storage_mcm, dead_storage_mcm, fetched_at,
+  COALESCE(NULLIF(source, ''), 'reservoir') AS bucket_source, COALESCE(NULLIF(record_date, ''), '{RUN_DATE}') AS bucket_date
+FROM bronze_readings
+WHERE _offset % 101 <> 0 AND _offset % 103 <> 0 AND COALESCE(fetched_at, '') > '1970-01-01T00:00:00+00:00'""")
+
+oracle("watermark_filter", ["bronze_readings"], f"""
+SELECT _offset, fetched_at, concat_ws('_', reservoir_id, record_date, source) AS message_key
+FROM bronze_readings WHERE COALESCE(fetched_at, '') > '{RUN_DATE}T03:00:00+07:00'""")

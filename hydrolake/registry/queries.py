@@ -358,3 +358,193 @@ def q_fn_string_date_battery(spark, sf_dir):
         Kk.reservoir_key("reservoir_id", "source").alias("rkey"),
         Kk.natural_int_key(F.substring("reservoir_id", 2, 5)).alias("nat_key"),
         F.datediff(F.date_add(F.col("dt").cast("date"), 30), F.date_sub(F.col("dt").cast("date"), 30)).alias("span"))
+
+
+# ---------------------------------------------------------------- scans / sinks over written tables
+
+def _weather_lake(spark, sf_dir):
+    from .written import write_partitioned, written
+    d = _dom(spark, sf_dir)
+    return written(spark, sf_dir, "silver_weather",
+                   lambda p: write_partitioned(d.silver_weather.drop("silver_loaded_at"), p))
+
+
+def _read_weather(spark, sf_dir):
+    from pyspark.sql import functions as F
+    return spark.read.parquet(_weather_lake(spark, sf_dir)).withColumn("dt", F.col("dt").cast("string"))
+
+
+@register("scan_partition")
+def q_scan_partition(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ..sources.io import scan_partition
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    return scan_partition(spark, _weather_lake(spark, sf_dir), RUN_DATE).withColumn("dt", F.col("dt").cast("string"))
+
+
+@register("scan_latest_partition")
+def q_scan_latest_partition(spark, sf_dir):
+    """A run date with no partition -> the most recent partition."""
+    from ..sources.io import scan_latest_partition
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    return scan_latest_partition(_read_weather(spark, sf_dir), "2099-01-01")
+
+
+@register("scan_all_if_empty")
+def q_scan_all_if_empty(spark, sf_dir):
+    """A run date with no partition -> every partition."""
+    from ..sources.io import scan_all_if_empty
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    return scan_all_if_empty(_read_weather(spark, sf_dir), "2099-01-01")
+
+
+@register("scan_window")
+def q_scan_window(spark, sf_dir):
+    from ..plans.features import _shift
+    from ..sources.io import scan_window
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    return scan_window(_read_weather(spark, sf_dir), _shift(RUN_DATE, -6), RUN_DATE)
+
+
+@register("scan_partition_dates")
+def q_scan_partition_dates(spark, sf_dir):
+    from ..sources.io import partition_dates
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    return partition_dates([_read_weather(spark, sf_dir)], include=RUN_DATE)
+
+
+@register("scan_mixed_formats")
+def q_scan_mixed_formats(spark, sf_dir):
+    """Hazard Silver partitioned by month: months 0-6 as Parquet, 7-12 as ORC, one folder."""
+    from pyspark.sql import functions as F
+    from ..sources.io import scan_mixed_formats
+    from .written import write_partitioned, written
+    d = _dom(spark, sf_dir)
+    fr = d.silver_flood_risk.drop("silver_loaded_at")
+
+    def build(p):
+        write_partitioned(fr.where(F.col("month") <= 6), p, "parquet", ("month",))
+        fr.where(F.col("month") > 6).repartition("month").write.mode("append").format("orc") \
+            .partitionBy("month").save(p)
+    root = written(spark, sf_dir, "flood_risk_mixed", build)
+    return scan_mixed_formats(spark, root).withColumn("month", F.col("month").cast("bigint"))
+
+
+@register("sink_orc_partition")
+def q_sink_orc_partition(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from .written import write_partitioned, written
+    d = _dom(spark, sf_dir)
+    root = written(spark, sf_dir, "alerts_orc",
+                   lambda p: write_partitioned(d.alerts.drop("loaded_at"), p, "orc", ("dt",)))
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    return spark.read.orc(root).withColumn("dt", F.col("dt").cast("string"))
+
+
+READING_FIELDS = ["_offset", "source", "reservoir_id", "reservoir_name", "region", "owner", "record_date",
+                  "capacity_mcm", "volume_mcm", "percent_storage", "inflow_mcm", "outflow_mcm",
+                  "active_storage_mcm", "dead_storage_mcm", "fetched_at", "dt"]
+READING_SCHEMA = ", ".join(f"{c} {'BIGINT' if c == '_offset' else 'STRING'}" for c in READING_FIELDS)
+DAM_SCHEMA = ", ".join(f"{c} {'BIGINT' if c == '_offset' else 'STRING'}" for c in READING_FIELDS if c != "owner")
+
+
+def _ndjson_lake(spark, sf_dir):
+    from .written import write_ndjson_by_source, written
+    d = _dom(spark, sf_dir)
+    return written(spark, sf_dir, "bronze_ndjson",
+                   lambda p: write_ndjson_by_source(d.bronze_readings, p, drop_for_dam=("owner",)))
+
+
+@register("scan_ndjson")
+def q_scan_ndjson(spark, sf_dir):
+    """Bronze NDJSON with truncated and blank lines: malformed dropped, blank ignored."""
+    from ..sources.io import scan_ndjson
+    return scan_ndjson(spark, _ndjson_lake(spark, sf_dir) + "/*", READING_SCHEMA)
+
+
+@register("scan_union_sources")
+def q_scan_union_sources(spark, sf_dir):
+    """dam and reservoir folders with different key sets -> union of columns."""
+    from ..sources.io import scan_ndjson, scan_union_sources
+    root = _ndjson_lake(spark, sf_dir)
+    return scan_union_sources([scan_ndjson(spark, f"{root}/dam", DAM_SCHEMA),
+                               scan_ndjson(spark, f"{root}/reservoir", READING_SCHEMA)])
+
+
+@register("scan_csv_bom")
+def q_scan_csv_bom(spark, sf_dir):
+    """Hazard rows round-tripped through a BOM-prefixed CSV, then cleaned to Silver."""
+    from ..plans.silver import silver_flood_risk
+    from ..sources.io import scan_csv, sink_csv_bom
+    from .written import written
+    d = _dom(spark, sf_dir)
+    cols = d.hazard.columns
+    root = written(spark, sf_dir, "hazard_csv", lambda p: sink_csv_bom(d.hazard, p, cols, single_file=False))
+    schema = ", ".join(f"`{c}` {'BIGINT' if c == '_offset' else 'STRING'}" for c in cols)
+    return silver_flood_risk(scan_csv(spark, root, schema)).drop("silver_loaded_at")
+
+
+@register("flatten_nested_payload")
+def q_flatten_nested_payload(spark, sf_dir):
+    """Per-order API payloads {date, data:[{region, dam|reservoir:[...]}]} flattened and normalised."""
+    from pyspark.sql import functions as F
+    from ..sources.payloads import flatten_nested_payload, normalize_dam, normalize_reservoir
+    b = _dom(spark, sf_dir).bronze_readings.withColumn("_order", F.floor(F.col("_offset") / 8))
+    item = F.struct(
+        F.col("reservoir_id").alias("id"), F.col("reservoir_id").alias("reservoir_id"),
+        F.col("reservoir_name").alias("name"), F.col("reservoir_name").alias("reservoir_name"),
+        F.col("owner").alias("owner"), F.col("record_date").alias("report_date"), F.col("record_date").alias("date"),
+        F.col("capacity_mcm").alias("capacity"), F.col("volume_mcm").alias("storage"),
+        F.col("volume_mcm").alias("volume"), "percent_storage", F.col("inflow_mcm").alias("inflow"),
+        F.col("outflow_mcm").alias("outflow"), F.col("active_storage_mcm").alias("active_storage"),
+        F.col("dead_storage_mcm").alias("dead_storage"), "_offset")
+    per_region = b.groupBy("_order", "source", "dt", "region").agg(F.collect_list(item).alias("items"))
+    out = []
+    for child, norm in (("dam", normalize_dam), ("reservoir", normalize_reservoir)):
+        pr = per_region.where(F.col("source") == child)
+        payload = pr.groupBy("_order", "dt").agg(
+            F.collect_list(F.struct(F.col("region"), F.col("items").alias(child))).alias("data"))
+        js = payload.select(F.to_json(F.struct(F.col("dt").alias("date"), "data")).alias("value"))
+        out.append(norm(flatten_nested_payload(js, "value", child), fetched_at=RUN_DATE + "T00:00:00+07:00"))
+    return out[0].unionByName(out[1])
+
+
+@register("extract_forecast_payload")
+def q_extract_forecast_payload(spark, sf_dir):
+    """Forecast payloads (scalar or {value, unit} numbers; some with an empty forecast list)."""
+    from pyspark.sql import functions as F
+    from ..sources.payloads import extract_forecast_payload
+    w = _dom(spark, sf_dir).bronze_weather
+    data = F.struct(F.col("temp_max_c").cast("double").alias("tc_max"),
+                    F.struct(F.col("temp_min_c").cast("double").alias("value"), F.lit("C").alias("unit")).alias("tc_min"),
+                    F.col("humidity_pct").cast("double").alias("rh"), F.col("rainfall_forecast_mm").cast("double").alias("rain"),
+                    (F.pmod(F.col("_offset"), F.lit(20))).cast("double").alias("ws10m"))
+    fc = F.array(F.struct(F.col("dt").alias("time"), data.alias("data")))
+    fc = F.when(F.pmod(F.col("_offset"), F.lit(23)) == 0, F.filter(fc, lambda x: F.lit(False))).otherwise(fc)
+    payload = F.to_json(F.struct(F.array(F.struct(
+        F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon")).alias("location"),
+        fc.alias("forecasts"))).alias("WeatherForecasts")))
+    js = w.select("_offset", "dt", payload.alias("payload"))
+    return extract_forecast_payload(js, "payload")
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Drain a landing folder of JSON messages with an availableNow stream into Bronze buckets."""
+    from ..session import scratch_path
+    from ..streaming.ingest import MESSAGE_SCHEMA, stream_ingest
+    from .written import message_lines, written
+    d = _dom(spark, sf_dir)
+    landing = written(spark, sf_dir, "landing",
+                      lambda p: message_lines(d.bronze_readings, exclude=("_offset", "dt")).select("value")
+                      .repartition(8).write.mode("overwrite").text(p))
+    bronze, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_stream_ck")
+    stream_ingest(spark, landing, bronze, ck, today=RUN_DATE)
+    return spark.read.schema(MESSAGE_SCHEMA + ", bucket_source STRING, bucket_date STRING").json(bronze)
+
+
+@register("watermark_filter")
+def q_watermark_filter(spark, sf_dir):
+    from ..streaming.ingest import message_key, watermark_filter
+    b = _dom(spark, sf_dir).bronze_readings
+    return message_key(watermark_filter(b, RUN_DATE + "T03:00:00+07:00")).select("_offset", "fetched_at", "message_key")

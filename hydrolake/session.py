@@ -18,6 +18,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "2",
 }
 
 

@@ -115,12 +115,15 @@ def sink_bronze_buckets(df: DataFrame, path: str, today: str) -> None:
     sink_partitioned(out, path, "json", ("bucket_source", "bucket_date"), mode="append")
 
 
-def sink_csv_bom(df: DataFrame, path: str, columns: list[str]) -> None:
-    """UTF-8 CSV with a BOM and header in a fixed column order (report-sized frames:
-    one file).  The BOM is written as the first character of the first header."""
+def sink_csv_bom(df: DataFrame, path: str, columns: list[str], single_file: bool = True) -> None:
+    """UTF-8 CSV with a BOM and header in a fixed column order.  The BOM is written as
+    the first character of the first header, so every part file starts with it;
+    ``single_file`` (report-sized exports only) coalesces to one file."""
     first, rest = columns[0], columns[1:]
-    out = df.select(F.col(first).alias("\ufeff" + first), *rest)
-    out.coalesce(1).write.mode("overwrite").option("header", True).option("encoding", "UTF-8") \
+    out = df.select(F.col(first).alias("\ufeff" + first), *[F.col(f"`{c}`") for c in rest])
+    if single_file:
+        out = out.coalesce(1)
+    out.write.mode("overwrite").option("header", True).option("encoding", "UTF-8") \
         .option("nullValue", "").option("emptyValue", "").csv(path)
 
 
