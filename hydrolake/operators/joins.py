@@ -39,11 +39,12 @@ def _grams(text: Column, k: int) -> Column:
     """All distinct substrings of length 1..k of ``text`` (k-grams plus the short
     ones, so patterns shorter than k still have a join key)."""
     n = F.length(text)
-    per_len = [
-        F.transform(F.sequence(F.lit(1), F.greatest(n - L + 1, F.lit(1))),
-                    lambda i, L=L: F.substring(text, i, L))
-        for L in range(1, k + 1)
-    ]
+
+    def of_len(L):   # F.transform passes the index to a 2nd lambda arg, so bind L by closure
+        return lambda i: F.substring(text, i, F.lit(L))
+
+    per_len = [F.transform(F.sequence(F.lit(1), F.greatest(n - L + 1, F.lit(1))), of_len(L))
+               for L in range(1, k + 1)]
     return F.array_distinct(F.filter(F.flatten(F.array(*per_len)), lambda g: F.length(g) > 0))
 
 
