@@ -15,7 +15,7 @@ from ..functions.classify import alert_level, historical_component, reservoir_ro
 from ..functions.coerce import parse_code_list
 from ..functions.dates import date_key
 from ..operators.aggregates import mode_of, topk_concat
-from ..operators.joins import pick_first, substring_match_pairs
+from ..operators.joins import is_small, pick_first, substring_match_pairs
 
 ALERT_COLS = ["alert_key", "date_key", "location_key", "weather_key", "alert_date", "prov_code", "prov_th",
               "alert_level", "alert_score", "reservoir_score", "weather_score", "historical_risk_score",
@@ -42,6 +42,8 @@ def match_upstream(features: DataFrame, downstream_map: DataFrame, keys: list[st
     keys = keys or ["reservoir_id", "source"]
     f = features.withColumn("_fid", F.xxhash64(*keys))
     m = map_with_ids(downstream_map)
+    if strategy == "auto":   # one bounded size check for both name columns
+        strategy = "broadcast" if is_small(m, 100_000) else "ngram"
     th = substring_match_pairs(f, "_fid", "reservoir_name", m, "map_id", "reservoir_name_th", strategy=strategy)
     en = substring_match_pairs(f, "_fid", "reservoir_name", m, "map_id", "reservoir_name_en",
                                case_insensitive=True, strategy=strategy)

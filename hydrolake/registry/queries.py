@@ -19,8 +19,15 @@ def register(name: str):
     return deco
 
 
+_DOMAINS: dict[tuple, Domain] = {}
+
+
 def _dom(spark, sf_dir) -> Domain:
-    return Domain(spark, sf_dir)
+    """One Domain (lazy plans, no cached data) per session and folder, shared by all queries."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DOMAINS:
+        _DOMAINS[key] = Domain(spark, sf_dir)
+    return _DOMAINS[key]
 
 
 @register("silver_reservoir")

@@ -21,8 +21,15 @@ from ..functions.classify import classify_rain
 REGION_CODES = ["C", "E", "NE", "N", "W", "S"]
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver table as a (lazy, re-usable) DataFrame; the file listing is done once."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _TABLES[key]
 
 
 def _day_str(ts) -> F.Column:
