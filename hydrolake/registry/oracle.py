@@ -675,3 +675,32 @@ WHERE _offset % 101 <> 0 AND _offset % 103 <> 0 AND COALESCE(fetched_at, '') > '
 oracle("watermark_filter", ["bronze_readings"], f"""
 SELECT _offset, fetched_at, concat_ws('_', reservoir_id, record_date, source) AS message_key
 FROM bronze_readings WHERE COALESCE(fetched_at, '') > '{RUN_DATE}T03:00:00+07:00'""")
+
+oracle("ingest_static_table", ["hazard"], """
+SELECT 'flood_risk_area.csv' AS file, count(*) AS row_count, 'Hazard history per sub-district and month' AS description
+FROM hazard""")
+oracle("export_json_snapshot", ["export_alerts"], f"""
+SELECT '{RUN_DATE}' AS date, count(*) AS count, CAST(count(*) AS INTEGER) AS n_data,
+  COALESCE(sum(alert_score), 0.0) AS score_sum FROM export_alerts""")
+oracle("agg_dq_history", ["dq_silver"], """
+SELECT dt AS run_date, count_if(status = 'PASS') AS passed, count(*) AS total,
+  CASE WHEN count_if(status = 'FAIL' AND critical) > 0 THEN 'FAIL' ELSE 'PASS' END AS overall
+FROM dq_silver GROUP BY dt""")
+oracle("bronze_weather_record", ["silver_weather", "province_catalogue"], f"""
+SELECT c.prov_code, c.prov_th, c.prov_en, c.region, c.lat AS latitude, c.lon AS longitude, '{RUN_DATE}' AS forecast_date,
+  v.temp_max_c, v.temp_min_c, v.rainfall_forecast_mm, {RAIN('v.rainfall_forecast_mm')} AS rain_intensity,
+  v.humidity_pct, v.wind_speed_kmh, v.rainfall_forecast_mm >= 35.0 AS is_heavy_rain_24h, v.data_source,
+  '{RUN_DATE}T06:00:00+07:00' AS generated_at
+FROM province_catalogue c LEFT JOIN (
+  SELECT COALESCE(a.prov_code, g.prov_code) AS prov_code,
+    CASE WHEN a.prov_code IS NOT NULL THEN a.temp_max_c ELSE g.temp_max_c END AS temp_max_c,
+    CASE WHEN a.prov_code IS NOT NULL THEN a.temp_min_c ELSE g.temp_min_c END AS temp_min_c,
+    CASE WHEN a.prov_code IS NOT NULL THEN a.rainfall_forecast_mm ELSE g.rainfall_forecast_mm END AS rainfall_forecast_mm,
+    CASE WHEN a.prov_code IS NOT NULL THEN a.humidity_pct ELSE g.humidity_pct END AS humidity_pct,
+    CASE WHEN a.prov_code IS NOT NULL THEN a.wind_speed_kmh ELSE g.wind_speed_kmh END AS wind_speed_kmh,
+    CASE WHEN a.prov_code IS NOT NULL THEN 'tmd_api' ELSE 'mock_tmd' END AS data_source
+  FROM (SELECT CAST(prov_code AS INTEGER) AS prov_code, temp_max_c, temp_min_c, rainfall_forecast_mm, humidity_pct,
+               wind_speed_kmh FROM silver_weather WHERE dt = '{RUN_DATE}') a
+  FULL JOIN (SELECT prov_code, 31.0::DOUBLE AS temp_max_c, 24.0::DOUBLE AS temp_min_c, lat * 3.0::DOUBLE AS rainfall_forecast_mm,
+                    70.0::DOUBLE AS humidity_pct, 10.8::DOUBLE AS wind_speed_kmh FROM province_catalogue) g
+  ON a.prov_code = g.prov_code) v ON c.prov_code = v.prov_code""")

@@ -555,3 +555,66 @@ def q_watermark_filter(spark, sf_dir):
     from ..streaming.ingest import message_key, watermark_filter
     b = _dom(spark, sf_dir).bronze_readings
     return message_key(watermark_filter(b, RUN_DATE + "T03:00:00+07:00")).select("_offset", "fetched_at", "message_key")
+
+
+# ---------------------------------------------------------------- remaining composites
+
+@register("ingest_static_table")
+def q_ingest_static_table(spark, sf_dir):
+    """Idempotent load of the hazard CSV into the lake + one metadata row per load."""
+    from pyspark.sql import functions as F
+    from ..sources.io import scan_csv, sink_csv_bom
+    from ..session import scratch_path
+    from .written import written
+    d = _dom(spark, sf_dir)
+    cols = d.hazard.columns
+    src = written(spark, sf_dir, "hazard_csv", lambda p: sink_csv_bom(d.hazard, p, cols, single_file=False))
+    schema = ", ".join(f"`{c}` {'BIGINT' if c == '_offset' else 'STRING'}" for c in cols)
+    dst = scratch_path(spark, "static_flood_risk")
+    for _ in range(2):   # loading twice leaves one copy
+        scan_csv(spark, src, schema).write.mode("overwrite").parquet(dst)
+    loaded = spark.read.parquet(dst)
+    return loaded.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit("flood_risk_area.csv").alias("file"), "row_count",
+        F.lit("Hazard history per sub-district and month").alias("description"))
+
+
+@register("export_json_snapshot")
+def q_export_json_snapshot(spark, sf_dir):
+    """{date, count, data:[...]} envelope of the alert export, decoded back to check it."""
+    from pyspark.sql import functions as F
+    from ..plans.exports import export_alerts, json_snapshot
+    d = _dom(spark, sf_dir)
+    js = json_snapshot(export_alerts(d.alerts, _wx_day(d)), RUN_DATE)
+    env = js.select(F.from_json("json", "date STRING, count BIGINT, data ARRAY<STRUCT<prov_code: INT, alert_score: DOUBLE>>")
+                    .alias("e"))
+    return env.select(F.col("e.date").alias("date"), F.col("e.count").alias("count"),
+                      F.size("e.data").alias("n_data"),
+                      F.aggregate("e.data", F.lit(0.0), lambda acc, x: acc + x["alert_score"]).alias("score_sum"))
+
+
+@register("agg_dq_history")
+def q_agg_dq_history(spark, sf_dir):
+    """Per run: passed / total rule counts and the overall verdict."""
+    from pyspark.sql import functions as F
+    from ..operators.quality import dq_report
+    rep = dq_report(_dom(spark, sf_dir).silver_reservoir, "silver_reservoir", group=["dt"])
+    return rep.groupBy(F.col("dt").alias("run_date")).agg(
+        F.count_if(F.col("status") == "PASS").alias("passed"), F.count(F.lit(1)).alias("total"),
+        F.when(F.count_if((F.col("status") == "FAIL") & F.col("critical")) > 0, F.lit("FAIL"))
+        .otherwise(F.lit("PASS")).alias("overall"))
+
+
+@register("bronze_weather_record")
+def q_bronze_weather_record(spark, sf_dir):
+    """Catalogue provinces with the run day's extracted API forecast, generated values elsewhere."""
+    from pyspark.sql import functions as F
+    from ..plans.weather import bronze_weather_record
+    d = _dom(spark, sf_dir)
+    api = (d.silver_weather.where(F.col("dt") == RUN_DATE)
+           .select(F.col("prov_code").cast("int").alias("prov_code"), "temp_max_c", "temp_min_c",
+                   "rainfall_forecast_mm", "humidity_pct", "wind_speed_kmh"))
+    gen = d.provinces.select("prov_code", F.lit(31.0).alias("temp_max_c"), F.lit(24.0).alias("temp_min_c"),
+                             (F.col("lat") * 3.0).alias("rainfall_forecast_mm"), F.lit(70.0).alias("humidity_pct"),
+                             F.lit(10.8).alias("wind_speed_kmh"))
+    return bronze_weather_record(d.provinces, api, gen, RUN_DATE, RUN_DATE + "T06:00:00+07:00")
