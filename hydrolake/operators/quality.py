@@ -96,10 +96,20 @@ def dq_report(df: DataFrame, table: str, key: list[str] | None = None, not_null:
         dsamp = _samples(dups.withColumn("_k", dkey), group, F.lit(True), "_k", sample_k)
         base = base.join(dsamp.withColumnRenamed("_sample", "_dsample"), group, "left") if group else \
             base.crossJoin(F.broadcast(dsamp.withColumnRenamed("_sample", "_dsample")))
-    for i, r in enumerate(rules):
-        if r.sample_col:
-            s = _samples(df, group, r.failed, r.sample_col, sample_k).withColumnRenamed("_sample", f"_s{i}")
-            base = base.join(s, group, "left") if group else base.crossJoin(F.broadcast(s))
+    sampled = [(i, r) for i, r in enumerate(rules) if r.sample_col]
+    if sampled:
+        # one pass for every rule's samples: failing (rule, value) pairs -> distinct -> top-k per (group, rule)
+        pairs = F.filter(F.array(*[F.struct(F.lit(i).alias("rule"), r.failed.alias("bad"),
+                                            F.col(r.sample_col).cast("string").alias("v")) for i, r in sampled]),
+                         lambda x: F.coalesce(x["bad"], F.lit(False)))
+        bad = (df.select(*group, F.explode(pairs).alias("_p"))
+               .select(*group, F.col("_p.rule").alias("_rule"), F.col("_p.v").alias("_v")).distinct())
+        w = Window.partitionBy(*group, "_rule").orderBy(F.col("_v").asc_nulls_first())
+        top = bad.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= sample_k)
+        agg = [F.array_sort(F.collect_list(F.when(F.col("_rule") == i, F.col("_v")))).alias(f"_s{i}")
+               for i, _ in sampled]
+        samp = top.groupBy(*group).agg(*agg) if group else top.agg(*agg)
+        base = base.join(samp, group, "left") if group else base.crossJoin(samp)
 
     total = F.col("_total")
     rows = []

@@ -101,7 +101,9 @@ def sink_partitioned(df: DataFrame, path: str, fmt: str = "parquet", part_cols:
     partition columns first so each partition gets few, large files."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (df.repartition(*part_cols).write.mode(mode).format(fmt).option("compression", "snappy")
+    # an explicit count keeps AQE from coalescing small inputs into one serial writer
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    (df.repartition(n, *part_cols).write.mode(mode).format(fmt).option("compression", "snappy")
      .partitionBy(*part_cols).save(path))
 
 

@@ -60,7 +60,8 @@ def stream_ingest(spark: SparkSession, landing: str, bronze: str, checkpoint: st
     raw = spark.readStream.format(fmt).load(landing)
     recs = bucket_columns(watermark_filter(decode_messages(raw), watermark), today)
     # cluster each micro-batch by bucket so every (source, date) folder gets one file per batch
-    recs = recs.repartition("bucket_source", "bucket_date")
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    recs = recs.repartition(n, "bucket_source", "bucket_date")
     q = (recs.writeStream.format("json").option("checkpointLocation", checkpoint)
          .partitionBy("bucket_source", "bucket_date").outputMode("append").trigger(availableNow=True).start(bronze))
     q.awaitTermination()
