@@ -64,51 +64,49 @@ def _fmt_list(arr: Column) -> Column:
                     F.lit("]"))
 
 
-def _samples(df: DataFrame, group: list[str], pred: Column, col: str, k: int) -> DataFrame:
-    """The k smallest distinct failing values of ``col`` per group (bounded per group)."""
-    bad = df.where(pred).select(*group, F.col(col).cast("string").alias("_v")).distinct()
-    w = Window.partitionBy(*group).orderBy(F.col("_v").asc_nulls_first())
-    top = bad.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
-    return top.groupBy(*group).agg(F.array_sort(F.collect_list("_v")).alias("_sample"))
-
-
 def dq_report(df: DataFrame, table: str, key: list[str] | None = None, not_null: list[str] | None = None,
               ranges=K.DQ_RANGES, group: list[str] | None = None, sample_k: int = 3) -> DataFrame:
     """Rule results for ``df`` (per ``group``, e.g. ``["dt"]``, or for the whole frame).
 
-    Availability: a group with zero rows cannot exist, so for a whole-frame
-    report an empty input yields exactly one DATA_AVAILABILITY FAIL row.
+    One scan, one shuffle: a first aggregate per (group, unique key) counts rows
+    and failures of every rule and keeps each key's smallest failing sample
+    value; everything else (totals, duplicate count, top-k samples) is computed
+    from that per-key frame.  Samples are the ``sample_k`` smallest distinct
+    failing values, one per key.  A whole-frame report on empty input yields
+    exactly one DATA_AVAILABILITY FAIL row.
     """
     group = group or []
     key = K.DQ_UNIQUE_KEY if key is None else key
     not_null = K.DQ_NOT_NULL_FIELDS if not_null is None else not_null
     rules = not_null_rules(df, not_null) + range_rules(df, ranges)
-    aggs = [F.count(F.lit(1)).alias("_total")] + [F.count_if(r.failed).alias(f"_f{i}") for i, r in enumerate(rules)]
-    base = df.groupBy(*group).agg(*aggs) if group else df.agg(*aggs)
-
     key_cols = [c for c in key if c in df.columns]
-    dup_name = f"DUPLICATE_CHECK:({', '.join(key)})"
+    sampled = [i for i, r in enumerate(rules) if r.sample_col]
+
+    lvl1 = df.groupBy(*group, *[F.col(c).alias(f"_k_{c}") for c in key_cols]).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(r.failed).alias(f"_f{i}") for i, r in enumerate(rules)],
+        *[F.min(F.when(rules[i].failed, F.col(rules[i].sample_col).cast("string"))).alias(f"_m{i}") for i in sampled])
+    if key_cols:
+        lvl1 = lvl1.withColumn("_dk", F.when(F.col("_n") > 1, F.concat_ws(
+            "|", *[F.col(f"_k_{c}").cast("string") for c in key_cols])))
+
+    aggs = [F.sum("_n").alias("_total")] + [F.sum(f"_f{i}").alias(f"_f{i}") for i in range(len(rules))]
     if key_cols:
-        dups = (df.groupBy(*group, *key_cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1))
-        dup_sum = dups.groupBy(*group).agg(F.sum("_n").alias("_dup")) if group else dups.agg(F.sum("_n").alias("_dup"))
-        base = base.join(dup_sum, group, "left") if group else base.crossJoin(dup_sum)
-        dkey = F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols])
-        dsamp = _samples(dups.withColumn("_k", dkey), group, F.lit(True), "_k", sample_k)
-        base = base.join(dsamp.withColumnRenamed("_sample", "_dsample"), group, "left") if group else \
-            base.crossJoin(F.broadcast(dsamp.withColumnRenamed("_sample", "_dsample")))
-    sampled = [(i, r) for i, r in enumerate(rules) if r.sample_col]
-    if sampled:
-        # one pass for every rule's samples: failing (rule, value) pairs -> distinct -> top-k per (group, rule)
-        pairs = F.filter(F.array(*[F.struct(F.lit(i).alias("rule"), r.failed.alias("bad"),
-                                            F.col(r.sample_col).cast("string").alias("v")) for i, r in sampled]),
-                         lambda x: F.coalesce(x["bad"], F.lit(False)))
-        bad = (df.select(*group, F.explode(pairs).alias("_p"))
-               .select(*group, F.col("_p.rule").alias("_rule"), F.col("_p.v").alias("_v")).distinct())
-        w = Window.partitionBy(*group, "_rule").orderBy(F.col("_v").asc_nulls_first())
-        top = bad.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= sample_k)
-        agg = [F.array_sort(F.collect_list(F.when(F.col("_rule") == i, F.col("_v")))).alias(f"_s{i}")
-               for i, _ in sampled]
-        samp = top.groupBy(*group).agg(*agg) if group else top.agg(*agg)
+        aggs.append(F.sum(F.when(F.col("_n") > 1, F.col("_n"))).alias("_dup"))
+    base = lvl1.groupBy(*group).agg(*aggs) if group else lvl1.agg(*aggs)
+
+    # top-k samples per (group, rule) from the per-key frame (Partial WindowGroupLimit before the shuffle)
+    sample_cols = [(f"_m{i}", f"_s{i}") for i in sampled] + ([("_dk", "_dsample")] if key_cols else [])
+    if sample_cols:
+        vals = F.filter(F.array(*[F.struct(F.lit(out).alias("rule"), F.col(src).alias("v")) for src, out in sample_cols]),
+                        lambda x: x["v"].isNotNull())
+        cand = (lvl1.select(*group, F.explode(vals).alias("_p"))
+                .select(*group, F.col("_p.rule").alias("_rule"), F.col("_p.v").alias("_v")).distinct())
+        w = Window.partitionBy(*group, "_rule").orderBy("_v")
+        top = cand.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= sample_k)
+        sagg = [F.array_sort(F.collect_list(F.when(F.col("_rule") == out, F.col("_v")))).alias(out)
+                for _, out in sample_cols]
+        samp = top.groupBy(*group).agg(*sagg) if group else top.agg(*sagg)
         base = base.join(samp, group, "left") if group else base.crossJoin(samp)
 
     total = F.col("_total")
@@ -122,8 +120,9 @@ def dq_report(df: DataFrame, table: str, key: list[str] | None = None, not_null:
                              F.coalesce(details, F.lit("")).alias("details")))
     if key_cols:
         failed = F.coalesce(F.col("_dup"), F.lit(0)).cast("bigint")
-        rows.append(F.struct(F.lit(dup_name).alias("rule"), _status(failed, True).alias("status"),
-                             F.lit(True).alias("critical"), failed.alias("failed_rows"),
+        rows.append(F.struct(F.lit(f"DUPLICATE_CHECK:({', '.join(key)})").alias("rule"),
+                             _status(failed, True).alias("status"), F.lit(True).alias("critical"),
+                             failed.alias("failed_rows"),
                              F.coalesce(F.when(failed > 0, F.concat(F.lit("Duplicate key examples: "),
                                                                     _fmt_list(F.col("_dsample")))), F.lit(""))
                              .alias("details")))
@@ -132,7 +131,6 @@ def dq_report(df: DataFrame, table: str, key: list[str] | None = None, not_null:
                      "_r.failed_rows", _pass_rate(F.col("failed_rows"), F.col("total_rows")).alias("pass_rate_pct"),
                      "_r.details")
     if not group:
-        # a whole-frame report on empty input: only the availability failure
         out = out.where(F.col("total_rows") > 0).unionByName(availability(df, table))
     return out
 
