@@ -35,21 +35,32 @@ def map_edges(downstream_map: DataFrame) -> DataFrame:
     return m.select("map_id", F.explode(parse_code_list("downstream_prov_codes")).alias("prov_code"))
 
 
-def match_upstream(features: DataFrame, downstream_map: DataFrame, keys: list[str] | None = None,
-                   strategy: str = "auto") -> DataFrame:
-    """Distinct (prov_code, feature row) pairs: the feature's name matches any map
-    row (Thai name case-sensitive, English name case-insensitive) listing the province."""
-    keys = keys or ["reservoir_id", "source"]
-    f = features.withColumn("_fid", F.xxhash64(*keys))
+def name_matches(features: DataFrame, downstream_map: DataFrame, strategy: str = "auto") -> DataFrame:
+    """(reservoir_name, prov_code) for every distinct reservoir name matching a map row
+    (Thai name case-sensitive, English name case-insensitive) that lists the province.
+
+    Matching runs on *distinct names* (a reservoir reports every day, its name
+    once), so the theta join's input does not grow with the number of days.
+    """
+    names = features.select("reservoir_name").distinct().withColumn("_nid", F.xxhash64("reservoir_name"))
     m = map_with_ids(downstream_map)
     if strategy == "auto":   # one bounded size check for both name columns
         strategy = "broadcast" if is_small(m, 100_000) else "ngram"
-    th = substring_match_pairs(f, "_fid", "reservoir_name", m, "map_id", "reservoir_name_th", strategy=strategy)
-    en = substring_match_pairs(f, "_fid", "reservoir_name", m, "map_id", "reservoir_name_en",
+    th = substring_match_pairs(names, "_nid", "reservoir_name", m, "map_id", "reservoir_name_th", strategy=strategy)
+    en = substring_match_pairs(names, "_nid", "reservoir_name", m, "map_id", "reservoir_name_en",
                                case_insensitive=True, strategy=strategy)
     pairs = th.unionByName(en)
-    provs = pairs.join(map_edges(downstream_map), "map_id").select("prov_code", "_fid").distinct()
-    return provs.join(f, "_fid").drop("_fid")
+    provs = pairs.join(map_edges(downstream_map), "map_id").select("_nid", "prov_code").distinct()
+    return provs.join(names, "_nid").select("reservoir_name", "prov_code")
+
+
+def match_upstream(features: DataFrame, downstream_map: DataFrame, keys: list[str] | None = None,
+                   strategy: str = "auto") -> DataFrame:
+    """Distinct (prov_code, feature row) pairs: the feature's name matches any map row
+    listing the province."""
+    keys = keys or ["reservoir_id", "source"]
+    nm = name_matches(features, downstream_map, strategy)
+    return nm.join(features, "reservoir_name").dropDuplicates(["prov_code", *keys])
 
 
 def reservoir_component(matched: DataFrame, group: list[str]) -> DataFrame:
@@ -114,3 +125,53 @@ def fact_flood_alert(features: DataFrame, silver_weather: DataFrame, silver_floo
         F.coalesce("_risk_level", F.lit(K.HISTORICAL_DEFAULT_LEVEL)).alias("historical_risk_level"),
         F.coalesce("_subdistricts", F.lit(0)).cast("bigint").alias("affected_subdistricts_count"),
         loaded.alias("loaded_at"), F.lit(target_date).alias("dt"))
+
+
+def historical_by_province_month(silver_flood_risk: DataFrame) -> DataFrame:
+    """Historical risk per (province, month) for every month at once."""
+    risk = silver_flood_risk.withColumn("risk_score", F.coalesce(F.col("risk_score").cast("double"), F.lit(1.0)))
+    return risk.groupBy(F.col("prov_code").cast("int").alias("prov_code"), F.col("month").cast("int").alias("_month")).agg(
+        F.max("risk_score").alias("_max_risk"), mode_of("risk_level").alias("_risk_level"),
+        F.countDistinct("geocode").alias("_subdistricts"))
+
+
+def fact_flood_alert_daily(features_daily: DataFrame, silver_weather: DataFrame, silver_flood_risk: DataFrame,
+                           downstream_map: DataFrame, run_ts: str | None = None, strategy: str = "auto") -> DataFrame:
+    """Alert rows for every (day, province) in the weather partitions, in one job.
+
+    Equal to ``fact_flood_alert(..., D)`` restricted to D for days whose reservoir
+    slice is non-empty.  Shuffles are keyed by (dt, prov_code); the alert key is a
+    row number within each day (province-sized windows).
+    """
+    from pyspark.sql import Window
+    wx = silver_weather.withColumn("prov_code", F.col("prov_code").cast("int"))
+    provinces = wx.select("dt", "prov_code", "prov_th").distinct()
+    first_wx = pick_first(wx, ["dt", "prov_code"], [F.col("forecast_date").desc_nulls_last(), F.col("prov_th"),
+                                                   F.col("rainfall_forecast_mm").desc()])
+    rain = first_wx.select("dt", "prov_code", F.coalesce(F.col("rainfall_forecast_mm"), F.lit(0.0)).alias("_rain"))
+    matched = match_upstream(features_daily, downstream_map, ["feature_date", "reservoir_id", "source"], strategy)
+    res = reservoir_component(matched, ["prov_code", "feature_date"]).withColumnRenamed("feature_date", "dt")
+    hist = historical_by_province_month(silver_flood_risk)
+    j = (provinces.join(rain, ["dt", "prov_code"], "left").join(res, ["dt", "prov_code"], "left")
+         .withColumn("_month", F.month(F.to_date("dt"))).join(hist, ["prov_code", "_month"], "left"))
+    r_score = F.coalesce(F.col("reservoir_score"), F.lit(0.0))
+    w_score = weather_component(F.coalesce(F.col("_rain"), F.lit(0.0)))
+    h_score = F.when(F.col("_max_risk").isNull(), F.lit(K.HISTORICAL_DEFAULT_POINTS)).otherwise(
+        historical_component("_max_risk"))
+    j = j.select("*", r_score.alias("_r"), w_score.alias("_w"), h_score.alias("_h"))
+    total = F.col("_r") + F.col("_w") + F.col("_h")
+    loaded = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
+    key = F.row_number().over(Window.partitionBy("dt").orderBy("prov_code", "prov_th")).cast("bigint")
+    return j.select(
+        key.alias("alert_key"), date_key(F.to_date("dt")).alias("date_key"),
+        F.lit(-1).alias("location_key"), F.lit(-1).alias("weather_key"), F.to_date("dt").alias("alert_date"),
+        "prov_code", "prov_th", alert_level(total).alias("alert_level"), F.round(total, 2).alias("alert_score"),
+        F.round("_r", 2).alias("reservoir_score"), F.round("_w", 2).alias("weather_score"),
+        F.round("_h", 2).alias("historical_risk_score"),
+        F.coalesce("trigger_reservoirs", F.lit("")).alias("trigger_reservoirs"),
+        F.coalesce("trigger_reservoir_statuses", F.lit("")).alias("trigger_reservoir_statuses"),
+        F.round(F.coalesce("max_reservoir_pct", F.lit(0.0)), 2).alias("max_reservoir_pct"),
+        F.round(F.coalesce("_rain", F.lit(0.0)), 2).alias("rainfall_forecast_mm"),
+        F.coalesce("_risk_level", F.lit(K.HISTORICAL_DEFAULT_LEVEL)).alias("historical_risk_level"),
+        F.coalesce("_subdistricts", F.lit(0)).cast("bigint").alias("affected_subdistricts_count"),
+        loaded.alias("loaded_at"), "dt")

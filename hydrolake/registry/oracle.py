@@ -704,3 +704,54 @@ FROM province_catalogue c LEFT JOIN (
   FULL JOIN (SELECT prov_code, 31.0::DOUBLE AS temp_max_c, 24.0::DOUBLE AS temp_min_c, lat * 3.0::DOUBLE AS rainfall_forecast_mm,
                     70.0::DOUBLE AS humidity_pct, 10.8::DOUBLE AS wind_speed_kmh FROM province_catalogue) g
   ON a.prov_code = g.prov_code) v ON c.prov_code = v.prov_code""")
+
+cte("matched_daily", ["features_daily", "downstream_map", "map_edges"], f"""
+SELECT DISTINCT e.prov_code, fd.feature_date, fd.reservoir_id, fd.source
+FROM (SELECT DISTINCT f.reservoir_name, m.reservoir_name_en AS map_id
+      FROM (SELECT DISTINCT reservoir_name FROM features_daily) f, downstream_map m WHERE {NAME_MATCH}) p
+JOIN map_edges e ON p.map_id = e.map_id JOIN features_daily fd ON fd.reservoir_name = p.reservoir_name""")
+
+cte("alerts_daily", ["silver_weather", "silver_flood_risk", "features_daily", "matched_daily"], f"""
+SELECT row_number() OVER (PARTITION BY p.dt ORDER BY p.prov_code, p.prov_th) AS alert_key,
+  CAST(strftime(CAST(p.dt AS DATE), '%Y%m%d') AS INTEGER) AS date_key, -1 AS location_key, -1 AS weather_key,
+  CAST(p.dt AS DATE) AS alert_date, p.prov_code, p.prov_th,
+  {ALERT('(r + w + h)')} AS alert_level, round(r + w + h, 2) AS alert_score, round(r, 2) AS reservoir_score,
+  round(w, 2) AS weather_score, round(h, 2) AS historical_risk_score,
+  COALESCE(triggers, '') AS trigger_reservoirs, COALESCE(statuses, '') AS trigger_reservoir_statuses,
+  round(COALESCE(max_pct, 0.0), 2) AS max_reservoir_pct, round(COALESCE(rain, 0.0), 2) AS rainfall_forecast_mm,
+  COALESCE(risk_level, 'เสี่ยงต่ำ') AS historical_risk_level, COALESCE(subd, 0) AS affected_subdistricts_count, p.dt
+FROM (
+  SELECT p.dt, p.prov_code, p.prov_th, COALESCE(res.reservoir_score, 0.0) AS r,
+    {WEATHER_PTS('COALESCE(rn.rain, 0.0)')} AS w,
+    CASE WHEN hi.max_risk IS NULL THEN 5.0
+         ELSE CASE CAST(hi.max_risk AS INTEGER) WHEN 4 THEN 25.0 WHEN 3 THEN 18.0 WHEN 2 THEN 10.0 WHEN 1 THEN 5.0 ELSE 0.0 END END AS h,
+    res.triggers, res.statuses, res.max_pct, rn.rain, hm.risk_level, hi.subd
+  FROM (SELECT DISTINCT dt, CAST(prov_code AS INTEGER) AS prov_code, prov_th FROM silver_weather) p
+  LEFT JOIN (
+    SELECT dt, prov_code, COALESCE(rainfall_forecast_mm, 0.0) AS rain FROM (
+      SELECT dt, CAST(prov_code AS INTEGER) AS prov_code, rainfall_forecast_mm,
+        row_number() OVER (PARTITION BY dt, CAST(prov_code AS INTEGER) ORDER BY forecast_date DESC NULLS LAST, prov_th, rainfall_forecast_mm DESC) AS k
+      FROM silver_weather) z WHERE k = 1) rn ON p.dt = rn.dt AND p.prov_code = rn.prov_code
+  LEFT JOIN (
+    SELECT prov_code, feature_date, max(rscore) AS reservoir_score, max(percent_storage) AS max_pct,
+      string_agg(reservoir_name, ',' ORDER BY rk) FILTER (WHERE rk <= 3) AS triggers,
+      string_agg(reservoir_status, ',' ORDER BY rk) FILTER (WHERE rk <= 3) AS statuses
+    FROM (
+      SELECT m.prov_code, f.feature_date, f.reservoir_name, f.reservoir_status, f.percent_storage, s.rscore,
+        row_number() OVER (PARTITION BY m.prov_code, f.feature_date ORDER BY s.rscore DESC, f.reservoir_name, f.reservoir_id, f.source) AS rk
+      FROM matched_daily m JOIN features_daily f
+        ON m.reservoir_id = f.reservoir_id AND m.source = f.source AND m.feature_date = f.feature_date,
+      LATERAL (SELECT {ROWSCORE('f.reservoir_status', 'f.filling_rate')} AS rscore) s) q
+    GROUP BY prov_code, feature_date) res ON p.prov_code = res.prov_code AND p.dt = res.feature_date
+  LEFT JOIN (
+    SELECT CAST(prov_code AS INTEGER) AS prov_code, CAST(month AS INTEGER) AS month,
+      max(COALESCE(CAST(risk_score AS DOUBLE), 1.0)) AS max_risk, count(DISTINCT geocode) AS subd
+    FROM silver_flood_risk GROUP BY 1, 2) hi ON p.prov_code = hi.prov_code AND month(CAST(p.dt AS DATE)) = hi.month
+  LEFT JOIN (
+    SELECT prov_code, month, risk_level FROM (
+      SELECT CAST(prov_code AS INTEGER) AS prov_code, CAST(month AS INTEGER) AS month, risk_level,
+        row_number() OVER (PARTITION BY CAST(prov_code AS INTEGER), CAST(month AS INTEGER) ORDER BY count(*) DESC, risk_level) AS k
+      FROM silver_flood_risk GROUP BY 1, 2, 3) z WHERE k = 1) hm ON p.prov_code = hm.prov_code AND month(CAST(p.dt AS DATE)) = hm.month
+) p""")
+
+oracle("fact_flood_alert_daily", ["alerts_daily"], "SELECT * FROM alerts_daily")

@@ -618,3 +618,13 @@ def q_bronze_weather_record(spark, sf_dir):
                              (F.col("lat") * 3.0).alias("rainfall_forecast_mm"), F.lit(70.0).alias("humidity_pct"),
                              F.lit(10.8).alias("wind_speed_kmh"))
     return bronze_weather_record(d.provinces, api, gen, RUN_DATE, RUN_DATE + "T06:00:00+07:00")
+
+
+@register("fact_flood_alert_daily")
+def q_fact_flood_alert_daily(spark, sf_dir):
+    """Alert scoring for every day and province in one job (backfill form)."""
+    from ..plans.features import reservoir_features_daily
+    from ..plans.scoring import fact_flood_alert_daily
+    d = _dom(spark, sf_dir)
+    return fact_flood_alert_daily(reservoir_features_daily(d.silver_reservoir), d.silver_weather,
+                                  d.silver_flood_risk, d.downstream_map).drop("loaded_at")
