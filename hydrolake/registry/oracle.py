@@ -755,3 +755,28 @@ FROM (
 ) p""")
 
 oracle("fact_flood_alert_daily", ["alerts_daily"], "SELECT * FROM alerts_daily")
+
+oracle("load_downstream_map", ["downstream_map"], """
+SELECT reservoir_name_th, reservoir_name_en, downstream_prov_codes,
+  list_transform(list_filter(list_transform(string_split(COALESCE(downstream_prov_codes, ''), ','), lambda x: trim(x)),
+                 lambda x: regexp_full_match(x, '[0-9]+')), lambda x: CAST(x AS INTEGER)) AS downstream_prov_list
+FROM downstream_map""")
+oracle("agg_max_watermark", ["bronze_readings"], """
+SELECT source, max(fetched_at) AS last_fetched_at, count(*) AS accepted FROM bronze_readings
+WHERE COALESCE(fetched_at, '') > '1970-01-01T00:00:00+00:00' GROUP BY source""")
+oracle("silver_flood_risk_domain", ["silver_flood_risk"],
+       "SELECT * FROM silver_flood_risk WHERE geocode IS NOT NULL AND month BETWEEN 1 AND 12")
+oracle("export_csv_bom", ["export_alerts", "province_catalogue"], f"""
+SELECT a.alert_date, a.prov_code, a.prov_th, a.alert_level, {LEVEL_EN('a.alert_level')} AS alert_level_en, a.alert_score,
+  a.reservoir_score, a.weather_score, a.historical_risk_score, a.trigger_reservoirs, a.max_reservoir_pct,
+  a.rainfall_forecast_mm, a.historical_risk_level, a.affected_subdistricts_count, p.lat, p.lon,
+  {REGION_EN('a.prov_code')} AS region_en
+FROM export_alerts a LEFT JOIN province_catalogue p ON a.prov_th = p.prov_th""")
+oracle("process_all_dates", ["silver_reservoir", "silver_weather"], """
+SELECT COALESCE(r.dt, w.dt) AS dt, COALESCE(r.n, 0) AS reservoir_rows, COALESCE(w.n, 0) AS weather_rows
+FROM (SELECT dt, count(*) AS n FROM silver_reservoir GROUP BY dt) r
+FULL JOIN (SELECT dt, count(*) AS n FROM silver_weather GROUP BY dt) w ON r.dt = w.dt""")
+oracle("fn_pad_variants", ["hazard"], """
+SELECT _offset, CASE WHEN length("GEOCODE") < 6 THEN lpad("GEOCODE", 6, '0') ELSE "GEOCODE" END AS zfill_short,
+  CASE WHEN length(lc) < 6 THEN lpad(lc, 6, '0') ELSE lc END AS zfill_long, lpad(lc, 6, '0') AS lpad_long
+FROM (SELECT *, "GEOCODE" || '00' || "GEOCODE" AS lc FROM hazard) t""")

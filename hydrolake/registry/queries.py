@@ -628,3 +628,69 @@ def q_fact_flood_alert_daily(spark, sf_dir):
     d = _dom(spark, sf_dir)
     return fact_flood_alert_daily(reservoir_features_daily(d.silver_reservoir), d.silver_weather,
                                   d.silver_flood_risk, d.downstream_map).drop("loaded_at")
+
+
+@register("load_downstream_map")
+def q_load_downstream_map(spark, sf_dir):
+    """Map rows with the comma-joined province codes parsed to an int array."""
+    from ..functions.coerce import parse_code_list
+    m = _dom(spark, sf_dir).downstream_map
+    return m.select("reservoir_name_th", "reservoir_name_en", "downstream_prov_codes",
+                    parse_code_list("downstream_prov_codes").alias("downstream_prov_list"))
+
+
+@register("agg_max_watermark")
+def q_agg_max_watermark(spark, sf_dir):
+    """High-water mark (max fetched_at) of the accepted messages, per source."""
+    from pyspark.sql import functions as F
+    from ..streaming.ingest import watermark_filter
+    acc = watermark_filter(_dom(spark, sf_dir).bronze_readings)
+    return acc.groupBy("source").agg(F.max("fetched_at").alias("last_fetched_at"), F.count(F.lit(1)).alias("accepted"))
+
+
+@register("silver_flood_risk_domain")
+def q_silver_flood_risk_domain(spark, sf_dir):
+    from ..plans.silver import silver_flood_risk_domain
+    return silver_flood_risk_domain(_dom(spark, sf_dir).silver_flood_risk).drop("silver_loaded_at")
+
+
+@register("export_csv_bom")
+def q_export_csv_bom(spark, sf_dir):
+    """Alert CSV written with a BOM and fixed column order, read back (CSV keeps no NULL/'' distinction)."""
+    from pyspark.sql import functions as F
+    from ..plans.exports import ALERT_CSV_COLS, export_alerts, export_alerts_csv
+    from ..sources.io import scan_csv, sink_csv_bom
+    from ..session import scratch_path
+    d = _dom(spark, sf_dir)
+    out = scratch_path(spark, "alerts_csv")
+    sink_csv_bom(export_alerts_csv(export_alerts(d.alerts, _wx_day(d)), d.provinces), out, ALERT_CSV_COLS)
+    schema = ("alert_date DATE, prov_code INT, prov_th STRING, alert_level STRING, alert_level_en STRING, "
+              "alert_score DOUBLE, reservoir_score DOUBLE, weather_score DOUBLE, historical_risk_score DOUBLE, "
+              "trigger_reservoirs STRING, max_reservoir_pct DOUBLE, rainfall_forecast_mm DOUBLE, "
+              "historical_risk_level STRING, affected_subdistricts_count BIGINT, lat DOUBLE, lon DOUBLE, "
+              "region_en STRING")
+    back = scan_csv(spark, out, schema)
+    strings = ["prov_th", "alert_level", "alert_level_en", "trigger_reservoirs", "historical_risk_level", "region_en"]
+    return back.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in strings})
+
+
+@register("process_all_dates")
+def q_process_all_dates(spark, sf_dir):
+    """Backfill summary: Silver rows per partition date for both daily tables, from one job each."""
+    from pyspark.sql import functions as F
+    d = _dom(spark, sf_dir)
+    r = d.silver_reservoir.groupBy("dt").agg(F.count(F.lit(1)).alias("reservoir_rows"))
+    w = d.silver_weather.groupBy("dt").agg(F.count(F.lit(1)).alias("weather_rows"))
+    return r.join(w, "dt", "full").select("dt", F.coalesce("reservoir_rows", F.lit(0)).alias("reservoir_rows"),
+                                          F.coalesce("weather_rows", F.lit(0)).alias("weather_rows"))
+
+
+@register("fn_pad_variants")
+def q_fn_pad_variants(spark, sf_dir):
+    """zfill-style pad (never truncates) vs SQL LPAD (truncates) on hazard geocodes."""
+    from pyspark.sql import functions as F
+    from ..functions.coerce import zero_pad
+    h = _dom(spark, sf_dir).hazard
+    long_code = F.concat(F.col("GEOCODE"), F.lit("00"), F.col("GEOCODE"))
+    return h.select("_offset", zero_pad("GEOCODE", 6).alias("zfill_short"), zero_pad(long_code, 6).alias("zfill_long"),
+                    F.lpad(long_code, 6, "0").alias("lpad_long"))

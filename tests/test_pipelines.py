@@ -118,3 +118,54 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = bucket_columns(watermark_filter(decode_messages(spark.read.text(land))), "2000-01-01")
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+
+
+def test_daily_alerts_equal_single_day(spark):
+    from hydrolake.plans.features import reservoir_features, reservoir_features_daily
+    from hydrolake.plans.scoring import fact_flood_alert, fact_flood_alert_daily
+    from hydrolake.registry.domain import Domain
+    d = Domain(spark, SF_SMALL)
+    day = (d.silver_reservoir.join(d.silver_weather.select("dt").distinct(), "dt").groupBy("dt").count()
+           .orderBy(F.col("count").desc(), F.col("dt").desc()).first()["dt"])
+    one = fact_flood_alert(reservoir_features(d.silver_reservoir, day), d.silver_weather, d.silver_flood_risk,
+                           d.downstream_map, day).drop("loaded_at")
+    daily = (fact_flood_alert_daily(reservoir_features_daily(d.silver_reservoir), d.silver_weather,
+                                    d.silver_flood_risk, d.downstream_map).where(F.col("dt") == day).drop("loaded_at"))
+    assert one.count() > 0
+    assert one.exceptAll(daily).count() == 0 and daily.exceptAll(one).count() == 0
+
+
+def test_dq_gate_raises_on_critical_failure(spark):
+    import pytest as _pt
+    from hydrolake.operators.quality import QualityGateError, dq_gate, dq_report
+    good = spark.createDataFrame([("a", "2024-01-01", "dam", 50.0)],
+                                 "reservoir_id string, record_date string, source string, percent_storage double")
+    dq_gate(dq_report(good, "t"))
+    bad = good.unionByName(good)   # duplicate key -> critical FAIL
+    with _pt.raises(QualityGateError):
+        dq_gate(dq_report(bad, "t"))
+
+
+def test_watermark_state_and_ledger(spark, tmp_path):
+    from hydrolake.streaming.state import EPOCH, load_watermark, save_watermark, update_ledger
+    p = str(tmp_path / "wm")
+    assert load_watermark(spark, p) == EPOCH
+    acc = spark.createDataFrame([("2024-01-01T01:00:00+07:00",), ("2024-01-02T01:00:00+07:00",)], "fetched_at string")
+    save_watermark(spark, p, acc)
+    assert load_watermark(spark, p) == "2024-01-02T01:00:00+07:00"
+    dates = spark.createDataFrame([("2024-01-01",), ("2024-01-02",)], "fetch_date string")
+    led = update_ledger(None, dates)
+    led2 = update_ledger(led, spark.createDataFrame([("2024-01-03",)], "fetch_date string")).first()
+    assert (led2.last_date, led2.processed_count) == ("2024-01-03", 3)
+
+
+def test_csv_export_starts_with_bom(spark, tmp_path):
+    import glob
+    from hydrolake.sources.io import sink_csv_bom
+    df = spark.createDataFrame([(1, "ก,ข", None)], "a int, b string, c string")
+    sink_csv_bom(df, str(tmp_path / "o"), ["a", "b", "c"])
+    part = [p for p in glob.glob(str(tmp_path / "o" / "part-*.csv"))][0]
+    raw = open(part, "rb").read()
+    assert raw.startswith(b"\xef\xbb\xbfa,b,c")
+    back = spark.read.option("header", True).csv(str(tmp_path / "o")).first()
+    assert back["b"] == "ก,ข"
