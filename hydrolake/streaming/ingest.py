@@ -53,11 +53,12 @@ def bucket_columns(df: DataFrame, today: str) -> DataFrame:
 
 
 def stream_ingest(spark: SparkSession, landing: str, bronze: str, checkpoint: str, watermark: str = EPOCH,
-                  today: str | None = None, fmt: str = "text") -> None:
+                  today: str | None = None, fmt: str = "text", max_files_per_batch: int = 1000) -> None:
     """Drain every message in ``landing`` into Bronze NDJSON partitioned by
-    (bucket_source, bucket_date), then stop.  Re-running only processes new files."""
+    (bucket_source, bucket_date), then stop.  Re-running only processes new files.
+    Micro-batches are bounded by ``max_files_per_batch`` (Kafka: maxOffsetsPerTrigger)."""
     today = today or _dt.date.today().isoformat()
-    raw = spark.readStream.format(fmt).load(landing)
+    raw = spark.readStream.format(fmt).option("maxFilesPerTrigger", max_files_per_batch).load(landing)
     recs = bucket_columns(watermark_filter(decode_messages(raw), watermark), today)
     # cluster each micro-batch by bucket so every (source, date) folder gets one file per batch
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
