@@ -780,3 +780,40 @@ oracle("fn_pad_variants", ["hazard"], """
 SELECT _offset, CASE WHEN length("GEOCODE") < 6 THEN lpad("GEOCODE", 6, '0') ELSE "GEOCODE" END AS zfill_short,
   CASE WHEN length(lc) < 6 THEN lpad(lc, 6, '0') ELSE lc END AS zfill_long, lpad(lc, 6, '0') AS lpad_long
 FROM (SELECT *, "GEOCODE" || '00' || "GEOCODE" AS lc FROM hazard) t""")
+
+oracle("silver_reservoir_sql", ["bronze_readings"], """
+SELECT reservoir_id, reservoir_name, region, source, owner, record_date_d AS record_date, capacity_mcm, volume_mcm,
+  percent_storage, inflow_mcm, outflow_mcm, dead_storage_mcm, fetched_at, dt
+FROM (
+  SELECT reservoir_id, reservoir_name, region, source, owner, TRY_CAST(record_date AS DATE) AS record_date_d,
+    COALESCE(TRY_CAST(capacity_mcm AS DOUBLE), 0.0) AS capacity_mcm, COALESCE(TRY_CAST(volume_mcm AS DOUBLE), 0.0) AS volume_mcm,
+    CASE WHEN TRY_CAST(percent_storage AS DOUBLE) < 0 THEN 0.0 WHEN TRY_CAST(percent_storage AS DOUBLE) > 100 THEN 100.0
+         ELSE COALESCE(TRY_CAST(percent_storage AS DOUBLE), 0.0) END AS percent_storage,
+    COALESCE(TRY_CAST(inflow_mcm AS DOUBLE), 0.0) AS inflow_mcm, COALESCE(TRY_CAST(outflow_mcm AS DOUBLE), 0.0) AS outflow_mcm,
+    COALESCE(TRY_CAST(dead_storage_mcm AS DOUBLE), 0.0) AS dead_storage_mcm, fetched_at, dt,
+    row_number() OVER (PARTITION BY reservoir_id, record_date, source ORDER BY fetched_at DESC NULLS LAST, _offset DESC) AS rn
+  FROM bronze_readings WHERE reservoir_id IS NOT NULL AND reservoir_id <> '') d
+WHERE rn = 1""")
+
+oracle("silver_weather_sql", ["bronze_weather"], """
+SELECT prov_code_i AS prov_code, prov_th, prov_en, region, forecast_date_d AS forecast_date, temp_max_c, temp_min_c,
+  rainfall_forecast_mm, rain_intensity, humidity_pct, wind_speed_kmh, is_heavy_rain_24h, data_source, dt
+FROM (
+  SELECT TRY_CAST(prov_code AS INTEGER) AS prov_code_i, prov_th, prov_en, region, TRY_CAST(forecast_date AS DATE) AS forecast_date_d,
+    COALESCE(TRY_CAST(temp_max_c AS DOUBLE), 0.0) AS temp_max_c, COALESCE(TRY_CAST(temp_min_c AS DOUBLE), 0.0) AS temp_min_c,
+    COALESCE(TRY_CAST(rainfall_forecast_mm AS DOUBLE), 0.0) AS rainfall_forecast_mm, rain_intensity,
+    COALESCE(TRY_CAST(humidity_pct AS DOUBLE), 0.0) AS humidity_pct, COALESCE(TRY_CAST(wind_speed_kmh AS DOUBLE), 0.0) AS wind_speed_kmh,
+    CASE WHEN lower(trim(is_heavy_rain_24h)) IN ('t', 'true', 'y', 'yes', '1') THEN TRUE
+         WHEN lower(trim(is_heavy_rain_24h)) IN ('f', 'false', 'n', 'no', '0') THEN FALSE END AS is_heavy_rain_24h,
+    data_source, dt,
+    row_number() OVER (PARTITION BY prov_code, forecast_date ORDER BY generated_at DESC NULLS LAST, _offset DESC) AS rn
+  FROM bronze_weather WHERE prov_code IS NOT NULL AND forecast_date IS NOT NULL) d
+WHERE rn = 1""")
+
+oracle("silver_flood_risk_sql", ["hazard"], """
+SELECT lpad(CAST("GEOCODE" AS VARCHAR), 6, '0') AS geocode, TRY_CAST("Month" AS INTEGER) AS month, "TAMBON_T" AS tambon_th,
+  "TAMBON_E" AS tambon_en, TRY_CAST("AMPHOE_CODE" AS INTEGER) AS amphoe_code, "AMPHOE_T" AS amphoe_th, "AMPHOE_E" AS amphoe_en,
+  TRY_CAST("PROV_CODE" AS INTEGER) AS prov_code, "PROV_T" AS prov_th, "PROV_E" AS prov_en,
+  COALESCE(TRY_CAST("COUNT 17 YEAR" AS INTEGER), 0) AS flood_count_17yr, "CRITERIA" AS flood_criteria, "RISK" AS risk_level,
+  CASE "RISK" WHEN 'เสี่ยงต่ำ' THEN 1 WHEN 'เสี่ยงปานกลาง' THEN 2 WHEN 'เสี่ยงสูง' THEN 3 WHEN 'เสี่ยงสูงมาก' THEN 4 ELSE 0 END AS risk_score
+FROM hazard WHERE "GEOCODE" IS NOT NULL AND TRY_CAST("Month" AS INTEGER) BETWEEN 1 AND 12""")

@@ -694,3 +694,21 @@ def q_fn_pad_variants(spark, sf_dir):
     long_code = F.concat(F.col("GEOCODE"), F.lit("00"), F.col("GEOCODE"))
     return h.select("_offset", zero_pad("GEOCODE", 6).alias("zfill_short"), zero_pad(long_code, 6).alias("zfill_long"),
                     F.lpad(long_code, 6, "0").alias("lpad_long"))
+
+
+@register("silver_reservoir_sql")
+def q_silver_reservoir_sql(spark, sf_dir):
+    from ..plans.silver_sql import silver_reservoir_sql
+    return silver_reservoir_sql(_dom(spark, sf_dir).bronze_readings).drop("silver_loaded_at")
+
+
+@register("silver_weather_sql")
+def q_silver_weather_sql(spark, sf_dir):
+    from ..plans.silver_sql import silver_weather_sql
+    return silver_weather_sql(_dom(spark, sf_dir).bronze_weather).drop("silver_loaded_at")
+
+
+@register("silver_flood_risk_sql")
+def q_silver_flood_risk_sql(spark, sf_dir):
+    from ..plans.silver_sql import silver_flood_risk_sql
+    return silver_flood_risk_sql(_dom(spark, sf_dir).hazard).drop("silver_loaded_at")
