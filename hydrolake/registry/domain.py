@@ -11,7 +11,7 @@ from ..plans import features as feat
 from ..plans import scoring, silver, star
 from ..sources import adapters
 
-# The run date every daily query uses (the reference takes it as a CLI argument).
+# The run date every daily query uses (a job parameter, never current_date).
 RUN_DATE = "1998-06-15"
 DIM_DATE_FROM = "1992-01-01"
 

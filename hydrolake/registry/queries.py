@@ -166,7 +166,7 @@ def q_dq_summary(spark, sf_dir):
 
 @register("dq_report_day")
 def q_dq_report_day(spark, sf_dir):
-    """Whole-frame report of one run day (the reference's unit)."""
+    """Whole-frame report of one run day (the daily job's unit)."""
     from pyspark.sql import functions as F
     from ..operators.quality import dq_report
     return dq_report(_staged(_dom(spark, sf_dir)).where(F.col("dt") == RUN_DATE), "staged_reservoir")
