@@ -376,24 +376,30 @@ def _weather_lake(spark, sf_dir):
                    lambda p: write_partitioned(d.silver_weather.drop("silver_loaded_at"), p))
 
 
+def _ddl(cols, drop=("silver_loaded_at",)):
+    return ", ".join(f"{c} {t}" for c, t in cols if c not in drop)
+
+
+def _weather_schema():
+    from ..plans.silver import SILVER_WEATHER_COLS
+    return _ddl(SILVER_WEATHER_COLS)
+
+
 def _read_weather(spark, sf_dir):
-    from pyspark.sql import functions as F
-    return spark.read.parquet(_weather_lake(spark, sf_dir)).withColumn("dt", F.col("dt").cast("string"))
+    """Written weather lake with an explicit schema (partition column typed, nothing inferred)."""
+    return spark.read.schema(_weather_schema()).parquet(_weather_lake(spark, sf_dir))
 
 
 @register("scan_partition")
 def q_scan_partition(spark, sf_dir):
-    from pyspark.sql import functions as F
     from ..sources.io import scan_partition
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return scan_partition(spark, _weather_lake(spark, sf_dir), RUN_DATE).withColumn("dt", F.col("dt").cast("string"))
+    return scan_partition(spark, _weather_lake(spark, sf_dir), RUN_DATE, schema=_weather_schema())
 
 
 @register("scan_latest_partition")
 def q_scan_latest_partition(spark, sf_dir):
     """A run date with no partition -> the most recent partition."""
     from ..sources.io import scan_latest_partition
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     return scan_latest_partition(_read_weather(spark, sf_dir), "2099-01-01")
 
 
@@ -401,7 +407,6 @@ def q_scan_latest_partition(spark, sf_dir):
 def q_scan_all_if_empty(spark, sf_dir):
     """A run date with no partition -> every partition."""
     from ..sources.io import scan_all_if_empty
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     return scan_all_if_empty(_read_weather(spark, sf_dir), "2099-01-01")
 
 
@@ -409,14 +414,12 @@ def q_scan_all_if_empty(spark, sf_dir):
 def q_scan_window(spark, sf_dir):
     from ..plans.features import _shift
     from ..sources.io import scan_window
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     return scan_window(_read_weather(spark, sf_dir), _shift(RUN_DATE, -6), RUN_DATE)
 
 
 @register("scan_partition_dates")
 def q_scan_partition_dates(spark, sf_dir):
     from ..sources.io import partition_dates
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     return partition_dates([_read_weather(spark, sf_dir)], include=RUN_DATE)
 
 
@@ -444,8 +447,9 @@ def q_sink_orc_partition(spark, sf_dir):
     d = _dom(spark, sf_dir)
     root = written(spark, sf_dir, "alerts_orc",
                    lambda p: write_partitioned(d.alerts.drop("loaded_at"), p, "orc", ("dt",)))
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return spark.read.orc(root).withColumn("dt", F.col("dt").cast("string"))
+    from ..schemas import GOLD_TABLES
+    schema = ", ".join(c for c in GOLD_TABLES["fact_flood_alert"][0].split(", ") if not c.startswith("loaded_at"))
+    return spark.read.schema(schema).orc(root)
 
 
 READING_FIELDS = ["_offset", "source", "reservoir_id", "reservoir_name", "region", "owner", "record_date",

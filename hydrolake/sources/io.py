@@ -49,9 +49,14 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return r.csv(path)
 
 
-def scan_partition(spark: SparkSession, root: str, dt: str, fmt: str = "parquet", part_col: str = "dt") -> DataFrame:
-    """All rows of ``root/part_col=dt``; an absent partition is an empty result, not an error."""
-    return spark.read.format(fmt).load(root).where(F.col(part_col) == dt)
+def scan_partition(spark: SparkSession, root: str, dt: str, fmt: str = "parquet", part_col: str = "dt",
+                   schema: StructType | str | None = None) -> DataFrame:
+    """All rows of ``root/part_col=dt``; an absent partition is an empty result, not an error.
+    With ``schema`` (including the partition column) nothing is inferred."""
+    r = spark.read.format(fmt)
+    if schema is not None:
+        r = r.schema(schema)
+    return r.load(root).where(F.col(part_col) == dt)
 
 
 def scan_window(df: DataFrame, lo: str, hi: str, part_col: str = "dt") -> DataFrame:
@@ -105,11 +110,10 @@ def sink_partitioned(df: DataFrame, path: str, fmt: str = "parquet", part_cols:
     is split across several writers instead of landing on one.
     """
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     (df.repartitionByRange(n, *part_cols, spread).write.mode(mode).format(fmt).option("compression", "snappy")
-     .partitionBy(*part_cols).save(path))
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*part_cols).save(path))
 
 
 def sink_bronze_buckets(df: DataFrame, path: str, today: str) -> None:
