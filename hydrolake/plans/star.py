@@ -71,12 +71,24 @@ def dim_weather(silver_weather: DataFrame, dt: str | None = None) -> DataFrame:
         "is_heavy_rain_24h", "data_source", "dt")
 
 
-def fact_water(silver_reservoir: DataFrame, dim_res: DataFrame, dt: str | None = None,
+def fact_water(silver_reservoir: DataFrame, dim_res: DataFrame | None, dt: str | None = None,
                key_with_source: bool = True) -> DataFrame:
-    """Daily reservoir facts; ``dt`` = one partition, None = all partitions."""
+    """Daily reservoir facts; ``dt`` = one partition, None = all partitions.
+
+    ``dim_res`` is the reservoir dimension to take surrogate keys from (a Gold
+    table in the daily run).  ``None`` means the dimension is ``dim_reservoir``
+    of this same Silver frame: its key is a pure function of (reservoir_id,
+    source) and every non-NULL pair has a row, so the inner join reduces to
+    deriving the key and dropping NULL keys.  That keeps Silver from being
+    computed twice (once for the aggregate, once for the facts) in one plan.
+    """
     sr = silver_reservoir if dt is None else silver_reservoir.where(F.col("dt") == dt)
-    j = sr.join(dim_res.select("reservoir_key", "reservoir_id", F.col("reservoir_type").alias("source")),
-                ["reservoir_id", "source"])
+    if dim_res is None:
+        j = (sr.where(F.col("reservoir_id").isNotNull() & F.col("source").isNotNull())
+             .withColumn("reservoir_key", reservoir_key("reservoir_id", "source")))
+    else:
+        j = sr.join(dim_res.select("reservoir_key", "reservoir_id", F.col("reservoir_type").alias("source")),
+                    ["reservoir_id", "source"])
     fk_parts = [F.col("reservoir_id"), F.col("record_date").cast("string")]
     if key_with_source:
         fk_parts.append(F.col("source"))

@@ -73,7 +73,7 @@ class Domain:
 
     @cached_property
     def fact_water(self) -> DataFrame:
-        return star.fact_water(self.silver_reservoir, self.dim_reservoir)
+        return star.fact_water(self.silver_reservoir, None)   # dim derives from the same Silver
 
     @cached_property
     def fact_flood_risk(self) -> DataFrame:

@@ -23,13 +23,16 @@ REGION_CODES = ["C", "E", "NE", "N", "W", "S"]
 
 _TABLES: dict[tuple, DataFrame] = {}
 
-# fact-sized inputs: if their files split into fewer scan tasks than the cluster has
-# cores (few row groups), spread them once so the scan-side stage is not capped
-FACT_TABLES = {"lineitem", "orders", "events"}
+# fact-sized inputs and their (unique or near-unique) row keys: if their files split into
+# fewer scan tasks than the cluster has cores (few row groups), spread them once on that key
+# so the scan-side stage is not capped.  Hash partitioning is deterministic (a re-run task
+# after an executor loss sends every row to the same reducer) and, unlike round-robin, needs
+# no local sort first; a row key (at most 7 lineitems per order) cannot be skewed.
+FACT_TABLES = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
-def min_parallelism(df: DataFrame) -> DataFrame:
-    """Round-robin repartition an under-split input to the default parallelism.
+def min_parallelism(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-repartition an under-split input on ``key`` to the default parallelism.
 
     A no-op at scale (inputs have far more splits than cores); on a few large
     files with few row groups it lifts the scan-side stage from a handful of
@@ -37,7 +40,9 @@ def min_parallelism(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     n = spark.sparkContext.defaultParallelism
-    return df.repartition(n) if df._jdf.rdd().getNumPartitions() < n else df
+    if df._jdf.rdd().getNumPartitions() >= n:
+        return df
+    return df.repartition(n, key) if key else df.repartition(n)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +50,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _TABLES:
         df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        _TABLES[key] = min_parallelism(df) if name in FACT_TABLES else df
+        _TABLES[key] = min_parallelism(df, FACT_TABLES[name]) if name in FACT_TABLES else df
     return _TABLES[key]
 
 
