@@ -68,10 +68,10 @@ def dq_report(df: DataFrame, table: str, key: list[str] | None = None, not_null:
               ranges=K.DQ_RANGES, group: list[str] | None = None, sample_k: int = 3) -> DataFrame:
     """Rule results for ``df`` (per ``group``, e.g. ``["dt"]``, or for the whole frame).
 
-    One scan, one shuffle: a first aggregate per (group, unique key) counts rows
-    and failures of every rule and keeps each key's smallest failing sample
-    value; everything else (totals, duplicate count, top-k samples) is computed
-    from that per-key frame.  Samples are the ``sample_k`` smallest distinct
+    One scan: a first aggregate per (group, unique key) counts rows and failures
+    of every rule and keeps each key's smallest failing sample value; everything
+    else (totals, duplicate count, top-k samples) is computed from that per-key
+    frame in a single branch.  Samples are the ``sample_k`` smallest distinct
     failing values, one per key.  A whole-frame report on empty input yields
     exactly one DATA_AVAILABILITY FAIL row.
     """
@@ -90,24 +90,31 @@ def dq_report(df: DataFrame, table: str, key: list[str] | None = None, not_null:
         lvl1 = lvl1.withColumn("_dk", F.when(F.col("_n") > 1, F.concat_ws(
             "|", *[F.col(f"_k_{c}").cast("string") for c in key_cols])))
 
-    aggs = [F.sum("_n").alias("_total")] + [F.sum(f"_f{i}").alias(f"_f{i}") for i in range(len(rules))]
+    # Second level in ONE pass over the per-key frame (so the plan below it is not
+    # computed twice): every key emits one counter record (rule '', all counters as
+    # columns) plus its non-NULL sample candidates (rule, value).  One aggregate per
+    # (group, rule, value) sums the counters (map-side: one row per group and task)
+    # and makes sample values distinct; a row_number <= k window keeps the k
+    # smallest samples per (group, rule) (Partial limit before the shuffle); a last
+    # aggregate per group turns the records back into columns.
+    counters = [("_n", F.col("_n"))] + [(f"_f{i}", F.col(f"_f{i}")) for i in range(len(rules))]
     if key_cols:
-        aggs.append(F.sum(F.when(F.col("_n") > 1, F.col("_n"))).alias("_dup"))
-    base = lvl1.groupBy(*group).agg(*aggs) if group else lvl1.agg(*aggs)
-
-    # top-k samples per (group, rule) from the per-key frame (Partial WindowGroupLimit before the shuffle)
+        counters.append(("_dup", F.when(F.col("_n") > 1, F.col("_n"))))
     sample_cols = [(f"_m{i}", f"_s{i}") for i in sampled] + ([("_dk", "_dsample")] if key_cols else [])
-    if sample_cols:
-        vals = F.filter(F.array(*[F.struct(F.lit(out).alias("rule"), F.col(src).alias("v")) for src, out in sample_cols]),
-                        lambda x: x["v"].isNotNull())
-        cand = (lvl1.select(*group, F.explode(vals).alias("_p"))
-                .select(*group, F.col("_p.rule").alias("_rule"), F.col("_p.v").alias("_v")).distinct())
-        w = Window.partitionBy(*group, "_rule").orderBy("_v")
-        top = cand.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= sample_k)
-        sagg = [F.array_sort(F.collect_list(F.when(F.col("_rule") == out, F.col("_v")))).alias(out)
-                for _, out in sample_cols]
-        samp = top.groupBy(*group).agg(*sagg) if group else top.agg(*sagg)
-        base = base.join(samp, group, "left") if group else base.crossJoin(samp)
+    no_count = [F.lit(None).cast("bigint").alias(n) for n, _ in counters]
+    recs = ([F.struct(F.lit("").alias("_rule"), F.lit(None).cast("string").alias("_v"),
+                      *[c.cast("bigint").alias(n) for n, c in counters])]
+            + [F.struct(F.lit(out).alias("_rule"), F.col(src).cast("string").alias("_v"), *no_count)
+               for src, out in sample_cols])
+    kept = F.filter(F.array(*recs), lambda x: (x["_rule"] == "") | x["_v"].isNotNull())
+    long = lvl1.select(*group, F.explode(kept).alias("_p")).select(*group, "_p.*")
+    per_value = long.groupBy(*group, "_rule", "_v").agg(*[F.sum(n).alias(n) for n, _ in counters])
+    w = Window.partitionBy(*group, "_rule").orderBy("_v")
+    top = per_value.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= sample_k)
+    aggs = ([F.sum("_n").alias("_total")] + [F.sum(n).alias(n) for n, _ in counters[1:]]
+            + [F.array_sort(F.collect_list(F.when(F.col("_rule") == out, F.col("_v")))).alias(out)
+               for _, out in sample_cols])
+    base = top.groupBy(*group).agg(*aggs) if group else top.agg(*aggs)
 
     total = F.col("_total")
     rows = []
