@@ -55,17 +55,23 @@ def reservoir_features(silver: DataFrame, target_date: str, run_ts: str | None =
     If no row has record_date = D the latest record date of the window stands
     in for "today" (yesterday stays D-1).  The fallback is a one-row aggregate
     joined in, so the plan stays lazy.
+
+    Trend and yesterday come from one window pass over (reservoir_id, source):
+    after the per-day de-duplication a key holds at most one row per day of the
+    window, so the collected list of yesterday's values is bounded by the window
+    length; exploding it (outer) gives exactly the rows of a left join with
+    yesterday's rows (one per match, NULL when none).
     """
     w = _prepare(scan_window(silver, target_date))
     target = F.to_date(F.lit(target_date))
     pick = w.agg(F.coalesce(F.max(F.when(F.col("record_date") == target, F.col("record_date"))),
                             F.max("record_date")).alias("_today"))
-    today = w.join(pick, F.col("record_date") == F.col("_today")).drop("_today")
-    yesterday = (w.where(F.col("record_date") == F.date_sub(target, 1))
-                 .select("reservoir_id", "source", F.col("percent_storage").alias("_pct_y")))
-    trend = w.groupBy("reservoir_id", "source").agg(F.avg("percent_storage").alias("storage_trend_7d"))
-    out = (today.join(yesterday, ["reservoir_id", "source"], "left")
-           .join(trend, ["reservoir_id", "source"], "left")
+    per_key = Window.partitionBy("reservoir_id", "source")
+    y = F.when(F.col("record_date") == F.date_sub(target, 1), F.col("percent_storage"))
+    x = w.select("*", F.avg("percent_storage").over(per_key).alias("storage_trend_7d"),
+                 F.collect_list(y).over(per_key).alias("_ys"))
+    today = x.join(F.broadcast(pick), F.col("record_date") == F.col("_today")).drop("_today")
+    out = (today.select("*", F.explode_outer("_ys").alias("_pct_y")).drop("_ys")
            .withColumn("storage_delta_1d", F.col("percent_storage") - F.col("_pct_y")))
     return _derive(out, F.lit(target_date), run_ts)
 

@@ -42,16 +42,17 @@ def name_matches(features: DataFrame, downstream_map: DataFrame, strategy: str =
     Matching runs on *distinct names* (a reservoir reports every day, its name
     once), so the theta join's input does not grow with the number of days.
     """
-    names = features.select("reservoir_name").distinct().withColumn("_nid", F.xxhash64("reservoir_name"))
+    names = features.select("reservoir_name").distinct()
     m = map_with_ids(downstream_map)
     if strategy == "auto":   # one bounded size check for both name columns
         strategy = "broadcast" if is_small(m, 100_000) else "ngram"
-    th = substring_match_pairs(names, "_nid", "reservoir_name", m, "map_id", "reservoir_name_th", strategy=strategy)
-    en = substring_match_pairs(names, "_nid", "reservoir_name", m, "map_id", "reservoir_name_en",
+    # the (distinct) name is its own id: pairs carry it, so no join back to the names
+    th = substring_match_pairs(names, "reservoir_name", "reservoir_name", m, "map_id", "reservoir_name_th",
+                               strategy=strategy)
+    en = substring_match_pairs(names, "reservoir_name", "reservoir_name", m, "map_id", "reservoir_name_en",
                                case_insensitive=True, strategy=strategy)
     pairs = th.unionByName(en)
-    provs = pairs.join(map_edges(downstream_map), "map_id").select("_nid", "prov_code").distinct()
-    return provs.join(names, "_nid").select("reservoir_name", "prov_code")
+    return pairs.join(map_edges(downstream_map), "map_id").select("reservoir_name", "prov_code").distinct()
 
 
 def match_upstream(features: DataFrame, downstream_map: DataFrame, keys: list[str] | None = None,

@@ -88,3 +88,41 @@ def test_backfill_dates(spark):
     ledger = spark.createDataFrame([("2024-01-07", 7)], "last_date string, processed_count long")
     later = [str(r.fetch_date) for r in backfill_dates(spark, "2024-01-08", 7, ledger).collect()]
     assert later == ["2024-01-07"]
+
+
+def test_features_window_pass_equals_left_joins(spark):
+    """Trend / yesterday from one window pass equal the join formulation, including the
+    fan-out when two partitions carry yesterday's record date and the no-match case."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from hydrolake.plans.features import _prepare, reservoir_features, scan_window
+    d = dt.date
+    rows = [  # reservoir_id, source, record_date, dt, percent_storage, fetched_at
+        ("A", "dam", d(2024, 5, 10), "2024-05-10", 50.0, "t1"),
+        ("A", "dam", d(2024, 5, 9), "2024-05-09", 40.0, "t1"),
+        ("A", "dam", d(2024, 5, 9), "2024-05-08", 30.0, "t1"),    # late row: second "yesterday"
+        ("B", "dam", d(2024, 5, 10), "2024-05-10", 70.0, "t1"),   # no yesterday
+        ("C", "reservoir", d(2024, 5, 10), "2024-05-10", 20.0, "t1"),
+        ("C", "reservoir", d(2024, 5, 9), "2024-05-09", 25.0, "t1"),
+        ("C", "reservoir", d(2024, 5, 1), "2024-05-01", 99.0, "t1"),   # outside the window
+    ]
+    silver = spark.createDataFrame(rows, "reservoir_id string, source string, record_date date, dt string, "
+                                         "percent_storage double, fetched_at string").select(
+        "*", F.lit("n").alias("reservoir_name"), F.lit("r").alias("region"), F.lit(100.0).alias("capacity_mcm"),
+        F.lit(1.0).alias("volume_mcm"), F.lit(1.0).alias("inflow_mcm"), F.lit(0.5).alias("outflow_mcm"))
+    day = "2024-05-10"
+    got = reservoir_features(silver, day, run_ts="2024-05-10 00:00:00").drop("computed_at")
+    # brute force: the join formulation
+    w = _prepare(scan_window(silver, day))
+    target = F.to_date(F.lit(day))
+    today = w.where(F.col("record_date") == target)
+    yest = w.where(F.col("record_date") == F.date_sub(target, 1)).select(
+        "reservoir_id", "source", F.col("percent_storage").alias("_y"))
+    trend = w.groupBy("reservoir_id", "source").agg(F.avg("percent_storage").alias("_t"))
+    exp = (today.join(yest, ["reservoir_id", "source"], "left").join(trend, ["reservoir_id", "source"], "left")
+           .select("reservoir_id", F.col("_t").alias("storage_trend_7d"),
+                   F.coalesce(F.col("percent_storage") - F.col("_y"), F.lit(0.0)).alias("storage_delta_1d")))
+    g = sorted(tuple(r) for r in got.select("reservoir_id", "storage_trend_7d", "storage_delta_1d").collect())
+    e = sorted(tuple(r) for r in exp.collect())
+    assert g == e
+    assert [r[0] for r in g].count("A") == 2 and ("B", 70.0, 0.0) in g
