@@ -10,7 +10,6 @@ from ..functions import constants as K
 from ..functions.classify import (alert_level, alert_level_en, blank_sentinel, classify_status_lenient,
                                   recompute_percent, region_from_code, weather_component)
 from ..functions.coerce import null_if_nan
-from ..operators.aggregates import pivot_counts
 from ..operators.joins import fallback_whole
 
 RESERVOIR_EXPORT_COLS = ["reservoir_id", "reservoir_name", "source", "region", "record_date", "capacity_mcm",
@@ -107,18 +106,27 @@ def export_reservoirs_csv(reservoirs_export: DataFrame) -> DataFrame:
 
 def export_meta_row(export_date: str, reservoirs: DataFrame, alerts_export: DataFrame,
                     dq_summary_row: DataFrame | None = None) -> DataFrame:
-    """One metadata row: counts, watermark, alert level counts (flattened), DQ verdict."""
-    r = reservoirs.agg(F.count(F.lit(1)).alias("reservoir_count"), F.max("record_date").alias("latest_record_date"))
-    a = pivot_counts(alerts_export, [], "alert_level",
-                     {"วิกฤต": "alert_crisis", "เตือนภัย": "alert_warning", "เฝ้าระวัง": "alert_watch",
-                      "ปกติ": "alert_normal"})
-    n = alerts_export.agg(F.count(F.lit(1)).alias("alert_province_count"))
-    out = r.crossJoin(n).crossJoin(a).select(F.lit(export_date).alias("export_date"), "*")
+    """One metadata row: counts, watermark, alert level counts (flattened), DQ verdict.
+
+    The inputs are unioned (each tagged) and reduced by ONE global aggregate
+    (partial per task, then final): no join between the one-row summaries.
+    """
+    levels = {"วิกฤต": "alert_crisis", "เตือนภัย": "alert_warning", "เฝ้าระวัง": "alert_watch",
+              "ปกติ": "alert_normal"}
+    parts = [reservoirs.select(F.lit(1).alias("_r"), F.col("record_date").alias("_rd")),
+             alerts_export.select(F.lit(1).alias("_a"), F.col("alert_level").alias("_lvl"))]
     if dq_summary_row is not None:
-        out = out.crossJoin(dq_summary_row.select(F.col("overall").alias("dq_overall"),
-                                                  F.col("passed").alias("dq_passed"),
-                                                  F.col("total_checks").alias("dq_total")))
-    return out
+        parts.append(dq_summary_row.select(F.col("overall").alias("_ov"), F.col("passed").alias("_ps"),
+                                           F.col("total_checks").alias("_tc")))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p, allowMissingColumns=True)
+    aggs = [F.count("_r").alias("reservoir_count"), F.max("_rd").alias("latest_record_date"),
+            F.count("_a").alias("alert_province_count")]
+    aggs += [F.count_if(F.col("_lvl") == v).alias(out) for v, out in levels.items()]
+    if dq_summary_row is not None:
+        aggs += [F.max("_ov").alias("dq_overall"), F.max("_ps").alias("dq_passed"), F.max("_tc").alias("dq_total")]
+    return u.agg(*aggs).select(F.lit(export_date).alias("export_date"), "*")
 
 
 def json_snapshot(df: DataFrame, date: str) -> DataFrame:

@@ -39,6 +39,6 @@ def update_ledger(ledger: DataFrame | None, processed: DataFrame, date_col: str
     new = processed.agg(F.max(date_col).alias("last_date"), F.count(F.lit(1)).alias("n"))
     if ledger is None:
         return new.select("last_date", F.col("n").alias("processed_count"))
-    j = ledger.crossJoin(new.withColumnRenamed("last_date", "_new_last"))
-    return j.select(F.greatest("last_date", "_new_last").alias("last_date"),
-                    (F.col("processed_count") + F.col("n")).alias("processed_count"))
+    # one-row ledger + one-row batch summary -> one global aggregate (no join)
+    u = ledger.select("last_date", F.col("processed_count").alias("n")).unionByName(new)
+    return u.agg(F.max("last_date").alias("last_date"), F.sum("n").alias("processed_count"))
