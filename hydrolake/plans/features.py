@@ -77,14 +77,17 @@ def reservoir_features(silver: DataFrame, target_date: str, run_ts: str | None =
 
 
 def reservoir_features_daily(silver: DataFrame, run_ts: str | None = None) -> DataFrame:
-    """Features for every day at once (backfill): one shuffle on (reservoir_id, source).
+    """Features for every day at once (backfill): one shuffle on (reservoir_id, source) after Silver.
 
     Equal to ``reservoir_features(silver, D)`` for every D whose day slice is
     non-empty, when record_date equals the partition day: yesterday is the row
     exactly one calendar day earlier and the trend is the mean over the
     7-calendar-day range ending at D.
     """
-    w = _prepare(silver).withColumn("_day", F.to_date("dt"))
+    # one shuffle on (reservoir_id, source) serves the per-day dedup (clustered on a superset of
+    # these keys) and both history windows; Silver is already one row per (record_date, dt) here,
+    # so this adds no skew beyond the per-reservoir windows themselves
+    w = _prepare(silver.repartition("reservoir_id", "source")).withColumn("_day", F.to_date("dt"))
     w = calendar_delta(w, ["reservoir_id", "source"], "_day", "percent_storage", "storage_delta_1d", missing=None)
     w = range_mean(w, ["reservoir_id", "source"], "_day", "percent_storage", K.LOOKBACK_DAYS, "storage_trend_7d")
     w = w.where(F.col("record_date") == F.col("_day"))
