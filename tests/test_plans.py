@@ -35,3 +35,20 @@ def test_ngram_strategy_uses_equi_joins_only(spark):
     p = spark.createDataFrame([(10, "dam 1")], "pid int, p string")
     plan = _plan(substring_match_pairs(t, "tid", "t", p, "pid", "p", strategy="ngram"))
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_silver_computed_once_per_plan(spark):
+    """Facts derive the dimension key instead of self-joining Silver; the DQ report's second
+    level is one branch: the raw fact table is scanned once."""
+    import __spark_entry__ as E
+    for name in ("fact_water", "dq_report_staged", "dq_report_silver"):
+        plan = _plan(E.queries()[name](spark, SF_SMALL))
+        assert plan.count("lineitem.parquet") == 1, name
+
+
+def test_daily_features_share_one_shuffle(spark):
+    """Input spread + Silver dedup + ONE shuffle for the per-day dedup and both history windows."""
+    import re
+    import __spark_entry__ as E
+    plan = _plan(E.queries()["reservoir_features_daily"](spark, SF_SMALL))
+    assert len(re.findall(r"(?<!Broadcast)Exchange (hash|Round|range|Single)", plan)) <= 3
