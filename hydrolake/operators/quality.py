@@ -101,13 +101,13 @@ def dq_report(df: DataFrame, table: str, key: list[str] | None = None, not_null:
     if key_cols:
         counters.append(("_dup", F.when(F.col("_n") > 1, F.col("_n"))))
     sample_cols = [(f"_m{i}", f"_s{i}") for i in sampled] + ([("_dk", "_dsample")] if key_cols else [])
-    no_count = [F.lit(None).cast("bigint").alias(n) for n, _ in counters]
-    recs = ([F.struct(F.lit("").alias("_rule"), F.lit(None).cast("string").alias("_v"),
-                      *[c.cast("bigint").alias(n) for n, c in counters])]
-            + [F.struct(F.lit(out).alias("_rule"), F.col(src).cast("string").alias("_v"), *no_count)
-               for src, out in sample_cols])
+    recs = ([F.struct(F.lit("").alias("_rule"), F.lit(None).cast("string").alias("_v"))]
+            + [F.struct(F.lit(out).alias("_rule"), F.col(src).cast("string").alias("_v")) for src, out in sample_cols])
     kept = F.filter(F.array(*recs), lambda x: (x["_rule"] == "") | x["_v"].isNotNull())
-    long = lvl1.select(*group, F.explode(kept).alias("_p")).select(*group, "_p.*")
+    is_counter = F.col("_p._rule") == ""
+    long = lvl1.select(*group, *[c.cast("bigint").alias(n) for n, c in counters], F.explode(kept).alias("_p")).select(
+        *group, F.col("_p._rule").alias("_rule"), F.col("_p._v").alias("_v"),
+        *[F.when(is_counter, F.col(n)).alias(n) for n, _ in counters])
     per_value = long.groupBy(*group, "_rule", "_v").agg(*[F.sum(n).alias(n) for n, _ in counters])
     w = Window.partitionBy(*group, "_rule").orderBy("_v")
     top = per_value.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= sample_k)
