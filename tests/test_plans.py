@@ -52,3 +52,16 @@ def test_daily_features_share_one_shuffle(spark):
     import __spark_entry__ as E
     plan = _plan(E.queries()["reservoir_features_daily"](spark, SF_SMALL))
     assert len(re.findall(r"(?<!Broadcast)Exchange (hash|Round|range|Single)", plan)) <= 3
+
+
+def test_metadata_row_is_one_aggregate_without_joins_between_summaries(spark):
+    from hydrolake.plans.exports import export_meta_row
+    res = spark.createDataFrame([("A", "2024-01-02"), ("B", "2024-01-03")], "reservoir_id string, record_date string")
+    alerts = spark.createDataFrame([("ปกติ",), ("วิกฤต",), ("ปกติ",)], "alert_level string")
+    dq = spark.createDataFrame([("PASS", 5, 5)], "overall string, passed bigint, total_checks bigint")
+    df = export_meta_row("2024-01-03", res, alerts, dq)
+    plan = _plan(df)
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    r = df.first()
+    assert (r.reservoir_count, r.latest_record_date, r.alert_province_count, r.alert_normal, r.alert_crisis,
+            r.dq_overall, r.dq_total) == (2, "2024-01-03", 3, 2, 1, "PASS", 5)
