@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, secret_scans, simhash_dedup, token_counts
+from . import mixing, packing, quality_rules, secret_scans, simhash_dedup, token_counts
 from .common import ship, table
 
 
@@ -15,6 +15,23 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_words(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """The documents packed by the 50k byte-level vocabulary, whose files' places are parameters."""
+    import public_tokenizers
+
+    return packing.pack(docs, tokenizer("byte_bpe_50k.json"), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                        capacity=1024, end_id=0)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), limit=4096)
 
@@ -46,5 +63,5 @@ def _shipped(query):
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op5_token_counts, op6_secret_scans, op8_quality_rules, op10_simhash_dedup)}
+QUERIES = {f.__name__: _shipped(f) for f in (op1_mixing, op4_packing, op5_token_counts, op6_secret_scans, op8_quality_rules, op10_simhash_dedup)}
 ORACLES: dict[str, str] = {}
