@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality_rules, secret_scans, simhash_dedup, token_counts
+from . import language_id, lm_scoring, mixing, packing, quality_rules, secret_scans, simhash_dedup, token_counts
 from .common import ship, table
 
 
@@ -20,6 +20,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """The documents packed by the 50k byte-level vocabulary, whose files' places are parameters."""
     import public_tokenizers
@@ -45,6 +49,10 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scans.joined(found).alias("spans"), secret_scans.count_kind(found, "novel").alias("n_novel"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -63,5 +71,6 @@ def _shipped(query):
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op1_mixing, op4_packing, op5_token_counts, op6_secret_scans, op8_quality_rules, op10_simhash_dedup)}
+QUERIES = {f.__name__: _shipped(f) for f in (op1_mixing, op2_language_id, op4_packing, op5_token_counts, op6_secret_scans, op7_lm_scoring,
+                                                    op8_quality_rules, op10_simhash_dedup)}
 ORACLES: dict[str, str] = {}
