@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, lm_scoring, mixing, packing, quality_rules, secret_scans, simhash_dedup, token_counts
+from . import fingerprints, language_id, lm_scoring, mixing, packing, quality_rules, secret_scans, simhash_dedup, token_counts
 from .common import ship, table
 
 
@@ -24,6 +24,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(table(spark, sf_dir, "documents"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """The documents packed by the 50k byte-level vocabulary, whose files' places are parameters."""
     import public_tokenizers
@@ -71,6 +75,6 @@ def _shipped(query):
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op1_mixing, op2_language_id, op4_packing, op5_token_counts, op6_secret_scans, op7_lm_scoring,
+QUERIES = {f.__name__: _shipped(f) for f in (op1_mixing, op2_language_id, op3_fingerprints, op4_packing, op5_token_counts, op6_secret_scans, op7_lm_scoring,
                                                     op8_quality_rules, op10_simhash_dedup)}
 ORACLES: dict[str, str] = {}
