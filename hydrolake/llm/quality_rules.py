@@ -50,10 +50,12 @@ def window(w: Column, i: Column) -> Column:
 
 def window_keys(w: Column) -> Column:
     """Sorted keys, one of each 3-word window: the upper bits of its hash, then its place."""
-    places = F.sequence(F.lit(0), F.greatest(F.size(w) - 3, F.lit(0)))
-    keys = F.transform(places, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
-                       .bitwiseAND(F.lit(-1 << PLACE_BITS)).bitwiseOR(i.cast("long")))
-    return F.sort_array(keys)
+    def keys(w: Column) -> Column:
+        places = F.sequence(F.lit(0), F.greatest(F.size(w) - 3, F.lit(0)))
+        return F.transform(places, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+                           .bitwiseAND(F.lit(-1 << PLACE_BITS)).bitwiseOR(i.cast("long")))
+
+    return F.sort_array(let(w, keys))
 
 
 def _covered(places: Column) -> Column:
@@ -86,7 +88,7 @@ def repeat_words(w: Column, keys: Column) -> Column:
     def place(x: Column) -> Column:
         return x.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
 
-    def counted(s: Column) -> Column:
+    def counted(w: Column, s: Column) -> Column:
         def judged(hit: Column) -> Column:
             def clash(x: Column, j: Column) -> Column:
                 before = F.get(hit, j - 1)
@@ -98,8 +100,8 @@ def repeat_words(w: Column, keys: Column) -> Column:
 
         return let(F.filter(s, lambda x, j: same(x, F.get(s, j - 1)) | same(x, F.get(s, j + 1))), judged)
 
-    return (F.when(F.size(w) < 3, F.lit(0)).when(F.size(w) >= 1 << PLACE_BITS, _repeats_by_text(w))
-            .otherwise(let(keys, counted)))
+    return let(w, lambda w: F.when(F.size(w) < 3, F.lit(0)).when(F.size(w) >= 1 << PLACE_BITS, _repeats_by_text(w))
+               .otherwise(let(keys, lambda s: counted(w, s))))
 
 
 def bad_line(line: Column) -> Column:
@@ -146,7 +148,10 @@ def clean(docs: DataFrame, **limits) -> DataFrame:
     A kept text that loses no line stays as it is, blank lines included.
     """
     whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), "text")
-    good = measure(whole, columns=("_row", "text"), **limits).where("kept")
+    judged = measure(whole, columns=("_row", "text"), **limits)
+    # a plain filter would be pushed down and have all of the above worked out twice
+    kept = F.explode_outer(F.filter(F.array(F.struct("*")), lambda r: r["kept"])).alias("good")
+    good = judged.select(kept).where("good.kept").select("good.*")
     rows = good.select("_row.*", F.when(F.col("unchanged"), F.col("text")).otherwise(F.col("clean_text")).alias("_new"))
     out = rows.withColumn("text", F.col("_new")).drop("_new")
     if "n_chars" in docs.columns:
