@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, slices
 from .components import components
@@ -60,16 +61,16 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(((ones * 2 > len(h)).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum())
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fp (the fingerprint's 64 bits as a long) of every row; no shuffle."""
+def fingerprints(docs: DataFrame, shingle: int = 3, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The named columns and fp (the fingerprint's 64 bits as a long) of every row; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):
-            fp = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["doc_id", "fp"])
+            fp = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(0)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fp)], [*carry, "fp"])
 
-    bare = docs.select("doc_id", "text")
-    return bare.mapInArrow(run, f"doc_id {bare.schema['doc_id'].dataType.simpleString()}, fp long")
+    bare = docs.select(F.col("text").alias("_text"), *carry)
+    return bare.mapInArrow(run, T.StructType([*bare.schema.fields[1:], T.StructField("fp", T.LongType())]))
 
 
 def ball(bits: int, radius: int) -> list[int]:
@@ -136,12 +137,28 @@ def meeting(some: DataFrame, max_distance: int) -> DataFrame:
     return met.join(hub, "at").where("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b"))
 
 
-def classes(docs: DataFrame, shingle: int = 3, max_distance: int = 2, segments: int = 2, max_bucket: int = 64) -> DataFrame:
-    """doc_id, fp and component_id, the smallest doc_id reachable over links, of every row."""
-    rows = cut(fingerprints(docs, shingle))
+def classes(docs: DataFrame, shingle: int = 3, max_distance: int = 2, segments: int = 2, max_bucket: int = 64,
+            carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Of every row the named columns, fp, component_id (the smallest doc_id reachable over links) and
+    component (the least fingerprint reachable, which tells components apart even where ids repeat)."""
+    rows = cut(fingerprints(docs, shingle, tuple(dict.fromkeys(("doc_id", *carry)))))
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     linked = components(links(distinct.select("fp"), max_distance, segments, max_bucket), "a", "b")
     grouped = (linked.join(distinct, linked["node"] == distinct["fp"]).groupBy("component").agg(F.min("least").alias("least_linked"))
-               .join(linked, "component").select(F.col("node").alias("fp"), "least_linked"))
-    ids = distinct.join(grouped, "fp", "left").select("fp", F.coalesce("least_linked", "least").alias("component_id"))
-    return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
+               .join(linked, "component").select(F.col("node").alias("fp"), "component", "least_linked"))
+    ids = distinct.join(grouped, "fp", "left").select(
+        "fp", F.when(F.col("component").isNotNull(), F.col("least_linked")).otherwise(F.col("least")).alias("component_id"),
+        F.coalesce("component", "fp").alias("component"))
+    return rows.join(ids, "fp").select(*carry, "fp", "component_id", "component")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, max_distance: int = 2, segments: int = 2, max_bucket: int = 64) -> DataFrame:
+    """One row of each component, with the columns of ``docs``: the one with the least doc_id (null ids last);
+    of rows with that id any one, the same on every run."""
+    named = docs.withColumn("_row", F.xxhash64(*docs.columns))
+    found = classes(named, shingle, max_distance, segments, max_bucket, ("doc_id", "_row"))
+    best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("best"))
+    best = best.select(F.col("best.doc_id").alias("_id"), F.col("best._row").alias("_best")).distinct()
+    stay = named.join(best, named["doc_id"].eqNullSafe(best["_id"]) & (named["_row"] == best["_best"]), "left_semi")
+    # only rows equal in all columns are left more than once
+    return stay.dropDuplicates(["doc_id", "_row"]).select(*docs.columns)
