@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language_id, lm_scoring, mixing, packing, quality_rules, secret_scans, simhash_dedup, token_counts
+from . import chat_format, fingerprints, language_id, lm_scoring, mixing, packing, quality_rules, secret_scans, simhash_dedup, token_counts
 from .common import ship, table
 
 
@@ -62,6 +62,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = chat_format.turns_as_calls(table(spark, sf_dir, "conversations"))
+    return chat_format.link(calls, results, chat_format.REPLY)
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.classes(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -76,5 +81,5 @@ def _shipped(query):
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (op1_mixing, op2_language_id, op3_fingerprints, op4_packing, op5_token_counts, op6_secret_scans, op7_lm_scoring,
-                                                    op8_quality_rules, op10_simhash_dedup)}
+                                                    op8_quality_rules, op9_chat_format, op10_simhash_dedup)}
 ORACLES: dict[str, str] = {}
