@@ -152,8 +152,8 @@ def clean(docs: DataFrame, **limits) -> DataFrame:
     # a plain filter would be pushed down and have all of the above worked out twice
     kept = F.explode_outer(F.filter(F.array(F.struct("*")), lambda r: r["kept"])).alias("good")
     good = judged.select(kept).where("good.kept").select("good.*")
-    rows = good.select("_row.*", F.when(F.col("unchanged"), F.col("text")).otherwise(F.col("clean_text")).alias("_new"))
-    out = rows.withColumn("text", F.col("_new")).drop("_new")
+    new = F.when(F.col("unchanged"), F.col("text")).otherwise(F.col("clean_text"))
+    fresh = {"text": new}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        fresh["n_chars"] = F.length(new).cast(docs.schema["n_chars"].dataType)
+    return good.select(*[fresh.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns])
