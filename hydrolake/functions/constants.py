@@ -92,7 +92,6 @@ DIM_DATE_END = "2026-12-31"
 LOOKBACK_DAYS = 7                # features window: D-6 .. D
 DAYS_TO_FULL_CAP = 365.0
 NET_FLOW_EPSILON = 0.001
-RESERVOIR_KEY_MODULUS = 1073741824   # 2^30
 WIND_MS_TO_KMH = 3.6
 
 # --- FIXED VALUES: data-quality rules on Silver reservoir ---

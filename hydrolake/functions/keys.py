@@ -5,29 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .constants import RESERVOIR_KEY_MODULUS
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def md5_prefix_int(*parts, sep: str = "_") -> Column:
-    """First 32 bits of md5(concat_ws(sep, parts)) as a non-negative bigint.
+def md5_key(*parts, sep: str = "_") -> Column:
+    """The full md5 of the parts, as 32 hex digits.
 
-    Stable across runs, engines and clusters (unlike a row number), and free
-    of the ``abs(INT_MIN)`` overflow of 32-bit hash codes.
+    Stable across runs, engines and clusters (unlike a row number).  All 128 bits are
+    kept: a prefix or a modulus would give distinct rows the same key at scale, and
+    joins on it would mix them.
     """
-    k = F.concat_ws(sep, *[_c(p).cast("string") for p in parts])
-    return F.conv(F.substring(F.md5(k), 1, 8), 16, 10).cast("bigint")
+    return F.md5(F.concat_ws(sep, *[_c(p).cast("string") for p in parts]))
 
 
 def reservoir_key(reservoir_id, source) -> Column:
-    return F.pmod(md5_prefix_int(reservoir_id, source), F.lit(RESERVOIR_KEY_MODULUS)).cast("int")
+    return md5_key(reservoir_id, source)
 
 
 def fact_key(*parts) -> Column:
-    return md5_prefix_int(*parts)
+    return md5_key(*parts)
 
 
 def natural_int_key(c) -> Column:

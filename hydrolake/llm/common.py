@@ -35,8 +35,14 @@ def let(value: Column, body) -> Column:
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from the files: later
     stages neither recompute it nor depend on any one executor's disk."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    done = df.checkpoint(eager=True)
+    # what was shuffled for it is no longer needed; Spark deletes shuffle files once the driver's
+    # collector finds them unused, which in a long job can be long after the disks are full
+    del df
+    spark.sparkContext._jvm.java.lang.System.gc()
+    return done
 
 
 def text_list(column: pa.Array) -> list[str]:

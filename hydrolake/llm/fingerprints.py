@@ -6,12 +6,15 @@ text without words has none).  The share of equal places of two fingerprints est
 the Jaccard likeness of their shingle sets.
 
 ``classes`` finds texts whose Jaccard likeness is ``threshold`` or more.  Equal texts are one
-node.  Signatures are cut in bands; texts that share a band meet in a bucket.  In each bucket a
-hub, its least node, is joined with the other nodes and the exact likeness of their shingle
-sets decides.  The hub then leaves, and so does every node near it that, by the triangle
-inequality of the Jaccard distance, can't be near any node of the bucket that isn't near the
-hub; the next hub follows until no bucket has two nodes.  A group of near copies thus costs
-about one verified pair for each member, whatever its size, and no class is torn apart.
+node.  Signatures are cut in bands; nodes that share a band meet in a bucket, a group of a Spark
+shuffle, and are candidates if the estimate of their likeness is at least ``CANDIDATE``, over
+three standard deviations below the threshold.  The exact likeness of the shingle sets
+decides about a pair.  That is done twice: first for each node and the likest it meets in a stretch
+of its bucket, which links most groups; then for all candidate pairs that are still in different
+components.  Such pairs are sought by block: a bucket is cut in blocks of about ``BLOCK`` nodes, and
+the nodes outside the bucket's largest component visit each block.  So members of one group are
+never paired with each other, no bucket is gathered in a task, and no link between components is
+left out.
 
 ``compare`` sets each document beside the next one by id.  Ids are cut in ranges at approximate
 quantiles; a range is one bucket of a single shuffle, in which texts travel compressed and the
@@ -39,6 +42,7 @@ from .components import components
 
 PERMUTATIONS, SHINGLE, THRESHOLD = 100, 5, 0.8
 BANDS, BAND_ROWS = 20, 5        # at a likeness of 0.8 a pair misses all bands once in 3,000, at 0.9 once in 10 million
+CANDIDATE, BLOCK = 0.65, 256
 _RANDOM = np.random.Generator(np.random.PCG64(20))
 _A = _RANDOM.integers(0, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RANDOM.integers(0, 1 << 63, PERMUTATIONS, np.uint64)
@@ -149,32 +153,106 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     return both.select("hub", "node", "of_hub", "of_node").mapInArrow(run, "hub binary, node binary, d double")
 
 
+def _shares(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Likeness of each signature of ``one`` to each of ``many``."""
+    return np.stack([(many == x).mean(axis=1) for x in one]) if len(one) else np.zeros((0, len(many)))
+
+
+def _signature_rows(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), PERMUTATIONS)
+
+
+def _likest(members: DataFrame) -> DataFrame:
+    """a, b: each node and the likest candidate of its stretch of the bucket, in each bucket."""
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        node, sig = table.column("node").to_pylist(), _signature_rows(table.column("sig").combine_chunks())
+        like = _shares(sig, sig)
+        np.fill_diagonal(like, -1)
+        best = like.argmax(axis=1)
+        found = {tuple(sorted((node[i], node[k]))) for i, k in enumerate(best) if like[i, k] >= CANDIDATE}
+        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def told() -> Iterator[pa.RecordBatch]:
+            if sum(b.num_rows for b in held) > 1:
+                yield pairs(pa.Table.from_batches(held))
+
+        for batch in batches:
+            of = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)] if len(of) else []
+            for lo, hi in zip(edges, edges[1:]):
+                if of[lo] != key:
+                    yield from told()
+                    key, held = of[lo], []
+                while lo < hi:
+                    room = BLOCK - sum(b.num_rows for b in held)
+                    held.append(batch.slice(lo, min(room, hi - lo)))
+                    lo += min(room, hi - lo)
+                    if sum(b.num_rows for b in held) == BLOCK:      # the next stretch begins with the last row of this one
+                        yield from told()
+                        held = [held[-1].slice(held[-1].num_rows - 1)]
+        yield from told()
+
+    ordered = members.select("key", "node", "sig").repartition("key").sortWithinPartitions("key", "node")
+    return ordered.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _across(members: DataFrame) -> DataFrame:
+    """a, b: the candidate pairs of each bucket whose components differ; members: key, node, sig, component."""
+    sizes = members.groupBy("key", "component").agg(F.count("*").alias("n"))
+    split = (sizes.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"))
+             .where("parts > 1").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"), F.col("most.component").alias("largest")))
+    rows = members.join(split, "key")
+    home = rows.select("key", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("visits"), "node", "sig", "component")
+    guests = rows.where("component <> largest").select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+                                                       F.lit(1).alias("visits"), "node", "sig", "component")
+    laid = home.unionByName(guests).repartition("key", "block").sortWithinPartitions("key", "block", "visits")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, nodes, groups, sigs = None, [], [], []
+        for batch in slices(batches, 1024):
+            sig, out = _signature_rows(batch.column(4)), []
+            for i, (key, block, visits, node, group) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 2, 3, 5)))):
+                if (key, block) != place:
+                    place, nodes, groups, sigs = (key, block), [], [], []
+                if not visits:
+                    nodes.append(node)
+                    groups.append(group)
+                    sigs.append(sig[i])
+                    continue
+                if isinstance(sigs, list):      # the block is complete: guests come last
+                    sigs = np.stack(sigs) if sigs else np.zeros((0, PERMUTATIONS), np.uint16)
+                like = (sigs == sig[i]).mean(axis=1)
+                out += [tuple(sorted((node, nodes[k]))) for k in np.flatnonzero(like >= CANDIDATE) if groups[k] != group]
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+    return laid.mapInArrow(run, "a binary, b binary").distinct()
+
+
 def classes(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
     """node, class_id: the least doc_id of each class, for every distinct text."""
-    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("sig").alias("sig"))
+    nodes = cut(signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("sig").alias("sig")))
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                        lambda i: F.xxhash64(i, F.substr(F.col("sig"), i * 2 * BAND_ROWS + 1, F.lit(2 * BAND_ROWS))))
     held = nodes.select("node", F.explode(keys).alias("key"))
-    shared = held.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("key", "hub")
-    active = cut(held.join(shared, "key"))          # key, node, hub: only buckets with two nodes or more
-    texts = cut(_texts_of(docs, active.select("node").distinct()))
-    near, links = 1 - threshold + 1e-9, None
-    while not active.isEmpty():
-        d = cut(_verified(active.where("node <> hub").select("hub", "node").distinct(), texts, shingle))
-        linked = d.where(F.col("d") <= near).select(F.col("hub").alias("a"), F.col("node").alias("b"))
-        links = linked if links is None else links.unionByName(linked)
-        told = active.join(d, ["hub", "node"])          # the hubs themselves leave here
-        gap = told.groupBy("key").agg(F.min(F.when(F.col("d") > near, F.col("d"))).alias("gap"))
-        stay = told.join(gap, "key").where((F.col("d") > near) | (F.col("d") + near >= F.col("gap"))).select("key", "node")
-        following = stay.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("key", "hub")
-        active = cut(stay.join(following, "key"))
+    shared = held.groupBy("key").agg(F.min("node").alias("one"), F.max("node").alias("other")).where("one <> other").select("key")
+    members = cut(held.join(shared, "key").join(nodes.select("node", "sig"), "node"))
+    texts = cut(_texts_of(docs, members.select("node").distinct()))
+
+    def links(pairs: DataFrame) -> DataFrame:
+        d = _verified(pairs.select(F.col("a").alias("hub"), F.col("b").alias("node")), texts, shingle)
+        return cut(d.where(F.col("d") <= 1 - threshold + 1e-9).select(F.col("hub").alias("a"), F.col("node").alias("b")))
+
+    first = links(_likest(members))
+    grouped = members.join(components(first, "a", "b"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    found = components(first.unionByName(links(_across(grouped))), "a", "b")
     least = nodes.select("node", "least")
-    if links is None:
-        return least.withColumnRenamed("least", "class_id")
-    found = components(links, "a", "b")
     ids = (found.join(least, "node").groupBy("component").agg(F.min("least").alias("class_id"))
-           .join(found, "component").select("node", "class_id"))
-    return least.join(ids, "node", "left").select("node", F.coalesce("class_id", "least").alias("class_id"))
+           .join(found, "component").select("node", F.col("class_id").alias("linked"), F.lit(True).alias("has")))
+    return least.join(ids, "node", "left").select("node", F.when(F.col("has"), F.col("linked")).otherwise(F.col("least")).alias("class_id"))
 
 
 def compare(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:

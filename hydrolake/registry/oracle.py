@@ -50,8 +50,7 @@ REGION_EN = lambda c: (f"CASE WHEN {c} BETWEEN 10 AND 19 THEN 'Central' WHEN {c}
                        f"WHEN {c} BETWEEN 30 AND 49 THEN 'Northeastern' WHEN {c} BETWEEN 50 AND 69 THEN 'Northern' "
                        f"WHEN {c} BETWEEN 70 AND 79 THEN 'Western' WHEN {c} BETWEEN 80 AND 99 THEN 'Southern' "
                        f"ELSE 'Unknown' END")
-RKEY = lambda k: f"CAST((('0x' || substr(md5({k}), 1, 8))::BIGINT % 1073741824) AS INTEGER)"
-MD5INT = lambda k: f"('0x' || substr(md5({k}), 1, 8))::BIGINT"
+MD5KEY = lambda k: f"md5({k})"
 DKEY = lambda d: f"CAST(strftime({d}, '%Y%m%d') AS INTEGER)"
 CLIP = lambda c: f"greatest(0.0, least(100.0, {c}))"
 ROWSCORE = lambda s, f: (f"least(40.0, greatest(0.0, (CASE {s} WHEN 'CRITICAL' THEN 30.0 WHEN 'HIGH' THEN 18.0 "
@@ -107,7 +106,7 @@ FROM (
 WHERE rn = 1""")
 
 cte("dim_reservoir", ["silver_reservoir"], f"""
-SELECT {RKEY("reservoir_id || '_' || source")} AS reservoir_key, reservoir_id, max(reservoir_name) AS reservoir_name,
+SELECT {MD5KEY("reservoir_id || '_' || source")} AS reservoir_key, reservoir_id, max(reservoir_name) AS reservoir_name,
   max(region) AS region, max(owner) AS owner, source AS reservoir_type, max(capacity_mcm) AS capacity_mcm,
   max(dead_storage_mcm) AS dead_storage_mcm
 FROM silver_reservoir GROUP BY reservoir_id, source""")
@@ -120,7 +119,7 @@ SELECT {DKEY('d')} AS date_key, d AS full_date, year(d) AS year, month(d) AS mon
 FROM (SELECT CAST(unnest(generate_series(DATE '1992-01-01', DATE '2026-12-31', INTERVAL 1 DAY)) AS DATE) AS d) t""")
 
 cte("fact_water", ["silver_reservoir", "dim_reservoir"], f"""
-SELECT {MD5INT("sr.reservoir_id || '_' || CAST(sr.record_date AS VARCHAR) || '_' || sr.source")} AS fact_key,
+SELECT {MD5KEY("sr.reservoir_id || '_' || CAST(sr.record_date AS VARCHAR) || '_' || sr.source")} AS fact_key,
   {DKEY('sr.record_date')} AS date_key, dr.reservoir_key, sr.record_date, sr.volume_mcm,
   CASE WHEN sr.percent_storage = 0 AND sr.capacity_mcm > 0 THEN round(sr.volume_mcm / sr.capacity_mcm * 100.0, 2)
        ELSE sr.percent_storage END AS percent_storage,
@@ -270,7 +269,7 @@ SELECT CAST(prov_code AS INTEGER) AS weather_key, {DKEY('forecast_date')} AS dat
 FROM silver_weather WHERE dt = '{RUN_DATE}'""")
 
 cte("fact_flood_risk", ["silver_flood_risk", "dim_location", "dim_weather"], f"""
-SELECT {MD5INT("sfr.geocode || '_' || CAST(sfr.month AS VARCHAR)")} AS fact_key,
+SELECT {MD5KEY("sfr.geocode || '_' || CAST(sfr.month AS VARCHAR)")} AS fact_key,
   CAST(strftime(TRY_CAST('{RUN_DATE[:4]}-' || lpad(CAST(sfr.month AS VARCHAR), 2, '0') || '-01' AS DATE), '%Y%m%d') AS INTEGER) AS date_key,
   dl.location_key, dw.weather_key, sfr.geocode, sfr.month AS risk_month, sfr.flood_count_17yr AS historical_flood_count,
   sfr.risk_level, sfr.risk_score, sfr.flood_criteria, dw.rainfall_forecast_mm AS rain_forecast_mm,
@@ -625,7 +624,7 @@ SELECT _offset, {num('percent_storage')} AS pct_num, {intg('capacity_mcm')} AS c
   {DKEY("COALESCE(TRY_CAST(record_date AS DATE), CAST(dt AS DATE))")} AS date_key,
   CAST(strftime(TRY_CAST(substring(dt, 1, 4) || '-' || lpad(CAST(_offset % 13 AS VARCHAR), 2, '0') || '-01' AS DATE), '%Y%m%d') AS INTEGER) AS month_key,
   list_extract(['มกราคม','กุมภาพันธ์','มีนาคม','เมษายน','พฤษภาคม','มิถุนายน','กรกฎาคม','สิงหาคม','กันยายน','ตุลาคม','พฤศจิกายน','ธันวาคม'], month(CAST(dt AS DATE))) AS month_th,
-  {RKEY("reservoir_id || '_' || source")} AS rkey, TRY_CAST(substring(reservoir_id, 2, 5) AS INTEGER) AS nat_key,
+  {MD5KEY("reservoir_id || '_' || source")} AS rkey, TRY_CAST(substring(reservoir_id, 2, 5) AS INTEGER) AS nat_key,
   CAST(60 AS INTEGER) AS span
 FROM bronze_readings""")
 
