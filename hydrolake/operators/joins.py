@@ -1,9 +1,8 @@
 """Join operators: dimension joins, array membership, substring theta joins, fallbacks.
 
-Broadcast is used only for sides whose size is bounded by construction (the
-downstream map, the province catalogue) or checked with a bounded count; all
-other joins are left to AQE, which picks broadcast/sort-merge from runtime
-sizes and splits skewed partitions.
+No join here depends on a size looked up while the plan is built, and none is a
+nested loop: equi-joins are left to AQE, which picks broadcast or sort-merge from
+runtime sizes and splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -12,11 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows, never the whole side."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def join_lookup_default(left: DataFrame, right: DataFrame, on: list[str], defaults: dict,
                         broadcast_right: bool = False) -> DataFrame:
     """Left join and replace missing right-side values with defaults."""
@@ -48,50 +42,41 @@ def _grams(text: Column, k: int) -> Column:
     return F.array_distinct(F.filter(F.flatten(F.array(*per_len)), lambda g: F.length(g) > 0))
 
 
-def _contained_pairs(texts: DataFrame, tid: str, tcol: str, pats: DataFrame, pid: str, pcol: str,
-                     k: int) -> DataFrame:
-    """Pairs (tid, pid) with pats.pcol a substring of texts.tcol, via rare-gram blocking.
+def _contained_pairs(texts: DataFrame, tid: str, pats: DataFrame, pid: str, k: int) -> DataFrame:
+    """Pairs (tid, pid) with pats._s a substring of texts._s under the same _tag, via rare-gram blocking.
 
     Each pattern is keyed by its rarest gram (k-gram, or the whole pattern if
     shorter than k) among the text grams; candidates share that gram and are
     verified with ``contains``.  Work is proportional to the candidate pairs,
     never to |texts| x |patterns|.
     """
-    tg = texts.select(tid, tcol, F.explode(_grams(F.col(tcol), k)).alias("_g"))
-    freq = tg.groupBy("_g").agg(F.count(F.lit(1)).alias("_df"))
-    plen = F.length(F.col(pcol))
-    pat_keys = F.when(plen < k, F.array(F.col(pcol))).otherwise(
-        F.transform(F.sequence(F.lit(1), plen - k + 1), lambda i: F.substring(F.col(pcol), i, k)))
-    pg = pats.select(pid, pcol, F.explode(pat_keys).alias("_g"))
+    tg = texts.select(tid, "_tag", F.col("_s").alias("_text"), F.explode(_grams(F.col("_s"), k)).alias("_g"))
+    freq = tg.groupBy("_tag", "_g").agg(F.count(F.lit(1)).alias("_df"))
+    plen = F.length("_s")
+    pat_keys = F.when(plen < k, F.array(F.col("_s"))).otherwise(
+        F.transform(F.sequence(F.lit(1), F.greatest(plen - k + 1, F.lit(1))), lambda i: F.substring(F.col("_s"), i, k)))
+    pg = pats.select(pid, "_tag", "_s", F.explode(pat_keys).alias("_g"))
     # a gram absent from every text means the pattern cannot match: inner join drops it
-    rare = (pg.join(freq, "_g").groupBy(pid, pcol)
+    rare = (pg.join(freq, ["_tag", "_g"]).groupBy(pid, "_tag", "_s")
             .agg(F.min_by("_g", F.struct(F.col("_df"), F.col("_g"))).alias("_g")))
-    return (rare.join(tg, "_g")
-            .where(F.col(tcol).contains(F.col(pcol)))
-            .select(tid, pid))
+    return rare.join(tg, ["_tag", "_g"]).where(F.col("_text").contains(F.col("_s"))).select(tid, pid)
 
 
-def substring_match_pairs(texts: DataFrame, tid: str, tcol: str, pats: DataFrame, pid: str, pcol: str,
-                          case_insensitive: bool = False, strategy: str = "auto",
-                          max_broadcast_rows: int = 100_000, k: int = 3) -> DataFrame:
-    """Distinct (tid, pid) where trimmed pattern and text contain one another.
+def substring_match_pairs(texts: DataFrame, tid: str, pats: DataFrame, pid: str,
+                          columns: list[tuple[str, str, bool]], k: int = 3) -> DataFrame:
+    """Distinct (tid, pid) where, for any of ``columns``, the trimmed pattern and text contain one another.
 
-    ``pattern in text or text in pattern``; empty strings on either side never
-    match.  ``strategy``: ``broadcast`` (nested loop against a broadcast pattern
-    side), ``ngram`` (gram-blocked equi-join, scales on both sides) or ``auto``
-    (broadcast only when the pattern side is proven small).
+    ``columns`` lists (text column, pattern column, case-insensitive); all of them
+    are matched in one n-gram join each way, told apart by a tag.  Empty and NULL
+    strings on either side never match.
     """
-    norm = (lambda c: F.lower(F.trim(c))) if case_insensitive else (lambda c: F.trim(c))
-    t = texts.select(F.col(tid), norm(F.col(tcol)).alias("_t")).where(F.length("_t") > 0)
-    p = pats.select(F.col(pid), norm(F.col(pcol)).alias("_p")).where(F.length("_p") > 0)
-    if strategy == "auto":
-        strategy = "broadcast" if is_small(p, max_broadcast_rows) else "ngram"
-    if strategy == "broadcast":
-        cond = F.col("_t").contains(F.col("_p")) | F.col("_p").contains(F.col("_t"))
-        return t.join(F.broadcast(p), cond, "inner").select(tid, pid).distinct()
-    fwd = _contained_pairs(t, tid, "_t", p, pid, "_p", k)
-    rev = _contained_pairs(p, pid, "_p", t, tid, "_t", k)
-    return fwd.unionByName(rev).distinct()
+    def tagged(df: DataFrame, key: str, at: int) -> DataFrame:
+        norm = [F.struct(F.lit(i).alias("_tag"), (F.lower(F.trim(c[at])) if c[2] else F.trim(c[at])).alias("_s"))
+                for i, c in enumerate(columns)]
+        return df.select(F.col(key), F.inline(F.array(*norm))).where(F.length("_s") > 0)
+
+    t, p = tagged(texts, tid, 0), tagged(pats, pid, 1)
+    return _contained_pairs(t, tid, p, pid, k).unionByName(_contained_pairs(p, pid, t, tid, k)).distinct()
 
 
 # ---------------------------------------------------------------- fallbacks
@@ -111,12 +96,10 @@ def fallback_per_key(primary: DataFrame, secondary: DataFrame, keys: list[str],
 def fallback_whole(primary: DataFrame, secondary: DataFrame) -> DataFrame:
     """All primary rows if there are any, else all secondary rows.
 
-    Stays lazy: the emptiness test is a one-row aggregate joined in, not a
-    driver-side ``isEmpty``.
+    Stays lazy: the emptiness test is an uncorrelated EXISTS, evaluated once at run
+    time; neither a driver-side ``isEmpty`` nor a join.
     """
-    has_primary = primary.select(F.lit(1).alias("_one")).limit(1)
-    sec = secondary.join(has_primary, how="left_anti", on=F.lit(True))
-    return primary.unionByName(sec, allowMissingColumns=True)
+    return primary.unionByName(secondary.where(~primary.select(F.lit(1)).exists()), allowMissingColumns=True)
 
 
 def pick_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:

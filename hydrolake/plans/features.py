@@ -19,13 +19,16 @@ FEATURE_COLS = ["feature_date", "reservoir_id", "reservoir_name", "source", "reg
 _NUM = ["percent_storage", "volume_mcm", "capacity_mcm", "inflow_mcm", "outflow_mcm"]
 
 
-def _shift(d: str, days: int) -> str:
+LOOKBACK = K.LOOKBACK_DAYS
+
+
+def shift(d: str, days: int) -> str:
     return (_dt.date.fromisoformat(d) + _dt.timedelta(days=days)).isoformat()
 
 
 def scan_window(silver: DataFrame, target_date: str, days: int = K.LOOKBACK_DAYS) -> DataFrame:
     """Partitions dt in [D-(days-1), D]; literal bounds so the scan prunes partitions."""
-    return silver.where(F.col("dt").between(_shift(target_date, -(days - 1)), target_date))
+    return silver.where(F.col("dt").between(shift(target_date, -(days - 1)), target_date))
 
 
 def _prepare(df: DataFrame) -> DataFrame:

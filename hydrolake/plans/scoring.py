@@ -15,7 +15,7 @@ from ..functions.classify import alert_level, historical_component, reservoir_ro
 from ..functions.coerce import parse_code_list
 from ..functions.dates import date_key
 from ..operators.aggregates import mode_of, topk_concat
-from ..operators.joins import is_small, pick_first, substring_match_pairs
+from ..operators.joins import pick_first, substring_match_pairs
 
 ALERT_COLS = ["alert_key", "date_key", "location_key", "weather_key", "alert_date", "prov_code", "prov_th",
               "alert_level", "alert_score", "reservoir_score", "weather_score", "historical_risk_score",
@@ -35,32 +35,27 @@ def map_edges(downstream_map: DataFrame) -> DataFrame:
     return m.select("map_id", F.explode(parse_code_list("downstream_prov_codes")).alias("prov_code"))
 
 
-def name_matches(features: DataFrame, downstream_map: DataFrame, strategy: str = "auto") -> DataFrame:
+def name_matches(features: DataFrame, downstream_map: DataFrame) -> DataFrame:
     """(reservoir_name, prov_code) for every distinct reservoir name matching a map row
     (Thai name case-sensitive, English name case-insensitive) that lists the province.
 
     Matching runs on *distinct names* (a reservoir reports every day, its name
-    once), so the theta join's input does not grow with the number of days.
+    once), so its input does not grow with the number of days; both name columns
+    are matched in one pass.
     """
     names = features.select("reservoir_name").distinct()
-    m = map_with_ids(downstream_map)
-    if strategy == "auto":   # one bounded size check for both name columns
-        strategy = "broadcast" if is_small(m, 100_000) else "ngram"
     # the (distinct) name is its own id: pairs carry it, so no join back to the names
-    th = substring_match_pairs(names, "reservoir_name", "reservoir_name", m, "map_id", "reservoir_name_th",
-                               strategy=strategy)
-    en = substring_match_pairs(names, "reservoir_name", "reservoir_name", m, "map_id", "reservoir_name_en",
-                               case_insensitive=True, strategy=strategy)
-    pairs = th.unionByName(en)
+    names = names.select("reservoir_name", F.col("reservoir_name").alias("_name"))
+    pairs = substring_match_pairs(names, "reservoir_name", map_with_ids(downstream_map), "map_id",
+                                  [("_name", "reservoir_name_th", False), ("_name", "reservoir_name_en", True)])
     return pairs.join(map_edges(downstream_map), "map_id").select("reservoir_name", "prov_code").distinct()
 
 
-def match_upstream(features: DataFrame, downstream_map: DataFrame, keys: list[str] | None = None,
-                   strategy: str = "auto") -> DataFrame:
+def match_upstream(features: DataFrame, downstream_map: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Distinct (prov_code, feature row) pairs: the feature's name matches any map row
     listing the province."""
     keys = keys or ["reservoir_id", "source"]
-    nm = name_matches(features, downstream_map, strategy)
+    nm = name_matches(features, downstream_map)
     return nm.join(features, "reservoir_name").dropDuplicates(["prov_code", *keys])
 
 
@@ -76,56 +71,12 @@ def reservoir_component(matched: DataFrame, group: list[str]) -> DataFrame:
     return stats.join(top, group)
 
 
-def historical_by_province(silver_flood_risk: DataFrame, month: int) -> DataFrame:
-    risk = silver_flood_risk.where(F.col("month") == month).withColumn(
-        "risk_score", F.coalesce(F.col("risk_score").cast("double"), F.lit(1.0)))
-    return risk.groupBy(F.col("prov_code").cast("int").alias("prov_code")).agg(
-        F.max("risk_score").alias("_max_risk"),
-        mode_of("risk_level").alias("_risk_level"),
-        F.countDistinct("geocode").alias("_subdistricts"))
-
-
 def fact_flood_alert(features: DataFrame, silver_weather: DataFrame, silver_flood_risk: DataFrame,
-                     downstream_map: DataFrame, target_date: str, run_ts: str | None = None,
-                     strategy: str = "auto") -> DataFrame:
+                     downstream_map: DataFrame, target_date: str, run_ts: str | None = None) -> DataFrame:
     """Alert rows for day D, one per province present in D's weather partition."""
-    wx = silver_weather.where(F.col("dt") == target_date).withColumn("prov_code", F.col("prov_code").cast("int"))
-    provinces = wx.select("prov_code", "prov_th").distinct()
-    first_wx = pick_first(wx, ["prov_code"], [F.col("forecast_date").desc_nulls_last(), F.col("prov_th"),
-                                             F.col("rainfall_forecast_mm").desc()])
-    rain = first_wx.select("prov_code", F.coalesce(F.col("rainfall_forecast_mm"), F.lit(0.0)).alias("_rain"))
-    matched = match_upstream(features, downstream_map, strategy=strategy)
-    res = reservoir_component(matched, ["prov_code"])
-    hist = historical_by_province(silver_flood_risk, int(target_date[5:7]))
-    j = provinces.join(rain, "prov_code", "left").join(res, "prov_code", "left").join(hist, "prov_code", "left")
-    r_score = F.coalesce(F.col("reservoir_score"), F.lit(0.0))
-    w_score = weather_component(F.coalesce(F.col("_rain"), F.lit(0.0)))
-    h_score = F.when(F.col("_max_risk").isNull(), F.lit(K.HISTORICAL_DEFAULT_POINTS)).otherwise(
-        historical_component("_max_risk"))
-    j = j.select("*", r_score.alias("_r"), w_score.alias("_w"), h_score.alias("_h"))
-    total = F.col("_r") + F.col("_w") + F.col("_h")
-    loaded = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
-    # alert_key: 1..n over province code; the frame is province-sized (<= catalogue rows)
-    from pyspark.sql import Window
-    key = F.row_number().over(Window.orderBy("prov_code", "prov_th")).cast("bigint")
-    return j.select(
-        key.alias("alert_key"),
-        date_key(F.to_date(F.lit(target_date))).alias("date_key"),
-        F.lit(-1).alias("location_key"), F.lit(-1).alias("weather_key"),
-        F.to_date(F.lit(target_date)).alias("alert_date"),
-        "prov_code", "prov_th",
-        alert_level(total).alias("alert_level"),
-        F.round(total, 2).alias("alert_score"),
-        F.round("_r", 2).alias("reservoir_score"),
-        F.round("_w", 2).alias("weather_score"),
-        F.round("_h", 2).alias("historical_risk_score"),
-        F.coalesce("trigger_reservoirs", F.lit("")).alias("trigger_reservoirs"),
-        F.coalesce("trigger_reservoir_statuses", F.lit("")).alias("trigger_reservoir_statuses"),
-        F.round(F.coalesce("max_reservoir_pct", F.lit(0.0)), 2).alias("max_reservoir_pct"),
-        F.round(F.coalesce("_rain", F.lit(0.0)), 2).alias("rainfall_forecast_mm"),
-        F.coalesce("_risk_level", F.lit(K.HISTORICAL_DEFAULT_LEVEL)).alias("historical_risk_level"),
-        F.coalesce("_subdistricts", F.lit(0)).cast("bigint").alias("affected_subdistricts_count"),
-        loaded.alias("loaded_at"), F.lit(target_date).alias("dt"))
+    day = F.lit(target_date)
+    return fact_flood_alert_daily(features.withColumn("feature_date", day), silver_weather.where(F.col("dt") == target_date),
+                                  silver_flood_risk, downstream_map, run_ts)
 
 
 def historical_by_province_month(silver_flood_risk: DataFrame) -> DataFrame:
@@ -137,7 +88,7 @@ def historical_by_province_month(silver_flood_risk: DataFrame) -> DataFrame:
 
 
 def fact_flood_alert_daily(features_daily: DataFrame, silver_weather: DataFrame, silver_flood_risk: DataFrame,
-                           downstream_map: DataFrame, run_ts: str | None = None, strategy: str = "auto") -> DataFrame:
+                           downstream_map: DataFrame, run_ts: str | None = None) -> DataFrame:
     """Alert rows for every (day, province) in the weather partitions, in one job.
 
     Equal to ``fact_flood_alert(..., D)`` restricted to D for days whose reservoir
@@ -150,7 +101,7 @@ def fact_flood_alert_daily(features_daily: DataFrame, silver_weather: DataFrame,
     first_wx = pick_first(wx, ["dt", "prov_code"], [F.col("forecast_date").desc_nulls_last(), F.col("prov_th"),
                                                    F.col("rainfall_forecast_mm").desc()])
     rain = first_wx.select("dt", "prov_code", F.coalesce(F.col("rainfall_forecast_mm"), F.lit(0.0)).alias("_rain"))
-    matched = match_upstream(features_daily, downstream_map, ["feature_date", "reservoir_id", "source"], strategy)
+    matched = match_upstream(features_daily, downstream_map, ["feature_date", "reservoir_id", "source"])
     res = reservoir_component(matched, ["prov_code", "feature_date"]).withColumnRenamed("feature_date", "dt")
     hist = historical_by_province_month(silver_flood_risk)
     j = (provinces.join(rain, ["dt", "prov_code"], "left").join(res, ["dt", "prov_code"], "left")

@@ -54,6 +54,20 @@ class Domain:
     def silver_flood_risk(self) -> DataFrame:
         return silver.silver_flood_risk(self.hazard)
 
+    # Silver of the run day, or the days up to it: the range is a pushed filter of the raw scan
+    def readings_window(self, days: int) -> DataFrame:
+        """Silver readings of the ``days`` days that end with the run day."""
+        span = (feat.shift(self.run_date, 1 - days), self.run_date)
+        return silver.silver_reservoir(adapters.bronze_readings(self.spark, self.sf_dir, span))
+
+    @cached_property
+    def readings_day(self) -> DataFrame:
+        return self.readings_window(1)
+
+    @cached_property
+    def weather_day(self) -> DataFrame:
+        return silver.silver_weather(adapters.bronze_weather(self.spark, self.sf_dir, (self.run_date, self.run_date)))
+
     # gold
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -69,7 +83,7 @@ class Domain:
 
     @cached_property
     def dim_weather(self) -> DataFrame:
-        return star.dim_weather(self.silver_weather, self.run_date)
+        return star.dim_weather(self.weather_day, self.run_date)
 
     @cached_property
     def fact_water(self) -> DataFrame:
@@ -82,9 +96,9 @@ class Domain:
     # features / alerts
     @cached_property
     def features(self) -> DataFrame:
-        return feat.reservoir_features(self.silver_reservoir, self.run_date)
+        return feat.reservoir_features(self.readings_window(feat.LOOKBACK), self.run_date)
 
     @cached_property
     def alerts(self) -> DataFrame:
-        return scoring.fact_flood_alert(self.features, self.silver_weather, self.silver_flood_risk,
+        return scoring.fact_flood_alert(self.features, self.weather_day, self.silver_flood_risk,
                                         self.downstream_map, self.run_date)

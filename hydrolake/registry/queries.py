@@ -55,7 +55,8 @@ def q_fact_water(spark, sf_dir):
 @register("mart_30d_trend")
 def q_mart_30d_trend(spark, sf_dir):
     d = _dom(spark, sf_dir)
-    return marts.mart_30d_trend(d.fact_water, d.dim_reservoir, d.dim_date, RUN_DATE)
+    from ..plans.star import fact_water
+    return marts.mart_30d_trend(fact_water(d.readings_window(31), None), d.dim_reservoir, d.dim_date, RUN_DATE)
 
 
 @register("silver_weather")
@@ -109,7 +110,8 @@ def q_fact_flood_alert(spark, sf_dir):
 @register("mart_hot_reservoirs")
 def q_mart_hot_reservoirs(spark, sf_dir):
     d = _dom(spark, sf_dir)
-    return marts.mart_hot_reservoirs(d.fact_water, d.dim_reservoir, d.dim_date, d.dim_location, d.dim_weather,
+    from ..plans.star import fact_water
+    return marts.mart_hot_reservoirs(fact_water(d.readings_day, None), d.dim_reservoir, d.dim_date, d.dim_location, d.dim_weather,
                                      RUN_DATE)
 
 
@@ -190,8 +192,7 @@ def q_flag_duplicates(spark, sf_dir):
 # ---------------------------------------------------------------- exports
 
 def _silver_day(d):
-    from pyspark.sql import functions as F
-    return d.silver_reservoir.where(F.col("dt") == RUN_DATE)
+    return d.readings_day
 
 
 @register("export_reservoirs")
@@ -209,8 +210,7 @@ def q_export_reservoirs_csv(spark, sf_dir):
 
 
 def _wx_day(d):
-    from pyspark.sql import functions as F
-    return d.silver_weather.where(F.col("dt") == RUN_DATE)
+    return d.weather_day
 
 
 @register("export_alerts")
@@ -287,8 +287,9 @@ def q_agg_count_by_partition(spark, sf_dir):
 
 @register("agg_province_risk")
 def q_agg_province_risk(spark, sf_dir):
-    from ..plans.scoring import historical_by_province
-    return historical_by_province(_dom(spark, sf_dir).silver_flood_risk, 6).withColumnsRenamed(
+    from pyspark.sql import functions as F
+    from ..plans.scoring import historical_by_province_month
+    return historical_by_province_month(_dom(spark, sf_dir).silver_flood_risk).where(F.col("_month") == 6).drop("_month").withColumnsRenamed(
         {"_max_risk": "max_risk_score", "_risk_level": "risk_level", "_subdistricts": "subdistrict_count"})
 
 
@@ -412,9 +413,9 @@ def q_scan_all_if_empty(spark, sf_dir):
 
 @register("scan_window")
 def q_scan_window(spark, sf_dir):
-    from ..plans.features import _shift
+    from ..plans.features import shift
     from ..sources.io import scan_window
-    return scan_window(_read_weather(spark, sf_dir), _shift(RUN_DATE, -6), RUN_DATE)
+    return scan_window(_read_weather(spark, sf_dir), shift(RUN_DATE, -6), RUN_DATE)
 
 
 @register("scan_partition_dates")
@@ -548,7 +549,7 @@ def q_stream_ingest(spark, sf_dir):
     d = _dom(spark, sf_dir)
     landing = written(spark, sf_dir, "landing",
                       lambda p: message_lines(d.bronze_readings, exclude=("_offset", "dt")).select("value")
-                      .repartition(8).write.mode("overwrite").text(p))
+                      .write.mode("overwrite").text(p))
     bronze, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_stream_ck")
     stream_ingest(spark, landing, bronze, ck, today=RUN_DATE)
     return spark.read.schema(MESSAGE_SCHEMA + ", bucket_source STRING, bucket_date STRING").json(bronze)
@@ -615,7 +616,7 @@ def q_bronze_weather_record(spark, sf_dir):
     from pyspark.sql import functions as F
     from ..plans.weather import bronze_weather_record
     d = _dom(spark, sf_dir)
-    api = (d.silver_weather.where(F.col("dt") == RUN_DATE)
+    api = (d.weather_day
            .select(F.col("prov_code").cast("int").alias("prov_code"), "temp_max_c", "temp_min_c",
                    "rainfall_forecast_mm", "humidity_pct", "wind_speed_kmh"))
     gen = d.provinces.select("prov_code", F.lit(31.0).alias("temp_max_c"), F.lit(24.0).alias("temp_min_c"),

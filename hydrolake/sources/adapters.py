@@ -21,37 +21,18 @@ from ..functions.classify import classify_rain
 REGION_CODES = ["C", "E", "NE", "N", "W", "S"]
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-# fact-sized inputs and their (unique or near-unique) row keys: if their files split into
-# fewer scan tasks than the cluster has cores (few row groups), spread them once on that key
-# so the scan-side stage is not capped.  Hash partitioning is deterministic (a re-run task
-# after an executor loss sends every row to the same reducer) and, unlike round-robin, needs
-# no local sort first; a row key (at most 7 lineitems per order) cannot be skewed.
-FACT_TABLES = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
-
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The driver table as a lazy DataFrame.  How finely it is split is Spark's business
+    (``spark.sql.files.maxPartitionBytes``)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-def min_parallelism(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-repartition an under-split input on ``key`` to the default parallelism.
 
-    A no-op at scale (inputs have far more splits than cores); on a few large
-    files with few row groups it lifts the scan-side stage from a handful of
-    tasks to all cores for the price of one shuffle of the pruned columns.
-    """
-    spark = df.sparkSession
-    n = spark.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() >= n:
+def between_days(df: DataFrame, column: str, days: tuple[str, str] | None) -> DataFrame:
+    """Rows whose raw timestamp lies on one of the days lo..hi; the range reaches the scan as a pushed filter."""
+    if days is None:
         return df
-    return df.repartition(n, key) if key else df.repartition(n)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver table as a (lazy, re-usable) DataFrame; the file listing is done once."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _TABLES:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        _TABLES[key] = min_parallelism(df, FACT_TABLES[name]) if name in FACT_TABLES else df
-    return _TABLES[key]
+    lo, hi = (F.to_timestamp(F.lit(d)) for d in days)
+    return df.where((F.col(column) >= lo) & (F.col(column) < hi + F.expr("INTERVAL 1 DAY")))
 
 
 def _day_str(ts) -> F.Column:
@@ -62,12 +43,12 @@ def _dbl_str(c) -> F.Column:
     return c.cast("double").cast("string")
 
 
-def bronze_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_readings(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None) -> DataFrame:
     """Raw reservoir/dam records (all fields strings, as landed NDJSON).
 
-    One record per lineitem: reservoir = supplier, reading day = ship date.
+    One record per lineitem: reservoir = supplier, reading day = ship date; ``days`` = (first, last) to read.
     """
-    li = table(spark, sf_dir, "lineitem").select(
+    li = between_days(table(spark, sf_dir, "lineitem"), "l_shipdate", days).select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_shipdate")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -107,9 +88,9 @@ def bronze_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_weather(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None) -> DataFrame:
     """Raw province weather forecasts: one per order; province = customer nation."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+    o = between_days(table(spark, sf_dir, "orders"), "o_orderdate", days).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                               "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")

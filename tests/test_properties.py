@@ -67,14 +67,13 @@ _text = st.lists(_alphabet, min_size=0, max_size=12).map("".join)
 
 @settings(max_examples=2, deadline=None)
 @given(st.lists(_text, min_size=5, max_size=25), st.lists(_text, min_size=3, max_size=12), st.booleans())
-def test_substring_join_strategies_agree_on_random_text(texts, pats, ci):
+def test_substring_join_on_random_text(texts, pats, ci):
     from hydrolake.operators.joins import substring_match_pairs
     spark = _session()
     t = spark.createDataFrame(list(enumerate(texts)), "tid int, t string")
     p = spark.createDataFrame(list(enumerate(pats)), "pid int, p string")
-    a = sorted(tuple(r) for r in substring_match_pairs(t, "tid", "t", p, "pid", "p", ci, "broadcast").collect())
-    b = sorted(tuple(r) for r in substring_match_pairs(t, "tid", "t", p, "pid", "p", ci, "ngram").collect())
+    a = sorted(tuple(r) for r in substring_match_pairs(t, "tid", p, "pid", [("t", "p", ci)]).collect())
     norm = (lambda s: s.strip().lower()) if ci else (lambda s: s.strip())
     want = sorted({(i, j) for i, x in enumerate(texts) for j, y in enumerate(pats)
                    if norm(x) and norm(y) and (norm(y) in norm(x) or norm(x) in norm(y))})
-    assert a == b == want
+    assert a == want
