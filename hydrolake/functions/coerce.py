@@ -13,7 +13,7 @@ def _c(c) -> Column:
 
 
 def coerce_numeric(c, default: float = 0.0) -> Column:
-    """Parse to double; unparsable, null or NaN -> ``default``.
+    """Parse to double; unparsable, null, NaN or infinite (however spelt) -> ``default``.
 
     ``try_cast`` keeps ANSI mode from raising; strings with a trailing type
     suffix (``'12d'``) are rejected as non-numeric.
@@ -21,12 +21,12 @@ def coerce_numeric(c, default: float = 0.0) -> Column:
     col = _c(c)
     s = F.trim(col.cast("string"))
     parsed = F.when(~s.rlike("(?i)[dfl]$"), s.try_cast("double"))
-    return F.coalesce(F.nanvl(parsed, F.lit(None).cast("double")), F.lit(float(default)))
+    return F.coalesce(null_if_nan(parsed), F.lit(float(default)))
 
 
 def coerce_int(c, default: int = 0) -> Column:
-    """``coerce_numeric`` truncated towards zero to a 64-bit integer."""
-    return coerce_numeric(c, float(default)).cast("bigint")
+    """``coerce_numeric`` truncated towards zero to a 64-bit integer; beyond its range -> ``default``."""
+    return F.coalesce(coerce_numeric(c, float(default)).try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
 def null_if_nan(c) -> Column:

@@ -160,6 +160,12 @@ def dq_summary(report: DataFrame, group: list[str] | None = None) -> DataFrame:
     return s.withColumn("overall", F.when(F.col("failed") > 0, F.lit("FAIL")).otherwise(F.lit("PASS")))
 
 
+def gate_verdicts(report: DataFrame, group: list[str]) -> DataFrame:
+    """Per run: the number of critical failures, and whether the gate halts it."""
+    failed = F.count_if((F.col("status") == "FAIL") & F.col("critical"))
+    return report.groupBy(*group).agg(failed.alias("critical_failures"), (failed > 0).alias("halts"))
+
+
 class QualityGateError(RuntimeError):
     pass
 

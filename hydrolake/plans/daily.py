@@ -2,8 +2,9 @@
 
 A plain function calling the transforms in order (no scheduler).  Every step
 writes a table under ``lake`` (dynamic partition overwrite, so a re-run of a
-day replaces that day only) and later steps read those tables back, which also
-cuts the lineage between steps.
+day replaces that day only) and later steps read those tables back with their
+schemas, which cuts the lineage between steps and lets an empty day through to
+the gate.
 """
 
 from __future__ import annotations
@@ -11,42 +12,79 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import dq_gate, dq_report
+from ..operators.quality import dq_gate, dq_report, dq_summary
+from ..schemas import GOLD_TABLES
 from ..sources import io
-from . import exports, features, scoring, silver, star
+from . import exports, features, marts, scoring, silver, star
+
+TABLES = ("silver_reservoir", "silver_weather", "silver_flood_risk", "dq", "dim_date", "dim_reservoir", "dim_location",
+          "dim_weather", "fact_water", "fact_flood_risk", "features", "alerts", "export_alerts", "export_alerts_csv",
+          "export_alerts_json", "export_reservoirs", "export_reservoirs_csv", "export_reservoirs_json", "export_meta")
+
+
+def paths(lake: str) -> dict[str, str]:
+    return {k: f"{lake.rstrip('/')}/{k}" for k in TABLES}
+
+
+def ddl(columns: list[tuple[str, str]]) -> str:
+    return ", ".join(f"{c} {t}" for c, t in columns)
 
 
 def run_daily(spark: SparkSession, run_date: str, lake: str, bronze_readings: DataFrame, bronze_weather: DataFrame,
               hazard: DataFrame, downstream_map: DataFrame, provinces: DataFrame) -> dict[str, str]:
     """Run one day end to end; returns the written table paths."""
-    p = {k: f"{lake.rstrip('/')}/{k}" for k in ("silver_reservoir", "silver_weather", "silver_flood_risk", "dq",
-                                                   "dim_reservoir", "dim_location", "fact_water", "features",
-                                                   "alerts", "export_alerts", "export_reservoirs")}
+    p = paths(lake)
     day = F.col("dt") == run_date
     io.sink_partitioned(silver.silver_reservoir(bronze_readings.where(day)), p["silver_reservoir"])
     io.sink_partitioned(silver.silver_weather(bronze_weather.where(day)), p["silver_weather"])
     silver.silver_flood_risk(hazard).write.mode("overwrite").parquet(p["silver_flood_risk"])
 
-    sres = spark.read.parquet(p["silver_reservoir"]).withColumn("dt", F.col("dt").cast("string"))
-    swx = spark.read.parquet(p["silver_weather"]).withColumn("dt", F.col("dt").cast("string"))
-    srisk = spark.read.parquet(p["silver_flood_risk"])
+    sres = spark.read.schema(ddl(silver.SILVER_RESERVOIR_COLS)).parquet(p["silver_reservoir"])
+    swx = spark.read.schema(ddl(silver.SILVER_WEATHER_COLS)).parquet(p["silver_weather"])
+    srisk = spark.read.schema(ddl(silver.SILVER_FLOOD_RISK_COLS)).parquet(p["silver_flood_risk"])
 
+    # the report replaces that of an earlier run of the day, and the gate judges this report alone
     report = dq_report(sres.where(day), "silver_reservoir").withColumn("run_date", F.lit(run_date))
-    report.write.mode("append").partitionBy("run_date").parquet(p["dq"])
-    dq_gate(spark.read.parquet(p["dq"]).where(F.col("run_date") == run_date))   # halts on a critical failure
+    (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(p["dq"]))
+    report = spark.read.schema(report.schema).parquet(p["dq"]).where(F.col("run_date") == run_date)
+    dq_gate(report)   # halts on a critical failure
 
+    star.dim_date_for(sres, "record_date").write.mode("overwrite").parquet(p["dim_date"])
     star.dim_reservoir(sres).write.mode("overwrite").parquet(p["dim_reservoir"])
     star.dim_location(srisk).write.mode("overwrite").parquet(p["dim_location"])
-    dres = spark.read.parquet(p["dim_reservoir"])
-    io.sink_partitioned(star.fact_water(sres, dres, run_date), p["fact_water"])
+    io.sink_partitioned(star.dim_weather(swx, run_date), p["dim_weather"])
+    gold = {k: spark.read.schema(GOLD_TABLES[k][0]).parquet(p[k]) for k in ("dim_reservoir", "dim_location", "dim_weather")}
+    io.sink_partitioned(star.fact_water(sres, gold["dim_reservoir"], run_date), p["fact_water"])
+    io.sink_partitioned(star.fact_flood_risk(srisk, gold["dim_location"], gold["dim_weather"], run_date), p["fact_flood_risk"])
 
-    feats = features.reservoir_features(sres, run_date)
-    io.sink_partitioned(feats.withColumn("dt", F.lit(run_date)), p["features"])
-    feats = spark.read.parquet(p["features"]).where(day)
-    alerts = scoring.fact_flood_alert(feats, swx, srisk, downstream_map, run_date)
-    io.sink_partitioned(alerts, p["alerts"], "orc")
+    feats = features.reservoir_features(sres, run_date).withColumn("dt", F.lit(run_date))
+    io.sink_partitioned(feats, p["features"])
+    feats = spark.read.schema(feats.schema).parquet(p["features"]).where(day)
+    io.sink_partitioned(scoring.fact_flood_alert(feats, swx, srisk, downstream_map, run_date), p["alerts"], "orc")
 
-    gold = spark.read.orc(p["alerts"]).withColumn("dt", F.col("dt").cast("string")).where(day)
-    exports.export_alerts(gold, swx.where(day)).write.mode("overwrite").parquet(p["export_alerts"])
+    alerts = spark.read.schema(GOLD_TABLES["fact_flood_alert"][0]).orc(p["alerts"])
+    exports.export_alerts(exports.day_or_latest(alerts, run_date), exports.day_or_latest(swx, run_date)).write.mode("overwrite").parquet(p["export_alerts"])
     exports.export_reservoirs(sres.where(day), feats).write.mode("overwrite").parquet(p["export_reservoirs"])
+    out_alerts, out_res = (spark.read.parquet(p[k]) for k in ("export_alerts", "export_reservoirs"))
+    io.sink_csv_bom(exports.export_alerts_csv(out_alerts, provinces), p["export_alerts_csv"], exports.ALERT_CSV_COLS)
+    io.sink_csv_bom(exports.export_reservoirs_csv(out_res), p["export_reservoirs_csv"], exports.RESERVOIR_EXPORT_COLS)
+    for name, frame in (("export_alerts_json", out_alerts), ("export_reservoirs_json", out_res)):
+        exports.nan_to_null(frame).write.mode("overwrite").option("ignoreNullFields", False).json(p[name])
+    exports.export_meta_row(run_date, out_res, out_alerts, dq_summary(report)).write.mode("overwrite").json(p["export_meta"])
     return p
+
+
+def marts_from_lake(spark: SparkSession, lake: str, run_date: str) -> dict[str, DataFrame]:
+    """The three marts over the written Gold tables."""
+    p = paths(lake)
+
+    def gold(name: str, schema: str | None = None) -> DataFrame:
+        return spark.read.schema(GOLD_TABLES[schema or name][0]).parquet(p[name])
+
+    water, dates = gold("fact_water", "fact_water_monitoring"), gold("dim_date")
+    # dim_weather is one run's table in these marts
+    weather = gold("dim_weather").where(F.col("dt") == run_date)
+    risk = gold("fact_flood_risk").where(F.col("dt") == run_date)
+    return {"mart_30d_trend": marts.mart_30d_trend(water, gold("dim_reservoir"), dates, run_date),
+            "mart_hot_reservoirs": marts.mart_hot_reservoirs(water, gold("dim_reservoir"), dates, gold("dim_location"), weather, run_date),
+            "mart_top10_subdistricts": marts.mart_top10_subdistricts(risk, gold("dim_location"), weather, run_date)}

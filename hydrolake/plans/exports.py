@@ -11,6 +11,7 @@ from ..functions.classify import (alert_level, alert_level_en, blank_sentinel, c
                                   recompute_percent, region_from_code, weather_component)
 from ..functions.coerce import null_if_nan
 from ..operators.joins import fallback_whole
+from ..sources.io import scan_latest_partition
 
 RESERVOIR_EXPORT_COLS = ["reservoir_id", "reservoir_name", "source", "region", "record_date", "capacity_mcm",
                          "volume_mcm", "percent_storage", "inflow_mcm", "outflow_mcm", "net_flow_mcm",
@@ -84,8 +85,17 @@ def weather_only_alerts(silver_weather_day: DataFrame) -> DataFrame:
         F.lit("").alias("historical_risk_level"), F.lit(0).cast("bigint").alias("affected_subdistricts_count"))
 
 
+def day_or_latest(df: DataFrame, dt: str) -> DataFrame:
+    """The day's partition, or the most recent one if the day has none."""
+    return scan_latest_partition(df, dt)
+
+
 def export_alerts(gold_alerts: DataFrame, silver_weather_day: DataFrame) -> DataFrame:
-    """Gold alerts if any exist, else the weather-only fallback; score descending."""
+    """Gold alerts if any exist, else the weather-only fallback; score descending.
+
+    Given ``day_or_latest`` of both, this is: the day's alerts, else the latest
+    alerts, else the day's weather, else the latest weather.
+    """
     out = fallback_whole(gold_alerts_for_export(gold_alerts), weather_only_alerts(silver_weather_day))
     return out.orderBy(F.col("alert_score").desc(), "prov_code")
 
@@ -93,7 +103,7 @@ def export_alerts(gold_alerts: DataFrame, silver_weather_day: DataFrame) -> Data
 def export_alerts_csv(alerts_export: DataFrame, provinces: DataFrame) -> DataFrame:
     """CSV shape: English level, coordinates by province name (left join), English region."""
     coords = provinces.select(F.col("prov_th"), F.col("lat"), F.col("lon")).dropDuplicates(["prov_th"])
-    df = alerts_export.join(F.broadcast(coords), "prov_th", "left")
+    df = alerts_export.join(coords, "prov_th", "left")
     df = df.withColumn("alert_level_en", alert_level_en("alert_level")).withColumn(
         "region_en", region_from_code("prov_code", english=True))
     return df.select(*ALERT_CSV_COLS)

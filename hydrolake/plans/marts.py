@@ -50,7 +50,7 @@ def mart_top10_subdistricts(fact_risk: DataFrame, dim_loc: DataFrame, dim_wx: Da
     building the province x weather fan-out.
     """
     dk = int(dt.replace("-", ""))
-    w = dim_wx.groupBy("prov_code").agg(F.sum("rainfall_forecast_mm").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    w = dim_wx.groupBy("prov_code").agg(F.sum("rainfall_forecast_mm").alias("_s"), F.count("rainfall_forecast_mm").alias("_n"))
     latest = dim_wx.where(F.col("date_key") == dk).groupBy("prov_code").agg(F.count(F.lit(1)).alias("_m"))
     loc = dim_loc.select("location_key", "geocode", "tambon_th", "amphoe_th", "prov_th", "region", "prov_code")
     j = (fact_risk.select("location_key", "historical_flood_count", "risk_level", "flood_criteria")

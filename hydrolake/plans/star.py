@@ -14,6 +14,7 @@ from ..functions import constants as K
 from ..functions.classify import normalize_region, recompute_percent, region_from_code
 from ..functions.dates import date_key, date_parts, month_start_key
 from ..functions.keys import fact_key, natural_int_key, reservoir_key
+from ..operators.joins import pick_first
 
 
 def dim_date(spark: SparkSession, start: str = K.DIM_DATE_START, end: str = K.DIM_DATE_END) -> DataFrame:
@@ -108,6 +109,9 @@ def fact_flood_risk(silver_flood_risk: DataFrame, dim_loc: DataFrame, dim_wx: Da
     year, month = int(dt[:4]), int(dt[5:7])
     risk = silver_flood_risk.where(F.col("month") == month)
     wx = dim_wx.where(F.col("dt") == dt) if "dt" in dim_wx.columns else dim_wx
+    # one weather row per province: the latest forecast, so risk rows are never multiplied
+    wx = pick_first(wx, ["prov_code"], [F.desc_nulls_last("date_key"), F.desc_nulls_last("rainfall_forecast_mm"),
+                                        F.desc_nulls_last("is_heavy_rain_24h"), "weather_key"])
     j = (risk.drop("prov_code").join(dim_loc.select("geocode", "location_key", "prov_code"), "geocode")
          .join(wx.select("prov_code", "weather_key", "rainfall_forecast_mm", "is_heavy_rain_24h"), "prov_code"))
     loaded = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")

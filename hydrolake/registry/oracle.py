@@ -816,3 +816,24 @@ SELECT lpad(CAST("GEOCODE" AS VARCHAR), 6, '0') AS geocode, TRY_CAST("Month" AS
   COALESCE(TRY_CAST("COUNT 17 YEAR" AS INTEGER), 0) AS flood_count_17yr, "CRITERIA" AS flood_criteria, "RISK" AS risk_level,
   CASE "RISK" WHEN 'เสี่ยงต่ำ' THEN 1 WHEN 'เสี่ยงปานกลาง' THEN 2 WHEN 'เสี่ยงสูง' THEN 3 WHEN 'เสี่ยงสูงมาก' THEN 4 ELSE 0 END AS risk_score
 FROM hazard WHERE "GEOCODE" IS NOT NULL AND TRY_CAST("Month" AS INTEGER) BETWEEN 1 AND 12""")
+
+# ---------------------------------------------------------------- written Gold, states, gates
+
+oracle("join_fact_dim", ["fact_water"], "SELECT * FROM fact_water")
+oracle("derive_flag", ["silver_weather"],
+       "SELECT * REPLACE (rainfall_forecast_mm >= 35.0 AS is_heavy_rain_24h) FROM silver_weather")
+oracle("dq_gate", ["dq_staged"], """
+SELECT dt, count_if(status = 'FAIL' AND critical) AS critical_failures, count_if(status = 'FAIL' AND critical) > 0 AS halts
+FROM dq_staged GROUP BY dt""")
+oracle("sink_dq_report", ["dq_staged"], "SELECT dt, rule, status, critical, total_rows, failed_rows FROM dq_staged")
+oracle("insert_overwrite_partition", ["silver_weather"], "SELECT * FROM silver_weather")
+ORACLES["mart_from_lake"] = ORACLES["mart_30d_trend"]
+oracle("export_alerts_latest", ["silver_weather"],
+       ALERT_EXPORT_WX.replace(f"dt = '{RUN_DATE}'", "dt = (SELECT max(dt) FROM silver_weather)"))
+oracle("watermark_state", ["bronze_readings"],
+       "SELECT max(fetched_at) AS watermark, CAST(0 AS BIGINT) AS still_accepted FROM bronze_readings")
+oracle("producer_state", ["bronze_weather"],
+       "SELECT max(dt) AS last_date, count(DISTINCT dt) AS processed_count FROM bronze_weather")
+oracle("backfill_dates", ["bronze_weather"], f"""
+SELECT strftime(d, '%Y-%m-%d') AS dt, (SELECT count(*) FROM bronze_weather w WHERE w.dt = strftime(d, '%Y-%m-%d')) AS forecasts
+FROM (SELECT unnest(generate_series(DATE '{RUN_DATE}' - INTERVAL 30 DAY, DATE '{RUN_DATE}' - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d) t""")

@@ -19,15 +19,9 @@ def register(name: str):
     return deco
 
 
-_DOMAINS: dict[tuple, Domain] = {}
-
-
 def _dom(spark, sf_dir) -> Domain:
-    """One Domain (lazy plans, no cached data) per session and folder, shared by all queries."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _DOMAINS:
-        _DOMAINS[key] = Domain(spark, sf_dir)
-    return _DOMAINS[key]
+    """Lazy plans over the folder as it is now."""
+    return Domain(spark, sf_dir)
 
 
 @register("silver_reservoir")
@@ -435,10 +429,9 @@ def q_scan_mixed_formats(spark, sf_dir):
 
     def build(p):
         write_partitioned(fr.where(F.col("month") <= 6), p, "parquet", ("month",))
-        fr.where(F.col("month") > 6).repartition("month").write.mode("append").format("orc") \
-            .partitionBy("month").save(p)
+        fr.where(F.col("month") > 6).hint("rebalance", "month").write.mode("append").format("orc").partitionBy("month").save(p)
     root = written(spark, sf_dir, "flood_risk_mixed", build)
-    return scan_mixed_formats(spark, root).withColumn("month", F.col("month").cast("bigint"))
+    return scan_mixed_formats(spark, root, fr.schema).select(*fr.columns)
 
 
 @register("sink_orc_partition")
@@ -491,7 +484,7 @@ def q_scan_csv_bom(spark, sf_dir):
     from .written import written
     d = _dom(spark, sf_dir)
     cols = d.hazard.columns
-    root = written(spark, sf_dir, "hazard_csv", lambda p: sink_csv_bom(d.hazard, p, cols, single_file=False))
+    root = written(spark, sf_dir, "hazard_csv", lambda p: sink_csv_bom(d.hazard, p, cols))
     schema = ", ".join(f"`{c}` {'BIGINT' if c == '_offset' else 'STRING'}" for c in cols)
     return silver_flood_risk(scan_csv(spark, root, schema)).drop("silver_loaded_at")
 
@@ -544,14 +537,14 @@ def q_extract_forecast_payload(spark, sf_dir):
 def q_stream_ingest(spark, sf_dir):
     """Drain a landing folder of JSON messages with an availableNow stream into Bronze buckets."""
     from ..session import scratch_path
-    from ..streaming.ingest import MESSAGE_SCHEMA, stream_ingest
+    from ..streaming.ingest import MESSAGE_SCHEMA, file_source, stream_ingest
     from .written import message_lines, written
     d = _dom(spark, sf_dir)
     landing = written(spark, sf_dir, "landing",
                       lambda p: message_lines(d.bronze_readings, exclude=("_offset", "dt")).select("value")
                       .write.mode("overwrite").text(p))
     bronze, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_stream_ck")
-    stream_ingest(spark, landing, bronze, ck, today=RUN_DATE)
+    stream_ingest(file_source(spark, landing), bronze, ck, today=RUN_DATE)
     return spark.read.schema(MESSAGE_SCHEMA + ", bucket_source STRING, bucket_date STRING").json(bronze)
 
 
@@ -573,7 +566,7 @@ def q_ingest_static_table(spark, sf_dir):
     from .written import written
     d = _dom(spark, sf_dir)
     cols = d.hazard.columns
-    src = written(spark, sf_dir, "hazard_csv", lambda p: sink_csv_bom(d.hazard, p, cols, single_file=False))
+    src = written(spark, sf_dir, "hazard_csv", lambda p: sink_csv_bom(d.hazard, p, cols))
     schema = ", ".join(f"`{c}` {'BIGINT' if c == '_offset' else 'STRING'}" for c in cols)
     dst = scratch_path(spark, "static_flood_risk")
     for _ in range(2):   # loading twice leaves one copy
@@ -717,3 +710,116 @@ def q_silver_weather_sql(spark, sf_dir):
 def q_silver_flood_risk_sql(spark, sf_dir):
     from ..plans.silver_sql import silver_flood_risk_sql
     return silver_flood_risk_sql(_dom(spark, sf_dir).hazard).drop("silver_loaded_at")
+
+
+# ---------------------------------------------------------------- written Gold, states, gates
+
+@register("join_fact_dim")
+def q_join_fact_dim(spark, sf_dir):
+    """Facts with the surrogate keys of the reservoir dimension."""
+    from ..plans.star import fact_water
+    d = _dom(spark, sf_dir)
+    return fact_water(d.silver_reservoir, d.dim_reservoir).drop("loaded_at")
+
+
+@register("derive_flag")
+def q_derive_flag(spark, sf_dir):
+    """A weather feed without the heavy-rain flag: it is derived from the rainfall."""
+    from ..plans.silver import silver_weather
+    return silver_weather(_dom(spark, sf_dir).bronze_weather.drop("is_heavy_rain_24h")).drop("silver_loaded_at")
+
+
+@register("dq_gate")
+def q_dq_gate(spark, sf_dir):
+    """The gate's verdict for every day's report."""
+    from ..operators.quality import dq_report, gate_verdicts
+    return gate_verdicts(dq_report(_staged(_dom(spark, sf_dir)), "staged_reservoir", group=["dt"]), ["dt"])
+
+
+@register("sink_dq_report")
+def q_sink_dq_report(spark, sf_dir):
+    """Reports written by day and read back."""
+    from ..operators.quality import dq_report
+    from ..session import scratch_path
+    from ..sources.io import sink_partitioned
+    report = dq_report(_staged(_dom(spark, sf_dir)), "staged_reservoir", group=["dt"])
+    path = scratch_path(spark, "dq_reports")
+    sink_partitioned(report, path)
+    return spark.read.schema(report.schema).parquet(path).select("dt", "rule", "status", "critical", "total_rows", "failed_rows")
+
+
+@register("insert_overwrite_partition")
+def q_insert_overwrite_partition(spark, sf_dir):
+    """INSERT OVERWRITE of the run day's partition of a catalogue table that holds all days."""
+    import uuid
+    from ..session import scratch_path
+    from ..sources.io import insert_overwrite_partition, register_external, sink_partitioned
+    d = _dom(spark, sf_dir)
+    name, path, cols = f"weather_{uuid.uuid4().hex[:12]}", scratch_path(spark, "weather_table"), _weather_schema()
+    sink_partitioned(d.silver_weather.drop("silver_loaded_at"), path)
+    register_external(spark, name, cols, path)
+    try:
+        insert_overwrite_partition(spark, name, d.weather_day.drop("silver_loaded_at"))
+    finally:
+        spark.sql(f"DROP TABLE {name}")     # external: the files stay
+    return spark.read.schema(cols).parquet(path)
+
+
+@register("mart_from_lake")
+def q_mart_from_lake(spark, sf_dir):
+    """The 30-day mart over Gold tables written to the lake and read back."""
+    from ..plans import daily
+    from ..plans.star import fact_water
+    from ..session import scratch_path
+    from ..sources.io import sink_partitioned
+    d, lake = _dom(spark, sf_dir), scratch_path(spark, "lake")
+    p = daily.paths(lake)
+    d.dim_reservoir.write.parquet(p["dim_reservoir"])
+    d.dim_date.write.parquet(p["dim_date"])
+    d.dim_location.write.parquet(p["dim_location"])
+    sink_partitioned(d.dim_weather, p["dim_weather"])
+    sink_partitioned(d.fact_flood_risk, p["fact_flood_risk"])
+    sink_partitioned(fact_water(d.silver_reservoir, spark.read.parquet(p["dim_reservoir"])), p["fact_water"])
+    return daily.marts_from_lake(spark, lake, RUN_DATE)["mart_30d_trend"]
+
+
+@register("export_alerts_latest")
+def q_export_alerts_latest(spark, sf_dir):
+    """Export for a day without alerts, in a lake without any: the latest weather partition."""
+    from pyspark.sql import functions as F
+    from ..plans.exports import day_or_latest, export_alerts
+    d = _dom(spark, sf_dir)
+    return export_alerts(day_or_latest(d.alerts.where(F.col("dt") < "1900-01-01"), "2099-01-01"), day_or_latest(d.silver_weather, "2099-01-01"))
+
+
+@register("watermark_state")
+def q_watermark_state(spark, sf_dir):
+    """The mark saved after a load, and how many messages a second load would still accept."""
+    from pyspark.sql import functions as F
+    from ..session import scratch_path
+    from ..streaming.ingest import watermark_filter
+    from ..streaming.state import load_watermark, save_watermark
+    b, state = _dom(spark, sf_dir).bronze_readings, scratch_path(spark, "watermark")
+    save_watermark(spark, state, watermark_filter(b, load_watermark(spark, state)))
+    mark = load_watermark(spark, state)
+    return watermark_filter(b, mark).agg(F.lit(mark).alias("watermark"), F.count(F.lit(1)).alias("still_accepted"))
+
+
+@register("producer_state")
+def q_producer_state(spark, sf_dir):
+    """The ledger after two batches of forecast days."""
+    from pyspark.sql import functions as F
+    from ..streaming.state import update_ledger
+    days = _dom(spark, sf_dir).bronze_weather.select(F.col("dt").alias("fetch_date")).distinct()
+    first = update_ledger(None, days.where(F.col("fetch_date") < RUN_DATE))
+    return update_ledger(first, days.where(F.col("fetch_date") >= RUN_DATE))
+
+
+@register("backfill_dates")
+def q_backfill_dates(spark, sf_dir):
+    """Days that a first run on the run date fetches, with the forecasts that there are for them."""
+    from pyspark.sql import functions as F
+    from ..streaming.state import backfill_dates
+    days = backfill_dates(spark, RUN_DATE, 30).select(F.date_format("fetch_date", "yyyy-MM-dd").alias("dt"))
+    found = _dom(spark, sf_dir).bronze_weather.groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
+    return days.join(found, "dt", "left").select("dt", F.coalesce("n", F.lit(0)).alias("forecasts"))

@@ -1,4 +1,4 @@
-"""Tables derived from the driver's data and written once per session into the
+"""Tables derived from the driver's data and written into the
 shared checkpoint folder (the lake the scan / sink / stream queries read)."""
 
 from __future__ import annotations
@@ -12,8 +12,16 @@ from ..sources import io
 _WRITTEN: dict[tuple, str] = {}
 
 
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and modification times of the input tables."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 def written(spark: SparkSession, sf_dir: str, name: str, build) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """The table's folder; it is written once per application and state of the input."""
+    key = (spark.sparkContext.applicationId, sf_dir, name, _state(spark, sf_dir))
     if key not in _WRITTEN:
         path = scratch_path(spark, name)
         build(path)

@@ -46,7 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; we never
-    override it.  Local runs (tests, bench) get a fresh temp folder.
+    override it, and without one there is no folder that all machines see.
+    Local runs (tests, bench) get a fresh temp folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="hydrolake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -9,6 +9,8 @@ everything if the day is empty) are scalar / EXISTS subqueries, not driver-side
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -76,23 +78,22 @@ def scan_all_if_empty(df: DataFrame, dt: str, part_col: str = "dt") -> DataFrame
     return df.where((F.col(part_col) == dt) | ~has_day.exists())
 
 
-def scan_mixed_formats(spark: SparkSession, root: str) -> DataFrame:
-    """A partitioned folder holding ``.parquet`` and/or ``.orc`` files."""
-    pq = spark.read.option("pathGlobFilter", "*.parquet").parquet(root)
-    orc = spark.read.option("pathGlobFilter", "*.orc").orc(root)
-    return pq.unionByName(orc, allowMissingColumns=True)
+def scan_mixed_formats(spark: SparkSession, root: str, schema: StructType | str) -> DataFrame:
+    """A partitioned folder holding ``.parquet`` and/or ``.orc`` files; either may be absent."""
+    def of(fmt: str) -> DataFrame:
+        return spark.read.schema(schema).option("pathGlobFilter", f"*.{fmt}").format(fmt).load(root)
+    return of("parquet").unionByName(of("orc"))
 
 
 def partition_dates(frames: list[DataFrame], part_col: str = "dt", include: str | None = None) -> DataFrame:
     """Sorted distinct valid ``yyyy-MM-dd`` partition values across several roots
     (plus ``include``); only the partition column is read."""
-    vals = None
-    for f in frames:
-        v = f.select(F.col(part_col).cast("string").alias("dt"))
-        vals = v if vals is None else vals.unionByName(v)
     spark = frames[0].sparkSession
+    # distinct per root (combined in each task) before the union
+    each = [f.select(F.col(part_col).cast("string").alias("dt")).distinct() for f in frames]
     if include is not None:
-        vals = vals.unionByName(spark.createDataFrame([(include,)], "dt string"))
+        each.append(spark.range(1).select(F.lit(include).alias("dt")))
+    vals = reduce(DataFrame.unionByName, each)
     vals = vals.where(F.try_to_date(F.col("dt"), "yyyy-MM-dd").isNotNull() & F.col("dt").rlike(r"^\d{4}-\d{2}-\d{2}$"))
     return vals.distinct().orderBy("dt")
 
@@ -104,15 +105,11 @@ def sink_partitioned(df: DataFrame, path: str, fmt: str = "parquet", part_cols:
     """Write partitioned by ``part_cols``; with dynamic overwrite only the partitions
     present in ``df`` are replaced (idempotent re-runs).
 
-    Rows are range-partitioned on (partition columns, row hash): sampled range
-    bounds give every writer a similar share, so cold partition values share a
-    task (about one file per value) while a hot value (say a third of all rows)
-    is split across several writers instead of landing on one.
+    A rebalance on the partition columns gathers cold partition values (about one
+    file per value) and splits a hot one (say a third of all rows) across several
+    writers, by the sizes seen at run time and without sampling the input first.
     """
-    spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    (df.repartitionByRange(n, *part_cols, spread).write.mode(mode).format(fmt).option("compression", "snappy")
+    (df.hint("rebalance", *part_cols).write.mode(mode).format(fmt).option("compression", "snappy")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*part_cols).save(path))
 
 
@@ -126,7 +123,7 @@ def sink_bronze_buckets(df: DataFrame, path: str, today: str) -> None:
     sink_partitioned(out, path, "json", ("bucket_source", "bucket_date"), mode="append")
 
 
-def sink_csv_bom(df: DataFrame, path: str, columns: list[str], single_file: bool = True) -> None:
+def sink_csv_bom(df: DataFrame, path: str, columns: list[str], single_file: bool = False) -> None:
     """UTF-8 CSV with a BOM and header in a fixed column order.  The BOM is written as
     the first character of the first header, so every part file starts with it;
     ``single_file`` (report-sized exports only) coalesces to one file."""

@@ -15,7 +15,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .state import EPOCH
+from .state import EPOCH, load_watermark, save_watermark
 
 MESSAGE_SCHEMA = ("source STRING, reservoir_id STRING, reservoir_name STRING, region STRING, owner STRING, "
                   "record_date STRING, date STRING, capacity_mcm STRING, volume_mcm STRING, percent_storage STRING, "
@@ -29,12 +29,12 @@ def message_key(df: DataFrame) -> DataFrame:
 
 
 def decode_messages(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """JSON-decode message values; malformed messages (NULL struct) are skipped."""
-    parsed = raw.select(F.from_json(F.col(value_col).cast("string"), MESSAGE_SCHEMA,
-                                    {"mode": "PERMISSIVE"}).alias("m"))
+    """The listed fields of each JSON message and its raw text as ``value``; malformed messages are skipped."""
+    text = F.col(value_col).cast("string")
+    parsed = raw.select(text.alias("value"), F.from_json(text, MESSAGE_SCHEMA, {"mode": "PERMISSIVE"}).alias("m"))
     # a malformed message parses to NULL or to an all-NULL struct: skip both
     useful = F.coalesce(F.col("m.reservoir_id"), F.col("m.source"), F.col("m.fetched_at"), F.col("m.record_date"))
-    return parsed.where(F.col("m").isNotNull() & useful.isNotNull()).select("m.*")
+    return parsed.where(F.col("m").isNotNull() & useful.isNotNull()).select("value", "m.*")
 
 
 def watermark_filter(df: DataFrame, watermark: str = EPOCH) -> DataFrame:
@@ -52,23 +52,41 @@ def bucket_columns(df: DataFrame, today: str) -> DataFrame:
         .alias("bucket_date"))
 
 
-def stream_ingest(spark: SparkSession, landing: str, bronze: str, checkpoint: str, watermark: str = EPOCH,
-                  today: str | None = None, fmt: str = "text", max_files_per_batch: int = 1000) -> None:
-    """Drain every message in ``landing`` into Bronze NDJSON partitioned by
-    (bucket_source, bucket_date), then stop.  Re-running only processes new files.
-    Micro-batches are bounded by ``max_files_per_batch`` (Kafka: maxOffsetsPerTrigger)."""
+#: Writers that may share a hot bucket in one micro-batch.
+BUCKET_WRITERS = 16
+
+
+def file_source(spark: SparkSession, landing: str, max_files_per_batch: int = 1000) -> DataFrame:
+    """A landing folder of JSON lines, in micro-batches of bounded size."""
+    return spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_batch).load(landing)
+
+
+def kafka_source(spark: SparkSession, bootstrap: str, topic: str, max_offsets_per_batch: int = 1_000_000) -> DataFrame:
+    """Production source (needs the Kafka connector on the classpath)."""
+    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("subscribe", topic)
+            .option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", max_offsets_per_batch).load())
+
+
+def stream_ingest(source: DataFrame, bronze: str, checkpoint: str, watermark: str = EPOCH, today: str | None = None) -> None:
+    """Drain a streaming frame of messages (``value``) into Bronze, then stop.
+
+    Bronze holds the messages as they came, one JSON line each with every field, in
+    (bucket_source, bucket_date) folders.  Re-running only processes new input.
+    """
     today = today or _dt.date.today().isoformat()
-    raw = spark.readStream.format(fmt).option("maxFilesPerTrigger", max_files_per_batch).load(landing)
-    recs = bucket_columns(watermark_filter(decode_messages(raw), watermark), today)
-    # cluster each micro-batch by bucket so every (source, date) folder gets one file per batch
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    recs = recs.repartition(n, "bucket_source", "bucket_date")
-    q = (recs.writeStream.format("json").option("checkpointLocation", checkpoint)
+    recs = bucket_columns(watermark_filter(decode_messages(source), watermark), today)
+    # a micro-batch often has one or two buckets only: spread each over several writers
+    recs = (recs.select("value", "bucket_source", "bucket_date")
+            .repartition("bucket_source", "bucket_date", F.pmod(F.xxhash64("value"), F.lit(BUCKET_WRITERS))))
+    q = (recs.writeStream.format("text").option("checkpointLocation", checkpoint)
          .partitionBy("bucket_source", "bucket_date").outputMode("append").trigger(availableNow=True).start(bronze))
     q.awaitTermination()
 
 
-def kafka_source(spark: SparkSession, bootstrap: str, topic: str) -> DataFrame:
-    """Production source (needs the Kafka connector on the classpath)."""
-    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-            .option("subscribe", topic).option("startingOffsets", "earliest").load())
+def incremental_load(source: DataFrame, bronze: str, checkpoint: str, state: str, today: str | None = None) -> str:
+    """Load the high-water mark, ingest what is newer, save the new mark; returns the mark used."""
+    spark = source.sparkSession
+    mark = load_watermark(spark, state)
+    stream_ingest(source, bronze, checkpoint, mark, today)
+    save_watermark(spark, state, spark.read.schema(MESSAGE_SCHEMA).json(bronze))
+    return mark

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +12,12 @@ EPOCH = "1970-01-01T00:00:00+00:00"
 def load_watermark(spark: SparkSession, path: str) -> str:
     """Last accepted ``fetched_at`` (default: epoch).  One-row table -> one driver value."""
     try:
-        row = spark.read.parquet(path).agg(F.max("last_fetched_at").alias("w")).first()
-    except Exception:  # noqa: BLE001 - absent state table = first run
+        state = spark.read.schema("last_fetched_at STRING, updated_at TIMESTAMP").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":     # only an absent state table is a first run
+            raise
         return EPOCH
-    return row["w"] or EPOCH
+    return state.agg(F.max("last_fetched_at").alias("w")).first()["w"] or EPOCH
 
 
 def save_watermark(spark: SparkSession, path: str, accepted: DataFrame) -> None:

@@ -13,12 +13,37 @@ def test_run_daily_end_to_end_and_idempotent(spark, tmp_path):
     args = (d.bronze_readings, d.bronze_weather, d.hazard, d.downstream_map, d.provinces)
     lake = str(tmp_path / "lake")
     p = run_daily(spark, day, lake, *args)
-    first = {k: spark.read.parquet(v).count() for k, v in p.items() if k not in ("alerts", "dq")}
+    def counts():
+        return {k: spark.read.format({"alerts": "orc", "export_meta": "json"}.get(k, "json" if k.endswith("_json") else "csv" if k.endswith("_csv") else "parquet"))
+                .schema("any string").load(v).count() for k, v in p.items()}     # a table may be empty that day
+    first = counts()
     run_daily(spark, day, lake, *args)   # same day again: partitions replaced, not duplicated
-    again = {k: spark.read.parquet(v).count() for k, v in p.items() if k not in ("alerts", "dq")}
-    assert first == again
+    assert first == counts()
     assert first["silver_reservoir"] > 0 and first["fact_water"] == first["silver_reservoir"]
-    assert spark.read.orc(p["alerts"]).count() == first["export_alerts"]
+    assert first["alerts"] == first["export_alerts"] == first["export_alerts_json"] and first["export_meta"] == 1
+    from hydrolake.plans.daily import marts_from_lake
+    assert {k: v.count() >= 0 for k, v in marts_from_lake(spark, lake, day).items()} == dict.fromkeys(
+        ("mart_30d_trend", "mart_hot_reservoirs", "mart_top10_subdistricts"), True)
+    assert marts_from_lake(spark, lake, day)["mart_30d_trend"].count() == first["fact_water"]
+
+
+def test_gate_judges_the_current_report_only(spark, tmp_path):
+    """A bad day halts; the same day mended passes; an empty day halts with its availability row."""
+    import pytest
+    from hydrolake.operators.quality import QualityGateError
+    from hydrolake.plans.daily import paths, run_daily
+    from hydrolake.registry.domain import Domain
+    d = Domain(spark, SF_SMALL)
+    day = d.bronze_readings.groupBy("dt").count().orderBy(F.col("count").desc(), "dt").first()["dt"]
+    rest = (d.bronze_weather, d.hazard, d.downstream_map, d.provinces)
+    lake = str(tmp_path / "lake")
+    with pytest.raises(QualityGateError):
+        run_daily(spark, day, lake, d.bronze_readings.withColumn("volume_mcm", F.lit("1e9")), *rest)
+    run_daily(spark, day, lake, d.bronze_readings, *rest)
+    empty = str(tmp_path / "empty")
+    with pytest.raises(QualityGateError):
+        run_daily(spark, "2099-01-01", empty, d.bronze_readings, *rest)
+    assert [r.rule for r in spark.read.parquet(paths(empty)["dq"]).collect()] == ["DATA_AVAILABILITY"]
 
 
 def test_register_external_and_insert_overwrite(spark, tmp_path):
