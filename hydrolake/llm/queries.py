@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import chat_format, fingerprints, language_id, lm_scoring, mixing, packing, quality_rules, secret_scans, simhash_dedup, token_counts
 from .common import ship, table
+from .oracles import ORACLES  # noqa: F401
 
 
 def tokenizer(name: str) -> str:
@@ -54,7 +55,8 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score(table(spark, sf_dir, "documents"))
+    scored = lm_scoring.score(table(spark, sf_dir, "documents"))
+    return scored.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_log_score")})
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,4 +84,3 @@ def _shipped(query):
 
 QUERIES = {f.__name__: _shipped(f) for f in (op1_mixing, op2_language_id, op3_fingerprints, op4_packing, op5_token_counts, op6_secret_scans, op7_lm_scoring,
                                                     op8_quality_rules, op9_chat_format, op10_simhash_dedup)}
-ORACLES: dict[str, str] = {}
