@@ -73,10 +73,6 @@ def zero_pad(c, width: int = 6) -> Column:
     return F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)
 
 
-def safe_divide(num, den) -> Column:
-    """``num / den`` or NULL when the denominator is 0 or NULL."""
-    return F.try_divide(_c(num), _c(den))
-
 
 def parse_code_list(c) -> Column:
     """``"63, 62,x,,60"`` -> ``[63, 62, 60]``; null/blank -> ``[]``."""

@@ -1,4 +1,4 @@
-"""Join operators: dimension joins, array membership, substring theta joins, fallbacks.
+"""Join operators: substring joins, fallbacks, first row per key.
 
 No join here depends on a size looked up while the plan is built, and none is a
 nested loop: equi-joins are left to AQE, which picks broadcast or sort-merge from
@@ -11,20 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def join_lookup_default(left: DataFrame, right: DataFrame, on: list[str], defaults: dict,
-                        broadcast_right: bool = False) -> DataFrame:
-    """Left join and replace missing right-side values with defaults."""
-    r = F.broadcast(right) if broadcast_right else right
-    out = left.join(r, on=on, how="left")
-    for c, v in defaults.items():
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
-    return out
-
-
-def explode_membership(df: DataFrame, array_col: str, out_col: str) -> DataFrame:
-    """One row per array element: array-membership joins become equi joins
-    (an ``array_contains`` join predicate would force a nested-loop join)."""
-    return df.withColumn(out_col, F.explode(F.col(array_col)))
 
 
 # ---------------------------------------------------------------- substring join

@@ -1,4 +1,4 @@
-"""Window operators: moving averages, lags, calendar-day deltas."""
+"""Window operators: calendar-day deltas and means."""
 
 from __future__ import annotations
 
@@ -6,17 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def moving_average(df: DataFrame, part: list[str], order: list[str], value: str, rows: int,
-                   out: str) -> DataFrame:
-    """``AVG(value) OVER (PARTITION BY part ORDER BY order ROWS rows-1 PRECEDING)``."""
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(-(rows - 1), 0)
-    return df.withColumn(out, F.avg(value).over(w))
-
-
-def lag_diff(df: DataFrame, part: list[str], order: list[str], value: str, out: str) -> DataFrame:
-    """``value - LAG(value, 1)`` (row based)."""
-    w = Window.partitionBy(*part).orderBy(*order)
-    return df.withColumn(out, F.col(value) - F.lag(value, 1).over(w))
 
 
 def calendar_delta(df: DataFrame, part: list[str], date_col: str, value: str, out: str,
@@ -38,10 +27,3 @@ def range_mean(df: DataFrame, part: list[str], date_col: str, value: str, days:
     w = (Window.partitionBy(*part).orderBy(F.unix_date(F.col(date_col)))
          .rangeBetween(-(days - 1), 0))
     return df.withColumn(out, F.avg(value).over(w))
-
-
-def seq_key(df: DataFrame, order: list, out: str = "seq_key", part: list[str] | None = None) -> DataFrame:
-    """1..n surrogate over ``order`` within ``part``.  Without ``part`` this is a
-    single-partition window: use only on report-sized frames (e.g. provinces)."""
-    w = Window.partitionBy(*(part or [])).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(w))

@@ -113,15 +113,6 @@ def sink_partitioned(df: DataFrame, path: str, fmt: str = "parquet", part_cols:
      .option("partitionOverwriteMode", "dynamic").partitionBy(*part_cols).save(path))
 
 
-def sink_bronze_buckets(df: DataFrame, path: str, today: str) -> None:
-    """Bucket raw records by (source, record date or payload date or today); NDJSON."""
-    out = df.withColumn("bucket_source", F.coalesce(F.nullif(F.col("source"), F.lit("")), F.lit("reservoir")))
-    date = F.coalesce(F.nullif(F.col("record_date"), F.lit("")), F.lit(today))
-    if "date" in df.columns:
-        date = F.coalesce(F.nullif(F.col("record_date"), F.lit("")), F.nullif(F.col("date"), F.lit("")), F.lit(today))
-    out = out.withColumn("bucket_date", date)
-    sink_partitioned(out, path, "json", ("bucket_source", "bucket_date"), mode="append")
-
 
 def sink_csv_bom(df: DataFrame, path: str, columns: list[str], single_file: bool = False) -> None:
     """UTF-8 CSV with a BOM and header in a fixed column order.  The BOM is written as
