@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -41,10 +42,35 @@ def cut(df: DataFrame) -> DataFrame:
     # what was shuffled for it is no longer needed; Spark deletes shuffle files once the driver's
     # collector finds them unused, which in a long job can be long after the disks are full
     del df
-    spark.sparkContext._jvm.java.lang.System.gc()
+    tidy(spark)
     return done
 
 
+def tidy(spark: SparkSession) -> None:
+    """Have Spark drop the shuffles and checkpoints that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
+#: Keys with at least 1/HOT of all rows are spread over SALTS partitions; there are at most HOT of them.
+HOT, SALTS = 1 << 14, 64
+
+
+def hot_keys(counts: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """The keys of ``counts`` with at least 1/HOT of the total; at most HOT rows, so safe to broadcast."""
+    return counts.where(F.col(n) * HOT >= F.lit(total)).select(key)
+
+
+def salted_join(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Inner join of many rows with a table of unique keys: rows with a hot key are dealt out by a salt, and
+    the table's row for that key is repeated for each salt."""
+    mark = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    return (rows.join(mark, key, "left").withColumn("_salt", salt).drop("_hot")
+            .join(table.join(mark, key, "left").withColumn("_salt", F.explode(salts)).drop("_hot"), [key, "_salt"]).drop("_salt"))
+
+
 def text_list(column: pa.Array) -> list[str]:
     """Python strings of an Arrow column, null as the empty string."""
     return [t or "" for t in column.to_pylist()]

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, slices
@@ -167,15 +167,15 @@ def fit(docs: DataFrame, n_features: int = N_FEATURES, per_language: int = PER_L
         return Model([], np.zeros(n_features), np.zeros((n_features, 0)), 1.0)
     idf = np.log((1 + total) / (1 + seen)) + 1
 
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
-    each = F.greatest(F.lit(2), F.least(F.lit(per_language), F.floor(F.lit(max_sample) / F.count("*").over(_everything()))))
-    rates = sizes.select(F.col("lang").alias("_lang"), (2.0 * each / F.col("n")).alias("_rate"), each.alias("_each"))
-    # a hash picks about twice the wanted number of each language; of these the least hashes stay
-    at = F.xxhash64(F.lit(3), "doc_id", "text")
-    picked = (known.join(rates, F.col("lang") == F.col("_lang"))
-              .withColumn("_at", at).where((F.col("_rate") >= 1) | ((F.shiftrightunsigned("_at", 11) / float(1 << 53)) < F.col("_rate"))))
-    first = F.row_number().over(_within("_lang", "_at"))
-    picked = picked.withColumn("_rank", first).where("_rank <= _each")
+    n_languages = known.select("lang").distinct().count()
+    each = max(1, min(per_language, max_sample // max(1, n_languages)))
+    # the least hashes of each language: ranked without the texts, cut in each task before the shuffle
+    ranked = known.select("doc_id", "lang", F.xxhash64(F.lit(3), "doc_id", "text").alias("at"))
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("at", "doc_id"))).where(F.col("rank") <= each)
+    chosen = ranked.orderBy("rank", "at", "doc_id").limit(max_sample).select(F.col("doc_id").alias("_id"), F.col("at").alias("_at"))
+    # at most max_sample rows, so the texts themselves stay where they are
+    hashed = known.withColumn("at", F.xxhash64(F.lit(3), "doc_id", "text"))
+    picked = hashed.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("at") == F.col("_at")), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
@@ -185,7 +185,7 @@ def fit(docs: DataFrame, n_features: int = N_FEATURES, per_language: int = PER_L
                  pa.array([c.tolist() for _, c in terms], pa.list_(pa.int32())), batch.column(2), batch.column(3)],
                 ["lang", "places", "counts", "fold", "at"])
 
-    sample = cut(picked.select("lang", "text", fold(F.col("doc_id")).alias("fold"), F.col("_at").alias("at")).mapInArrow(
+    sample = cut(picked.select("lang", "text", fold(F.col("doc_id")).alias("fold"), "at").mapInArrow(
         run, "lang string, places array<int>, counts array<int>, fold long, at long")).toArrow()
     languages = sorted(set(sample["lang"].to_pylist()))
     rows = sorted(zip(sample["at"].to_pylist(), sample["lang"].to_pylist(), sample["fold"].to_pylist(),
@@ -200,18 +200,6 @@ def fit(docs: DataFrame, n_features: int = N_FEATURES, per_language: int = PER_L
     return Model(languages, idf, weights.astype(np.float32), fit_temperature(logits, np.array([y for *_, y in check])))
 
 
-def _everything():
-    from pyspark.sql import Window
-
-    return Window.partitionBy(F.lit(0))
-
-
-def _within(key: str, order: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(key).orderBy(order)
-
-
 def identify(docs: DataFrame, model: Model | None = None, **bounds) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row."""
     learned = docs.sparkSession.sparkContext.broadcast(model or fit(docs, **bounds))    # features by languages: bounded
