@@ -493,7 +493,7 @@ def q_scan_csv_bom(spark, sf_dir):
 def q_flatten_nested_payload(spark, sf_dir):
     """Per-order API payloads {date, data:[{region, dam|reservoir:[...]}]} flattened and normalised."""
     from pyspark.sql import functions as F
-    from ..sources.payloads import flatten_nested_payload, normalize_dam, normalize_reservoir
+    from ..sources.payloads import flatten_nested_payload, normalize_items
     b = _dom(spark, sf_dir).bronze_readings.withColumn("_order", F.floor(F.col("_offset") / 8))
     item = F.struct(
         F.col("reservoir_id").alias("id"), F.col("reservoir_id").alias("reservoir_id"),
@@ -504,14 +504,10 @@ def q_flatten_nested_payload(spark, sf_dir):
         F.col("outflow_mcm").alias("outflow"), F.col("active_storage_mcm").alias("active_storage"),
         F.col("dead_storage_mcm").alias("dead_storage"), "_offset")
     per_region = b.groupBy("_order", "source", "dt", "region").agg(F.collect_list(item).alias("items"))
-    out = []
-    for child, norm in (("dam", normalize_dam), ("reservoir", normalize_reservoir)):
-        pr = per_region.where(F.col("source") == child)
-        payload = pr.groupBy("_order", "dt").agg(
-            F.collect_list(F.struct(F.col("region"), F.col("items").alias(child))).alias("data"))
-        js = payload.select(F.to_json(F.struct(F.col("dt").alias("date"), "data")).alias("value"))
-        out.append(norm(flatten_nested_payload(js, "value", child), fetched_at=RUN_DATE + "T00:00:00+07:00"))
-    return out[0].unionByName(out[1])
+    lists = [F.when(F.col("source") == child, F.col("items")).alias(child) for child in ("dam", "reservoir")]
+    payload = per_region.groupBy("_order", "dt").agg(F.collect_list(F.struct("region", *lists)).alias("data"))
+    js = payload.select(F.to_json(F.struct(F.col("dt").alias("date"), "data")).alias("value"))
+    return normalize_items(flatten_nested_payload(js, "value", "dam", "reservoir"), RUN_DATE + "T00:00:00+07:00")
 
 
 @register("extract_forecast_payload")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.coerce import coerce_numeric, first_truthy
@@ -13,27 +13,31 @@ ITEM_FIELDS = ["id", "code", "name", "owner", "date", "report_date", "reservoir_
                "active_storage", "dead_storage"]
 
 
-def payload_schema(child: str) -> str:
+def payload_schema(children: tuple[str, ...]) -> str:
     item = ", ".join(f"`{f}`: STRING" for f in ITEM_FIELDS)
-    return f"`date` STRING, `data` ARRAY<STRUCT<`region`: STRING, `{child}`: ARRAY<STRUCT<{item}>>>>"
+    lists = ", ".join(f"`{c}`: ARRAY<STRUCT<{item}>>" for c in children)
+    return f"`date` STRING, `data` ARRAY<STRUCT<`region`: STRING, {lists}>>"
 
 
-def flatten_nested_payload(df: DataFrame, json_col: str, child: str) -> DataFrame:
-    """``{date, data:[{region, <child>:[...]}]}`` -> one row per child item with region and
-    payload date copied down.  Wrong shapes parse to NULL and ``explode`` drops them."""
-    p = df.select(F.from_json(F.col(json_col), payload_schema(child)).alias("p"))
+def flatten_nested_payload(df: DataFrame, json_col: str, *children: str) -> DataFrame:
+    """``{date, data:[{region, <child>:[...], ...}]}`` -> one row per item of any child list, with its
+    kind (``child``), region and payload date copied down; the payloads are parsed once.  Wrong shapes
+    parse to NULL and ``explode`` drops them."""
+    p = df.select(F.from_json(F.col(json_col), payload_schema(children)).alias("p"))
     regions = p.select(F.col("p.date").alias("payload_date"), F.explode("p.data").alias("r"))
-    items = regions.select("payload_date", F.col("r.region").alias("region"), F.explode(f"r.{child}").alias("i"))
-    return items.select("payload_date", "region", "i.*")
+    def tagged(child: str) -> Column:
+        return F.transform(F.coalesce(F.col(f"r.{child}"), F.array()), lambda i: F.struct(F.lit(child).alias("child"), i.alias("i")))
+    items = regions.select("payload_date", F.col("r.region").alias("region"), F.inline(F.concat(*map(tagged, children))))
+    return items.select("child", "payload_date", "region", "i.*")
 
 
 def _num(c: str):
     return coerce_numeric(F.col(c))
 
 
-def normalize_dam(items: DataFrame, fetched_at: str) -> DataFrame:
+def dam_record(fetched_at: str) -> Column:
     """Raw dam item -> 14-field common record."""
-    return items.select(
+    return F.struct(
         F.lit("dam").alias("source"),
         first_truthy("id", "code").alias("reservoir_id"),
         F.coalesce(F.col("name"), F.lit("")).alias("reservoir_name"),
@@ -46,11 +50,11 @@ def normalize_dam(items: DataFrame, fetched_at: str) -> DataFrame:
         _num("dead_storage").alias("dead_storage_mcm"), F.lit(fetched_at).alias("fetched_at"))
 
 
-def normalize_reservoir(items: DataFrame, fetched_at: str) -> DataFrame:
+def reservoir_record(fetched_at: str) -> Column:
     """Raw reservoir item -> the same record; volume or storage; date, record_date, then
     report_date (the last fallback keeps backfilled days apart)."""
     vol = F.coalesce(F.nullif(coerce_numeric(F.col("volume")), F.lit(0.0)), coerce_numeric(F.col("storage")))
-    return items.select(
+    return F.struct(
         F.lit("reservoir").alias("source"),
         first_truthy("reservoir_id", "id", "code").alias("reservoir_id"),
         F.coalesce(first_truthy("reservoir_name", "name"), F.lit("")).alias("reservoir_name"),
@@ -63,6 +67,12 @@ def normalize_reservoir(items: DataFrame, fetched_at: str) -> DataFrame:
         _num("dead_storage").alias("dead_storage_mcm"), F.lit(fetched_at).alias("fetched_at"))
 
 
+def normalize_items(items: DataFrame, fetched_at: str) -> DataFrame:
+    """Flattened dam and reservoir items as common records."""
+    record = F.when(F.col("child") == "dam", dam_record(fetched_at)).otherwise(reservoir_record(fetched_at))
+    return items.select(record.alias("r")).select("r.*")
+
+
 FORECAST_FIELDS = ["tc_max", "tc_min", "rh", "rain", "ws10m"]
 
 
