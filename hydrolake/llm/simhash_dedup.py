@@ -4,7 +4,7 @@ A fingerprint has a bit set if more than half of the hashes (XXH64, seed 42) of
 text's word shingles have it set; a text without words has fingerprint zero.
 
 Rows are first reduced to distinct fingerprints, so a group of exact copies is one
-row from there on.  A 64-bit fingerprint is cut in segments.  If two fingerprints
+row from there on; a fingerprint with very many copies is salted when rows get their ids.  A 64-bit fingerprint is cut in segments.  If two fingerprints
 differ in at most ``r`` bits over ``m`` segments, then with ``q, s = divmod(r, m)`` one
 of the first ``s + 1`` segments differs in at most ``q`` bits or another in at most
 ``q - 1``.  So the table holds every fingerprint under each segment's value, each
@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, slices
+from .common import cut, hot_keys, salted_join, slices
 from .components import components
 
 SEED = 42
@@ -142,14 +142,15 @@ def classes(docs: DataFrame, shingle: int = 3, max_distance: int = 2, segments:
     """Of every row the named columns, fp, component_id (the smallest doc_id reachable over links) and
     component (the least fingerprint reachable, which tells components apart even where ids repeat)."""
     rows = cut(fingerprints(docs, shingle, tuple(dict.fromkeys(("doc_id", *carry)))))
-    distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")))
+    total = distinct.agg(F.sum("copies")).first()[0] or 0
     linked = components(links(distinct.select("fp"), max_distance, segments, max_bucket), "a", "b")
     grouped = (linked.join(distinct, linked["node"] == distinct["fp"]).groupBy("component").agg(F.min("least").alias("least_linked"))
                .join(linked, "component").select(F.col("node").alias("fp"), "component", "least_linked"))
     ids = distinct.join(grouped, "fp", "left").select(
         "fp", F.when(F.col("component").isNotNull(), F.col("least_linked")).otherwise(F.col("least")).alias("component_id"),
         F.coalesce("component", "fp").alias("component"))
-    return rows.join(ids, "fp").select(*carry, "fp", "component_id", "component")
+    return salted_join(rows, ids, "fp", hot_keys(distinct, "fp", "copies", total)).select(*carry, "fp", "component_id", "component")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_distance: int = 2, segments: int = 2, max_bucket: int = 64) -> DataFrame:
