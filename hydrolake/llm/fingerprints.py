@@ -11,10 +11,11 @@ shuffle, and are candidates if the estimate of their likeness is at least ``CAND
 three standard deviations below the threshold.  The exact likeness of the shingle sets
 decides about a pair.  That is done twice: first for each node and the likest it meets in a stretch
 of its bucket, which links most groups; then for all candidate pairs that are still in different
-components.  Such pairs are sought by block: a bucket is cut in blocks of about ``BLOCK`` nodes, and
-the nodes outside the bucket's largest component visit each block.  So members of one group are
-never paired with each other, no bucket is gathered in a task, and no link between components is
-left out.
+components.  For these a bucket is cut in blocks of about ``BLOCK`` nodes, the nodes outside its
+largest component visit each block, and the texts of those that have a candidate there follow, to
+be compared in place: pairs are never rows, only links are, and one link joins two components.  A
+pair that shares several bands belongs to the first.  So no bucket is gathered in a task, and no link
+between components is left out.
 
 ``compare`` sets each document beside the next one by id.  Ids are cut in ranges at approximate
 quantiles; a range is one bucket of a single shuffle, in which texts travel compressed and the
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices
+from .common import cut, slices, tidy
 from .components import components
 
 PERMUTATIONS, SHINGLE, THRESHOLD = 100, 5, 0.8
@@ -85,7 +86,10 @@ def edited(text: str, following: str) -> str:
 
 def jaccard(a: str, b: str, shingle: int = SHINGLE) -> float:
     """Exact likeness of two texts' shingle sets; 1 if both are empty."""
-    x, y = np.unique(shingle_hashes(a, shingle)), np.unique(shingle_hashes(b, shingle))
+    return set_jaccard(np.unique(shingle_hashes(a, shingle)), np.unique(shingle_hashes(b, shingle)))
+
+
+def set_jaccard(x: np.ndarray, y: np.ndarray) -> float:
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
 
@@ -200,36 +204,106 @@ def _likest(members: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """a, b: the candidate pairs of each bucket whose components differ; members: key, node, sig, component."""
+def _laid(rows: DataFrame) -> DataFrame:
+    """Blocks whole and in order: first the nodes at home there, then the visitors."""
+    return rows.repartition("key", "block").sortWithinPartitions("key", "block", "visits", "node")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[dict]]]:
+    """Of each visitor: its row, and the rows at home in its block."""
+    place, home = None, []
+    for batch in slices(batches, 512):
+        for row in batch.to_pylist():
+            row["words"] = np.frombuffer(row["sig"], np.uint16)
+            if (row["key"], row["block"]) != place:
+                place, home = (row["key"], row["block"]), []
+            if not row["visits"]:
+                home.append(row)
+            else:
+                yield row, home
+
+
+def _candidates(guest: dict, home: list[dict]) -> list[dict]:
+    """Who at home may be near the guest, is in another component and shares no band before this one."""
+    if not home:
+        return []
+    same = np.stack([r["words"] for r in home]) == guest["words"]
+    near = np.flatnonzero(same.mean(axis=1) >= CANDIDATE)
+    bands = same[near, :BANDS * BAND_ROWS].reshape(len(near), BANDS, BAND_ROWS).all(axis=2)
+    first = bands.argmax(axis=1)
+    return [home[k] for k, f in zip(near, first) if f == guest["band"] and home[k]["component"] != guest["component"]
+            and (home[k]["visiting"] == 0 or home[k]["node"] < guest["node"])]      # two visitors meet in both their blocks
+
+
+_PLACED = "key long, band int, block long, visits int, visiting int, node binary, sig binary, component binary"
+
+
+def _across(members: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
+    """a, b: links between components; members: key, band, node, sig, component."""
     sizes = members.groupBy("key", "component").agg(F.count("*").alias("n"))
     split = (sizes.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"))
              .where("parts > 1").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"), F.col("most.component").alias("largest")))
-    rows = members.join(split, "key")
-    home = rows.select("key", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("visits"), "node", "sig", "component")
-    guests = rows.where("component <> largest").select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-                                                       F.lit(1).alias("visits"), "node", "sig", "component")
-    laid = home.unionByName(guests).repartition("key", "block").sortWithinPartitions("key", "block", "visits")
+    rows = members.join(split, "key").withColumn("visiting", (F.col("component") != F.col("largest")).cast("int"))
+    shown = ("visiting", "node", "sig", "component")
+    home = rows.select("key", "band", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("visits"), *shown)
+    guests = rows.where("visiting = 1").select("key", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+                                               F.lit(1).alias("visits"), *shown)
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows that have a candidate in their block."""
+        names = [x.split()[0] for x in _PLACED.split(", ")]
+        sent, place = set(), None
+
+        def told(rows: list[dict]) -> pa.RecordBatch:
+            columns = [pa.array([r[c] for r in rows]) for c in names]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([c.cast(k) for c, k in zip(columns, kinds)], names)
+
+        out: list[dict] = []
+        for guest, at_home in _blocks(batches):
+            if (guest["key"], guest["block"]) != place:
+                place, sent = (guest["key"], guest["block"]), set()
+            found = _candidates(guest, at_home)
+            fresh = [r for r in found if r["node"] not in sent]
+            sent.update(r["node"] for r in fresh)
+            out += fresh + ([guest] if found else [])
+            if len(out) >= 512:
+                yield told(out)
+                out = []
+        if out:
+            yield told(out)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, nodes, groups, sigs = None, [], [], []
-        for batch in slices(batches, 1024):
-            sig, out = _signature_rows(batch.column(4)), []
-            for i, (key, block, visits, node, group) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 2, 3, 5)))):
-                if (key, block) != place:
-                    place, nodes, groups, sigs = (key, block), [], [], []
-                if not visits:
-                    nodes.append(node)
-                    groups.append(group)
-                    sigs.append(sig[i])
-                    continue
-                if isinstance(sigs, list):      # the block is complete: guests come last
-                    sigs = np.stack(sigs) if sigs else np.zeros((0, PERMUTATIONS), np.uint16)
-                like = (sigs == sig[i]).mean(axis=1)
-                out += [tuple(sorted((node, nodes[k]))) for k in np.flatnonzero(like >= CANDIDATE) if groups[k] != group]
-            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.binary()) for i in (0, 1)], ["a", "b"])
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Exact comparison; a pair of components that one link has joined is not compared again in its block."""
+        import zstandard
+
+        z, place, up, sets = zstandard.ZstdDecompressor(), None, {}, {}
+
+        def top(c: bytes) -> bytes:
+            while up.get(c, c) != c:
+                c = up[c]
+            return c
+
+        def shingles(row: dict) -> np.ndarray:
+            if row["node"] not in sets:
+                sets[row["node"]] = np.unique(shingle_hashes(z.decompress(row["packed"]).decode(), shingle))
+            return sets[row["node"]]
+
+        for guest, at_home in _blocks(batches):
+            if (guest["key"], guest["block"]) != place:
+                place, up, sets = (guest["key"], guest["block"]), {}, {}
+            out = []
+            for other in _candidates(guest, at_home):
+                a, b = top(guest["component"]), top(other["component"])
+                if a != b and set_jaccard(shingles(guest), shingles(other)) >= threshold - 1e-9:
+                    up[max(a, b)] = min(a, b)
+                    out.append((guest["node"], other["node"]))
+            sets.pop(guest["node"], None)       # visitors pass; those at home stay
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.binary()) for i in (0, 1)], ["a", "b"])
 
-    return laid.mapInArrow(run, "a binary, b binary").distinct()
+    some = _laid(home.unionByName(guests)).mapInArrow(wanted, _PLACED)
+    return _laid(some.join(texts, "node")).mapInArrow(linked, "a binary, b binary").distinct()
 
 
 def classes(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
@@ -237,18 +311,15 @@ def classes(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD, sh
     nodes = cut(signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("sig").alias("sig")))
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                        lambda i: F.xxhash64(i, F.substr(F.col("sig"), i * 2 * BAND_ROWS + 1, F.lit(2 * BAND_ROWS))))
-    held = nodes.select("node", F.explode(keys).alias("key"))
+    held = nodes.select("node", F.posexplode(keys).alias("band", "key"))
     shared = held.groupBy("key").agg(F.min("node").alias("one"), F.max("node").alias("other")).where("one <> other").select("key")
     members = cut(held.join(shared, "key").join(nodes.select("node", "sig"), "node"))
     texts = cut(_texts_of(docs, members.select("node").distinct()))
 
-    def links(pairs: DataFrame) -> DataFrame:
-        d = _verified(pairs.select(F.col("a").alias("hub"), F.col("b").alias("node")), texts, shingle)
-        return cut(d.where(F.col("d") <= 1 - threshold + 1e-9).select(F.col("hub").alias("a"), F.col("node").alias("b")))
-
-    first = links(_likest(members))
+    d = _verified(_likest(members).select(F.col("a").alias("hub"), F.col("b").alias("node")), texts, shingle)
+    first = cut(d.where(F.col("d") <= 1 - threshold + 1e-9).select(F.col("hub").alias("a"), F.col("node").alias("b")))
     grouped = members.join(components(first, "a", "b"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    found = components(first.unionByName(links(_across(grouped))), "a", "b")
+    found = components(first.unionByName(cut(_across(grouped, texts, threshold, shingle))), "a", "b")
     least = nodes.select("node", "least")
     ids = (found.join(least, "node").groupBy("component").agg(F.min("least").alias("class_id"))
            .join(found, "component").select("node", F.col("class_id").alias("linked"), F.lit(True).alias("has")))
@@ -258,15 +329,18 @@ def classes(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD, sh
 def compare(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
     """Of every row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, class_id."""
     signed = cut(signatures(docs, shingle))
-    rows = signed.select("doc_id", "node").distinct()
-    known = rows.join(classes(docs, signed, threshold, shingle), "node").select("doc_id", F.lit(None).cast("string").alias("text"), "node", "class_id")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    bare = _bare(docs).withColumn("class_id", F.lit(None).cast(kind)).unionByName(known)
-
     n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = signed.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n).alias("q"), F.min("doc_id").alias("least")).first()
     edges = sorted({found["least"], *(found["q"] or [])} - {None})        # each is the id of a range's first document
 
+    rows = signed.select("doc_id", "node").distinct()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    known = cut(rows.join(classes(docs, signed, threshold, shingle), "node"))
+    del rows, signed
+    tidy(docs.sparkSession)
+    known = known.select("doc_id", F.lit(None).cast("string").alias("text"), "node", "class_id")
+    bare = _bare(docs).withColumn("class_id", F.lit(None).cast(kind)).unionByName(known)
+
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
