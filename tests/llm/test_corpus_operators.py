@@ -420,3 +420,25 @@ def test_queries_read_whole_tables_and_keep_ids(spark):
             continue
         out = query(spark, SAMPLE)
         assert out.count() == n and isinstance(out.schema["doc_id"].dataType, T.LongType), name
+
+
+def test_fingerprint_classes_of_a_crowded_family(spark, docs_of, monkeypatch):
+    """Hundreds of texts that are all much alike but linked to few: classes equal all-pairs comparison, blocks or not."""
+    from hydrolake.llm import fingerprints as f
+
+    rnd = random.Random(11)
+    base, texts = [f"w{i}" for i in range(120)], []
+    for i in range(150):
+        w = list(base)
+        for p in rnd.sample(range(120), rnd.choice([1, 2, 3, 4])):
+            w[p] = f"x{rnd.randrange(4)}"
+        texts.append(" ".join(w))
+    rows = list(enumerate(texts))
+    sets = [brute.shingles(t) for t in texts]
+    like = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in range(150) for b in range(a + 1, 150)}
+    root = brute.union([p for p, v in like.items() if v >= 0.8], range(150))
+    assert 10 < len(set(root.values())) < 149
+    for block in (256, 40):
+        monkeypatch.setattr(f, "BLOCK", block)
+        got = f.compare(docs_of(rows)).select("doc_id", "class_id").collect()
+        assert {r.doc_id: r.class_id for r in got} == root
