@@ -24,7 +24,7 @@ def test_hot_reservoirs_aggregates_before_region_join(spark):
 
 def test_no_registered_plan_has_a_cartesian_product_or_nested_loop(spark):
     from hydrolake.registry.queries import QUERIES
-    writes = {n for n in QUERIES if n.startswith(("scan_", "sink_", "stream_", "ingest_")) or n in ("export_csv_bom", "lake_daily", "mart_from_lake")}
+    writes = {n for n in QUERIES if n.startswith(("scan_", "sink_", "stream_", "ingest_", "insert_")) or n in ("export_csv_bom", "mart_from_lake", "watermark_state")}
     for name in sorted(set(QUERIES) - writes):
         plan = _plan(QUERIES[name](spark, SF_SMALL))
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
