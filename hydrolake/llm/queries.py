@@ -59,6 +59,11 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_log_score")})
 
 
+def op7_lm_scoring_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scoring.score_all(table(spark, sf_dir, "documents"))
+    return scored.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_log_score")})
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -82,5 +87,5 @@ def _shipped(query):
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op1_mixing, op2_language_id, op3_fingerprints, op4_packing, op5_token_counts, op6_secret_scans, op7_lm_scoring,
+QUERIES = {f.__name__: _shipped(f) for f in (op1_mixing, op2_language_id, op3_fingerprints, op4_packing, op5_token_counts, op6_secret_scans, op7_lm_scoring, op7_lm_scoring_all,
                                                     op8_quality_rules, op9_chat_format, op10_simhash_dedup)}

@@ -259,6 +259,46 @@ def test_lm_scores_equal_brute_force(spark, docs_of):
     assert lm.score(docs_of([])).count() == 0
 
 
+def test_lm_scores_of_all_words_equal_brute_force(spark, docs_of):
+    from hydrolake.llm import lm_scoring as lm
+
+    rnd = random.Random(8)
+    rows = [(i, " ".join(rnd.choices(["the", "of", "The", "river", "dam", "x", "y"] + [f"r{j}" for j in range(40)], k=rnd.randint(0, 40)))) for i in range(60)]
+    rows += [(100, None), (101, " "), (102, "the dam"), (102, "the dam"), (None, "the dam of"), (103, "only here twice only here twice")]
+    seqs = [["<s>"] + [w.lower() for w in (t or "").split()] for _, t in rows]
+    own = [Counter(tuple(s[i:i + n]) for n in (1, 2, 3) for i in range(len(s) - n + 1)) if len(s) > 1 else Counter() for s in seqs]
+    every, total = sum(own, Counter()), sum(len(s) - 1 for s in seqs)
+    for order in (2, 3):
+        got = {(r.doc_id, r.n_tokens, r.copies): r for r in lm.score_all(docs_of(rows, clashes=True), order=order).collect()}
+        for (i, t), s, mine in zip(rows, seqs, own):
+            want, back = 0.0, 0
+            for at in range(1, len(s)):
+                longest = min(order, at + 1)
+                for n in range(longest, 0, -1):
+                    g = tuple(s[at - n + 1:at + 1])
+                    c = every[g] - mine[g]
+                    if n == 1 or c > 0:
+                        below = every[g[:-1]] - mine[g[:-1]] if n > 1 else total
+                        want, back = want + math.log10(0.4 ** (longest - n) * max(c, 1) / below), back + (n == 1)
+                        break
+            r = got[i, len(s) - 1, rows.count((i, t))]
+            assert r.n_backoff == back and ((r.log_score is None) if len(s) == 1 else math.isclose(r.log_score, want, rel_tol=1e-9))
+        assert len(got) == len(set(rows))
+    assert lm.score_all(docs_of([])).count() == 0
+
+
+def test_lm_scores_of_nonsense_are_the_lowest(spark, docs_of):
+    """Rare words are no common word: random letters score below every document of the sample."""
+    from hydrolake.llm import lm_scoring as lm
+
+    rnd = random.Random(5)
+    docs = spark.read.parquet(f"{SAMPLE}/documents.parquet").select("doc_id", "text")
+    junk = [(-1 - i, " ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(200))) for i in range(5)]
+    got = lm.score_all(docs.union(docs_of(junk).select("doc_id", "text"))).where("n_tokens >= 50").collect()
+    real = [r.mean_log_score for r in got if r.doc_id >= 0]
+    assert len(real) < len(got) and max(r.mean_log_score for r in got if r.doc_id < 0) < min(real)
+
+
 # chat
 
 CALLS = "conv_id long, call_id string, parent_id string, name string, arguments string"
