@@ -2,8 +2,11 @@
 
 Three patterns give the base spans (``assign``, ``access``, ``hex``; see PATTERNS).
 The method adds spans of kind ``novel``: a candidate is a long run of key characters
-of at least two character classes that stands within ``reach`` code points after a
-sensitive word and touches no base span.  Its novelty is measured with Zstandard: a
+of at least two character classes that touches no base span and has a sensitive word
+on either side, anywhere on its line or within ``reach`` code points on other lines.  A run
+that only punctuation and at most one line break separate from the run before inherits
+that one's context, so the lines of a key and the segments of a JWT go together; the last,
+short line of a PEM block goes with the line before it.  Its novelty is measured with Zstandard: a
 compressor primed with a dictionary of common code identifiers compresses the
 surrounding text with and without the candidate, and the difference, the candidate's
 marginal bytes, is divided by its length.  Identifiers, words and repeats of nearby
@@ -17,6 +20,7 @@ empty result.  The result's columns replace input columns of the same name.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,10 +40,13 @@ HEX = re.compile(r"[0-9a-f]{24,}")       # the maximal runs of 24 or more
 MIN_VALUE, MIN_ACCESS = 6, 20
 
 #: Words that make their surroundings sensitive.
-SENSITIVE = re.compile(r"passw|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|"
-                       r"bearer|authorization|auth[_-]|signature|session[_-]?id|connection[_-]?string", re.I | re.A)
+SENSITIVE = re.compile(r"passw|passphrase|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credential|"
+                       r"bearer|authorization|auth[_-]|signature|session[ _-]?id|connection[ _-]?string", re.I | re.A)
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
 CLASSES = tuple(re.compile(c) for c in ("[0-9]", "[a-z]", "[A-Z]", "[+/_-]"))
+#: What may stand between runs that belong together, and the short last line of a PEM block.
+BETWEEN = " \t\r\n\"'`,;.+\\>|"
+PEM_TAIL = re.compile(r"(?:[\s\"',>|]|\\[nr]?)*(?<![A-Za-z0-9+/])([A-Za-z0-9+/]{1,15}={0,2})(?:[\s\"'+,>|]|\\[nr]?)*-----END ")
 
 #: The identifier dictionary that primes the compressor.
 IDENTIFIERS = ("password passwd secret token api_key apikey access_key private_key credential authorization bearer "
@@ -72,18 +79,41 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
+def near_sensitive(text: str, candidates: list[tuple[int, int]], reach: int) -> list[bool]:
+    """Whether each candidate has a sensitive word beside it, or belongs to the one before that has."""
+    marks = [m.span() for m in SENSITIVE.finditer(text)]
+    if not marks:
+        return [False] * len(candidates)
+    starts, ends = [s for s, _ in marks], [e for _, e in marks]
+    near, line, end, before = [], 0, -1, None
+    for s, e in candidates:
+        if s > end:
+            line, end = text.rfind("\n", 0, s) + 1, text.find("\n", e)
+            end = len(text) if end < 0 else end
+        first, after = bisect_left(starts, min(line, s - reach)), bisect_left(starts, e)
+        ok = first < len(marks) and ends[first] <= s or after < len(marks) and ends[after] <= max(end, e + reach)
+        if not ok and before is not None and near[-1]:
+            gap = text[before:s]
+            ok = not gap.strip(BETWEEN) and gap.count("\n") <= 1
+        near.append(ok)
+        before = e
+    return near
+
+
 def spans(text: str, min_novelty: float = 0.6, reach: int = 48, around: int = 256) -> list[tuple[int, int, str]]:
     """(start, end, kind) of all spans, by start, then kind as listed."""
     found = base_spans(text)
     taken = sorted((s, e) for s, e, _ in found)
-    for m in CANDIDATE.finditer(text):
-        s, e = m.span()
-        if sum(bool(c.search(m[0])) for c in CLASSES) < 2 or not SENSITIVE.search(text, max(0, s - reach), s):
+    candidates = [m.span() for m in CANDIDATE.finditer(text)]
+    for (s, e), near in zip(candidates, near_sensitive(text, candidates, reach) if candidates else ()):
+        if not near or sum(bool(c.search(text, s, e)) for c in CLASSES) < 2:
             continue
         if any(a < e and s < b for a, b in taken):
             continue
-        if novelty(text[max(0, s - around):s], m[0], text[e:e + around]) >= min_novelty:
+        if novelty(text[max(0, s - around):s], text[s:e], text[e:e + around]) >= min_novelty:
             found.append((s, e, "novel"))
+            if (tail := PEM_TAIL.match(text, e)) and not any(a < tail.end(1) and tail.start(1) < b for a, b in taken):
+                found.append((*tail.span(1), "novel"))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
