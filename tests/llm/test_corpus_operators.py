@@ -76,6 +76,28 @@ def test_mixing_schedule_equals_the_formula(spark):
     assert abs(u - float(Decimal(k) * (Decimal(5).sqrt() - 1) / 2 % 1)) < 1e-6
 
 
+def test_mixing_gives_small_sources_their_targets(spark, docs_of):
+    """At the full block size: sources far smaller than a block, one word longer and others, all to the word."""
+    from hydrolake.llm import mixing as m
+
+    sizes = {f"s{n:03}_{i}": n for n in (1, 5, 12, 30, 63, 64, 65, 70, 100, 129, 200) for i in range(3)} | {f"z{i}": 20000 for i in range(3)}
+    rows = [(i, " ".join(["w"] * (size - size // 3 if half else size // 3)), None, s) for i, ((s, size), half) in
+            enumerate((x, half) for x in sizes.items() for half in (0, 1))]
+    for weights in ((1, 2, 3), (1, 50, 700, 0.002)):
+        want, taken = brute.targets(sizes, weights), defaultdict(int)
+        for r in m.mix_words(docs_of(rows), weights=weights).collect():
+            taken[r.source] += r.taken
+        assert all(abs(taken[s] - want[s]) <= 0.5 + 1e-6 for s in sizes)
+        mix = m.mix_rows(docs_of(rows), weights=weights).collect()
+        for r in mix:
+            taken[r.source] -= len(r.text.split())
+        assert not any(taken.values())
+    # the slots of a source are spread evenly over the mix
+    aims = m.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
+    points = sorted(r._point for r in m.schedule(aims).where("_src = '=z1'").collect())
+    assert all(abs(p - i / len(points)) < 0.02 for i, p in enumerate(points))
+
+
 def test_mixing_without_words(spark, docs_of):
     from hydrolake.llm import mixing as m
 
