@@ -19,6 +19,10 @@ step -1), ``invalid`` (unknown tool, arguments that aren't a JSON object or fail
 ``unanswered`` (no result) or ``linked``.  A parent that doesn't exist counts as none.  Null
 conversations are one conversation; rows without a call id are left out, as nothing can be
 linked by them.  Repeated rows count as duplicates; empty tables give an empty result.
+
+Plain conversations may hold turns that are neither call nor result (system prompts, other roles).  They
+stand as ``context`` in the record of the call one turn later; without such a call or result they are a row
+of their own with status ``context`` and step -1, as is every turn without a number.
 """
 
 from __future__ import annotations
@@ -109,10 +113,11 @@ def steps(calls: DataFrame) -> DataFrame:
     return now.select("key", F.when(F.col("up").isNull(), F.col("depth")).otherwise(F.lit(-1)).alias("depth"))
 
 
-def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], group: str = "conv_id") -> DataFrame:
+def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], group: str = "conv_id", context: DataFrame | None = None) -> DataFrame:
     """One row for each call id of a conversation: ``group``, call_id, step, status, problems, json.
 
-    ``calls``: group, call_id, parent_id, name, arguments (JSON text); ``results``: group, call_id, content.
+    ``calls``: group, call_id, parent_id, name, arguments (JSON text); ``results``: group, call_id, content;
+    ``context``: group, call_id, turn, role, text of turns to be told with a call, or on their own if call_id is null.
     """
     kind = calls.schema[group].dataType.simpleString()
     call = F.struct(F.coalesce("arguments", F.lit("")).alias("a"), "name", "parent_id", "arguments")
@@ -122,26 +127,36 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], group:
                            F.when(F.col("call.parent_id").isNotNull(), F.to_json(F.struct(F.col("g").alias("g"), F.col("call.parent_id").cast("string").alias("i")))).alias("parent")))
     given = (results.where("call_id is not null").withColumn("key", _key(group, F.col("call_id"))).groupBy("key")
              .agg(F.min(group).alias("r_g"), F.min(F.col("call_id").cast("string")).alias("r_id"), F.min("content").alias("content"), F.count("*").alias("n_results")))
-    joined = made.join(steps(made), "key").join(given, "key", "full").select(
-        F.coalesce(group, "r_g").alias(group), F.coalesce("call_id", "r_id").alias("call_id"), "n_calls", "n_results",
-        F.coalesce(F.when(F.col("depth") >= 0, 2 * F.col("depth")), F.lit(-1)).alias("step"), "name", "arguments", "content")
+    told = F.struct("role", "text", "turn")
+    if context is None:
+        context = calls.sparkSession.createDataFrame([], f"{group} {kind}, call_id string, turn long, role string, text string")
+    by_call = (context.where("call_id is not null").withColumn("key", _key(group, F.col("call_id"))).groupBy("key")
+               .agg(F.min(group).alias("c_g"), F.min(F.col("call_id").cast("string")).alias("c_id"), F.array_sort(F.collect_list(told)).alias("context")))
+    # no key of a call begins like these, so each is a row of its own
+    alone = context.where("call_id is null").select(F.concat(F.lit("-"), F.monotonically_increasing_id()).alias("key"), F.col(group).alias("c_g"),
+                                                    F.lit(None).cast("string").alias("c_id"), F.array(told).alias("context"))
+    joined = made.join(steps(made), "key").join(given, "key", "full").join(by_call.union(alone), "key", "full").select(
+        F.coalesce(group, "r_g", "c_g").alias(group), F.coalesce("call_id", "r_id", "c_id").alias("call_id"), "n_calls", "n_results",
+        F.coalesce(F.when(F.col("depth") >= 0, 2 * F.col("depth")), F.lit(-1)).alias("step"), "name", "arguments", "content", "context")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):
             out: list[list] = [[], [], []]
-            for _, call_id, n_calls, n_results, step, name, arguments, content in zip(*(c.to_pylist() for c in batch.columns)):
+            for _, call_id, n_calls, n_results, step, name, arguments, content, said in zip(*(c.to_pylist() for c in batch.columns)):
                 value, fine = parsed(arguments)
                 problems: list[str] = []
                 if n_calls:
                     problems = (["name: unknown"] if name not in schemas else ["arguments: no JSON"] if not fine
                                 else violations(value, {"type": "object"} | schemas[name]))
-                status = ("orphan" if not n_calls else "duplicate" if n_calls > 1 or (n_results or 0) > 1 else "cyclic" if step < 0
+                status = ("context" if not n_calls and not n_results else "orphan" if not n_calls else "duplicate" if n_calls > 1 or (n_results or 0) > 1 else "cyclic" if step < 0
                           else "invalid" if problems else "unanswered" if not n_results else "linked")
                 record = {"id": call_id}
                 if n_calls:
                     record["call"] = {"name": name, "arguments": value if fine else arguments}
                 if n_results:
                     record["result"] = {"content": content}
+                if said:
+                    record["context"] = said
                 for column, x in zip(out, (status, problems, canonical(record))):
                     column.append(x)
             yield pa.RecordBatch.from_arrays(
@@ -170,6 +185,14 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
+def other_turns(conversations: DataFrame) -> DataFrame:
+    """conv_id, call_id, turn, role, text of the rows that ``turns_as_calls`` has no place for: other roles, told
+    with the call one turn later, and all rows without a turn number."""
+    said = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    return (said.where("turn is null or role is null or role not in ('user', 'assistant')")
+            .select("conv_id", (F.col("turn") + 1).alias("call_id"), "turn", "role", "text"))
+
+
 #: The schema of the tool in plain conversations.
 REPLY = {"reply": {"type": "object", "required": ["prompt", "turn"], "additionalProperties": False,
                    "properties": {"prompt": {"type": "string", "minLength": 1}, "turn": {"type": "integer", "minimum": 0}}}}

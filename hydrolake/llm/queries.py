@@ -70,8 +70,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = chat_format.turns_as_calls(table(spark, sf_dir, "conversations"))
-    return chat_format.link(calls, results, chat_format.REPLY)
+    conversations = table(spark, sf_dir, "conversations")
+    calls, results = chat_format.turns_as_calls(conversations)
+    return chat_format.link(calls, results, chat_format.REPLY, context=chat_format.other_turns(conversations))
 
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -371,6 +371,32 @@ def test_chat_query_covers_the_conversations(spark):
             assert r.status == "orphan"
 
 
+def test_chat_keeps_every_row_of_the_conversations(spark, tmp_path):
+    from hydrolake.llm.queries import QUERIES
+
+    odd = [(1, 0, "system", "be kind"), (1, 1, "user", "hi"), (1, 2, "assistant", "hello"), (1, 3, "tool", "42"), (1, 3, "system", "é"), (1, 4, "user", "so?"),
+           (2, 0, "system", "alone"), (3, 5, None, "no role"), (3, 6, "tool", None), (4, 0, "system", "before an answer"), (4, 2, "assistant", "answer"),
+           (5, None, "user", "no turn"), (5, None, "user", "no turn"), (5, None, "system", None), (None, 0, "system", "no conversation"), (None, 1, "user", "q")]
+    schema = "conv_id long, turn int, role string, text string"
+    spark.createDataFrame(odd, schema).write.parquet(str(tmp_path / "conversations.parquet"))
+    for at in (str(tmp_path), SAMPLE):
+        rows = spark.read.parquet(f"{at}/conversations.parquet").collect()
+        found, status = Counter(), {}
+        for r in QUERIES["op9_chat_format"](spark, at).collect():
+            record = json.loads(r.json)
+            if "call" in record:
+                found[r.conv_id, record["call"]["arguments"]["turn"], "user", record["call"]["arguments"]["prompt"]] += 1
+            if "result" in record:
+                found[r.conv_id, int(r.call_id) + 1, "assistant", record["result"]["content"]] += 1
+            for x in record.get("context", ()):
+                found[r.conv_id, x["turn"], x["role"], x["text"]] += 1
+            status[r.conv_id, r.call_id] = r.status, r.step
+        assert found == Counter((r.conv_id, r.turn, r.role, r.text) for r in rows)
+        if at != SAMPLE:
+            assert status == {(1, "1"): ("linked", 0), (1, "4"): ("unanswered", 0), (2, "1"): ("context", -1), (3, "6"): ("context", -1),
+                              (3, "7"): ("context", -1), (4, "1"): ("orphan", -1), (5, None): ("context", -1), (None, "1"): ("unanswered", 0)}
+
+
 # near copies
 
 def test_simhash_equals_brute_force(spark, docs_of):
