@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, fingerprints, language_id, lm_scoring, mixing, packing, quality_rules, secret_scans, simhash_dedup, token_counts
+from ..session import scratch_path
+from . import (chat_format, filter_audit, fingerprints, language_id, lm_scoring, merkle, mixing, packing, quality_rules, secret_scans,
+               simhash_dedup, token_counts, token_files)
 from .common import ship, table
 from .oracles import ORACLES  # noqa: F401
 
@@ -80,6 +82,23 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = scratch_path(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), folder, tokenizer("byte_bpe_50k.json"), tokenizer("byte_bpe_50k.tiktoken"),
+                      public_tokenizers.PATTERN, end_id=0)
+    return token_files.read(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"), merkle.tampered_text())
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -89,4 +108,4 @@ def _shipped(query):
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (op1_mixing, op2_language_id, op3_fingerprints, op4_packing, op5_token_counts, op6_secret_scans, op7_lm_scoring, op7_lm_scoring_all,
-                                                    op8_quality_rules, op9_chat_format, op10_simhash_dedup)}
+                                             op8_quality_rules, op9_chat_format, op10_simhash_dedup, op11_filter_audit, op12_token_files, op13_merkle_manifest)}
