@@ -35,8 +35,9 @@ from .common import cut
 from .mixing import source_key
 from .ranks import positions
 
-ARITY, LEVELS = 16, 3
-BLOCK = ARITY ** LEVELS
+ARITY = 16
+#: A round appends nodes in blocks of this many levels.
+BLOCK_LEVELS = 3
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _HEX = 64       # characters of a digest as text
 
@@ -96,9 +97,9 @@ class Block:
         return self.root
 
 
-def levels_of(n: int) -> int:
-    """How many levels the next round builds on a tree of ``n`` nodes."""
-    return sum(ARITY ** k < n for k in range(LEVELS))
+def levels_of(n: int, most: int) -> int:
+    """How many levels, of ``most``, a round builds on a tree of ``n`` nodes."""
+    return sum(ARITY ** k < n for k in range(most))
 
 
 def fold(value: bytes, witness: bytes, places: Iterable[tuple[int, int]]) -> bytes:
@@ -135,7 +136,7 @@ _NODE = "_tree string, _pos long, _n long, _hash binary"
 
 def _in_blocks(nodes: DataFrame) -> DataFrame:
     """The rows block by block, each block in one task, in order."""
-    return (nodes.withColumn("_block", F.when(F.col("_pos") < 0, F.col("_above")).otherwise(F.expr(f"_pos div {BLOCK}")))
+    return (nodes.withColumn("_block", F.when(F.col("_pos") < 0, F.col("_above")).otherwise(F.expr(f"_pos div {ARITY ** BLOCK_LEVELS}")))
             .repartition("_tree", "_block").sortWithinPartitions("_tree", "_block", "_pos"))
 
 
@@ -156,12 +157,13 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[dic
 
 def _block_roots(nodes: DataFrame) -> DataFrame:
     """The next round's nodes: the root of every block."""
+    most = BLOCK_LEVELS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for (tree, block), rows in _blocks(batches):
             n = rows[0]["_n"]
-            levels = levels_of(n)
+            levels = levels_of(n, most)
             appended = Block(levels)
             for row in rows:
                 appended.append(row["_hash"].hex().encode())
@@ -194,13 +196,13 @@ def _with_witness(nodes: DataFrame, above: DataFrame, told: dict[str, str], emit
                          *[null(k).alias(c) for c, k in told.items()], *extra)
     head = above.select("_tree", F.lit(-1).cast("long").alias("_pos"), null("long").alias("_n"), null("binary").alias("_hash"),
                         F.col("_pos").alias("_above"), "_witness", *told, *[null(k).alias(c) for c, k in extra.items()])
-    arrow = to_arrow_schema(schema)
+    arrow, most = to_arrow_schema(schema), BLOCK_LEVELS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, (first, *rest) in _blocks(batches):
             if not rest:        # an empty table has a start and no nodes
                 continue
-            block = Block(levels_of(rest[0]["_n"]))
+            block = Block(levels_of(rest[0]["_n"], most))
             appended = [block.append(row["_hash"].hex().encode()) for row in rest]
             block.finish()
             end = first["_witness"].hex().encode()

@@ -88,17 +88,34 @@ def test_matrix_holds_the_words(spark, docs_of):
     from hydrolake.llm import filter_audit as a
 
     rows = audit_rows(40) + [(999, None, None)]
-    csr, words = a.matrix(docs_of([(i, t, None, s) for i, t, s in rows]), shard_bytes=3000)
-    known = {r.word_id: bytes(r.word) for r in words.collect()}
-    assert sorted(known) == list(range(len(known))) and [known[i] for i in sorted(known)] == sorted(known.values())
+    csr, dictionary = a.matrix(docs_of([(i, t, None, s) for i, t, s in rows]), shard_bytes=3000, bucket_words=100)
+    known = {r.base + k: w for r in dictionary.collect() for k, w in enumerate(bytes(r.words).split())}
+    assert sorted(known) == list(range(len(known))) and len(set(known.values())) == len(known) and dictionary.count() > 8
     got = []
     for s in csr.collect():
+        indices, data = np.frombuffer(s.indices, "<i8"), np.frombuffer(s.data, "<i4")
         for i, lo, hi in zip(s.doc_id, s.ends, s.ends[1:]):
-            got.append((i, Counter({known[w].decode(): n for w, n in zip(s.indices[lo:hi], s.data[lo:hi])})))
-    assert sorted(got, key=lambda x: x[0]) == sorted(((i, Counter(brute.WORD.findall(t or ""))) for i, t, _ in rows), key=lambda x: x[0])
+            got.append((i, {known[w].decode(): n for w, n in zip(indices[lo:hi].tolist(), data[lo:hi].tolist())}))
+    want = [(i, dict(Counter(brute.WORD.findall(t or "")))) for i, t, _ in rows]
+    assert sorted(got, key=lambda x: (x[0], str(sorted(x[1])))) == sorted(want, key=lambda x: (x[0], str(sorted(x[1]))))
     assert csr.count() > 3
 
 
+def test_packed_rows_round_trip():
+    from hydrolake.llm import filter_audit as a
+
+    rnd = np.random.default_rng(1)
+    sizes = [0, 5, 0, 0, 90, 1, 0]
+    ends = np.cumsum([0, *sizes])
+    indices = np.concatenate([rnd.choice(1 << 31, n, replace=False) for n in sizes]).astype(np.int64)
+    data = rnd.integers(1, 1 << 30, len(indices)).astype(np.int32)
+    got = a.unpacked_rows(*a.packed_rows(indices, data, ends), ends)
+    for lo, hi in zip(ends, ends[1:]):
+        assert dict(zip(got[0][lo:hi].tolist(), got[1][lo:hi].tolist())) == dict(zip(indices[lo:hi].tolist(), data[lo:hi].tolist()))
+    none = a.unpacked_rows(*a.packed_rows(indices[:0], data[:0], np.array([0, 0])), np.array([0, 0]))
+    assert len(none[0]) == len(none[1]) == 0
+
+
 # token files
 
 @pytest.fixture(scope="module")
@@ -267,12 +284,13 @@ def test_manifest_over_several_rounds(spark, docs_of, monkeypatch):
     df = docs_of([(i, f"T{i}", None, "a" if i % 7 else "b") for i in range(1500)])
     want = manifest_by_hand(plain(df))
     assert manifested(df) == want
-    monkeypatch.setattr(m, "LEVELS", 1)
-    monkeypatch.setattr(m, "BLOCK", 16)
+    # the workers have their own copy of the module: the smaller blocks are passed along
+    monkeypatch.setattr(m, "BLOCK_LEVELS", 1)
     nodes = spark.createDataFrame([("a", i, 1500, hashlib.sha256(b"%d" % i).digest()) for i in range(1500)], m._NODE)
     layers = m.rounds(nodes)
     assert [x.count() for x in layers] == [1500, 94, 6, 1]
     assert layers[-1].first()._hash.hex() == tree_by_hand([hashlib.sha256(b"%d" % i).hexdigest() for i in range(1500)])[0]
+    assert manifested(df) == want
 
 
 def test_appended_witnesses_grow_with_later_siblings():
