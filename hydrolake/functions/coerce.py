@@ -30,9 +30,11 @@ def coerce_int(c, default: int = 0) -> Column:
 
 
 def null_if_nan(c) -> Column:
-    """NaN and +-Infinity become NULL (JSON/CSV exports must not carry them)."""
-    col = _c(c)
-    return F.when(~F.isnan(col) & (F.abs(col) != F.lit(float("inf"))), col)
+    """NaN and +-Infinity become NULL (JSON/CSV exports must not carry them).
+
+    A finite number is its own remainder by infinity and any other gives NaN, so ``c`` is evaluated once.
+    """
+    return F.nanvl(_c(c).cast("double") % F.lit(float("inf")), F.lit(None).cast("double"))
 
 
 def first_truthy(*cols, numeric: bool = False) -> Column:

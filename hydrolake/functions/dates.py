@@ -13,8 +13,9 @@ def _c(c) -> Column:
 
 
 def date_key(d) -> Column:
-    """yyyyMMdd as INT."""
-    return F.date_format(_c(d), "yyyyMMdd").cast("int")
+    """yyyyMMdd as INT, by arithmetic: formatting a date costs several times as much."""
+    d = _c(d)
+    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
 def to_date_lenient(c, fallback=None) -> Column:

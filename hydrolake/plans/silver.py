@@ -59,55 +59,61 @@ def _loaded_at(run_ts):
     return F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
 
 
+def key_reservoir(bronze: DataFrame) -> DataFrame:
+    """Bronze readings with their cleaned keys (id and date; source and dt are as landed); rows without id go."""
+    date_src = F.col("record_date") if "record_date" in bronze.columns else col_or(bronze, "date")
+    df = bronze.select(*[c for c in bronze.columns if c not in ("reservoir_id", "record_date")],
+                       fill_default_string(col_or(bronze, "reservoir_id"), "").alias("reservoir_id"),
+                       to_date_lenient(date_src, F.col("dt").cast("date")).alias("record_date"))
+    return df.where(F.col("reservoir_id") != "")
+
+
+def clean_measures(df: DataFrame) -> DataFrame:
+    """Keyed readings with numbers parsed, names filled and the percentage recomputed."""
+    df = df.withColumns({c: coerce_numeric(col_or(df, c)) for c in RESERVOIR_NUMERIC} | {
+        "reservoir_name": fill_default_string(col_or(df, "reservoir_name"), K.DEFAULT_NAME),
+        "owner": fill_default_string(col_or(df, "owner"), K.DEFAULT_OWNER),
+        "region": fill_default_string(col_or(df, "region"), K.DEFAULT_REGION, blank_to_default=True)})
+    return df.withColumn("percent_storage",
+                         clip(recompute_percent("percent_storage", "volume_mcm", "capacity_mcm", scale=2)))
+
+
 def clean_reservoir(bronze: DataFrame) -> DataFrame:
     """Coerce and fill Bronze readings, drop unkeyed rows, normalise dates and percent."""
-    df = bronze
-    for c in RESERVOIR_NUMERIC:
-        df = df.withColumn(c, coerce_numeric(col_or(df, c)))
-    date_src = F.col("record_date") if "record_date" in df.columns else col_or(df, "date")
-    df = df.select(
-        *[c for c in df.columns if c not in ("reservoir_id", "reservoir_name", "owner", "region", "record_date")],
-        fill_default_string(col_or(df, "reservoir_id"), "").alias("reservoir_id"),
-        fill_default_string(col_or(df, "reservoir_name"), K.DEFAULT_NAME).alias("reservoir_name"),
-        fill_default_string(col_or(df, "owner"), K.DEFAULT_OWNER).alias("owner"),
-        fill_default_string(col_or(df, "region"), K.DEFAULT_REGION, blank_to_default=True).alias("region"),
-        to_date_lenient(date_src, F.col("dt").cast("date")).alias("record_date"),
-    )
-    df = df.where(F.col("reservoir_id") != "")
-    df = df.withColumn("percent_storage",
-                       clip(recompute_percent("percent_storage", "volume_mcm", "capacity_mcm", scale=2)))
-    return df
+    return clean_measures(key_reservoir(bronze))
 
 
 def silver_reservoir(bronze: DataFrame, run_ts: str | None = None) -> DataFrame:
     """Silver reservoir: one row per (reservoir_id, record_date, source, dt), latest fetch wins.
 
     Ties on ``fetched_at`` (one constant per producer run) are broken by the
-    message offset, newest first, so the choice is deterministic.
+    message offset, newest first, so the choice is deterministic.  Only the keys are
+    cleaned before the shuffle: measures of superseded rows are never parsed, and the
+    rest is parsed in as many tasks as the shuffle has, however few files were read.
     """
-    df = clean_reservoir(bronze)
+    df = key_reservoir(bronze)
     tie = [F.col("_offset").desc()] if "_offset" in df.columns else []
     df = dedup_latest(df, ["reservoir_id", "record_date", "source", "dt"], "fetched_at", tie)
-    df = df.withColumn("silver_loaded_at", _loaded_at(run_ts))
+    df = clean_measures(df).withColumn("silver_loaded_at", _loaded_at(run_ts))
     return conform_schema(df, SILVER_RESERVOIR_COLS)
 
 
 def silver_weather(bronze: DataFrame, run_ts: str | None = None) -> DataFrame:
-    """Silver weather: one row per (prov_code, forecast_date, dt), latest ``generated_at`` wins."""
-    df = bronze
-    for c in WEATHER_NUMERIC:
-        df = df.withColumn(c, coerce_numeric(col_or(df, c)))
-    df = df.withColumn("prov_code", coerce_int(col_or(df, "prov_code")))
+    """Silver weather: one row per (prov_code, forecast_date, dt), latest ``generated_at`` wins.
+
+    As in ``silver_reservoir`` only the keys are cleaned before the shuffle.
+    """
+    order_col = "generated_at" if "generated_at" in bronze.columns else "fetched_at"
+    tie = [F.col("_offset").desc()] if "_offset" in bronze.columns else []
+    df = bronze.withColumns({"prov_code": coerce_int(col_or(bronze, "prov_code")),
+                             "forecast_date": to_date_lenient(col_or(bronze, "forecast_date"), F.col("dt").cast("date"))})
+    df = dedup_latest(df, ["prov_code", "forecast_date", "dt"], order_col, tie)
+    df = df.withColumns({c: coerce_numeric(col_or(df, c)) for c in WEATHER_NUMERIC} | {
+        c: ensure_string(col_or(df, c)) for c in ("prov_th", "prov_en", "region", "rain_intensity", "data_source")})
     if "is_heavy_rain_24h" in df.columns:
         df = df.withColumn("is_heavy_rain_24h", parse_bool("is_heavy_rain_24h"))
     else:   # flag column absent from the feed: derive it from rainfall
         df = df.withColumn("is_heavy_rain_24h", F.col("rainfall_forecast_mm") >= K.HEAVY_RAIN_MM)
-    df = df.withColumn("forecast_date", to_date_lenient(col_or(df, "forecast_date"), F.col("dt").cast("date")))
-    for c in ("prov_th", "prov_en", "region", "rain_intensity", "data_source"):
-        df = df.withColumn(c, ensure_string(col_or(df, c)))
-    order_col = "generated_at" if "generated_at" in df.columns else "fetched_at"
-    tie = [F.col("_offset").desc()] if "_offset" in df.columns else []
-    df = dedup_latest(df, ["prov_code", "forecast_date", "dt"], order_col, tie)
     df = df.withColumn("silver_loaded_at", _loaded_at(run_ts))
     return conform_schema(df, SILVER_WEATHER_COLS)
 

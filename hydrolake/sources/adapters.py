@@ -36,7 +36,7 @@ def between_days(df: DataFrame, column: str, days: tuple[str, str] | None) -> Da
 
 
 def _day_str(ts) -> F.Column:
-    return F.date_format(F.to_date(ts), "yyyy-MM-dd")
+    return F.to_date(ts).cast("string")
 
 
 def _dbl_str(c) -> F.Column:

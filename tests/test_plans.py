@@ -77,3 +77,19 @@ def test_metadata_row_is_one_aggregate_without_joins_between_summaries(spark):
     r = df.first()
     assert (r.reservoir_count, r.latest_record_date, r.alert_province_count, r.alert_normal, r.alert_crisis,
             r.dq_overall, r.dq_total) == (2, "2024-01-03", 3, 2, 1, "PASS", 5)
+
+
+def test_numbers_are_parsed_once_and_after_the_dedup_shuffle(spark):
+    """Each cell of Silver is parsed by one cast, above the exchange: superseded rows are never parsed."""
+    from hydrolake.plans import silver
+    cols = [c for c, _ in silver.SILVER_RESERVOIR_COLS if c not in ("silver_loaded_at",)]
+    bronze = spark.createDataFrame([(*["1"] * len(cols), 1)], ", ".join(f"{c} string" for c in cols) + ", _offset long")
+    plan = silver.silver_reservoir(bronze)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Window [", 1)
+    for c in silver.RESERVOIR_NUMERIC:
+        assert above.count(f"{c}#") and "as double" not in below, c
+    assert above.count("cast(trim(") == len(silver.RESERVOIR_NUMERIC), above
+    wx = [c for c, _ in silver.SILVER_WEATHER_COLS if c not in ("silver_loaded_at",)]
+    bronze = spark.createDataFrame([(*["1"] * len(wx), 1)], ", ".join(f"{c} string" for c in wx) + ", _offset long")
+    below = silver.silver_weather(bronze)._jdf.queryExecution().optimizedPlan().toString().split("Window [", 1)[1]
+    assert below.count("as double") == 1    # the key's own number
