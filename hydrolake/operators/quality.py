@@ -9,9 +9,10 @@ report is just a DataFrame that can be appended to a table partitioned by run.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -142,6 +143,55 @@ def dq_report(df: DataFrame, table: str, key: list[str] | None = None, not_null:
     return out
 
 
+def observe_rules(df: DataFrame, table: str, not_null: list[str] | None = None, ranges=K.DQ_RANGES):
+    """(watch, report) for the not-null, range and availability rules of ``df``.
+
+    ``watch(rows)`` adds the counters to the rows that are written (``sink_partitioned(..., watch=watch)``), as the
+    last step, which runs for empty input too.  ``report()`` gives the rules' rows afterwards, from the counters
+    that the job kept: no row is read again.
+    Uniqueness can't be observed; ``dq_report`` has that rule.  Details name the least failing value.  A frame
+    without rows gives the DATA_AVAILABILITY row alone, as in ``dq_report``.
+    """
+    rules = not_null_rules(df, K.DQ_NOT_NULL_FIELDS if not_null is None else not_null) + range_rules(df, ranges)
+    seen = Observation(f"rules_{table}_{uuid.uuid4().hex[:8]}")
+    least = [F.min(F.when(r.failed, F.col(r.sample_col).cast("string"))).alias(f"m{i}") for i, r in enumerate(rules) if r.sample_col]
+    counters = [F.count(F.lit(1)).alias("n"), *[F.count_if(r.failed).alias(f"f{i}") for i, r in enumerate(rules)], *least]
+    spark = df.sparkSession
+
+    def watch(rows: DataFrame) -> DataFrame:
+        return rows.observe(seen, *counters)
+
+    def report() -> DataFrame:
+        got = seen.get
+        total = got["n"]
+        rows = []
+        for i, r in enumerate(rules):
+            failed, sample = got[f"f{i}"], got.get(f"m{i}")
+            status = "PASS" if not failed else "FAIL" if r.critical else "WARN"
+            details = "" if not failed and r.sample_col else r.note if not r.sample_col else f"{r.note}: ['{sample}']" if sample else f"{r.note}: []"
+            rows.append((r.name, table, status, r.critical, total, failed, round(100.0 * (1 - failed / max(total, 1)), 2), details))
+        if not total:
+            rows = [("DATA_AVAILABILITY", table, "FAIL", True, 0, 0, 0.0, "No data in the layer")]
+        return spark.createDataFrame(rows, "rule STRING, table STRING, status STRING, critical BOOLEAN, total_rows BIGINT, "
+                                           "failed_rows BIGINT, pass_rate_pct DOUBLE, details STRING")
+
+    return watch, report
+
+
+def unique_rule(df: DataFrame, table: str, key: list[str] | None = None) -> DataFrame:
+    """The uniqueness rule of ``dq_report`` alone, over the key columns; no row for an empty frame."""
+    rep = dq_report(df, table, key=key, not_null=[], ranges=())
+    return rep.where(F.col("rule").startswith("DUPLICATE_CHECK"))
+
+
+def availability_rows(runs: DataFrame, table: str) -> DataFrame:
+    """A DATA_AVAILABILITY FAIL row for each row of ``runs`` (its columns stay), the runs that have no data."""
+    zero = F.lit(0).cast("bigint")
+    return runs.select("*", F.lit("DATA_AVAILABILITY").alias("rule"), F.lit(table).alias("table"), F.lit("FAIL").alias("status"),
+                       F.lit(True).alias("critical"), zero.alias("total_rows"), zero.alias("failed_rows"), F.lit(0.0).alias("pass_rate_pct"),
+                       F.lit("No data in the layer").alias("details"))
+
+
 def availability(df: DataFrame, table: str) -> DataFrame:
     """One DATA_AVAILABILITY FAIL row if ``df`` is empty, else nothing."""
     n = df.agg(F.count(F.lit(1)).alias("total_rows")).where(F.col("total_rows") == 0)

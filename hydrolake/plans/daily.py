@@ -12,15 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import dq_gate, dq_report, dq_summary
+from ..operators.quality import dq_gate, dq_summary, observe_rules, unique_rule
 from ..schemas import GOLD_TABLES
-from ..sources import io
+from ..sources import io, lake as folders
 from . import exports, features, marts, scoring, silver, star
 
-TABLES = ("silver_reservoir", "silver_weather", "silver_flood_risk", "dq", "dim_date", "dim_reservoir", "dim_location",
+TABLES = ("silver_reservoir", "silver_weather", "silver_flood_risk", "dq", "dim_reservoir_state", "dim_date", "dim_reservoir", "dim_location",
           "dim_weather", "fact_water", "fact_flood_risk", "features", "alerts", "export_alerts", "export_alerts_csv",
           "export_alerts_json", "export_reservoirs", "export_reservoirs_csv", "export_reservoirs_json", "export_meta")
 
+#: Tables that are refreshed whole: each run adds a version, readers see the newest complete one.
+VERSIONED = ("silver_flood_risk", "dim_date", "dim_reservoir", "dim_location")
+
 
 def paths(lake: str) -> dict[str, str]:
     return {k: f"{lake.rstrip('/')}/{k}" for k in TABLES}
@@ -33,27 +36,35 @@ def ddl(columns: list[tuple[str, str]]) -> str:
 def run_daily(spark: SparkSession, run_date: str, lake: str, bronze_readings: DataFrame, bronze_weather: DataFrame,
               hazard: DataFrame, downstream_map: DataFrame, provinces: DataFrame) -> dict[str, str]:
     """Run one day end to end; returns the written table paths."""
+    from .incremental import advance_state
+
     p = paths(lake)
     day = F.col("dt") == run_date
-    io.sink_partitioned(silver.silver_reservoir(bronze_readings.where(day)), p["silver_reservoir"])
+    # the rules are counted while Silver is written; only uniqueness reads the day's keys again
+    readings = silver.silver_reservoir(bronze_readings.where(day))
+    watch, rules = observe_rules(readings, "silver_reservoir")
+    io.sink_partitioned(readings, p["silver_reservoir"], watch=watch)
     io.sink_partitioned(silver.silver_weather(bronze_weather.where(day)), p["silver_weather"])
-    silver.silver_flood_risk(hazard).write.mode("overwrite").parquet(p["silver_flood_risk"])
+    folders.replace_table(silver.silver_flood_risk(hazard), p["silver_flood_risk"])
 
-    sres = spark.read.schema(ddl(silver.SILVER_RESERVOIR_COLS)).parquet(p["silver_reservoir"])
+    res_ddl = ddl(silver.SILVER_RESERVOIR_COLS)
+    sres = spark.read.schema(res_ddl).parquet(p["silver_reservoir"])
     swx = spark.read.schema(ddl(silver.SILVER_WEATHER_COLS)).parquet(p["silver_weather"])
-    srisk = spark.read.schema(ddl(silver.SILVER_FLOOD_RISK_COLS)).parquet(p["silver_flood_risk"])
+    srisk = folders.read_current(spark, p["silver_flood_risk"], ddl(silver.SILVER_FLOOD_RISK_COLS))
 
     # the report replaces that of an earlier run of the day, and the gate judges this report alone
-    report = dq_report(sres.where(day), "silver_reservoir").withColumn("run_date", F.lit(run_date))
+    report = rules().unionByName(unique_rule(sres.where(day), "silver_reservoir")).withColumn("run_date", F.lit(run_date))
     (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(p["dq"]))
     report = spark.read.schema(report.schema).parquet(p["dq"]).where(F.col("run_date") == run_date)
     dq_gate(report)   # halts on a critical failure
 
-    star.dim_date_for(sres, "record_date").write.mode("overwrite").parquet(p["dim_date"])
-    star.dim_reservoir(sres).write.mode("overwrite").parquet(p["dim_reservoir"])
-    star.dim_location(srisk).write.mode("overwrite").parquet(p["dim_location"])
+    # dimensions: yesterday's state and the day's Silver, published as whole versions
+    state = advance_state(spark, p["dim_reservoir_state"], p["silver_reservoir"], run_date, res_ddl)
+    folders.replace_table(star.dates_from_state(state), p["dim_date"])
+    folders.replace_table(star.dim_from_state(state, crosswalk_region=True), p["dim_reservoir"])
+    folders.replace_table(star.dim_location(srisk), p["dim_location"])
     io.sink_partitioned(star.dim_weather(swx, run_date), p["dim_weather"])
-    gold = {k: spark.read.schema(GOLD_TABLES[k][0]).parquet(p[k]) for k in ("dim_reservoir", "dim_location", "dim_weather")}
+    gold = {k: folders.read_current(spark, p[k], GOLD_TABLES[k][0]) for k in ("dim_reservoir", "dim_location", "dim_weather")}
     io.sink_partitioned(star.fact_water(sres, gold["dim_reservoir"], run_date), p["fact_water"])
     io.sink_partitioned(star.fact_flood_risk(srisk, gold["dim_location"], gold["dim_weather"], run_date), p["fact_flood_risk"])
 
@@ -71,7 +82,7 @@ def run_daily(spark: SparkSession, run_date: str, lake: str, bronze_readings: Da
     for name, frame in (("export_alerts_json", out_alerts), ("export_reservoirs_json", out_res)):
         exports.nan_to_null(frame).write.mode("overwrite").option("ignoreNullFields", False).json(p[name])
     exports.export_meta_row(run_date, out_res, out_alerts, dq_summary(report)).write.mode("overwrite").json(p["export_meta"])
-    return p
+    return {k: folders.current_version(spark, v) if k in VERSIONED else v for k, v in p.items()}
 
 
 def marts_from_lake(spark: SparkSession, lake: str, run_date: str) -> dict[str, DataFrame]:
@@ -79,7 +90,7 @@ def marts_from_lake(spark: SparkSession, lake: str, run_date: str) -> dict[str,
     p = paths(lake)
 
     def gold(name: str, schema: str | None = None) -> DataFrame:
-        return spark.read.schema(GOLD_TABLES[schema or name][0]).parquet(p[name])
+        return folders.read_current(spark, p[name], GOLD_TABLES[schema or name][0])
 
     water, dates = gold("fact_water", "fact_water_monitoring"), gold("dim_date")
     # dim_weather is one run's table in these marts

@@ -75,7 +75,7 @@ def mart_30d_trend(fact: DataFrame, dim_res: DataFrame, dim_dt: DataFrame, dt: s
     lo = (_dt.date.fromisoformat(dt) - _dt.timedelta(days=days)).isoformat()
     dd = dim_dt.where(F.col("full_date").between(F.to_date(F.lit(lo)), F.to_date(F.lit(dt))))
     f = (fact.where(F.col("date_key").between(int(lo.replace("-", "")), int(dt.replace("-", ""))))
-         .join(dd.select("date_key", "full_date"), "date_key")
+         .join(F.broadcast(dd.select("date_key", "full_date")), "date_key")     # as many rows as days
          .join(dim_res.select("reservoir_key", "reservoir_id", "reservoir_name", "reservoir_type", "region",
                               "capacity_mcm"), "reservoir_key"))
     w = Window.partitionBy("reservoir_key").orderBy("full_date")

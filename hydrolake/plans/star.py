@@ -7,6 +7,8 @@ keys; AQE broadcasts a dimension only when its runtime size is small.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,23 +34,46 @@ def dim_date_for(df: DataFrame, date_col: str) -> DataFrame:
     return days.select(*[c.alias(n) for n, c in date_parts(F.col("d")).items()])
 
 
-def dim_reservoir(silver_reservoir: DataFrame, crosswalk_region: bool = False) -> DataFrame:
-    """One row per (reservoir_id, source) with the max of slowly-changing attributes."""
-    agg = silver_reservoir.groupBy("reservoir_id", "source").agg(
-        F.max("reservoir_name").alias("reservoir_name"),
-        F.max("region").alias("region"),
-        F.max("owner").alias("owner"),
-        F.max("capacity_mcm").alias("capacity_mcm"),
-        F.max("dead_storage_mcm").alias("dead_storage_mcm"),
-    )
+RESERVOIR_MAXES = ("reservoir_name", "region", "owner", "capacity_mcm", "dead_storage_mcm")
+RESERVOIR_STATE = ("reservoir_id STRING, source STRING, reservoir_name STRING, region STRING, owner STRING, capacity_mcm DOUBLE, "
+                   "dead_storage_mcm DOUBLE, first_date DATE, last_date DATE")
+
+
+def reservoir_state(silver_reservoir: DataFrame) -> DataFrame:
+    """Per (reservoir_id, source) the attributes' maxima and the span of reading dates: a mergeable aggregate."""
+    return silver_reservoir.groupBy("reservoir_id", "source").agg(
+        *[F.max(c).alias(c) for c in RESERVOIR_MAXES], F.min("record_date").alias("first_date"), F.max("record_date").alias("last_date"))
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    """The state of all rows that went into ``states``."""
+    rows = reduce(DataFrame.unionByName, states)
+    return rows.groupBy("reservoir_id", "source").agg(
+        *[F.max(c).alias(c) for c in RESERVOIR_MAXES], F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
+
+
+def dim_from_state(state: DataFrame, crosswalk_region: bool = False) -> DataFrame:
+    """The reservoir dimension: surrogate keys over the state."""
     region = normalize_region("region") if crosswalk_region else F.col("region")
-    return agg.select(
+    return state.select(
         reservoir_key("reservoir_id", "source").alias("reservoir_key"),
         "reservoir_id", "reservoir_name", region.alias("region"), "owner",
         F.col("source").alias("reservoir_type"), "capacity_mcm", "dead_storage_mcm",
     )
 
 
+def dates_from_state(state: DataFrame) -> DataFrame:
+    """Dim_Date over the state's span of reading dates."""
+    span = state.agg(F.min("first_date").alias("lo"), F.max("last_date").alias("hi"))
+    days = span.select(F.explode(F.sequence("lo", "hi")).alias("d"))
+    return days.select(*[c.alias(n) for n, c in date_parts(F.col("d")).items()])
+
+
+def dim_reservoir(silver_reservoir: DataFrame, crosswalk_region: bool = False) -> DataFrame:
+    """One row per (reservoir_id, source) with the max of slowly-changing attributes."""
+    return dim_from_state(reservoir_state(silver_reservoir), crosswalk_region)
+
+
 def dim_location(silver_flood_risk: DataFrame) -> DataFrame:
     """One row per geocode; region from the province code range."""
     agg = silver_flood_risk.groupBy("geocode").agg(
@@ -103,23 +128,39 @@ def fact_water(silver_reservoir: DataFrame, dim_res: DataFrame | None, dt: str |
         F.col("silver_loaded_at").alias("loaded_at"), "dt")
 
 
+def _first_forecast(wx: DataFrame, keys: list[str]) -> DataFrame:
+    """One weather row per province (and day): the latest forecast, so risk rows are never multiplied."""
+    return pick_first(wx, keys, [F.desc_nulls_last("date_key"), F.desc_nulls_last("rainfall_forecast_mm"),
+                                 F.desc_nulls_last("is_heavy_rain_24h"), "weather_key"])
+
+
+def _risk_columns(year, dt, run_ts: str | None) -> list:
+    return [
+        fact_key(F.col("geocode"), F.col("month").cast("string")).alias("fact_key"),
+        month_start_key(year, F.col("month")).alias("date_key"),
+        "location_key", "weather_key", "geocode", F.col("month").alias("risk_month"),
+        F.col("flood_count_17yr").alias("historical_flood_count"), "risk_level", "risk_score", "flood_criteria",
+        F.col("rainfall_forecast_mm").alias("rain_forecast_mm"),
+        F.col("is_heavy_rain_24h").alias("is_heavy_rain_forecast"),
+        (F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")).alias("loaded_at"), dt.alias("dt")]
+
+
 def fact_flood_risk(silver_flood_risk: DataFrame, dim_loc: DataFrame, dim_wx: DataFrame, dt: str,
                     run_ts: str | None = None) -> DataFrame:
     """Risk rows of the run month joined to location and that run's weather."""
     year, month = int(dt[:4]), int(dt[5:7])
     risk = silver_flood_risk.where(F.col("month") == month)
-    wx = dim_wx.where(F.col("dt") == dt) if "dt" in dim_wx.columns else dim_wx
-    # one weather row per province: the latest forecast, so risk rows are never multiplied
-    wx = pick_first(wx, ["prov_code"], [F.desc_nulls_last("date_key"), F.desc_nulls_last("rainfall_forecast_mm"),
-                                        F.desc_nulls_last("is_heavy_rain_24h"), "weather_key"])
+    wx = _first_forecast(dim_wx.where(F.col("dt") == dt) if "dt" in dim_wx.columns else dim_wx, ["prov_code"])
     j = (risk.drop("prov_code").join(dim_loc.select("geocode", "location_key", "prov_code"), "geocode")
          .join(wx.select("prov_code", "weather_key", "rainfall_forecast_mm", "is_heavy_rain_24h"), "prov_code"))
-    loaded = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
-    return j.select(
-        fact_key(F.col("geocode"), F.col("month").cast("string")).alias("fact_key"),
-        month_start_key(F.lit(year), F.col("month")).alias("date_key"),
-        "location_key", "weather_key", "geocode", F.col("month").alias("risk_month"),
-        F.col("flood_count_17yr").alias("historical_flood_count"), "risk_level", "risk_score", "flood_criteria",
-        F.col("rainfall_forecast_mm").alias("rain_forecast_mm"),
-        F.col("is_heavy_rain_24h").alias("is_heavy_rain_forecast"),
-        loaded.alias("loaded_at"), F.lit(dt).alias("dt"))
+    return j.select(*_risk_columns(F.lit(year), F.lit(dt), run_ts))
+
+
+def fact_flood_risk_daily(silver_flood_risk: DataFrame, dim_loc: DataFrame, dim_wx: DataFrame, run_ts: str | None = None) -> DataFrame:
+    """``fact_flood_risk`` of every day of ``dim_wx`` at once: risk rows meet the days by province and month."""
+    wx = _first_forecast(dim_wx, ["dt", "prov_code"])
+    wx = wx.select("prov_code", "weather_key", "rainfall_forecast_mm", "is_heavy_rain_24h", "dt",
+                   F.month(F.to_date("dt")).cast("bigint").alias("month"), F.year(F.to_date("dt")).alias("_year"))
+    j = (silver_flood_risk.drop("prov_code").join(dim_loc.select("geocode", "location_key", "prov_code"), "geocode")
+         .join(wx, ["prov_code", "month"]))
+    return j.select(*_risk_columns(F.col("_year"), F.col("dt"), run_ts))

@@ -837,3 +837,31 @@ oracle("producer_state", ["bronze_weather"],
 oracle("backfill_dates", ["bronze_weather"], f"""
 SELECT strftime(d, '%Y-%m-%d') AS dt, (SELECT count(*) FROM bronze_weather w WHERE w.dt = strftime(d, '%Y-%m-%d')) AS forecasts
 FROM (SELECT unnest(generate_series(DATE '{RUN_DATE}' - INTERVAL 30 DAY, DATE '{RUN_DATE}' - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d) t""")
+
+# ---------------------------------------------------------------- streaming state, incremental Gold, gates by date
+
+ACCEPTED = "SELECT * FROM bronze_readings WHERE _offset % 101 <> 0 AND _offset % 103 <> 0 AND fetched_at IS NOT NULL"
+oracle("incremental_load", ["bronze_readings"], f"""
+SELECT 0 AS run, max(fetched_at) AS mark, count(*) AS accepted, count(*) AS bronze_rows FROM ({ACCEPTED}) a WHERE dt < '{RUN_DATE}'
+UNION ALL SELECT 1, max(fetched_at), count(*), count(*) FROM ({ACCEPTED}) b
+WHERE (dt >= '{RUN_DATE}' OR _offset % 3 = 0) AND fetched_at > (SELECT max(fetched_at) FROM ({ACCEPTED}) c WHERE dt < '{RUN_DATE}')""")
+oracle("stream_dedup", ["bronze_readings"],
+       f"SELECT DISTINCT concat_ws('_', reservoir_id, record_date, source) AS message_key, fetched_at FROM ({ACCEPTED}) a")
+oracle("producer_ledger", ["bronze_weather"], f"""
+SELECT max(dt) AS last_date, count(DISTINCT dt) AS processed_count, '{YESTERDAY}' AS next_date, CAST(1 AS BIGINT) AS n_next FROM bronze_weather""")
+DIM_RESERVOIR = CTES["dim_reservoir"][1]
+DIM_TO_DATE = DIM_RESERVOIR.replace("FROM silver_reservoir", f"FROM silver_reservoir WHERE dt <= '{RUN_DATE}'")
+oracle("dim_reservoir_incremental", ["silver_reservoir"], DIM_TO_DATE)
+oracle("insert_overwrite_table", ["silver_reservoir"],
+       f"SELECT *, 'new' AS version FROM ({DIM_RESERVOIR}) a UNION ALL SELECT *, 'old' AS version FROM ({DIM_TO_DATE}) b")
+oracle("dq_availability", ["dq_silver_day"], f"""
+SELECT '{RUN_DATE}' AS run_date, rule, status, critical, total_rows, failed_rows, pass_rate_pct FROM dq_silver_day WHERE rule NOT LIKE 'DUPLICATE%'
+UNION ALL SELECT d, 'DATA_AVAILABILITY', 'FAIL', TRUE, 0, 0, 0.0 FROM (VALUES ('{RUN_DATE}'), ('2099-01-01')) v(d)
+  WHERE d <> '{RUN_DATE}' OR NOT EXISTS (SELECT 1 FROM dq_silver_day)""")
+oracle("backfill_gate", ["fact_water", "dq_silver"], """
+SELECT * FROM fact_water WHERE dt BETWEEN '1998-06-06' AND '1998-06-15' AND dt <> '1998-06-11'
+  AND dt NOT IN (SELECT dt FROM dq_silver WHERE status = 'FAIL' AND critical)""")
+oracle("scan_ndjson_quarantine", ["bronze_readings"], """
+SELECT 'good' AS side, count(*) AS n_lines FROM bronze_readings WHERE _offset % 101 <> 0 AND _offset % 103 <> 0
+UNION ALL SELECT 'bad', count(*) FROM bronze_readings WHERE _offset % 101 = 0""")
+ORACLES["mart_from_buckets"] = ORACLES["mart_30d_trend"]

@@ -394,8 +394,8 @@ def q_scan_partition(spark, sf_dir):
 @register("scan_latest_partition")
 def q_scan_latest_partition(spark, sf_dir):
     """A run date with no partition -> the most recent partition."""
-    from ..sources.io import scan_latest_partition
-    return scan_latest_partition(_read_weather(spark, sf_dir), "2099-01-01")
+    from ..sources.lake import latest_partition
+    return latest_partition(spark, _weather_lake(spark, sf_dir), "2099-01-01", _weather_schema())
 
 
 @register("scan_all_if_empty")
@@ -414,8 +414,8 @@ def q_scan_window(spark, sf_dir):
 
 @register("scan_partition_dates")
 def q_scan_partition_dates(spark, sf_dir):
-    from ..sources.io import partition_dates
-    return partition_dates([_read_weather(spark, sf_dir)], include=RUN_DATE)
+    from ..sources.lake import listed_dates
+    return listed_dates(spark, [_weather_lake(spark, sf_dir)], include=RUN_DATE)
 
 
 @register("scan_mixed_formats")
@@ -541,7 +541,7 @@ def q_stream_ingest(spark, sf_dir):
                       .write.mode("overwrite").text(p))
     bronze, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_stream_ck")
     stream_ingest(file_source(spark, landing), bronze, ck, today=RUN_DATE)
-    return spark.read.schema(MESSAGE_SCHEMA + ", bucket_source STRING, bucket_date STRING").json(bronze)
+    return spark.read.schema(MESSAGE_SCHEMA + ", bucket_source STRING, bucket_date STRING, batch BIGINT").json(bronze).drop("batch")
 
 
 @register("watermark_filter")
@@ -819,3 +819,6 @@ def q_backfill_dates(spark, sf_dir):
     days = backfill_dates(spark, RUN_DATE, 30).select(F.date_format("fetch_date", "yyyy-MM-dd").alias("dt"))
     found = _dom(spark, sf_dir).bronze_weather.groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
     return days.join(found, "dt", "left").select("dt", F.coalesce("n", F.lit(0)).alias("forecasts"))
+
+
+from . import lake  # noqa: E402, F401  (registers its queries)

@@ -18,7 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "2",
+    # a task's files appear when the job commits, never before
+    "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "1",
 }
 
 

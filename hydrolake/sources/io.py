@@ -9,6 +9,7 @@ everything if the day is empty) are scalar / EXISTS subqueries, not driver-side
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,15 +102,17 @@ def partition_dates(frames: list[DataFrame], part_col: str = "dt", include: str
 # ------------------------------------------------------------------ sinks
 
 def sink_partitioned(df: DataFrame, path: str, fmt: str = "parquet", part_cols: tuple[str, ...] = ("dt",),
-                     mode: str = "overwrite") -> None:
+                     mode: str = "overwrite", watch: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Write partitioned by ``part_cols``; with dynamic overwrite only the partitions
     present in ``df`` are replaced (idempotent re-runs).
 
     A rebalance on the partition columns gathers cold partition values (about one
     file per value) and splits a hot one (say a third of all rows) across several
     writers, by the sizes seen at run time and without sampling the input first.
+    ``watch`` adds observed metrics to the rows as they are written, in the job's last stage.
     """
-    (df.hint("rebalance", *part_cols).write.mode(mode).format(fmt).option("compression", "snappy")
+    rows = df.hint("rebalance", *part_cols)
+    ((watch(rows) if watch else rows).write.mode(mode).format(fmt).option("compression", "snappy")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*part_cols).save(path))
 
 
@@ -127,9 +130,8 @@ def sink_csv_bom(df: DataFrame, path: str, columns: list[str], single_file: bool
 
 
 def insert_overwrite_partition(spark: SparkSession, table: str, df: DataFrame) -> None:
-    """``INSERT OVERWRITE TABLE t PARTITION (dt)`` with dynamic partition overwrite."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.insertInto(table, overwrite=True)
+    """``INSERT OVERWRITE TABLE t PARTITION (dt)`` with dynamic partition overwrite, for this write alone."""
+    df.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
 
 
 def register_external(spark: SparkSession, table: str, ddl_cols: str, location: str, fmt: str = "parquet",

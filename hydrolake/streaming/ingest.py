@@ -11,11 +11,12 @@ commit), so a restarted run never re-reads committed messages; the strict
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .state import EPOCH, load_watermark, save_watermark
+from .state import EPOCH, current_run, finish_run, save_batch
 
 MESSAGE_SCHEMA = ("source STRING, reservoir_id STRING, reservoir_name STRING, region STRING, owner STRING, "
                   "record_date STRING, date STRING, capacity_mcm STRING, volume_mcm STRING, percent_storage STRING, "
@@ -52,10 +53,6 @@ def bucket_columns(df: DataFrame, today: str) -> DataFrame:
         .alias("bucket_date"))
 
 
-#: Writers that may share a hot bucket in one micro-batch.
-BUCKET_WRITERS = 16
-
-
 def file_source(spark: SparkSession, landing: str, max_files_per_batch: int = 1000) -> DataFrame:
     """A landing folder of JSON lines, in micro-batches of bounded size."""
     return spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_batch).load(landing)
@@ -67,26 +64,55 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str, max_offsets_pe
             .option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", max_offsets_per_batch).load())
 
 
-def stream_ingest(source: DataFrame, bronze: str, checkpoint: str, watermark: str = EPOCH, today: str | None = None) -> None:
+def drop_resent(recs: DataFrame, within: str) -> DataFrame:
+    """One of the messages with the same key and fetch time, in whichever micro-batch they come.
+
+    The state store holds a message's key until the stream's time has passed it by ``within``, so its size
+    follows the rate of messages, not the log.  A message later than that is dropped, and so is one whose
+    ``fetched_at`` is no timestamp.  A newer fetch of the same reading is another message.
+    """
+    timed = message_key(recs).withColumn("_fetched", F.col("fetched_at").try_cast("timestamp")).where("_fetched IS NOT NULL")
+    return timed.withWatermark("_fetched", within).dropDuplicatesWithinWatermark(["message_key", "fetched_at"]).drop("_fetched")
+
+
+def _write_batch(recs: DataFrame, batch: int, bronze: str, state: str | None, run: int) -> None:
+    """Write one micro-batch to its own Bronze folder and its mark to the state; both replace what an attempt before left."""
+    seen = Observation(f"accepted_{batch}_{uuid.uuid4().hex[:8]}")
+    # files by the size of the buckets: a small batch is one file a bucket, a hot bucket has several writers
+    out = (recs.select("value", "fetched_at", "bucket_source", "bucket_date").hint("rebalance", "bucket_source", "bucket_date")
+           .observe(seen, F.max("fetched_at").alias("last"), F.count(F.lit(1)).alias("n")))
+    (out.drop("fetched_at").write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("bucket_source", "bucket_date").text(f"{bronze}/batch={batch}"))
+    if state is not None:
+        save_batch(recs.sparkSession, state, run, batch, seen.get["last"], seen.get["n"])
+
+
+def stream_ingest(source: DataFrame, bronze: str, checkpoint: str, watermark: str = EPOCH, today: str | None = None,
+                  dedup_within: str | None = None, state: str | None = None, run: int = 0) -> None:
     """Drain a streaming frame of messages (``value``) into Bronze, then stop.
 
     Bronze holds the messages as they came, one JSON line each with every field, in
-    (bucket_source, bucket_date) folders.  Re-running only processes new input.
+    (batch, bucket_source, bucket_date) folders.  Re-running only processes new input, and a micro-batch
+    that is replayed after a crash replaces its own folder.  ``dedup_within``: see ``drop_resent``.
     """
     today = today or _dt.date.today().isoformat()
     recs = bucket_columns(watermark_filter(decode_messages(source), watermark), today)
-    # a micro-batch often has one or two buckets only: spread each over several writers
-    recs = (recs.select("value", "bucket_source", "bucket_date")
-            .repartition("bucket_source", "bucket_date", F.pmod(F.xxhash64("value"), F.lit(BUCKET_WRITERS))))
-    q = (recs.writeStream.format("text").option("checkpointLocation", checkpoint)
-         .partitionBy("bucket_source", "bucket_date").outputMode("append").trigger(availableNow=True).start(bronze))
+    if dedup_within:
+        recs = drop_resent(recs, dedup_within)
+    q = (recs.writeStream.foreachBatch(lambda df, batch: _write_batch(df, batch, bronze, state, run))
+         .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def incremental_load(source: DataFrame, bronze: str, checkpoint: str, state: str, today: str | None = None) -> str:
-    """Load the high-water mark, ingest what is newer, save the new mark; returns the mark used."""
+def incremental_load(source: DataFrame, bronze: str, checkpoint: str, state: str, today: str | None = None,
+                     dedup_within: str | None = None) -> str:
+    """Ingest what is newer than the mark of the last finished run; returns the mark used.
+
+    The new mark comes from what the micro-batches accepted, observed while they were written: no Bronze file
+    is opened.  A crash at any point neither loses nor repeats a message (see ``state.current_run``).
+    """
     spark = source.sparkSession
-    mark = load_watermark(spark, state)
-    stream_ingest(source, bronze, checkpoint, mark, today)
-    save_watermark(spark, state, spark.read.schema(MESSAGE_SCHEMA).json(bronze))
+    run, mark = current_run(spark, state)
+    stream_ingest(source, bronze, checkpoint, mark, today, dedup_within, state, run)
+    finish_run(spark, state, run, mark)
     return mark
