@@ -12,8 +12,9 @@ A schema is a subset of JSON Schema: ``type`` (or a list of types), ``properties
 ``required``, ``additionalProperties: false``, ``enum``, ``minLength``, ``maxLength``,
 ``minimum``, ``maximum``, ``items``.
 
-Defined results: a call id given more than once in a conversation is one row, made of its
-least values (arguments by text), with status ``duplicate``.  Otherwise the status is
+Defined results: of a call id given more than once in a conversation the least call (arguments by text) and
+the least result stand in its row, and every other one in a row of its own with step -1, all with status
+``duplicate``, so no row is lost.  Otherwise the status is
 ``cyclic`` (it follows itself, or a call that does; step -1), ``orphan`` (a result without a call;
 step -1), ``invalid`` (unknown tool, arguments that aren't a JSON object or fail the schema),
 ``unanswered`` (no result) or ``linked``.  A parent that doesn't exist counts as none.  Null
@@ -84,16 +85,31 @@ def canonical(value) -> str:
 
 
 def parsed(arguments: str | None):
-    """The JSON value, and whether it could be read."""
+    """The JSON value, and whether it could be read: numbers beyond a double's range and strings that aren't
+    Unicode text count as no JSON."""
     def refuse(x: str):
         raise ValueError(x)
 
+    def real(x: str) -> float:
+        return float(x) if math.isfinite(float(x)) else refuse(x)
+
+    def whole(x: str) -> int:
+        return int(x) if math.isfinite(float(x)) else refuse(x)
+
     try:
-        return json.loads(arguments, parse_constant=refuse), True
+        value = json.loads(arguments, parse_constant=refuse, parse_float=real, parse_int=whole)
+        if "\\u" in arguments:      # half a surrogate pair is no text
+            json.dumps(value, ensure_ascii=False).encode()
+        return value, True
     except (TypeError, ValueError, RecursionError):
         return None, False
 
 
+def _surplus(rows: DataFrame, least: DataFrame) -> DataFrame:
+    """The rows other than the least of each id, each with a key of its own."""
+    return rows.join(least.select("_row"), "_row", "left_anti").withColumn("key", F.concat(F.lit("+"), "_row"))
+
+
 def _key(group: str, call_id: Column) -> Column:
     """One string for (conversation, call id), null conversation included."""
     return F.to_json(F.struct(F.col(group).alias("g"), call_id.cast("string").alias("i")))
@@ -120,13 +136,22 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], group:
     ``context``: group, call_id, turn, role, text of turns to be told with a call, or on their own if call_id is null.
     """
     kind = calls.schema[group].dataType.simpleString()
-    call = F.struct(F.coalesce("arguments", F.lit("")).alias("a"), "name", "parent_id", "arguments")
-    made = (calls.where("call_id is not null").withColumn("key", _key(group, F.col("call_id"))).groupBy("key")
-            .agg(F.min(group).alias("g"), F.min(F.col("call_id").cast("string")).alias("call_id"), F.min(call).alias("call"), F.count("*").alias("n_calls")))
-    made = cut(made.select("key", F.col("g").alias(group), "call_id", "n_calls", F.col("call.name").alias("name"), F.col("call.arguments").alias("arguments"),
-                           F.when(F.col("call.parent_id").isNotNull(), F.to_json(F.struct(F.col("g").alias("g"), F.col("call.parent_id").cast("string").alias("i")))).alias("parent")))
-    given = (results.where("call_id is not null").withColumn("key", _key(group, F.col("call_id"))).groupBy("key")
-             .agg(F.min(group).alias("r_g"), F.min(F.col("call_id").cast("string")).alias("r_id"), F.min("content").alias("content"), F.count("*").alias("n_results")))
+    all_calls = cut(calls.where("call_id is not null").select(group, F.col("call_id").cast("string").alias("call_id"), F.col("parent_id").cast("string").alias("parent_id"),
+                                                              "name", "arguments", _key(group, F.col("call_id")).alias("key"), F.monotonically_increasing_id().alias("_row")))
+    call = F.struct(F.coalesce("arguments", F.lit("")).alias("a"), "name", "parent_id", "arguments", "_row")
+    made = all_calls.groupBy("key").agg(F.min(group).alias("g"), F.min("call_id").alias("call_id"), F.min(call).alias("call"), F.count("*").alias("n_calls"))
+    made = cut(made.select("key", F.col("g").alias(group), "call_id", "n_calls", F.col("call.name").alias("name"), F.col("call.arguments").alias("arguments"), F.col("call._row").alias("_row"),
+                           F.when(F.col("call.parent_id").isNotNull(), F.to_json(F.struct(F.col("g").alias("g"), F.col("call.parent_id").alias("i")))).alias("parent")))
+    all_results = cut(results.where("call_id is not null").select(group, F.col("call_id").cast("string").alias("call_id"), "content", _key(group, F.col("call_id")).alias("key"),
+                                                                  F.monotonically_increasing_id().alias("_row")))
+    # null contents come last, as everywhere a least value is taken
+    result = F.struct(F.col("content").isNull().alias("z"), "content", "_row")
+    given = (all_results.groupBy("key").agg(F.min(group).alias("r_g"), F.min("call_id").alias("r_id"), F.min(result).alias("r"), F.count("*").alias("n_results"))
+             .select("key", "r_g", "r_id", F.col("r.content").alias("content"), "n_results", F.col("r._row").alias("_row")))
+    more_calls = _surplus(all_calls, made).select("key", F.col(group).alias("c_g"), F.col("call_id").alias("c_id"), "name", "arguments", F.lit(2).cast("long").alias("n_calls"))
+    more_results = _surplus(all_results, given).select("key", F.col(group).alias("c_g"), F.col("call_id").alias("c_id"), "content",
+                                                       F.lit(2).cast("long").alias("n_results"))
+    made, given = made.drop("_row"), given.drop("_row")
     told = F.struct("role", "text", "turn")
     if context is None:
         context = calls.sparkSession.createDataFrame([], f"{group} {kind}, call_id string, turn long, role string, text string")
@@ -135,9 +160,11 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], group:
     # no key of a call begins like these, so each is a row of its own
     alone = context.where("call_id is null").select(F.concat(F.lit("-"), F.monotonically_increasing_id()).alias("key"), F.col(group).alias("c_g"),
                                                     F.lit(None).cast("string").alias("c_id"), F.array(told).alias("context"))
-    joined = made.join(steps(made), "key").join(given, "key", "full").join(by_call.union(alone), "key", "full").select(
+    linked = made.join(steps(made), "key").join(given, "key", "full").join(by_call.union(alone), "key", "full").select(
         F.coalesce(group, "r_g", "c_g").alias(group), F.coalesce("call_id", "r_id", "c_id").alias("call_id"), "n_calls", "n_results",
         F.coalesce(F.when(F.col("depth") >= 0, 2 * F.col("depth")), F.lit(-1)).alias("step"), "name", "arguments", "content", "context")
+    own = more_calls.unionByName(more_results, allowMissingColumns=True).drop("key").withColumnsRenamed({"c_g": group, "c_id": "call_id"})
+    joined = linked.unionByName(own.withColumn("step", F.lit(-1).cast("long")), allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):
@@ -148,8 +175,9 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], group:
                 if n_calls:
                     problems = (["name: unknown"] if name not in schemas else ["arguments: no JSON"] if not fine
                                 else violations(value, {"type": "object"} | schemas[name]))
-                status = ("context" if not n_calls and not n_results else "orphan" if not n_calls else "duplicate" if n_calls > 1 or (n_results or 0) > 1 else "cyclic" if step < 0
-                          else "invalid" if problems else "unanswered" if not n_results else "linked")
+                status = ("context" if not n_calls and not n_results else "duplicate" if max(n_calls or 0, n_results or 0) > 1
+                          else "orphan" if not n_calls else "cyclic" if step < 0 else "invalid" if problems
+                          else "unanswered" if not n_results else "linked")
                 record = {"id": call_id}
                 if n_calls:
                     record["call"] = {"name": name, "arguments": value if fine else arguments}
