@@ -156,10 +156,12 @@ def classes(docs: DataFrame, shingle: int = 3, max_distance: int = 2, segments:
 def keep_one(docs: DataFrame, shingle: int = 3, max_distance: int = 2, segments: int = 2, max_bucket: int = 64) -> DataFrame:
     """One row of each component, with the columns of ``docs``: the one with the least doc_id (null ids last);
     of rows with that id any one, the same on every run."""
-    named = docs.withColumn("_row", F.xxhash64(*docs.columns))
-    found = classes(named, shingle, max_distance, segments, max_bucket, ("doc_id", "_row"))
+    # the input travels as one struct, so its columns may have any names
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.select("doc_id", "text", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), whole.alias("_doc"))
+    found = classes(named.drop("_doc"), shingle, max_distance, segments, max_bucket, ("doc_id", "_row"))
     best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("best"))
     best = best.select(F.col("best.doc_id").alias("_id"), F.col("best._row").alias("_best")).distinct()
     stay = named.join(best, named["doc_id"].eqNullSafe(best["_id"]) & (named["_row"] == best["_best"]), "left_semi")
     # only rows equal in all columns are left more than once
-    return stay.dropDuplicates(["doc_id", "_row"]).select(*docs.columns)
+    return stay.dropDuplicates(["doc_id", "_row"]).select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns])
