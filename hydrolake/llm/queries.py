@@ -20,7 +20,7 @@ def tokenizer(name: str) -> str:
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_words(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken", "source")
+        "doc_id", "size", "source_size", "target", "taken", "source", "first_place")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
