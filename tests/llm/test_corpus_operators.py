@@ -62,18 +62,44 @@ def test_mixing_targets_and_taken(spark, docs_of):
     assert mix.where("n_chars <> length(text) or target <> 'x_target'").count() == 0
 
 
-def test_mixing_schedule_equals_the_formula(spark):
+def test_mixing_points_decide_the_slots(spark):
+    """Every slot's golden-ratio point, put through the cumulative shares, gives its source; ranks give its block."""
     from hydrolake.llm import mixing as m
 
-    ratio = (math.sqrt(5) - 1) / 2
-    for r in spark.range(2000).select("id", m.golden_point(F.col("id")).alias("u")).collect():
-        assert abs(r.u - r.id * ratio % 1) < 1e-9
-    # far out the product alone would have lost its digits; exact integer arithmetic says the same
-    from decimal import Decimal, getcontext
-    getcontext().prec = 60
-    k = 123_456_789_012
-    u = spark.range(1).select(m.golden_point(F.lit(k)).alias("u")).first().u
-    assert abs(u - float(Decimal(k) * (Decimal(5).sqrt() - 1) / 2 % 1)) < 1e-6
+    sizes = {"a": 1000, "b": 6400, "c": 777, "d": 3}
+    aims = m.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
+    got = sorted((r._place, r._src[1:], r._block, r._epoch, r._last - r._first) for r in m.schedule(aims, block=64).collect())
+    slots = Counter(r[1] for r in got)
+    total = sum(slots.values())
+    g = m.golden_step(total)
+    assert [r[0] for r in got] == list(range(total)) and math.gcd(g, total) == 1 and abs(g / total - 0.618) < 0.03
+    edges, seen = {}, Counter()
+    for s in sorted(sizes):
+        edges[s] = (sum(edges[x][1] - edges[x][0] for x in edges), sum(edges[x][1] - edges[x][0] for x in edges) + slots[s])
+    for k, source, block, epoch, _ in got:
+        point = k * g % total           # of `total`
+        assert next(s for s, (lo, hi) in edges.items() if lo <= point < hi) == source
+        blocks = -(-sizes[source] // 64)
+        assert (block, epoch) == (seen[source] % blocks, seen[source] // blocks)
+        seen[source] += 1
+    want = brute.targets(sizes)
+    assert all(sum(r[4] for r in got if r[1] == s) == round(want[s]) for s in sizes)
+    # large numbers of slots keep their exact places
+    n, k = 10 ** 12 + 39, 123_456_789_012
+    rank = k * m.golden_step(n) % n
+    assert spark.range(1).select(m.place_of(F.lit(rank), n)).first()[0] == k
+
+
+def test_stages_keep_columns_of_any_name(spark, docs_of):
+    from hydrolake.llm import mixing as m
+    from hydrolake.llm import simhash_dedup as d
+
+    names = ("_row", "_src", "_size", "_order", "_id", "_base", "_epoch", "_from", "_to", "_start", "_bucket", "_doc", "_text", "_place", "_best", "component", "fp")
+    df = docs_of([(i, f"word{i} " * 40, None, "a" if i % 3 else "b") for i in range(30)]).withColumns({c: F.concat(F.lit(f"{c}:"), "doc_id") for c in names})
+    for out in (d.keep_one(df), m.mix_rows(df)):
+        assert out.columns == df.columns
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}:{r.doc_id}" for r in rows for c in names)
 
 
 def test_mixing_gives_small_sources_their_targets(spark, docs_of):
@@ -94,7 +120,8 @@ def test_mixing_gives_small_sources_their_targets(spark, docs_of):
         assert not any(taken.values())
     # the slots of a source are spread evenly over the mix
     aims = m.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
-    points = sorted(r._point for r in m.schedule(aims).where("_src = '=z1'").collect())
+    slots = [(r._src, r._place) for r in m.schedule(aims).collect()]
+    points = sorted(p / len(slots) for s, p in slots if s == "=z1")
     assert all(abs(p - i / len(points)) < 0.02 for i, p in enumerate(points))
 
 
@@ -349,6 +376,17 @@ def test_chat_links_orders_and_validates(spark):
     assert empty.count() == 0
 
 
+def test_chat_refuses_numbers_and_texts_that_are_none(spark):
+    from hydrolake.llm import chat_format as c
+
+    schema = {"add": {"properties": {"x": {"type": "integer"}}}}
+    odd = {"big": '{"x": 1e400}', "long": '{"x": ' + "9" * 400 + "}", "longer": '{"x": ' + "9" * 9000 + "}", "half": '{"x": "\\ud800"}', "pair": '{"x": 1, "y": "\\ud83d\\ude00"}', "zero": '{"x": 1e3}'}
+    calls = spark.createDataFrame([(1, k, None, "add", v) for k, v in odd.items()], CALLS)
+    got = {r.call_id: r for r in c.link(calls, spark.createDataFrame([], "conv_id long, call_id string, content string"), schema).collect()}
+    assert {k: r.problems for k, r in got.items()} == {k: [] if k in ("pair", "zero") else ["arguments: no JSON"] for k in odd}
+    assert all(json.loads(got[k].json)["call"]["arguments"] == odd[k] for k in ("big", "long", "longer", "half"))
+
+
 def test_chat_query_covers_the_conversations(spark):
     from hydrolake.llm.queries import QUERIES
 
@@ -376,6 +414,7 @@ def test_chat_keeps_every_row_of_the_conversations(spark, tmp_path):
 
     odd = [(1, 0, "system", "be kind"), (1, 1, "user", "hi"), (1, 2, "assistant", "hello"), (1, 3, "tool", "42"), (1, 3, "system", "é"), (1, 4, "user", "so?"),
            (2, 0, "system", "alone"), (3, 5, None, "no role"), (3, 6, "tool", None), (4, 0, "system", "before an answer"), (4, 2, "assistant", "answer"),
+           (6, 1, "user", "first"), (6, 1, "user", "second"), (6, 1, "user", "second"), (6, 2, "assistant", "A1"), (6, 2, "assistant", "A2"), (6, 2, "assistant", None),
            (5, None, "user", "no turn"), (5, None, "user", "no turn"), (5, None, "system", None), (None, 0, "system", "no conversation"), (None, 1, "user", "q")]
     schema = "conv_id long, turn int, role string, text string"
     spark.createDataFrame(odd, schema).write.parquet(str(tmp_path / "conversations.parquet"))
@@ -394,7 +433,7 @@ def test_chat_keeps_every_row_of_the_conversations(spark, tmp_path):
         assert found == Counter((r.conv_id, r.turn, r.role, r.text) for r in rows)
         if at != SAMPLE:
             assert status == {(1, "1"): ("linked", 0), (1, "4"): ("unanswered", 0), (2, "1"): ("context", -1), (3, "6"): ("context", -1),
-                              (3, "7"): ("context", -1), (4, "1"): ("orphan", -1), (5, None): ("context", -1), (None, "1"): ("unanswered", 0)}
+                              (3, "7"): ("context", -1), (4, "1"): ("orphan", -1), (6, "1"): ("duplicate", status[6, "1"][1]), (5, None): ("context", -1), (None, "1"): ("unanswered", 0)}
 
 
 # near copies
