@@ -47,7 +47,7 @@ from .common import cut, slices, tidy
 FILTERS = "ABCDE"
 MIN_WORDS, MIN_DISTINCT_PERCENT, MAX_CAPITAL_PERCENT = 200, 50, 2
 SYMBOL = re.compile(rb"[#$%&*|]")
-SHARD_BYTES, SHARD_DOCS = 16 << 20, 1 << 16
+SHARD_BYTES, SHARD_DOCS = 8 << 20, 1 << 16
 #: Words of all shards that a bucket numbers, on average.
 BUCKET_WORDS = 1 << 19
 _CAPITALS, _INNER = bytes(range(65, 91)), bytes(range(0x80, 0xC0))
