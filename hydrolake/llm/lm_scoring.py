@@ -1,35 +1,32 @@
 """Stupid-backoff language-model scores of documents, computed with joins.
 
-Tokens are lower-cased words.  The vocabulary holds the words with at least one in
-``vocabulary`` of all tokens, so at most that many; the rest are one ``<unk>``, and each
-text begins after a ``<s>``.  Counts cover all documents.  The score of a word w after v:
+Tokens are lower-cased words, all of them; each text begins after a ``<s>``.  N-grams of up to ``order`` words
+are counted over all documents.  A word is scored by the longest n-gram ending there that another document has:
 
-    (c(v w) - own) / (c(v) - own)         if another document has the pair, else
-    backoff * max(c(w) - own, 1) / N
+    (c(n-gram) - own) / (c(all but its last word) - own), times ``backoff`` for each word it is shorter than it could be,
 
-where own is the pair's count in the document itself, which would otherwise vouch for
-its own text.
+else by ``max(c(w) - own, 1) / N``.  Each ``own`` is the document's count of just that n-gram, which would
+otherwise vouch for its own text.
 
-Documents are exploded to one row for each of their distinct pairs.  The pair counts
-are summed by pair in a table partitioned by its hash, the exploded pairs join that
-table, and the logarithms are summed per document.  Counts are combined before their
-shuffle; a pair that very many documents hold is one row a document in the join, so pairs of two
-very common words are salted.  Only the word counts, bounded by ``vocabulary``, are broadcast.
+A document that holds an n-gram of another one holds its shorter parts of that one too, so the words scored by n
+words are among those scored by n - 1, and a document's sum is that of its words alone plus, for each of its distinct
+n-grams that others have, what this n-gram changes against the next shorter one:
+
+    log (others(g) * others(middle)) - log (others(all but the last) * others(all but the first)) - log backoff
+
+(``middle`` is without both ends; for pairs it is empty and counts ``N``).  So each length is one join on its
+own: a table of counts partitioned by the n-gram's hash, which also has the counts of its parts, joins the documents
+exploded to a row for each of their distinct n-grams, and the logarithms are summed per document.  No text
+and no n-gram comes back to a document.  Counts are combined before their shuffle, n-grams that a single document has
+leave the tables, and those of very many documents are salted in the join, as are parts of very many n-grams.
 
 Null, empty and blank texts have no tokens and a null score.  Rows equal in ``doc_id`` and
 text are one document, returned once with their number as ``copies`` (each counts in the
 corpus).  An empty table gives an empty result.  Only ``doc_id`` and ``text`` are read.
-
-``score_all`` has no vocabulary and n-grams of up to three words.  A word is scored by the longest n-gram
-ending there that another document has: (c(n-gram) - own) / (c(all but its last word) - own), times ``backoff``
-for each word it is shorter than it could be; else by max(c(w) - own, 1) / N.  Each ``own`` is the document's count of
-just that n-gram.  Counts of n-grams, words too, stay in tables partitioned by hash, which the exploded n-grams
-join; n-grams of very many documents are salted, and what other documents hold comes back to each text.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,16 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, hot_keys, salted_join, slices, words
+from .common import cut, hot_keys, salted_join, slices
 
-VOCABULARY, BACKOFF = 1 << 16, 0.4
-#: The longest n-grams of score_all.
-ORDER, _START_HASH = 3, 0x5C17A9E3D2B48F60
-#: A pair of two words that each make up at least 1/HOT_WORDS of all tokens is spread over SALTS partitions in
-#: the join; there are at most HOT_WORDS**2 such pairs, and any other pair is less than 1/HOT_WORDS of the rows.
-HOT_WORDS, SALTS = 1024, 16
-#: Ids of words in pairs: 0 is <s>, 1 is <unk>, the vocabulary follows; a pair's code is v << ID_BITS | w.
-START, UNKNOWN, FIRST, ID_BITS = 0, 1, 2, 20
+ORDER, BACKOFF = 3, 0.4
+_START_HASH = 0x5C17A9E3D2B48F60
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -57,89 +48,6 @@ def hashed_words(text: str | None) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w))
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word (its hash), n: over the whole corpus, combined in each task before the shuffle; the null word
-    has the number of texts with a token."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [hashed_words(t.as_py()) for t in batch.column(0)]
-            word, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
-            words = pa.array([*word.view(np.int64).tolist(), None], pa.int64())
-            yield pa.RecordBatch.from_arrays([words, pa.array(np.append(n, sum(len(h) > 0 for h in found)), pa.int64())], ["word", "n"])
-
-    return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> tuple[list[int], list[int], int, int]:
-    """Hashes and counts of the words with at least 1/size of all tokens, by hash; the numbers of tokens and of texts with one."""
-    counts = cut(word_counts(docs))
-    texts = F.sum(F.when(F.col("word").isNull(), F.col("n")))
-    total, n_texts = (x or 0 for x in counts.agg(F.sum(F.when(F.col("word").isNotNull(), F.col("n"))), texts).first())
-    frequent = counts.where(F.col("word").isNotNull() & (F.col("n") * size >= F.lit(total)))
-    rows = sorted((np.int64(r.word).astype(np.uint64).item(), r.n) for r in frequent.toLocalIterator())
-    return [h for h, _ in rows], [n for _, n in rows], total, n_texts
-
-
-def exploded(docs: DataFrame, vocab: list[int], hot: list[bool]) -> DataFrame:
-    """doc_id, text_key, pair, salt, tf: a row for each distinct pair of a document.  ``hot``: by word id."""
-    shared = docs.sparkSession.sparkContext.broadcast((np.array(vocab, np.uint64), np.array(hot, bool)))    # bounded by the vocabulary
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, is_hot = shared.value
-        for batch in slices(batches, 512):
-            rows, codes, salts, tfs = [], [], [], []
-            for i, (doc_id, t) in enumerate(zip(batch.column(0), batch.column(1))):
-                h = hashed_words(t.as_py())
-                ids = np.full(len(h) + 1, UNKNOWN, np.int64)
-                ids[0] = START
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                    ids[1:] = np.where(known[at] == h, at + FIRST, UNKNOWN)
-                code, tf = np.unique((ids[:-1] << ID_BITS) | ids[1:], return_counts=True)
-                both = is_hot[code >> ID_BITS] & is_hot[code & ((1 << ID_BITS) - 1)]
-                rows.append(np.full(len(code), i))
-                codes.append(code)
-                salts.append(np.where(both, zlib.crc32(str(doc_id.as_py()).encode()) % SALTS, 0))
-                tfs.append(tf)
-            at, code, salt, tf = (pa.array(np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64)) for x in (rows, codes, salts, tfs))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), code, salt.cast(pa.int32()), tf],
-                                             ["doc_id", "text_key", "pair", "salt", "tf"])
-
-    bare = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    return bare.mapInArrow(run, f"doc_id {bare.schema['doc_id'].dataType.simpleString()}, text_key long, pair long, salt int, tf long")
-
-
-def score(docs: DataFrame, size: int = VOCABULARY, backoff: float = BACKOFF) -> DataFrame:
-    """doc_id, n_tokens, n_backoff (tokens scored by their word alone), log_score (sum of log10), mean_log_score, copies."""
-    spark = docs.sparkSession
-    vocab, counts, total, n_texts = vocabulary(docs, size)
-    ids = [(START, n_texts), (UNKNOWN, total - sum(counts)), *((FIRST + i, n) for i, n in enumerate(counts))]
-    ids = [(i, c, c * HOT_WORDS >= total) for i, c in ids]
-    table = spark.createDataFrame(ids, "id long, c long, hot boolean")
-    pairs = exploded(docs, vocab, [hot for *_, hot in ids])
-
-    by_pair = pairs.groupBy("pair").agg(F.sum("tf").alias("c2"))
-    v, w = F.shiftright("pair", ID_BITS), F.col("pair").bitwiseAND(F.lit((1 << ID_BITS) - 1))
-    side = {x: F.broadcast(table.select(F.col("id").alias(x), F.col("c").alias(f"c{x}"), F.col("hot").alias(f"hot_{x}"))) for x in "vw"}
-    counted = by_pair.withColumn("v", v).withColumn("w", w).join(side["v"], "v").join(side["w"], "w")
-    salts = F.when(F.col("hot_v") & F.col("hot_w"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    joined = pairs.join(counted.select("pair", F.explode(salts).alias("salt"), "c2", "cv", "cw"), ["pair", "salt"])
-    others = F.col("c2") - F.col("tf")
-    seen = F.log10(others / (F.col("cv") - F.col("tf")))
-    alone = F.log10(F.lit(backoff) * F.greatest(F.col("cw") - F.col("tf"), F.lit(1)) / F.lit(float(max(total, 1))))
-    sums = (joined.groupBy("doc_id", "text_key")
-            .agg(F.sum("tf").alias("t"), F.sum(F.col("tf") * F.when(others > 0, seen).otherwise(alone)).alias("s"),
-                 F.sum(F.when(others > 0, 0).otherwise(F.col("tf"))).alias("b")))
-    # every document, with tokens or not
-    heads = docs.select("doc_id", F.xxhash64("text").alias("text_key")).groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
-    same = heads["doc_id"].eqNullSafe(sums["doc_id"]) & heads["text_key"].eqNullSafe(sums["text_key"])
-    each = {c: F.coalesce((F.col(x) / F.col("copies")).cast("long"), F.lit(0)).alias(c) for c, x in (("n_tokens", "t"), ("n_backoff", "b"))}
-    return heads.join(sums, same, "left").select(
-        heads["doc_id"], each["n_tokens"], each["n_backoff"],
-        (F.col("s") / F.col("copies")).alias("log_score"), (F.col("s") / F.col("t")).alias("mean_log_score"), "copies")
-
-
 def grams(h: np.ndarray, order: int) -> list[np.ndarray]:
     """The n-gram ending at each place, for n = 1 to ``order``, as keys; place 0 is ``<s>``, and 0 stands where
     no n-gram of that length ends.  A key's lowest two bits are its length, or 0 for ``<s>``."""
@@ -157,71 +65,120 @@ def grams(h: np.ndarray, order: int) -> list[np.ndarray]:
     return out
 
 
-def exploded_grams(docs: DataFrame, order: int) -> DataFrame:
-    """doc_id, text_key, gram, tf: a row for each distinct n-gram of a document, lengths 1 to ``order``, and ``<s>``."""
+def _batch(kinds: dict[str, pa.DataType], parts: list[list[np.ndarray]]) -> list[pa.Array]:
+    return [pa.array(np.concatenate([np.zeros(0, np.int64), *p]).astype(np.int64)).cast(k) for k, p in zip(kinds.values(), parts)]
+
+
+def counted(docs: DataFrame, n: int) -> DataFrame:
+    """gram, c (occurrences), docs (rows that have it), head and tail (the n-gram without its last and its first
+    word; null for words): the n-grams of exactly ``n`` words, and with the words ``<s>``."""
+    kinds = {"gram": pa.int64(), "c": pa.int64(), "docs": pa.int64()} | ({"head": pa.int64(), "tail": pa.int64()} if n > 1 else {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            rows, keys, tfs = [], [], []
-            for i, t in enumerate(batch.column(1)):
+        for batch in slices(batches, 1024):
+            parts: list[list[np.ndarray]] = [[], [], [], []]
+            for t in batch.column(0):
                 h = hashed_words(t.as_py())
                 if len(h):
-                    key, tf = np.unique(np.concatenate([k[n:] for n, k in enumerate(grams(h, order))]), return_counts=True)
-                    rows.append(np.full(len(key), i))
-                    keys.append(key)
-                    tfs.append(tf)
-            at, key, tf = (pa.array(np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64)) for x in (rows, keys, tfs))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), key, tf], ["doc_id", "text_key", "gram", "tf"])
+                    levels = grams(h, n)
+                    key, at, tf = np.unique(levels[-1][n - 1:], return_index=True, return_counts=True)
+                    parts[0].append(key)
+                    parts[1].append(tf)
+                    if n > 1:
+                        parts[2].append(levels[-2][at + n - 2])
+                        parts[3].append(levels[-2][at + n - 1])
+            key, tf, head, tail = (np.concatenate([np.zeros(0, np.int64), *p]) for p in parts)
+            key, at, back, many = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            c = np.zeros(len(key), np.int64)
+            np.add.at(c, back, tf)
+            out = [key, c, many, *((head[at], tail[at]) if n > 1 else ())]
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], list(kinds))
+
+    rows = docs.select("text").mapInArrow(run, ", ".join(f"{k} long" for k in kinds))
+    sums = [F.sum("c").alias("c"), F.sum("docs").alias("docs")]
+    return rows.groupBy("gram").agg(*sums, *[F.max(k).alias(k) for k in ("head", "tail") if n > 1])
+
+
+def exploded(docs: DataFrame, n: int) -> DataFrame:
+    """doc_id, text_key, gram, tf, and own_head, own_tail, own_middle (the document's counts of those parts; null where
+    there is none): a row for each distinct n-gram of exactly ``n`` words of a document."""
+    owns = ("own_head", "own_tail", "own_middle")[:0 if n == 1 else n]
+    kinds = {"at": pa.int64(), "gram": pa.int64(), "tf": pa.int32(), **{o: pa.int32() for o in owns}}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 512):
+            parts: list[list[np.ndarray]] = [[] for _ in kinds]
+            for i, t in enumerate(batch.column(1)):
+                h = hashed_words(t.as_py())
+                if not len(h):
+                    continue
+                levels = grams(h, n)
+                first = max(n - 1, 1)      # the place of the first; <s> alone is no word
+                key, at, tf = np.unique(levels[-1][first:], return_index=True, return_counts=True)
+
+                def own(m: int, places: np.ndarray) -> np.ndarray:
+                    _, back, many = np.unique(levels[m - 1][m - 1:], return_inverse=True, return_counts=True)
+                    return many[back][places - (m - 1)]
+
+                ends = at + first
+                row = [np.full(len(key), i), key, tf]
+                if n > 1:
+                    row += [own(n - 1, ends - 1), own(n - 1, ends)]
+                if n > 2:
+                    row.append(own(n - 2, ends - 1))
+                for p, x in zip(parts, row):
+                    p.append(x)
+            at, *rest = _batch(kinds, parts)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), *rest], ["doc_id", "text_key", *list(kinds)[1:]])
 
     bare = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    return bare.mapInArrow(run, f"doc_id {bare.schema['doc_id'].dataType.simpleString()}, text_key long, gram long, tf long")
-
-
-def score_all(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF) -> DataFrame:
-    """doc_id, n_tokens, n_backoff (tokens scored by their word alone), log_score (sum of log10), mean_log_score, copies:
-    with counts of all words and of all n-grams up to ``order`` (2 or 3) words; see the module's last paragraph."""
-    total = docs.agg(F.sum(F.size(words(F.col("text"))).cast("long"))).first()[0] or 0
-    # what no other document holds is 0, and needs no row
-    shared = cut(exploded_grams(docs, order).groupBy("gram").agg(F.sum("tf").alias("c"), F.count("*").alias("n")).where("n > 1"))
-    hot = hot_keys(shared, "gram", "n", shared.agg(F.sum("n")).first()[0] or 0)
-    found = salted_join(exploded_grams(docs, order), shared.select("gram", "c"), "gram", hot)
-    found = found.select("doc_id", "text_key", F.struct("gram", (F.col("c") - F.col("tf")).alias("others")).alias("g"))
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text", F.lit(1).alias("one"))
-    each = (texts.unionByName(found, allowMissingColumns=True).groupBy("doc_id", "text_key")
-            .agg(F.first("text", ignorenulls=True).alias("text"), F.sum("one").alias("copies"), F.collect_list("g").alias("g"))
-            .select("doc_id", "copies", "text", F.col("g.gram").alias("gram"), F.col("g.others").alias("others")))
+    columns = ", ".join(f"{k} {'long' if k == 'gram' else 'int'}" for k in list(kinds)[1:])
+    return bare.mapInArrow(run, f"doc_id {bare.schema['doc_id'].dataType.simpleString()}, text_key long, {columns}")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 64):
-            out: list[list] = [[], [], [], []]
-            for text, gram, others in zip(*(batch.column(i) for i in (2, 3, 4))):
-                h = hashed_words(text.as_py())
-                levels = grams(h, order)
-                known, at = np.unique(gram.values.to_numpy(zero_copy_only=False), return_index=True)
-                have = others.values.to_numpy(zero_copy_only=False)[at]
-
-                def rest(key: np.ndarray) -> np.ndarray:
-                    if not len(known):
-                        return np.zeros(len(key), np.int64)
-                    i = np.minimum(np.searchsorted(known, key), len(known) - 1)
-                    return np.where(known[i] == key, have[i], 0)
-
-                counted = [rest(k) for k in levels]
-                longest = np.minimum(np.arange(1, len(h) + 1) + 1, order)
-                logs = np.log10(np.maximum(counted[0][1:], 1) / max(total, 1)) + (longest - 1) * np.log10(backoff)
-                alone = np.ones(len(h), bool)
-                for n in range(2, order + 1):
-                    seen = counted[n - 1][1:] > 0
-                    ratio = counted[n - 1][1:][seen] / counted[n - 2][:-1][seen]
-                    logs[seen] = np.log10(ratio) + (longest[seen] - n) * np.log10(backoff)
-                    alone &= ~seen
-                out[0].append(len(h))
-                out[1].append(int(alone.sum()))
-                out[2].append(float(logs.sum()) if len(h) else None)
-                out[3].append(float(logs.sum()) / len(h) if len(h) else None)
-            columns = [pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, batch.column(1)],
-                                             ["doc_id", "n_tokens", "n_backoff", "log_score", "mean_log_score", "copies"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return each.mapInArrow(run, f"doc_id {kind}, n_tokens long, n_backoff long, log_score double, mean_log_score double, copies long")
+
+def _looked_up(rows: DataFrame, table: DataFrame, part: str, names: dict[str, str]) -> DataFrame:
+    """``rows`` with columns of ``table`` for the n-gram in column ``part``; parts of very many n-grams are salted."""
+    side = table.select(F.col("gram").alias(part), *[F.col(a).alias(b) for a, b in names.items()])
+    per = rows.groupBy(part).agg(F.count("*").alias("n"))
+    return salted_join(rows, side, part, hot_keys(per, part, "n", rows.count()))
+
+
+def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF) -> DataFrame:
+    """doc_id, n_tokens, n_backoff (tokens scored by their word alone), log_score (sum of log10), mean_log_score, copies."""
+    below = cut(counted(docs, 1))
+    start = int(np.int64(_START_HASH & ~3))
+    total = below.where(F.col("gram") != start).agg(F.sum("c")).first()[0] or 0
+    penalty = float(np.log10(backoff))
+
+    def summed(table: DataFrame, n: int, value, hits) -> DataFrame:
+        hot = hot_keys(table, "gram", "docs", table.agg(F.sum("docs")).first()[0] or 0)
+        joined = salted_join(exploded(docs, n), table.drop("docs"), "gram", hot)
+        return cut(joined.groupBy("doc_id", "text_key").agg(F.sum(value).alias("s"), *hits))
+
+    others = F.greatest(F.col("c") - F.col("tf"), F.lit(1))
+    sums = [summed(below, 1, F.col("tf") * (F.log10(others) - F.lit(float(np.log10(max(total, 1))))), [F.sum("tf").alias("t"), F.lit(0).cast("long").alias("hit")])]
+    # of the words before the longest pair or n-gram, a pair's first and last are in the table
+    below = below.where("docs > 1").withColumn("c_head", F.lit(total).cast("long"))
+    for n in range(2, order + 1):
+        shared = cut(counted(docs, n).where("docs > 1"))
+        # a part's own head is the middle: without both ends
+        table = _looked_up(shared, below, "tail", {"c": "c_tail", "c_head": "c_middle"}).drop("tail")
+        table = cut(_looked_up(table, below, "head", {"c": "c_head"}).drop("head"))
+        own_middle = F.col("own_middle") if n > 2 else F.lit(0)
+        change = (F.log10(F.col("c") - F.col("tf")) - F.log10(F.col("c_head") - F.col("own_head")) - F.lit(penalty)
+                  - F.log10(F.col("c_tail") - F.col("own_tail")) + F.log10(F.col("c_middle") - own_middle))
+        hits = [F.lit(0).cast("long").alias("t"), (F.sum("tf") if n == 2 else F.lit(0).cast("long")).alias("hit")]
+        sums.append(summed(table.drop("tail", "head"), n, F.col("tf") * change, hits))
+        below = table.select("gram", "c", "docs", "c_head")
+    found = sums[0]
+    for s in sums[1:]:
+        found = found.unionByName(s)
+    # every document, with tokens or not
+    heads = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.lit(1).alias("copies"))
+    each = heads.unionByName(found, allowMissingColumns=True).groupBy("doc_id", "text_key").agg(
+        F.sum("copies").alias("copies"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("t", "hit")], F.sum("s").alias("s"))
+    n_tokens = (F.col("t") / F.col("copies")).cast("long")
+    # a word could be scored by ``order`` words, the first by two
+    log_score = F.when(F.col("t") > 0, F.col("s") / F.col("copies") + F.lit(penalty) * ((order - 1) * n_tokens - (order - 2)))
+    return each.select("doc_id", n_tokens.alias("n_tokens"), ((F.col("t") - F.col("hit")) / F.col("copies")).cast("long").alias("n_backoff"),
+                       log_score.alias("log_score"), (log_score / n_tokens).alias("mean_log_score"), "copies")

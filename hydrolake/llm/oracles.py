@@ -46,23 +46,23 @@ FROM f"""
 
 
 def _lm() -> str:
+    own = "PARTITION BY doc_id, text, "
     return f"""
 WITH d AS (SELECT doc_id, text, count(*) AS copies FROM documents GROUP BY doc_id, text),
 w AS (SELECT doc_id, text, copies, {_words(f"translate(coalesce(text, ''), {_LETTERS[0]}, {_LETTERS[1]})")} AS w FROM d),
-u AS (SELECT x AS word, sum(copies) AS n FROM (SELECT unnest(w) AS x, copies FROM w) a GROUP BY x),
-total AS (SELECT sum(n) AS n FROM u),
-vocab AS (SELECT word FROM u, total WHERE u.n * {lm_scoring.VOCABULARY} >= total.n),
-t AS (SELECT doc_id, text, copies, i, coalesce(vocab.word, '<unk> ') AS word
-      FROM (SELECT doc_id, text, copies, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w) a LEFT JOIN vocab ON a.x = vocab.word),
-p AS (SELECT *, coalesce(lag(word) OVER (PARTITION BY doc_id, text ORDER BY i), '<s> ') AS v FROM t),
-own AS (SELECT doc_id, text, any_value(copies) AS copies, v, word, count(*) AS tf FROM p GROUP BY doc_id, text, v, word),
-c2 AS (SELECT v, word, sum(tf * copies) AS c FROM own GROUP BY v, word),
-c1 AS (SELECT word, sum(copies) AS c FROM t GROUP BY word UNION ALL SELECT '<s> ', sum(copies) FROM w WHERE len(w) > 0),
-s AS (SELECT own.doc_id, own.text, sum(CASE WHEN c2.c > tf THEN 0 ELSE tf END) AS n_backoff,
-    sum(tf * CASE WHEN c2.c > tf THEN log10((c2.c - tf)::DOUBLE / (cv.c - tf)::DOUBLE)
-                  ELSE log10({lm_scoring.BACKOFF}::DOUBLE * greatest(cw.c - tf, 1) / total.n) END) AS log_score
-  FROM own JOIN c2 ON own.v = c2.v AND own.word = c2.word JOIN c1 cv ON own.v = cv.word JOIN c1 cw ON own.word = cw.word, total
-  GROUP BY own.doc_id, own.text)
+n AS (SELECT sum(copies * len(w)) AS tokens, sum(CASE WHEN len(w) > 0 THEN copies END) AS texts FROM w),
+t AS (SELECT doc_id, text, copies, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w),
+p AS (SELECT *, CASE WHEN i = 1 THEN '<s> ' ELSE lag(x) OVER o END AS v,
+    CASE WHEN i = 2 THEN '<s> ' ELSE lag(x, 2) OVER o END AS u FROM t WINDOW o AS (PARTITION BY doc_id, text ORDER BY i)),
+c AS (SELECT *, sum(copies) OVER (PARTITION BY x) - count(*) OVER ({own} x) AS c1,
+    sum(copies) OVER (PARTITION BY v, x) - count(*) OVER ({own} v, x) AS c2,
+    sum(copies) OVER (PARTITION BY u, v, x) - count(*) OVER ({own} u, v, x) AS c3 FROM p),
+b AS (SELECT *, lag(c1) OVER o AS before1, lag(c2) OVER o AS before2 FROM c WINDOW o AS (PARTITION BY doc_id, text ORDER BY i)),
+s AS (SELECT doc_id, text, sum(CASE WHEN c2 > 0 THEN 0 ELSE 1 END) AS n_backoff,
+    sum(CASE WHEN i > 1 AND c3 > 0 THEN log10(c3::DOUBLE / before2::DOUBLE)
+             WHEN c2 > 0 THEN log10(c2::DOUBLE / (CASE WHEN i = 1 THEN texts - 1 ELSE before1 END)::DOUBLE) + least(i - 1, 1) * log10({lm_scoring.BACKOFF}::DOUBLE)
+             ELSE log10(greatest(c1, 1)::DOUBLE / tokens::DOUBLE) + least(i, 2) * log10({lm_scoring.BACKOFF}::DOUBLE) END) AS log_score
+  FROM b, n GROUP BY doc_id, text)
 SELECT w.doc_id, len(w.w) AS n_tokens, CAST(coalesce(n_backoff, 0) AS BIGINT) AS n_backoff, round(log_score, 6) AS log_score,
   round(log_score / len(w.w), 6) AS mean_log_score, copies
 FROM w LEFT JOIN s ON w.doc_id IS NOT DISTINCT FROM s.doc_id AND w.text IS NOT DISTINCT FROM s.text"""

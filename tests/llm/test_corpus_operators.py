@@ -278,47 +278,18 @@ def test_packing_first_fit_equals_a_plain_scan():
 
 # language-model scores
 
-def test_lm_scores_equal_brute_force(spark, docs_of):
-    from hydrolake.llm import lm_scoring as lm
-
-    rnd = random.Random(8)
-    rows = [(i, " ".join(rnd.choices(["the", "of", "The", "river", "dam", "x", "y"] + [f"r{j}" for j in range(40)], k=rnd.randint(0, 40)))) for i in range(60)]
-    rows += [(100, None), (101, " "), (102, "the dam"), (102, "the dam"), (None, "the dam of")]
-    for size in (1 << 16, 20):
-        got = {(r.doc_id, r.n_tokens, r.copies): r for r in lm.score(docs_of(rows, clashes=True), size=size).collect()}
-        toks = [[w.lower() for w in (t or "").split()] for _, t in rows]
-        total = sum(map(len, toks))
-        uni = Counter(w for t in toks for w in t)
-        vocab = {w for w, n in uni.items() if n * size >= total}
-        seqs = [["<s>"] + [w if w in vocab else "<unk>" for w in t] for t in toks]
-        c1 = Counter(w for s in seqs for w in s[1:]) + Counter({"<s>": sum(len(s) > 1 for s in seqs)})
-        c2 = Counter(p for s in seqs for p in zip(s, s[1:]))
-        seen = set()
-        for (i, t), s in zip(rows, seqs):
-            own, want, back = Counter(zip(s, s[1:])), 0.0, 0
-            for (v, w), n in own.items():
-                if c2[v, w] > n:
-                    want += n * math.log10((c2[v, w] - n) / (c1[v] - n))
-                else:
-                    want, back = want + n * math.log10(0.4 * max(c1[w] - n, 1) / total), back + n
-            r = got[i, len(s) - 1, rows.count((i, t))]
-            assert r.n_backoff == back and ((r.log_score is None) if len(s) == 1 else math.isclose(r.log_score, want, rel_tol=1e-9))
-            seen.add((i, t))
-        assert len(got) == len(seen)
-    assert lm.score(docs_of([])).count() == 0
-
-
 def test_lm_scores_of_all_words_equal_brute_force(spark, docs_of):
     from hydrolake.llm import lm_scoring as lm
 
     rnd = random.Random(8)
     rows = [(i, " ".join(rnd.choices(["the", "of", "The", "river", "dam", "x", "y"] + [f"r{j}" for j in range(40)], k=rnd.randint(0, 40)))) for i in range(60)]
-    rows += [(100, None), (101, " "), (102, "the dam"), (102, "the dam"), (None, "the dam of"), (103, "only here twice only here twice")]
+    rows += [(100, None), (101, " "), (102, "the dam"), (102, "the dam"), (None, "the dam of"), (103, "only here twice only here twice"),
+             (104, "the dam " * 3000), *[(200 + i, "copied text of the river") for i in range(50)]]
     seqs = [["<s>"] + [w.lower() for w in (t or "").split()] for _, t in rows]
     own = [Counter(tuple(s[i:i + n]) for n in (1, 2, 3) for i in range(len(s) - n + 1)) if len(s) > 1 else Counter() for s in seqs]
     every, total = sum(own, Counter()), sum(len(s) - 1 for s in seqs)
     for order in (2, 3):
-        got = {(r.doc_id, r.n_tokens, r.copies): r for r in lm.score_all(docs_of(rows, clashes=True), order=order).collect()}
+        got = {(r.doc_id, r.n_tokens, r.copies): r for r in lm.score(docs_of(rows, clashes=True), order=order).collect()}
         for (i, t), s, mine in zip(rows, seqs, own):
             want, back = 0.0, 0
             for at in range(1, len(s)):
@@ -333,7 +304,7 @@ def test_lm_scores_of_all_words_equal_brute_force(spark, docs_of):
             r = got[i, len(s) - 1, rows.count((i, t))]
             assert r.n_backoff == back and ((r.log_score is None) if len(s) == 1 else math.isclose(r.log_score, want, rel_tol=1e-9))
         assert len(got) == len(set(rows))
-    assert lm.score_all(docs_of([])).count() == 0
+    assert lm.score(docs_of([])).count() == 0
 
 
 def test_lm_scores_of_nonsense_are_the_lowest(spark, docs_of):
@@ -343,7 +314,7 @@ def test_lm_scores_of_nonsense_are_the_lowest(spark, docs_of):
     rnd = random.Random(5)
     docs = spark.read.parquet(f"{SAMPLE}/documents.parquet").select("doc_id", "text")
     junk = [(-1 - i, " ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(200))) for i in range(5)]
-    got = lm.score_all(docs.union(docs_of(junk).select("doc_id", "text"))).where("n_tokens >= 50").collect()
+    got = lm.score(docs.union(docs_of(junk).select("doc_id", "text"))).where("n_tokens >= 50").collect()
     real = [r.mean_log_score for r in got if r.doc_id >= 0]
     assert len(real) < len(got) and max(r.mean_log_score for r in got if r.doc_id < 0) < min(real)
 
