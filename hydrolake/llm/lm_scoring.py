@@ -19,6 +19,7 @@ own: a table of counts partitioned by the n-gram's hash, which also has the coun
 exploded to a row for each of their distinct n-grams, and the logarithms are summed per document.  No text
 and no n-gram comes back to a document.  Counts are combined before their shuffle, n-grams that a single document has
 leave the tables, and those of very many documents are salted in the join, as are parts of very many n-grams.
+N-grams and documents are told apart by 64-bit hashes.
 
 Null, empty and blank texts have no tokens and a null score.  Rows equal in ``doc_id`` and
 text are one document, returned once with their number as ``copies`` (each counts in the
@@ -31,13 +32,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, hot_keys, salted_join, slices
 
 ORDER, BACKOFF = 3, 0.4
-_START_HASH = 0x5C17A9E3D2B48F60
+#: The key of <s>.
+START = 0x5C17A9E3D2B48F60
+#: Fixed values of XXH64.
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -48,21 +52,31 @@ def hashed_words(text: str | None) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w))
 
 
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def _xxh64(value: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    x = _turned((seed + _P5 + np.uint64(8)) ^ (_turned(value * _P2, 31) * _P1), 27) * _P1 + _P4
+    x = (x ^ (x >> np.uint64(33))) * _P2
+    x = (x ^ (x >> np.uint64(29))) * _P3
+    return x ^ (x >> np.uint64(32))
+
+
+def joined_keys(head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """What Spark's ``xxhash64(head, tail)`` gives, for arrays."""
+    return _xxh64(tail, _xxh64(head, np.full(len(head), 42, np.uint64)))
+
+
 def grams(h: np.ndarray, order: int) -> list[np.ndarray]:
     """The n-gram ending at each place, for n = 1 to ``order``, as keys; place 0 is ``<s>``, and 0 stands where
-    no n-gram of that length ends.  A key's lowest two bits are its length, or 0 for ``<s>``."""
-    h = np.concatenate([np.array([_START_HASH], np.uint64), h])
-    out, mixed = [], h
-    for n in range(1, order + 1):
-        if n > 1:
-            mixed = np.concatenate([np.zeros(1, np.uint64), mixed[:-1]])       # of the n - 1 words before
-            mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + h
-            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
-        key = (mixed & ~np.uint64(3)) | np.uint64(n)
-        key[:n - 1] = 0
-        out.append(key.view(np.int64))
-    out[0][0] &= ~3
-    return out
+    no n-gram of that length ends.  The key of a longer one is ``xxhash64`` of the keys of its words but the last and but the first."""
+    out = [np.concatenate([np.array([START], np.uint64), h])]
+    for n in range(2, order + 1):
+        key = np.zeros(len(h) + 1, np.uint64)
+        key[n - 1:] = joined_keys(out[-1][n - 2:-1], out[-1][n - 1:])
+        out.append(key)
+    return [k.view(np.int64) for k in out]
 
 
 def _batch(kinds: dict[str, pa.DataType], parts: list[list[np.ndarray]]) -> list[pa.Array]:
@@ -70,9 +84,9 @@ def _batch(kinds: dict[str, pa.DataType], parts: list[list[np.ndarray]]) -> list
 
 
 def counted(docs: DataFrame, n: int) -> DataFrame:
-    """gram, c (occurrences), docs (rows that have it), head and tail (the n-gram without its last and its first
-    word; null for words): the n-grams of exactly ``n`` words, and with the words ``<s>``."""
-    kinds = {"gram": pa.int64(), "c": pa.int64(), "docs": pa.int64()} | ({"head": pa.int64(), "tail": pa.int64()} if n > 1 else {})
+    """gram, c (occurrences), docs (rows that have it), and for longer ones head and tail (the n-gram without its last
+    and without its first word): the n-grams of exactly ``n`` words, and with the words ``<s>``."""
+    names = ["gram"] if n == 1 else ["head", "tail"]       # a longer one's key follows from its parts and needn't be shuffled
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):
@@ -82,25 +96,27 @@ def counted(docs: DataFrame, n: int) -> DataFrame:
                 if len(h):
                     levels = grams(h, n)
                     key, at, tf = np.unique(levels[-1][n - 1:], return_index=True, return_counts=True)
-                    parts[0].append(key)
-                    parts[1].append(tf)
-                    if n > 1:
-                        parts[2].append(levels[-2][at + n - 2])
-                        parts[3].append(levels[-2][at + n - 1])
+                    for p, x in zip(parts, (key, tf) if n == 1 else (key, tf, levels[-2][at + n - 2], levels[-2][at + n - 1])):
+                        p.append(x)
             key, tf, head, tail = (np.concatenate([np.zeros(0, np.int64), *p]) for p in parts)
             key, at, back, many = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
             c = np.zeros(len(key), np.int64)
             np.add.at(c, back, tf)
-            out = [key, c, many, *((head[at], tail[at]) if n > 1 else ())]
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], list(kinds))
+            out = [*([key] if n == 1 else [head[at], tail[at]]), c, many]
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], [*names, "c", "docs"])
+
+    rows = docs.select("text").mapInArrow(run, ", ".join(f"{k} long" for k in (*names, "c", "docs")))
+    sums = rows.groupBy(*names).agg(F.sum("c").alias("c"), F.sum("docs").alias("docs"))
+    return sums if n == 1 else sums.select(F.xxhash64("head", "tail").alias("gram"), "c", "docs", "head", "tail")
+
 
-    rows = docs.select("text").mapInArrow(run, ", ".join(f"{k} long" for k in kinds))
-    sums = [F.sum("c").alias("c"), F.sum("docs").alias("docs")]
-    return rows.groupBy("gram").agg(*sums, *[F.max(k).alias(k) for k in ("head", "tail") if n > 1])
+def doc_key() -> Column:
+    """One key for rows equal in id and text."""
+    return F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")
 
 
 def exploded(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, text_key, gram, tf, and own_head, own_tail, own_middle (the document's counts of those parts; null where
+    """doc_key, gram, tf, and own_head, own_tail, own_middle (the document's counts of those parts; null where
     there is none): a row for each distinct n-gram of exactly ``n`` words of a document."""
     owns = ("own_head", "own_tail", "own_middle")[:0 if n == 1 else n]
     kinds = {"at": pa.int64(), "gram": pa.int64(), "tf": pa.int32(), **{o: pa.int32() for o in owns}}
@@ -129,11 +145,10 @@ def exploded(docs: DataFrame, n: int) -> DataFrame:
                 for p, x in zip(parts, row):
                     p.append(x)
             at, *rest = _batch(kinds, parts)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), *rest], ["doc_id", "text_key", *list(kinds)[1:]])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), *rest], ["doc_key", *list(kinds)[1:]])
 
-    bare = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     columns = ", ".join(f"{k} {'long' if k == 'gram' else 'int'}" for k in list(kinds)[1:])
-    return bare.mapInArrow(run, f"doc_id {bare.schema['doc_id'].dataType.simpleString()}, text_key long, {columns}")
+    return docs.select(doc_key().alias("doc_key"), "text").mapInArrow(run, f"doc_key long, {columns}")
 
 
 def _looked_up(rows: DataFrame, table: DataFrame, part: str, names: dict[str, str]) -> DataFrame:
@@ -146,14 +161,13 @@ def _looked_up(rows: DataFrame, table: DataFrame, part: str, names: dict[str, st
 def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF) -> DataFrame:
     """doc_id, n_tokens, n_backoff (tokens scored by their word alone), log_score (sum of log10), mean_log_score, copies."""
     below = cut(counted(docs, 1))
-    start = int(np.int64(_START_HASH & ~3))
-    total = below.where(F.col("gram") != start).agg(F.sum("c")).first()[0] or 0
+    total = below.where(F.col("gram") != START).agg(F.sum("c")).first()[0] or 0
     penalty = float(np.log10(backoff))
 
     def summed(table: DataFrame, n: int, value, hits) -> DataFrame:
         hot = hot_keys(table, "gram", "docs", table.agg(F.sum("docs")).first()[0] or 0)
         joined = salted_join(exploded(docs, n), table.drop("docs"), "gram", hot)
-        return cut(joined.groupBy("doc_id", "text_key").agg(F.sum(value).alias("s"), *hits))
+        return cut(joined.groupBy("doc_key").agg(F.sum(value).alias("s"), *hits))
 
     others = F.greatest(F.col("c") - F.col("tf"), F.lit(1))
     sums = [summed(below, 1, F.col("tf") * (F.log10(others) - F.lit(float(np.log10(max(total, 1))))), [F.sum("tf").alias("t"), F.lit(0).cast("long").alias("hit")])]
@@ -168,15 +182,16 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF) -> Data
         change = (F.log10(F.col("c") - F.col("tf")) - F.log10(F.col("c_head") - F.col("own_head")) - F.lit(penalty)
                   - F.log10(F.col("c_tail") - F.col("own_tail")) + F.log10(F.col("c_middle") - own_middle))
         hits = [F.lit(0).cast("long").alias("t"), (F.sum("tf") if n == 2 else F.lit(0).cast("long")).alias("hit")]
-        sums.append(summed(table.drop("tail", "head"), n, F.col("tf") * change, hits))
+        sums.append(summed(table, n, F.col("tf") * change, hits))
         below = table.select("gram", "c", "docs", "c_head")
     found = sums[0]
     for s in sums[1:]:
         found = found.unionByName(s)
     # every document, with tokens or not
-    heads = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.lit(1).alias("copies"))
-    each = heads.unionByName(found, allowMissingColumns=True).groupBy("doc_id", "text_key").agg(
-        F.sum("copies").alias("copies"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("t", "hit")], F.sum("s").alias("s"))
+    heads = docs.select("doc_id", doc_key().alias("doc_key"), F.lit(1).alias("copies"))
+    each = heads.unionByName(found, allowMissingColumns=True).groupBy("doc_key").agg(
+        F.first("doc_id", ignorenulls=True).alias("doc_id"), F.sum("copies").alias("copies"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("t", "hit")], F.sum("s").alias("s"))
     n_tokens = (F.col("t") / F.col("copies")).cast("long")
     # a word could be scored by ``order`` words, the first by two
     log_score = F.when(F.col("t") > 0, F.col("s") / F.col("copies") + F.lit(penalty) * ((order - 1) * n_tokens - (order - 2)))

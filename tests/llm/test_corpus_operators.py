@@ -307,6 +307,17 @@ def test_lm_scores_of_all_words_equal_brute_force(spark, docs_of):
     assert lm.score(docs_of([])).count() == 0
 
 
+def test_lm_keys_are_those_of_spark(spark):
+    import numpy as np
+
+    from hydrolake.llm import lm_scoring as lm
+
+    pairs = [(random.Random(i).randint(-2**63, 2**63 - 1), i - 3) for i in range(50)]
+    head, tail = (np.array(x, np.int64).view(np.uint64) for x in zip(*pairs))
+    want = spark.createDataFrame(pairs, "a long, b long").select("a", "b", F.xxhash64("a", "b").alias("k")).collect()
+    assert {(r.a, r.b): r.k for r in want} == dict(zip(pairs, lm.joined_keys(head, tail).view(np.int64).tolist()))
+
+
 def test_lm_scores_of_nonsense_are_the_lowest(spark, docs_of):
     """Rare words are no common word: random letters score below every document of the sample."""
     from hydrolake.llm import lm_scoring as lm
