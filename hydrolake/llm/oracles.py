@@ -15,7 +15,7 @@ def _words(text: str) -> str:
 def _quality() -> str:
     odd = quality_rules.ODD.replace(r"\s", _SPACE).replace("'", "''")
     stub = quality_rules.STUB.replace(r"[^\s\p{P}]", rf"[^{_SPACE}\p{{P}}]").replace(r"\s", f"[{_SPACE}]")
-    phrases = "|".join(quality_rules.PHRASES)
+    phrases, common = (r"(?i)\b(?:" + "|".join(p) + r")\b" for p in (quality_rules.PHRASES, quality_rules.COMMON_PHRASES))
     separators = r"^(?:[|>»›•·/–—-]|::|>>|\|\|)$"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
@@ -27,7 +27,8 @@ covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i
 l AS (SELECT r, unnest(lines) AS x FROM w),
 judged AS (SELECT r, x, length(x) - length(regexp_replace(x, '{odd}', '', 'g')) > {quality_rules.MAX_ODD}::DOUBLE * length(x)
     OR regexp_matches(x, '{stub}')
-    OR (length(x) <= {quality_rules.BOILER_CHARS} AND regexp_matches(x, '(?i){phrases}'))
+    OR (length(x) <= {quality_rules.BOILER_CHARS} AND (regexp_matches(x, '{phrases}')
+        OR 2 * length(regexp_replace(x, '{common}', '', 'g')) <= length(x)))
     OR (s >= {quality_rules.MIN_SEPARATORS} AND s * {quality_rules.SEPARATOR_SHARE} >= n) AS bad
   FROM (SELECT r, x, len(ws) AS n, len(list_filter(ws, lambda y: regexp_matches(y, '{separators}'))) AS s
         FROM (SELECT r, x, {_words('x')} AS ws FROM l) a) b),

@@ -6,7 +6,8 @@ Every line with a word is tested on its own and dropped if it fails a rule:
   nor ordinary prose marks; or it is a stub of one or two words without any mark;
 * navigation: at least three words are bare separators (``|``, ``>``, ``»``, ...) and
   they are a sixth of its words or more;
-* boilerplate: it is short and holds a stock phrase (cookie notice, log in, ...).
+* boilerplate: it is short and holds a stock phrase (cookie notice, ...), or stock phrases that prose has too (log in,
+  ...) make up half of it.
 
 A document that loses more than ``max_lost`` of its lines' characters to these rules
 is rejected, as is one that fails the base rules (fewer than ``min_words`` words, or
@@ -32,10 +33,11 @@ SEPARATOR = r"(?:^|(?<=\s))(?:[|>»›•·/–—-]|::|>>|\|\|)(?=\s|$)"
 ODD = r"[^\p{L}\p{M}\p{N}\s.,;:?'\"()’‘“”…«»、。¿¡-]"
 #: A line of one or two words without any punctuation mark.
 STUB = r"^\s*[^\s\p{P}]+(?:\s+[^\s\p{P}]+)?\s*$"
-#: Stock phrases of page furniture.
-PHRASES = ("all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "use cookies",
-           "enable javascript", "click here", "sign up", "sign in", "log in", "subscribe to", "share this",
-           "skip to content", "read more", "lorem ipsum")
+#: Stock phrases of page furniture: any short line with one of the first goes, while the second are common in prose
+#: too and must make up at least half of a line's characters.
+PHRASES = ("all rights reserved", "terms of service", "privacy policy", "cookie policy", "use cookies", "enable javascript",
+           "skip to content", "lorem ipsum")
+COMMON_PHRASES = ("click here", "log in", "read more", "share this", "sign in", "sign up", "subscribe to", "terms of use")
 
 MIN_WORDS, REPEAT_PERCENT, MAX_LOST = 50, 50, 0.5
 MAX_ODD, BOILER_CHARS, MIN_SEPARATORS, SEPARATOR_SHARE = 0.15, 160, 3, 6
@@ -104,15 +106,21 @@ def repeat_words(w: Column, keys: Column) -> Column:
                .otherwise(let(keys, lambda s: counted(w, s))))
 
 
+def _phrases(phrases: tuple[str, ...]) -> str:
+    """Any of the phrases as whole words, in either case."""
+    return "(?i)(?<![A-Za-z0-9_])(?:" + "|".join(phrases) + ")(?![A-Za-z0-9_])"
+
+
 def bad_line(line: Column) -> Column:
     """True if a line with a word fails one of the line rules."""
     def navigation(n: Column) -> Column:
         return (n >= MIN_SEPARATORS) & (n * SEPARATOR_SHARE >= F.size(words(line)))
 
     odd = F.length(line) - F.length(F.regexp_replace(line, ODD, ""))
+    rest = F.length(F.regexp_replace(line, _phrases(COMMON_PHRASES), ""))
     separators = F.size(F.regexp_extract_all(line, F.lit(SEPARATOR), F.lit(0)))
     return ((odd > MAX_ODD * F.length(line)) | line.rlike(STUB)
-            | ((F.length(line) <= BOILER_CHARS) & line.rlike("(?i)" + "|".join(PHRASES)))
+            | ((F.length(line) <= BOILER_CHARS) & (line.rlike(_phrases(PHRASES)) | (2 * rest <= F.length(line))))
             | let(separators, navigation))
 
 

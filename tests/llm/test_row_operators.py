@@ -46,6 +46,17 @@ def test_quality_lines(spark, docs_of):
     assert got[2].n_chars == len(prose) and got[2].kept == "x_kept" and got[2].n_words == "x_n_words"
 
 
+def test_quality_phrases_spare_prose(spark, docs_of):
+    from hydrolake.llm import quality_rules as q
+
+    clean = ["The new design in Rome was shown to the public, and few had seen it.", "They kept a catalog in 1998 and a blog in French.", "He read more of the book than most of us did.",
+             "In terms of use, water comes before power here.", "Please sign in at the front desk before the tour begins."]
+    dropped = ["Log in | Sign up", "Sign in to read more", "We use cookies to make this site better for you.", "© 2021 Example. All rights reserved.",
+               "Click here to subscribe to our list!", "Read our privacy policy and terms of use before you go on."]
+    rows = spark.createDataFrame([(x,) for x in clean + dropped], "x string").select("x", q.bad_line(F.col("x")).alias("bad"))
+    assert {r.x for r in rows.collect() if r.bad} == set(dropped)
+
+
 def test_secret_base_spans_and_redaction(spark, docs_of, odd):
     from hydrolake.llm import queries, secret_scans as s
 
