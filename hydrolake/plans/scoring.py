@@ -127,3 +127,16 @@ def fact_flood_alert_daily(features_daily: DataFrame, silver_weather: DataFrame,
         F.coalesce("_risk_level", F.lit(K.HISTORICAL_DEFAULT_LEVEL)).alias("historical_risk_level"),
         F.coalesce("_subdistricts", F.lit(0)).cast("bigint").alias("affected_subdistricts_count"),
         loaded.alias("loaded_at"), "dt")
+
+
+def resolve_alert_keys(alerts: DataFrame, dim_location: DataFrame, dim_weather: DataFrame) -> DataFrame:
+    """Alerts with the keys of both dimensions instead of -1, by province code (and day for the weather).
+
+    An alert concerns a province, which has many locations: its key is the least of theirs, so that no alert is
+    repeated.  Provinces that a dimension lacks keep -1.  Both sides are aggregated by the join key first.
+    """
+    location = dim_location.groupBy("prov_code").agg(F.min("location_key").alias("_location"))
+    weather = dim_weather.groupBy("dt", "prov_code").agg(F.min("weather_key").alias("_weather"))
+    found = alerts.join(location, "prov_code", "left").join(weather, ["dt", "prov_code"], "left")
+    keys = {"location_key": F.coalesce("_location", "location_key"), "weather_key": F.coalesce("_weather", "weather_key")}
+    return found.select(*[keys.get(c, F.col(c)).alias(c) for c in alerts.columns])

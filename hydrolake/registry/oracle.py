@@ -7,6 +7,8 @@ with the CTEs it needs in dependency order.
 
 from __future__ import annotations
 
+from ..functions import constants as K
+
 RUN_DATE = "1998-06-15"
 RUN_DATE_KEY = 19980615
 RUN_MONTH = 6
@@ -387,6 +389,21 @@ JOIN dim_weather dw ON dl.prov_code = dw.prov_code AND f.date_key = dw.date_key
 WHERE f.percent_storage > 80 AND dw.is_heavy_rain_24h = TRUE AND f.dt = '{RUN_DATE}'
 GROUP BY dl.prov_th, dl.prov_en, dl.region, dw.rainfall_forecast_mm, dw.rain_intensity, dd.full_date""")
 
+_TEXT_TO_CODE = " ".join(f"WHEN '{text}' THEN '{code}'" for text, code in K.REGION_TEXT_TO_CODE.items())
+_CODE_TO_TEXT = " ".join(f"WHEN '{code}' THEN '{text}'" for text, code in K.REGION_TEXT_TO_CODE.items())
+oracle("mart_hot_reservoirs_crosswalk", ["fact_water", "dim_reservoir", "dim_date", "dim_location", "dim_weather"], f"""
+SELECT dl.prov_th, dl.prov_en, dl.region, COUNT(DISTINCT dr.reservoir_id) AS hot_reservoirs,
+  round(avg(f.percent_storage), 1) AS avg_pct_storage, round(max(f.percent_storage), 1) AS max_pct_storage,
+  round(dw.rainfall_forecast_mm, 1) AS rain_forecast_mm, dw.rain_intensity, dd.full_date AS data_date
+FROM fact_water f
+JOIN (SELECT reservoir_key, reservoir_id, CASE region {_CODE_TO_TEXT} ELSE region END AS region_th FROM dim_reservoir) dr
+  ON f.reservoir_key = dr.reservoir_key
+JOIN dim_date dd ON f.date_key = dd.date_key
+JOIN dim_location dl ON CASE dr.region_th {_TEXT_TO_CODE} ELSE 'Unknown' END = dl.region
+JOIN dim_weather dw ON dl.prov_code = dw.prov_code AND f.date_key = dw.date_key
+WHERE f.percent_storage > 80 AND dw.is_heavy_rain_24h = TRUE AND f.dt = '{RUN_DATE}'
+GROUP BY dl.prov_th, dl.prov_en, dl.region, dw.rainfall_forecast_mm, dw.rain_intensity, dd.full_date""")
+
 oracle("mart_top10_subdistricts", ["fact_flood_risk", "dim_location", "dim_weather"], f"""
 SELECT dl.geocode, dl.tambon_th, dl.amphoe_th, dl.prov_th, dl.region, max(ffr.historical_flood_count) AS flood_count_17yr,
   ffr.risk_level, ffr.flood_criteria, round(avg(dw.rainfall_forecast_mm), 1) AS avg_rain_forecast_mm
@@ -754,6 +771,11 @@ FROM (
 ) p""")
 
 oracle("fact_flood_alert_daily", ["alerts_daily"], "SELECT * FROM alerts_daily")
+oracle("fact_flood_alert_resolved", ["alerts_daily", "dim_location", "silver_weather"], """
+SELECT a.* REPLACE (COALESCE(l.k, -1) AS location_key, COALESCE(w.k, -1) AS weather_key)
+FROM alerts_daily a
+LEFT JOIN (SELECT prov_code, min(location_key) AS k FROM dim_location GROUP BY prov_code) l ON a.prov_code = l.prov_code
+LEFT JOIN (SELECT DISTINCT dt, CAST(prov_code AS INTEGER) AS k FROM silver_weather) w ON a.prov_code = w.k AND a.dt = w.dt""")
 
 oracle("load_downstream_map", ["downstream_map"], """
 SELECT reservoir_name_th, reservoir_name_en, downstream_prov_codes,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans import marts
 from .domain import RUN_DATE, Domain
@@ -109,6 +110,19 @@ def q_mart_hot_reservoirs(spark, sf_dir):
                                      RUN_DATE)
 
 
+@register("mart_hot_reservoirs_crosswalk")
+def q_mart_hot_reservoirs_crosswalk(spark, sf_dir):
+    """The mart where readings have region texts and locations region codes: they meet by the dimension's crosswalk."""
+    from ..functions.constants import REGION_TEXT_TO_CODE
+    from ..plans.star import dim_reservoir, fact_water
+    d = _dom(spark, sf_dir)
+    region = F.col("region")
+    for text, code in REGION_TEXT_TO_CODE.items():
+        region = F.when(F.col("region") == code, F.lit(text)).otherwise(region)
+    dim = dim_reservoir(d.silver_reservoir.withColumn("region", region), crosswalk_region=True)
+    return marts.mart_hot_reservoirs(fact_water(d.readings_day, None), dim, d.dim_date, d.dim_location, d.dim_weather, RUN_DATE)
+
+
 @register("mart_top10_subdistricts")
 def q_mart_top10(spark, sf_dir):
     d = _dom(spark, sf_dir)
@@ -624,6 +638,17 @@ def q_fact_flood_alert_daily(spark, sf_dir):
                                   d.silver_flood_risk, d.downstream_map).drop("loaded_at")
 
 
+@register("fact_flood_alert_resolved")
+def q_fact_flood_alert_resolved(spark, sf_dir):
+    """The alerts of all days with the keys of the location and weather dimensions."""
+    from ..plans.features import reservoir_features_daily
+    from ..plans.scoring import fact_flood_alert_daily, resolve_alert_keys
+    from ..plans.star import dim_weather
+    d = _dom(spark, sf_dir)
+    alerts = fact_flood_alert_daily(reservoir_features_daily(d.silver_reservoir), d.silver_weather, d.silver_flood_risk, d.downstream_map)
+    return resolve_alert_keys(alerts, d.dim_location, dim_weather(d.silver_weather)).drop("loaded_at")
+
+
 @register("load_downstream_map")
 def q_load_downstream_map(spark, sf_dir):
     """Map rows with the comma-joined province codes parsed to an int array."""

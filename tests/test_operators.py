@@ -125,3 +125,14 @@ def test_features_window_pass_equals_left_joins(spark):
     e = sorted(tuple(r) for r in exp.collect())
     assert g == e
     assert [r[0] for r in g].count("A") == 2 and ("B", 70.0, 0.0) in g
+
+
+def test_resolved_alert_keys(spark):
+    from hydrolake.plans.scoring import resolve_alert_keys
+    alerts = spark.createDataFrame([(1, -1, -1, 10, "d1"), (2, -1, -1, 11, "d1"), (3, -1, -1, 10, "d2"), (4, -1, -1, None, "d1")],
+                                   "alert_key long, location_key int, weather_key int, prov_code int, dt string")
+    places = spark.createDataFrame([(1002, 10), (1001, 10), (1200, 12)], "location_key int, prov_code int")
+    weather = spark.createDataFrame([(10, 10, "d1"), (10, 10, "d1"), (11, 11, "d1")], "weather_key int, prov_code int, dt string")
+    out = resolve_alert_keys(alerts, places, weather)
+    assert out.columns == alerts.columns
+    assert sorted(map(tuple, out.collect())) == [(1, 1001, 10, 10, "d1"), (2, -1, 11, 11, "d1"), (3, 1001, -1, 10, "d2"), (4, -1, -1, None, "d1")]
