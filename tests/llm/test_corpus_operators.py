@@ -176,8 +176,88 @@ def test_language_temperature_and_sparsity():
     assert abs(g.fit_temperature(logits * 4, y) - 4) < 0.6
 
 
+def test_language_equals_plain_python(spark, docs_of):
+    """Document frequencies, TF-IDF, every step of the leader's path, the temperature and the predictions, number by number."""
+    from hydrolake.llm import language_id as g
+
+    rnd, size = random.Random(4), 1 << 12
+    alphabet = {"xx": "abcde ", "yy": "defgh ", "zz": "hijka "}
+    rows = [(i, "".join(rnd.choices(alphabet[lang], k=40)), lang) for i, lang in enumerate(rnd.choices(list(alphabet), k=70))]
+    rows += [(100, None, "xx"), (101, "12 34", "yy"), (102, "abc", None)]
+    terms = {i: dict(zip(*(x.tolist() for x in g.term_counts(t, size)))) if t else {} for i, t, _ in rows}
+    fold = {i: zlib.crc32(str(i).encode()) % 5 for i, *_ in rows}
+    known = [(i, lang) for i, t, lang in rows if lang and t and any(c.isalpha() for c in t) and fold[i]]
+    seen = Counter(p for i, _ in known for p in terms[i])
+
+    def values(i):
+        v = {p: (1 + math.log(c)) * (math.log((1 + len(known)) / (1 + seen[p])) + 1) for p, c in terms[i].items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {p: x / norm for p, x in v.items()}
+
+    langs, z, n = ["xx", "yy", "zz"], Counter(), Counter()
+
+    def weight(p, k):
+        if abs(z[p, k]) <= g.L1:
+            return 0.0
+        return -(z[p, k] - math.copysign(g.L1, z[p, k])) / ((g.BETA + math.sqrt(n[p, k])) / g.ALPHA + g.L2)
+
+    def chances(v, temperature=1.0):
+        e = [math.exp(sum(x * weight(p, k) for p, x in v.items()) / temperature) for k in range(3)]
+        return [x / sum(e) for x in e]
+
+    order = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").select("doc_id", F.xxhash64(F.lit(3), "doc_id", "text").alias("at"))
+    at = {r.doc_id: r.at for r in order.collect()}
+    known.sort(key=lambda k: at[k[0]])
+    for _ in range(g.PASSES):
+        for i, lang in known:
+            if fold[i] != g.CALIBRATION:
+                v = values(i)
+                p = chances(v)
+                step = [((f, k), x * (p[k] - (langs[k] == lang)), weight(f, k)) for f, x in v.items() for k in range(3)]
+                for key, grad, w in step:
+                    z[key] += grad - (math.sqrt(n[key] + grad * grad) - math.sqrt(n[key])) / g.ALPHA * w
+                    n[key] += grad * grad
+    docs = docs_of(rows)
+    model = g.fit(docs, n_features=size)
+    assert model.languages == langs and len(z) > 300
+    assert all(math.isclose(model.weights[p, k], weight(p, k), rel_tol=1e-4, abs_tol=1e-6) for p, k in z)
+    check = [(values(i), langs.index(lang)) for i, lang in known if fold[i] == g.CALIBRATION]
+
+    def loss(t):
+        return -sum(math.log(max(chances(v, t)[y], 1e-12)) for v, y in check) / len(check)
+
+    assert loss(model.temperature) <= min(loss(math.exp(x / 10)) for x in range(-50, 31)) + 1e-6
+    got = {r.doc_id: r for r in g.identify(docs, n_features=size).collect()}
+    for i, t, _ in rows:
+        if not t or not any(c.isalpha() for c in t):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+        else:
+            p = chances(values(i), model.temperature)
+            assert got[i].lang_pred == langs[p.index(max(p))] and math.isclose(got[i].score, max(p), rel_tol=1e-3)
+
+
 # fingerprints
 
+def test_signature_equals_plain_minhash():
+    import xxhash
+
+    from hydrolake.llm import fingerprints as f
+
+    full = (1 << 64) - 1
+    for text in ("", " ", "one", "a b c d e", "a b c d e f g a b c d e f g", " ".join(f"w{i % 700}" for i in range(3000))):
+        w = [xxhash.xxh64_intdigest(x) for x in text.encode().split()]
+        k = min(5, len(w))
+        hashes = set()
+        for i in range(len(w) - k + 1 if k else 0):
+            h = 0
+            for x in w[i:i + k]:
+                h = (h * 0x9E3779B97F4A7C15 + x) & full
+            h = ((h ^ (h >> 31)) * 0xBF58476D1CE4E5B9) & full
+            hashes.add(h ^ (h >> 29))
+        least = [min(((h * int(a) + int(b)) & full for h in hashes), default=full) for a, b in zip(f._A, f._B)]
+        assert f.signature(text) == b"".join((x >> 16 & 0xFFFF).to_bytes(2, "little") for x in least)
+
+
 def test_fingerprints_and_next_documents(spark, docs_of):
     from hydrolake.llm import fingerprints as f
 
