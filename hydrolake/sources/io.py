@@ -19,21 +19,9 @@ from pyspark.sql.types import StructType
 
 # ------------------------------------------------------------------ scans
 
-def scan_ndjson(spark: SparkSession, path: str, schema: StructType | str, quarantine: bool = False):
-    """NDJSON with a fixed schema; blank lines ignored, malformed lines dropped.
-
-    ``quarantine=True`` returns (good, bad) where bad keeps the raw text of the
-    malformed lines (PERMISSIVE + ``_corrupt_record``).
-    """
-    if not quarantine:
-        return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
-    s = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    s = s.add("_corrupt_record", "string")
-    df = spark.read.schema(s).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    df = df.persist()   # Spark requires a materialised frame to split on the corrupt column
-    good = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = df.where(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
-    return good, bad
+def scan_ndjson(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """NDJSON with a fixed schema; blank lines ignored, malformed lines dropped (``lake.split_ndjson`` keeps them)."""
+    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
 
 def scan_union_sources(frames: list[DataFrame]) -> DataFrame:
