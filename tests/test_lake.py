@@ -1,6 +1,8 @@
 """Streaming state, partitions by listing, whole versions, incremental Gold, gates by date."""
 
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,8 +17,11 @@ def message(i, day, hour=6, volume="1"):
 
 
 def land(path, name, lines):
+    """A file a second newer than the last: those of one millisecond would be read in any order."""
     path.mkdir(exist_ok=True)
     (path / name).write_text("\n".join(lines) + "\n")
+    at = time.time() - 1000 + len(list(path.iterdir()))
+    os.utime(path / name, (at, at))
 
 
 def found(spark, bronze):
