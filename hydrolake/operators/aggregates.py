@@ -22,6 +22,29 @@ def topk_concat(df: DataFrame, keys: list[str], order: list, k: int, concat_cols
     return top.groupBy(*keys).agg(*aggs)
 
 
+def topk_concat_and_max(df: DataFrame, keys: list[str], order: list, k: int, concat_cols: dict[str, str], max_cols: dict[str, str],
+                        unique: list[str], cells: int = 16, sep: str = ",") -> DataFrame:
+    """``topk_concat`` and the maxima of ``max_cols`` (output name -> column) in one pass, no join of two aggregates.
+
+    Rows are told apart by ``unique`` (within a group one row each; of equal ones any stays).  Each group is first spread over ``cells`` by
+    a hash of those columns: one shuffle serves the deduplication and the best rows of each cell, so a hot group has ``cells`` tasks.  At most
+    ``k`` rows a cell go on, with the cell's maxima.
+    """
+    def best(rows: DataFrame, part: list[str], maxima: dict[str, str]) -> DataFrame:
+        w = Window.partitionBy(*part)
+        return (rows.select(*[c for c in rows.columns if c not in maxima and c != "_rk"], F.row_number().over(w.orderBy(*order)).alias("_rk"),
+                            *[F.max(src).over(w).alias(out) for out, src in maxima.items()]).where(F.col("_rk") <= k))
+
+    own = [f"_max_{out}" for out in max_cols]
+    cell = F.pmod(F.xxhash64(*unique), F.lit(cells))
+    spread = df.withColumn("_cell", cell).repartition(*keys, "_cell").dropDuplicates([*keys, "_cell", *unique])
+    first = best(spread, [*keys, "_cell"], {o: src for o, src in zip(own, max_cols.values())})
+    top = best(first, keys, {o: o for o in own})
+    parts = [F.array_sort(F.collect_list(F.struct("_rk", F.col(src).cast("string").alias("v")))) for src in concat_cols.values()]
+    return top.groupBy(*keys).agg(*[F.array_join(F.transform(a, lambda x: x["v"]), sep).alias(o) for o, a in zip(concat_cols, parts)],
+                                  *[F.max(c).alias(o) for o, c in zip(max_cols, own)])
+
+
 def pivot_counts(df: DataFrame, keys: list[str], col: str, values: dict[str, str]) -> DataFrame:
     """Counts of each listed category flattened into columns (absent -> 0).
 

@@ -19,7 +19,8 @@ from . import exports, features, marts, scoring, silver, star
 
 TABLES = ("silver_reservoir", "silver_weather", "silver_flood_risk", "dq", "dim_reservoir_state", "dim_date", "dim_reservoir", "dim_location",
           "dim_weather", "fact_water", "fact_flood_risk", "features", "alerts", "export_alerts", "export_alerts_csv",
-          "export_alerts_json", "export_reservoirs", "export_reservoirs_csv", "export_reservoirs_json", "export_meta")
+          "export_alerts_json", "document_alerts_json", "export_reservoirs", "export_reservoirs_csv", "export_reservoirs_json",
+          "document_reservoirs_json", "export_meta")
 
 #: Tables that are refreshed whole: each run adds a version, readers see the newest complete one.
 VERSIONED = ("silver_flood_risk", "dim_date", "dim_reservoir", "dim_location")
@@ -73,14 +74,17 @@ def run_daily(spark: SparkSession, run_date: str, lake: str, bronze_readings: Da
     feats = spark.read.schema(feats.schema).parquet(p["features"]).where(day)
     io.sink_partitioned(scoring.fact_flood_alert(feats, swx, srisk, downstream_map, run_date), p["alerts"], "orc")
 
-    alerts = spark.read.schema(GOLD_TABLES["fact_flood_alert"][0]).orc(p["alerts"])
-    exports.export_alerts(exports.day_or_latest(alerts, run_date), exports.day_or_latest(swx, run_date)).write.mode("overwrite").parquet(p["export_alerts"])
+    # the day's partition or the latest, by the listing: no other day's file is opened
+    alerts = folders.latest_partition(spark, p["alerts"], run_date, GOLD_TABLES["fact_flood_alert"][0], "orc")
+    latest_wx = folders.latest_partition(spark, p["silver_weather"], run_date, ddl(silver.SILVER_WEATHER_COLS))
+    exports.export_alerts(alerts, latest_wx).write.mode("overwrite").parquet(p["export_alerts"])
     exports.export_reservoirs(sres.where(day), feats).write.mode("overwrite").parquet(p["export_reservoirs"])
     out_alerts, out_res = (spark.read.parquet(p[k]) for k in ("export_alerts", "export_reservoirs"))
     io.sink_csv_bom(exports.export_alerts_csv(out_alerts, provinces), p["export_alerts_csv"], exports.ALERT_CSV_COLS)
     io.sink_csv_bom(exports.export_reservoirs_csv(out_res), p["export_reservoirs_csv"], exports.RESERVOIR_EXPORT_COLS)
-    for name, frame in (("export_alerts_json", out_alerts), ("export_reservoirs_json", out_res)):
-        exports.nan_to_null(frame).write.mode("overwrite").option("ignoreNullFields", False).json(p[name])
+    for name, frame, order in (("alerts_json", out_alerts, exports.ALERT_ORDER), ("reservoirs_json", out_res, exports.RESERVOIR_ORDER)):
+        exports.nan_to_null(frame).write.mode("overwrite").option("ignoreNullFields", False).json(p[f"export_{name}"])
+        exports.export_json_document(frame, p[f"document_{name}"], run_date, order)
     exports.export_meta_row(run_date, out_res, out_alerts, dq_summary(report)).write.mode("overwrite").json(p["export_meta"])
     return {k: folders.current_version(spark, v) if k in VERSIONED else v for k, v in p.items()}
 

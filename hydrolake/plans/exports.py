@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -26,6 +28,10 @@ ALERT_CSV_COLS = ["alert_date", "prov_code", "prov_th", "alert_level", "alert_le
                   "max_reservoir_pct", "rainfall_forecast_mm", "historical_risk_level",
                   "affected_subdistricts_count", "lat", "lon", "region_en"]
 
+#: The orders of the exports, as ascending SQL keys.
+ALERT_ORDER = ["-alert_score", "prov_code"]
+RESERVOIR_ORDER = ["percent_storage IS NULL", "-percent_storage", "reservoir_id", "source"]
+
 FEATURE_EXPORT_COLS = ["net_flow_mcm", "storage_trend_7d", "storage_delta_1d", "days_to_full", "reservoir_status",
                        "filling_rate"]
 
@@ -141,7 +147,33 @@ def export_meta_row(export_date: str, reservoirs: DataFrame, alerts_export: Data
 
 def json_snapshot(df: DataFrame, date: str) -> DataFrame:
     """``{date, count, data:[rows]}`` as one JSON string - report-sized frames only
-    (alerts: one row per province).  Large exports use a partitioned JSON write."""
+    (alerts: one row per province).  Large exports: ``export_json_document``."""
     clean = nan_to_null(df)
     return clean.agg(F.to_json(F.struct(F.lit(date).alias("date"), F.count(F.lit(1)).alias("count"),
                                         F.collect_list(F.struct(*clean.columns)).alias("data"))).alias("json"))
+
+
+def json_document(df: DataFrame, date: str, order: list[str]) -> DataFrame:
+    """The lines of one JSON document ``{date, count, data:[rows]}``, ``order`` ascending (NULL first); equal rows all stay.
+
+    A line is a row, so the document may be of any size: it is sorted by a range shuffle, and all lines but
+    the least one begin with the comma.  An empty table gives ``data:[]``.
+    """
+    clean = nan_to_null(df)
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in clean.columns]), {"ignoreNullFields": "false"})
+    keyed = clean.select(F.struct(*[F.expr(c).alias(f"o{i}") for i, c in enumerate(order)], row.alias("row")).alias("_key"))
+    # equal rows are counted before they are told apart by a number
+    rows = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).select("_key", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_at"))
+    all_rows = rows.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_key", "_at")).alias("least"))
+    head = all_rows.select(F.concat(F.lit('{"date":' + json.dumps(date) + ',"count":'), F.col("n").cast("string"),
+                                    F.lit(',"data":[')).alias("line"))
+    first = all_rows.select("least").scalar()
+    body = rows.select(F.lit(1).alias("_part"), "_key", "_at", F.when(F.struct("_key", "_at").eqNullSafe(first), F.col("_key.row"))
+                       .otherwise(F.concat(F.lit(","), F.col("_key.row"))).alias("line"))
+    ends = head.select(F.lit(0).alias("_part"), "line").unionByName(df.sparkSession.range(1).select(F.lit(2).alias("_part"), F.lit("]}").alias("line")))
+    return body.unionByName(ends, allowMissingColumns=True).orderBy("_part", "_key", "_at").select("line")
+
+
+def export_json_document(df: DataFrame, path: str, date: str, order: list[str]) -> None:
+    """Write ``json_document``: the part files, put together in the order of their names, are the document."""
+    json_document(df, date, order).write.mode("overwrite").text(path)

@@ -14,7 +14,7 @@ from ..functions import constants as K
 from ..functions.classify import alert_level, historical_component, reservoir_row_score, weather_component
 from ..functions.coerce import parse_code_list
 from ..functions.dates import date_key
-from ..operators.aggregates import mode_of, topk_concat
+from ..operators.aggregates import mode_of, topk_concat_and_max
 from ..operators.joins import pick_first, substring_match_pairs
 
 ALERT_COLS = ["alert_key", "date_key", "location_key", "weather_key", "alert_date", "prov_code", "prov_th",
@@ -35,7 +35,7 @@ def map_edges(downstream_map: DataFrame) -> DataFrame:
     return m.select("map_id", F.explode(parse_code_list("downstream_prov_codes")).alias("prov_code"))
 
 
-def name_matches(features: DataFrame, downstream_map: DataFrame) -> DataFrame:
+def name_matches(features: DataFrame, downstream_map: DataFrame, k: int = 3) -> DataFrame:
     """(reservoir_name, prov_code) for every distinct reservoir name matching a map row
     (Thai name case-sensitive, English name case-insensitive) that lists the province.
 
@@ -47,28 +47,30 @@ def name_matches(features: DataFrame, downstream_map: DataFrame) -> DataFrame:
     # the (distinct) name is its own id: pairs carry it, so no join back to the names
     names = names.select("reservoir_name", F.col("reservoir_name").alias("_name"))
     pairs = substring_match_pairs(names, "reservoir_name", map_with_ids(downstream_map), "map_id",
-                                  [("_name", "reservoir_name_th", False), ("_name", "reservoir_name_en", True)])
+                                  [("_name", "reservoir_name_th", False), ("_name", "reservoir_name_en", True)], k)
     return pairs.join(map_edges(downstream_map), "map_id").select("reservoir_name", "prov_code").distinct()
 
 
-def match_upstream(features: DataFrame, downstream_map: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def named_upstream(features: DataFrame, downstream_map: DataFrame, k: int = 3) -> DataFrame:
+    """(prov_code, feature row) pairs by name, before features that occur twice are made one."""
+    return name_matches(features, downstream_map, k).join(features, "reservoir_name")
+
+
+def match_upstream(features: DataFrame, downstream_map: DataFrame, keys: list[str] | None = None, k: int = 3) -> DataFrame:
     """Distinct (prov_code, feature row) pairs: the feature's name matches any map row
     listing the province."""
     keys = keys or ["reservoir_id", "source"]
-    nm = name_matches(features, downstream_map)
-    return nm.join(features, "reservoir_name").dropDuplicates(["prov_code", *keys])
+    return named_upstream(features, downstream_map, k).dropDuplicates(["prov_code", *keys])
 
 
 def reservoir_component(matched: DataFrame, group: list[str]) -> DataFrame:
-    """Per group: best row score, top-3 names/statuses (score desc, name, id), max percent."""
+    """Per group, each reservoir and source once: best row score, top-3 names/statuses (score desc, name, id), max percent."""
     scored = matched.withColumn("_rscore", reservoir_row_score("reservoir_status", "filling_rate"))
     order = [F.col("_rscore").desc(), F.col("reservoir_name").asc(), F.col("reservoir_id").asc(),
              F.col("source").asc()]
-    top = topk_concat(scored, group, order, K.TOP_TRIGGERS,
-                      {"trigger_reservoirs": "reservoir_name", "trigger_reservoir_statuses": "reservoir_status"})
-    stats = scored.groupBy(*group).agg(F.max("_rscore").alias("reservoir_score"),
-                                       F.max("percent_storage").alias("max_reservoir_pct"))
-    return stats.join(top, group)
+    return topk_concat_and_max(scored, group, order, K.TOP_TRIGGERS,
+                               {"trigger_reservoirs": "reservoir_name", "trigger_reservoir_statuses": "reservoir_status"},
+                               {"reservoir_score": "_rscore", "max_reservoir_pct": "percent_storage"}, ["reservoir_id", "source"])
 
 
 def fact_flood_alert(features: DataFrame, silver_weather: DataFrame, silver_flood_risk: DataFrame,
@@ -101,8 +103,7 @@ def fact_flood_alert_daily(features_daily: DataFrame, silver_weather: DataFrame,
     first_wx = pick_first(wx, ["dt", "prov_code"], [F.col("forecast_date").desc_nulls_last(), F.col("prov_th"),
                                                    F.col("rainfall_forecast_mm").desc()])
     rain = first_wx.select("dt", "prov_code", F.coalesce(F.col("rainfall_forecast_mm"), F.lit(0.0)).alias("_rain"))
-    matched = match_upstream(features_daily, downstream_map, ["feature_date", "reservoir_id", "source"])
-    res = reservoir_component(matched, ["prov_code", "feature_date"]).withColumnRenamed("feature_date", "dt")
+    res = reservoir_component(named_upstream(features_daily, downstream_map), ["prov_code", "feature_date"]).withColumnRenamed("feature_date", "dt")
     hist = historical_by_province_month(silver_flood_risk)
     j = (provinces.join(rain, ["dt", "prov_code"], "left").join(res, ["dt", "prov_code"], "left")
          .withColumn("_month", F.month(F.to_date("dt"))).join(hist, ["prov_code", "_month"], "left"))

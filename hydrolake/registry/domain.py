@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..plans import features as feat
 from ..plans import scoring, silver, star
+from ..schemas import GOLD_TABLES
+from ..session import scratch_path
 from ..sources import adapters
 
 # The run date every daily query uses (a job parameter, never current_date).
@@ -37,6 +39,10 @@ class Domain:
     def downstream_map(self) -> DataFrame:
         return adapters.downstream_map(self.spark, self.sf_dir)
 
+    @cached_property
+    def part_map(self) -> DataFrame:
+        return adapters.part_map(self.spark, self.sf_dir)
+
     @cached_property
     def provinces(self) -> DataFrame:
         return adapters.province_catalogue(self.spark, self.sf_dir)
@@ -102,3 +108,10 @@ class Domain:
     def alerts(self) -> DataFrame:
         return scoring.fact_flood_alert(self.features, self.weather_day, self.silver_flood_risk,
                                         self.downstream_map, self.run_date)
+
+    @cached_property
+    def alerts_once(self) -> DataFrame:
+        """The alerts as a written Gold table: an export that looks at them more than once (any rows? which day?) plans them once."""
+        path = scratch_path(self.spark, "gold_alerts")
+        self.alerts.write.partitionBy("dt").orc(path)
+        return self.spark.read.schema(GOLD_TABLES["fact_flood_alert"][0]).orc(path)

@@ -377,6 +377,13 @@ oracle("fact_flood_risk", ["fact_flood_risk"], "SELECT * FROM fact_flood_risk")
 oracle("reservoir_features", ["features"], "SELECT * FROM features")
 oracle("reservoir_features_daily", ["features_daily"], "SELECT * FROM features_daily")
 oracle("match_upstream", ["matched"], "SELECT * FROM matched")
+cte("part_map", [], """
+SELECT CASE WHEN p_partkey % 2 = 1 THEN 'dam ' || CAST(p_partkey AS VARCHAR) || ' of' ELSE '' END AS reservoir_name_th,
+  CASE WHEN p_partkey % 2 = 0 THEN 'DAM ' || CAST(p_partkey AS VARCHAR) || ' OF' END AS reservoir_name_en,
+  CAST(p_size % 25 AS VARCHAR) || ',' || CAST(p_partkey % 25 AS VARCHAR) AS downstream_prov_codes FROM part""")
+oracle("match_upstream_parts", ["features", "part_map"], f"""
+SELECT DISTINCT CAST(unnest(string_split(m.downstream_prov_codes, ',')) AS INTEGER) AS prov_code, f.reservoir_id, f.source
+FROM features f, part_map m WHERE {NAME_MATCH}""")
 oracle("fact_flood_alert", ["alerts"], "SELECT * FROM alerts")
 
 oracle("mart_hot_reservoirs", ["fact_water", "dim_reservoir", "dim_date", "dim_location", "dim_weather"], f"""
@@ -698,6 +705,9 @@ FROM hazard""")
 oracle("export_json_snapshot", ["export_alerts"], f"""
 SELECT '{RUN_DATE}' AS date, count(*) AS count, CAST(count(*) AS INTEGER) AS n_data,
   COALESCE(sum(alert_score), 0.0) AS score_sum FROM export_alerts""")
+oracle("export_json_document", ["export_alerts"], f"""
+SELECT alert_date, prov_code, prov_th, alert_level, alert_score, trigger_reservoirs, '{RUN_DATE}' AS date,
+  (SELECT count(*) FROM export_alerts) AS count FROM export_alerts""")
 oracle("agg_dq_history", ["dq_silver"], """
 SELECT dt AS run_date, count_if(status = 'PASS') AS passed, count(*) AS total,
   CASE WHEN count_if(status = 'FAIL' AND critical) > 0 THEN 'FAIL' ELSE 'PASS' END AS overall

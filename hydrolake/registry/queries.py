@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..plans import marts
 from .domain import RUN_DATE, Domain
 
+#: Gram length of names with long numbers: few names share one.
+PART_GRAM = 6
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -97,6 +100,14 @@ def q_match_upstream(spark, sf_dir):
     return match_upstream(d.features, d.downstream_map).select("prov_code", "reservoir_id", "source")
 
 
+@register("match_upstream_parts")
+def q_match_upstream_parts(spark, sf_dir):
+    """Upstream matches by a map with a row per part: selective names, on both sides as many as the data has."""
+    from ..plans.scoring import match_upstream
+    d = _dom(spark, sf_dir)
+    return match_upstream(d.features, d.part_map, k=PART_GRAM).select("prov_code", "reservoir_id", "source")
+
+
 @register("fact_flood_alert")
 def q_fact_flood_alert(spark, sf_dir):
     return _dom(spark, sf_dir).alerts.drop("loaded_at")
@@ -225,7 +236,7 @@ def _wx_day(d):
 def q_export_alerts(spark, sf_dir):
     from ..plans.exports import export_alerts
     d = _dom(spark, sf_dir)
-    return export_alerts(d.alerts, _wx_day(d))
+    return export_alerts(d.alerts_once, _wx_day(d))
 
 
 @register("export_alerts_fallback")
@@ -234,14 +245,14 @@ def q_export_alerts_fallback(spark, sf_dir):
     from pyspark.sql import functions as F
     from ..plans.exports import export_alerts
     d = _dom(spark, sf_dir)
-    return export_alerts(d.alerts.where(F.col("alert_date") < F.to_date(F.lit("1900-01-01"))), _wx_day(d))
+    return export_alerts(d.alerts_once.where(F.col("alert_date") < F.to_date(F.lit("1900-01-01"))), _wx_day(d))
 
 
 @register("export_alerts_csv")
 def q_export_alerts_csv(spark, sf_dir):
     from ..plans.exports import export_alerts, export_alerts_csv
     d = _dom(spark, sf_dir)
-    return export_alerts_csv(export_alerts(d.alerts, _wx_day(d)), d.provinces)
+    return export_alerts_csv(export_alerts(d.alerts_once, _wx_day(d)), d.provinces)
 
 
 @register("export_meta_row")
@@ -251,7 +262,7 @@ def q_export_meta_row(spark, sf_dir):
     d = _dom(spark, sf_dir)
     res = export_reservoirs(_silver_day(d), d.features)
     summ = dq_summary(dq_report(_silver_day(d), "silver_reservoir"))
-    return export_meta_row(RUN_DATE, res, export_alerts(d.alerts, _wx_day(d)), summ)
+    return export_meta_row(RUN_DATE, res, export_alerts(d.alerts_once, _wx_day(d)), summ)
 
 
 # ---------------------------------------------------------------- aggregates / set ops
@@ -587,13 +598,31 @@ def q_ingest_static_table(spark, sf_dir):
         F.lit("Hazard history per sub-district and month").alias("description"))
 
 
+@register("export_json_document")
+def q_export_json_document(spark, sf_dir):
+    """The alert export as one JSON document over several files, read back: its rows, and date and count of its head."""
+    from ..session import scratch_path
+    from ..plans.exports import ALERT_ORDER, export_alerts, export_json_document
+    d = _dom(spark, sf_dir)
+    out = scratch_path(spark, "alerts_json")
+    export_json_document(export_alerts(d.alerts_once, _wx_day(d)), out, RUN_DATE, ALERT_ORDER)
+    lines = spark.read.text(out)
+    head = lines.where(F.col("value").startswith('{"date"'))
+    count = head.select(F.regexp_extract("value", '"count":([0-9]+)', 1).cast("bigint")).scalar()
+    date = head.select(F.regexp_extract("value", '"date":"([^"]+)"', 1)).scalar()
+    schema = "alert_date DATE, prov_code INT, prov_th STRING, alert_level STRING, alert_score DOUBLE, trigger_reservoirs STRING"
+    row = F.from_json(F.ltrim(F.col("value"), F.lit(",")), schema)
+    rows = lines.where(F.ltrim(F.col("value"), F.lit(",")).startswith('{"alert_date"'))
+    return rows.select(row.alias("r")).select("r.*", date.alias("date"), count.alias("count"))
+
+
 @register("export_json_snapshot")
 def q_export_json_snapshot(spark, sf_dir):
     """{date, count, data:[...]} envelope of the alert export, decoded back to check it."""
     from pyspark.sql import functions as F
     from ..plans.exports import export_alerts, json_snapshot
     d = _dom(spark, sf_dir)
-    js = json_snapshot(export_alerts(d.alerts, _wx_day(d)), RUN_DATE)
+    js = json_snapshot(export_alerts(d.alerts_once, _wx_day(d)), RUN_DATE)
     env = js.select(F.from_json("json", "date STRING, count BIGINT, data ARRAY<STRUCT<prov_code: INT, alert_score: DOUBLE>>")
                     .alias("e"))
     return env.select(F.col("e.date").alias("date"), F.col("e.count").alias("count"),
@@ -682,7 +711,7 @@ def q_export_csv_bom(spark, sf_dir):
     from ..session import scratch_path
     d = _dom(spark, sf_dir)
     out = scratch_path(spark, "alerts_csv")
-    sink_csv_bom(export_alerts_csv(export_alerts(d.alerts, _wx_day(d)), d.provinces), out, ALERT_CSV_COLS)
+    sink_csv_bom(export_alerts_csv(export_alerts(d.alerts_once, _wx_day(d)), d.provinces), out, ALERT_CSV_COLS)
     schema = ("alert_date DATE, prov_code INT, prov_th STRING, alert_level STRING, alert_level_en STRING, "
               "alert_score DOUBLE, reservoir_score DOUBLE, weather_score DOUBLE, historical_risk_score DOUBLE, "
               "trigger_reservoirs STRING, max_reservoir_pct DOUBLE, rainfall_forecast_mm DOUBLE, "
@@ -810,7 +839,7 @@ def q_export_alerts_latest(spark, sf_dir):
     from pyspark.sql import functions as F
     from ..plans.exports import day_or_latest, export_alerts
     d = _dom(spark, sf_dir)
-    return export_alerts(day_or_latest(d.alerts.where(F.col("dt") < "1900-01-01"), "2099-01-01"), day_or_latest(d.silver_weather, "2099-01-01"))
+    return export_alerts(day_or_latest(d.alerts_once.where(F.col("dt") < "1900-01-01"), "2099-01-01"), day_or_latest(d.silver_weather, "2099-01-01"))
 
 
 @register("watermark_state")

@@ -186,6 +186,18 @@ def downstream_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def part_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A map that grows with the data: one row per part, naming one dam (``dam <key> of``) by its Thai name for odd keys and by its
+    English one for even keys, with two provinces each."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    key, nations = F.col("p_partkey"), F.lit(25)
+    name, odd = F.concat(F.lit("dam "), key.cast("string"), F.lit(" of")), F.pmod(key, F.lit(2)) == 1
+    codes = F.concat_ws(",", F.pmod(F.col("p_size"), nations).cast("string"), F.pmod(key, nations).cast("string"))
+    return p.select(F.when(odd, name).otherwise(F.lit("")).alias("reservoir_name_th"),
+                    F.when(~odd, F.upper(name)).alias("reservoir_name_en"), codes.alias("downstream_prov_codes"),
+                    F.pmod(key, nations).cast("int").alias("dam_province_code"))
+
+
 def province_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Province catalogue (code, names, region, coordinates): one row per nation."""
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from hydrolake.operators.aggregates import pivot_counts, topk_concat
+from hydrolake.operators.aggregates import pivot_counts, topk_concat, topk_concat_and_max
 from hydrolake.operators.dedup import dedup_latest, flag_duplicates
 from hydrolake.operators.joins import fallback_whole, substring_match_pairs
 from hydrolake.operators.quality import dq_report, dq_summary
@@ -49,6 +49,22 @@ def test_topk_concat_order(spark):
     assert out.names == "c,a,b"
 
 
+def test_topk_and_max_in_one_pass(spark):
+    """A hot group over few cells: the same top rows and maxima as by plain Python; repeated rows count once."""
+    rows = [("hot" if i % 3 else f"g{i}", f"n{i * 7 % 50:02}", i, float(i * 37 % 11), None if i % 4 else float(i % 90)) for i in range(400)]
+    df = spark.createDataFrame(rows + rows[:50], "g string, n string, id int, s double, pct double")
+    out = topk_concat_and_max(df, ["g"], [F.col("s").desc(), F.col("n"), F.col("id")], 3, {"names": "n", "ids": "id"},
+                              {"s": "s", "pct": "pct"}, ["id"], cells=4)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2, plan
+    want = {}
+    for g in {r[0] for r in rows}:
+        of = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[3], r[1], r[2]))
+        pct = [r[4] for r in of if r[4] is not None]
+        want[g] = (",".join(r[1] for r in of[:3]), ",".join(str(r[2]) for r in of[:3]), of[0][3], max(pct) if pct else None)
+    assert {r.g: (r.names, r.ids, r.s, r.pct) for r in out.collect()} == want
+
+
 def test_pivot_counts_absent_is_zero(spark):
     df = spark.createDataFrame([("A",), ("A",)], "lvl string")
     r = pivot_counts(df, [], "lvl", {"A": "a", "B": "b"}).first()

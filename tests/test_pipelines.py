@@ -211,3 +211,29 @@ def test_coercion_of_infinities_and_overflow(spark):
     df = spark.createDataFrame([(x,) for x in ("inf", "Infinity", "-Infinity", "NaN", "1e20", "7.9", "x", None)], "v string")
     assert [r[0] for r in df.select(coerce_numeric("v")).collect()] == [0.0, 0.0, 0.0, 0.0, 1e20, 7.9, 0.0, 0.0]
     assert [r[0] for r in df.select(coerce_int("v")).collect()] == [0, 0, 0, 0, 0, 7, 0, 0]
+
+
+def test_json_document_over_several_files(spark, tmp_path):
+    """The part files, one after the other, are one JSON document: sorted, equal rows kept, NaN as null; an empty table too."""
+    import glob
+    import json
+    from hydrolake.plans.exports import export_json_document
+    rows = [(float(i % 5), i % 7, 'say "ก"\n,' if i % 2 else None, float("nan") if i % 3 else 1.5) for i in range(200)]
+    df = spark.createDataFrame(rows, "alert_score double, prov_code int, t string, x double").repartition(6)
+
+    def document(frame, name):
+        export_json_document(frame, f"{tmp_path}/{name}", "2024-01-02", ["-alert_score", "prov_code"])
+        files = sorted(glob.glob(f"{tmp_path}/{name}/part-*"))
+        return len(files), json.loads("".join(open(f, encoding="utf-8").read() for f in files))
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        n_files, got = document(df, "rows")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert n_files > 1 and got["date"] == "2024-01-02" and got["count"] == 200 == len(got["data"])
+    want = [{"alert_score": s, "prov_code": p, "t": t, "x": None if x != x else x} for s, p, t, x in rows]
+    as_text = [json.dumps(r) for r in got["data"]]
+    assert sorted(as_text) == sorted(json.dumps(r) for r in want)
+    assert [(-r["alert_score"], r["prov_code"]) for r in got["data"]] == sorted((-r["alert_score"], r["prov_code"]) for r in want)
+    assert document(df.where("prov_code > 99"), "none")[1] == {"date": "2024-01-02", "count": 0, "data": []}

@@ -104,3 +104,19 @@ def test_bucketed_gold_needs_no_exchange_of_the_fact(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Bucketed: true") == 2 and "SortMergeJoin" in plan
     assert plan.count("Exchange hashpartitioning") == 0 and plan.count("Exchange rangepartitioning") <= 1, plan
+
+
+def test_alert_exports_plan_the_alerts_once(spark):
+    """The export reads written alerts, for the question whether there are any, too: readings and names are in no branch of it."""
+    import __spark_entry__ as E
+    for name in ("export_alerts", "export_alerts_csv", "export_alerts_latest"):
+        plan = _plan(E.queries()[name](spark, SF_SMALL))
+        assert "lineitem.parquet" not in plan and "supplier.parquet" not in plan, name
+
+
+def test_alert_scores_need_no_join_of_aggregates(spark):
+    """Top triggers and maxima of a province: two shuffles, no join between them."""
+    from hydrolake.plans.scoring import reservoir_component
+    cols = "prov_code int, feature_date string, reservoir_id string, source string, reservoir_name string, reservoir_status string, filling_rate string, percent_storage double"
+    plan = _plan(reservoir_component(spark.createDataFrame([], cols), ["prov_code", "feature_date"]))
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") <= 2, plan
