@@ -38,12 +38,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices, tidy
+from .common import cut, hot_keys, salted_join, slices, tidy
 from .components import components
 
 PERMUTATIONS, SHINGLE, THRESHOLD = 100, 5, 0.8
 BANDS, BAND_ROWS = 20, 5        # at a likeness of 0.8 a pair misses all bands once in 3,000, at 0.9 once in 10 million
 CANDIDATE, BLOCK = 0.65, 256
+CELL, GUIDES = 16 * BLOCK, 8    # rows of a bucket that one task compares first, and rows of a larger bucket that all its cells see
 _RANDOM = np.random.Generator(np.random.PCG64(20))
 _A = _RANDOM.integers(0, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RANDOM.integers(0, 1 << 63, PERMUTATIONS, np.uint64)
@@ -136,8 +137,9 @@ def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([z.compress(t.as_py().encode()) for t in batch.column(1)], pa.binary())],
                                              ["node", "packed"])
 
-    packed = some.select("node", "text").mapInArrow(run, "node binary, packed binary")
-    return packed.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("packed").alias("packed"))
+    # copies are made one in each task, before the shuffle: a text with very many copies is never gathered
+    packed = some.select("node", "text").mapInArrow(run, "node binary, packed binary").groupBy("node").agg(F.first("packed").alias("packed"))
+    return packed.join(nodes, "node", "left_semi")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
@@ -167,7 +169,11 @@ def _signature_rows(column: pa.Array) -> np.ndarray:
 
 
 def _likest(members: DataFrame) -> DataFrame:
-    """a, b: each node and the likest candidate of its stretch of the bucket, in each bucket."""
+    """a, b: each node and the likest candidate of its stretch of the bucket, in each bucket; members: key, size, node, sig.
+
+    A bucket of more than CELL rows (``size``) is dealt out over cells by a hash of the node.  About GUIDES of its rows are
+    shown to every cell, so that a family spread over the cells comes out as one component; what the cells miss, ``_across`` finds.
+    """
 
     def pairs(table: pa.Table) -> pa.RecordBatch:
         node, sig = table.column("node").to_pylist(), _signature_rows(table.column("sig").combine_chunks())
@@ -185,12 +191,12 @@ def _likest(members: DataFrame) -> DataFrame:
                 yield pairs(pa.Table.from_batches(held))
 
         for batch in batches:
-            of = batch.column(0).to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)] if len(of) else []
+            of, cell = batch.column("key").to_numpy(), batch.column("cell").to_numpy()
+            edges = [0, *(np.flatnonzero((np.diff(of) != 0) | (np.diff(cell) != 0)) + 1).tolist(), len(of)] if len(of) else []
             for lo, hi in zip(edges, edges[1:]):
-                if of[lo] != key:
+                if (of[lo], cell[lo]) != key:
                     yield from told()
-                    key, held = of[lo], []
+                    key, held = (of[lo], cell[lo]), []
                 while lo < hi:
                     room = BLOCK - sum(b.num_rows for b in held)
                     held.append(batch.slice(lo, min(room, hi - lo)))
@@ -200,7 +206,12 @@ def _likest(members: DataFrame) -> DataFrame:
                         held = [held[-1].slice(held[-1].num_rows - 1)]
         yield from told()
 
-    ordered = members.select("key", "node", "sig").repartition("key").sortWithinPartitions("key", "node")
+    cells = F.ceil(F.col("size") / CELL)
+    own = F.array(F.pmod(F.xxhash64("node"), cells))
+    guide = (cells > 1) & (F.pmod(F.xxhash64(F.lit(1), "node"), F.col("size")) < GUIDES)
+    seen_by = F.when(guide, F.sequence(F.lit(0).cast("long"), cells - 1)).otherwise(own)
+    dealt = members.select("key", "node", "sig", F.explode(seen_by).alias("cell"))
+    ordered = dealt.repartition("key", "cell").sortWithinPartitions("key", "cell", "node")
     return ordered.mapInArrow(run, "a binary, b binary").distinct()
 
 
@@ -306,13 +317,18 @@ def _across(members: DataFrame, texts: DataFrame, threshold: float, shingle: int
     return _laid(some.join(texts, "node")).mapInArrow(linked, "a binary, b binary").distinct()
 
 
-def classes(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
-    """node, class_id: the least doc_id of each class, for every distinct text."""
-    nodes = cut(signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("sig").alias("sig")))
+def distinct_texts(signed: DataFrame) -> DataFrame:
+    """node, least (doc_id), sig, copies of every distinct text."""
+    return cut(signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("sig").alias("sig"), F.count("*").alias("copies")))
+
+
+def classes(docs: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
+    """node, class_id: the least doc_id of each class, for every distinct text (``distinct_texts``)."""
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                        lambda i: F.xxhash64(i, F.substr(F.col("sig"), i * 2 * BAND_ROWS + 1, F.lit(2 * BAND_ROWS))))
     held = nodes.select("node", F.posexplode(keys).alias("band", "key"))
-    shared = held.groupBy("key").agg(F.min("node").alias("one"), F.max("node").alias("other")).where("one <> other").select("key")
+    shared = held.groupBy("key").agg(F.min("node").alias("one"), F.max("node").alias("other"), F.count("*").alias("size"))
+    shared = shared.where("one <> other").select("key", "size")
     members = cut(held.join(shared, "key").join(nodes.select("node", "sig"), "node"))
     texts = cut(_texts_of(docs, members.select("node").distinct()))
 
@@ -335,8 +351,10 @@ def compare(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGL
 
     rows = signed.select("doc_id", "node").distinct()
     kind = docs.schema["doc_id"].dataType.simpleString()
-    known = cut(rows.join(classes(docs, signed, threshold, shingle), "node"))
-    del rows, signed
+    nodes = distinct_texts(signed)
+    hot = hot_keys(nodes, "node", "copies", signed.count())
+    known = cut(salted_join(rows, classes(docs, nodes, threshold, shingle), "node", hot))
+    del rows, signed, nodes, hot
     tidy(docs.sparkSession)
     known = known.select("doc_id", F.lit(None).cast("string").alias("text"), "node", "class_id")
     bare = _bare(docs).withColumn("class_id", F.lit(None).cast(kind)).unionByName(known)

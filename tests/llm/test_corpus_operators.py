@@ -631,3 +631,27 @@ def test_fingerprint_classes_of_a_crowded_family(spark, docs_of, monkeypatch):
         monkeypatch.setattr(f, "BLOCK", block)
         got = f.compare(docs_of(rows)).select("doc_id", "class_id").collect()
         assert {r.doc_id: r.class_id for r in got} == root
+
+
+def test_fingerprint_classes_over_cells(spark, docs_of, monkeypatch):
+    """A large family and very many copies, dealt out over cells and salts: classes equal all-pairs comparison."""
+    from hydrolake.llm import fingerprints as f
+
+    rnd = random.Random(5)
+    base, texts = [f"w{i}" for i in range(150)], []
+    for i in range(90):
+        w = list(base if i % 3 else base[::-1])
+        for p in rnd.sample(range(150), rnd.choice([1, 2, 3, 5])):
+            w[p] = f"x{rnd.randrange(6)}"
+        texts.append(" ".join(w))
+    texts += [texts[7]] * 60 + ["", None, "one"]
+    rows = list(enumerate(texts))
+    sets = [brute.shingles(t or "") for t in texts]
+    alike = [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if (texts[a] or "") == (texts[b] or "")
+             or (sets[a] and sets[b] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8)]
+    root = brute.union(alike, range(len(texts)))
+    for cell, guides in ((16, 3), (16, 0), (f.CELL, f.GUIDES)):
+        monkeypatch.setattr(f, "CELL", cell)
+        monkeypatch.setattr(f, "GUIDES", guides)
+        got = f.compare(docs_of(rows)).select("doc_id", "class_id").collect()
+        assert {r.doc_id: r.class_id for r in got} == root, (cell, guides)
