@@ -168,6 +168,10 @@ def _signature_rows(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), PERMUTATIONS)
 
 
+def _cells(size: str) -> Column:
+    return F.ceil(F.col(size) / CELL)
+
+
 def _likest(members: DataFrame) -> DataFrame:
     """a, b: each node and the likest candidate of its stretch of the bucket, in each bucket; members: key, size, node, sig.
 
@@ -206,7 +210,7 @@ def _likest(members: DataFrame) -> DataFrame:
                         held = [held[-1].slice(held[-1].num_rows - 1)]
         yield from told()
 
-    cells = F.ceil(F.col("size") / CELL)
+    cells = _cells("size")
     own = F.array(F.pmod(F.xxhash64("node"), cells))
     guide = (cells > 1) & (F.pmod(F.xxhash64(F.lit(1), "node"), F.col("size")) < GUIDES)
     seen_by = F.when(guide, F.sequence(F.lit(0).cast("long"), cells - 1)).otherwise(own)
@@ -250,11 +254,13 @@ _PLACED = "key long, band int, block long, visits int, visiting int, node binary
 
 
 def _across(members: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
-    """a, b: links between components; members: key, band, node, sig, component."""
+    """a, b: links between components; members: key, size, band, node, sig, component."""
     sizes = members.groupBy("key", "component").agg(F.count("*").alias("n"))
     split = (sizes.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"))
-             .where("parts > 1").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"), F.col("most.component").alias("largest")))
-    rows = members.join(split, "key").withColumn("visiting", (F.col("component") != F.col("largest")).cast("int"))
+             .where("parts > 1").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"), F.col("most.component").alias("largest"),
+                                        F.explode(F.sequence(F.lit(0).cast("long"), _cells("n") - 1)).alias("cell")))
+    # a large bucket meets its one row of ``split`` in as many places as it has cells
+    rows = members.withColumn("cell", F.pmod(F.xxhash64("node"), _cells("size"))).join(split, ["key", "cell"]).drop("cell").withColumn("visiting", (F.col("component") != F.col("largest")).cast("int"))
     shown = ("visiting", "node", "sig", "component")
     home = rows.select("key", "band", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("visits"), *shown)
     guests = rows.where("visiting = 1").select("key", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
