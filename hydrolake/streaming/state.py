@@ -9,21 +9,20 @@ from pyspark.sql import functions as F
 EPOCH = "1970-01-01T00:00:00+00:00"
 
 
+MARK_STATE = "run INT, last_fetched_at STRING"
+
+
 def load_watermark(spark: SparkSession, path: str) -> str:
-    """Last accepted ``fetched_at`` (default: epoch).  One-row table -> one driver value."""
-    try:
-        state = spark.read.schema("last_fetched_at STRING, updated_at TIMESTAMP").parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":     # only an absent state table is a first run
-            raise
-        return EPOCH
-    return state.agg(F.max("last_fetched_at").alias("w")).first()["w"] or EPOCH
+    """Last accepted ``fetched_at`` of the finished runs (default: epoch), whether loads or ``save_watermark`` stored it."""
+    marks = _rows(spark, f"{path}/marks", MARK_STATE)
+    return (marks.agg(F.max("last_fetched_at").alias("w")).first()["w"] if marks is not None else None) or EPOCH
 
 
 def save_watermark(spark: SparkSession, path: str, accepted: DataFrame) -> None:
-    """Persist max(fetched_at) of the accepted rows (only after the Bronze write)."""
+    """Persist max(fetched_at) of the accepted rows as a run of its own (only after the Bronze write)."""
     w = accepted.agg(F.max("fetched_at").alias("last_fetched_at")).where(F.col("last_fetched_at").isNotNull())
-    w.withColumn("updated_at", F.current_timestamp()).write.mode("append").parquet(path)
+    run, _ = current_run(spark, path)
+    w.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/marks/run={run}")
 
 
 BATCH_STATE = "run INT, batch BIGINT, last_fetched_at STRING, accepted BIGINT"
@@ -35,7 +34,7 @@ def current_run(spark: SparkSession, path: str) -> tuple[int, str]:
     A run is over when its mark is saved.  One that broke off goes on under its number and with the mark that it
     began with, so a batch that is replayed accepts the very messages that it accepted before.
     """
-    marks = _rows(spark, f"{path}/marks", "run INT, last_fetched_at STRING")
+    marks = _rows(spark, f"{path}/marks", MARK_STATE)
     last = marks.orderBy(F.col("run").desc()).first() if marks is not None else None
     return (last.run + 1, last.last_fetched_at) if last else (0, EPOCH)
 
