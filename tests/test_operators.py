@@ -65,6 +65,16 @@ def test_topk_and_max_in_one_pass(spark):
     assert {r.g: (r.names, r.ids, r.s, r.pct) for r in out.collect()} == want
 
 
+def test_topk_of_rows_that_count_for_several_values(spark):
+    """Rows with a list of groups: the same as with a row per group, also where lists overlap and rows come twice."""
+    rows = [([i % 3, 3 + i % 2], "d", f"n{i * 7 % 50:02}", i, float(i * 37 % 11), None if i % 4 else float(i % 90)) for i in range(200)]
+    df = spark.createDataFrame(rows + [([9, 0], *r[1:]) for r in rows[:60]], "gs array<int>, d string, n string, id int, s double, pct double")
+    args = ([F.col("s").desc(), F.col("n"), F.col("id")], 3, {"names": "n", "ids": "id"}, {"s": "s", "pct": "pct"}, ["id"])
+    want = topk_concat_and_max(df.withColumn("g", F.explode("gs")).drop("gs"), ["g", "d"], *args, cells=4)
+    got = topk_concat_and_max(df, ["g", "d"], *args, cells=4, each=("g", "gs"))
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect()) and got.count() == 6
+
+
 def test_pivot_counts_absent_is_zero(spark):
     df = spark.createDataFrame([("A",), ("A",)], "lvl string")
     r = pivot_counts(df, [], "lvl", {"A": "a", "B": "b"}).first()

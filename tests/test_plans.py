@@ -120,3 +120,24 @@ def test_alert_scores_need_no_join_of_aggregates(spark):
     cols = "prov_code int, feature_date string, reservoir_id string, source string, reservoir_name string, reservoir_status string, filling_rate string, percent_storage double"
     plan = _plan(reservoir_component(spark.createDataFrame([], cols), ["prov_code", "feature_date"]))
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") <= 2, plan
+
+
+def test_ngram_join_broadcasts_no_grams(spark):
+    """A frame of grams is many times its names: the driver gets none of them, only the key lengths (failed before: it got all)."""
+    from hydrolake.operators.joins import substring_match_pairs
+    t = spark.createDataFrame([(1, "dam 12 of nation_1"), (2, "da")], "tid int, t string")
+    p = spark.createDataFrame([(10, "dam 1"), (11, "d")], "pid int, p string")
+    pairs = substring_match_pairs(t, "tid", p, "pid", [("t", "p", False)])
+    assert "BroadcastHashJoin [_tag#" in _plan(pairs) and not [x for x in _plan(pairs).splitlines() if "BroadcastHashJoin" in x and "_g#" in x]
+    assert sorted(tuple(r) for r in pairs.collect()) == [(1, 10), (1, 11), (2, 10), (2, 11)]
+
+
+def test_map_with_many_rows_joins_no_edges(spark):
+    """The matches carry the map row's provinces: no second frame of the map is joined (failed before: by a broadcast)."""
+    from hydrolake.plans.scoring import name_matches
+    f = spark.createDataFrame([("dam 12 of x",), ("dam 3 of x",)], "reservoir_name string")
+    m = spark.createDataFrame([("dam 1", None, "7, x,8"), ("dam 12 of", "DAM 3", "8"), (None, "X", None)],
+                              "reservoir_name_th string, reservoir_name_en string, downstream_prov_codes string")
+    got = name_matches(f, m)
+    assert "map_id" not in _plan(got)
+    assert sorted(tuple(r) for r in got.collect()) == [("dam 12 of x", 7), ("dam 12 of x", 8), ("dam 3 of x", 8)]
