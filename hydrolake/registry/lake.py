@@ -17,7 +17,7 @@ from ..streaming import state as run_state
 from ..streaming.ingest import MESSAGE_SCHEMA, file_source, incremental_load, message_key, stream_ingest
 from .domain import RUN_DATE, Domain
 from .queries import READING_SCHEMA, _ndjson_lake, register
-from .written import message_lines
+from .written import LINES_A_FILE, message_lines, write_lines
 
 #: Days of the backfill row, and the one that is spoilt.
 BACKFILL_DAYS, SPOILT_DAY = (shift(RUN_DATE, -9), RUN_DATE), shift(RUN_DATE, -4)
@@ -35,9 +35,9 @@ def q_incremental_load(spark, sf_dir):
     bronze = Domain(spark, sf_dir).bronze_readings
     landing, out, ck, marks = (scratch_path(spark, n) for n in ("landing", "bronze", "checkpoint", "marks"))
     old = F.col("dt") < RUN_DATE
-    _lines(bronze.where(old)).write.text(landing)
+    write_lines(_lines(bronze.where(old)), landing, lines_a_file=LINES_A_FILE)
     incremental_load(file_source(spark, landing), out, ck, marks, RUN_DATE)
-    _lines(bronze.where(~old | (F.col("_offset") % 3 == 0))).write.mode("append").text(landing)
+    write_lines(_lines(bronze.where(~old | (F.col("_offset") % 3 == 0))), landing, "append", LINES_A_FILE)
     incremental_load(file_source(spark, landing), out, ck, marks, RUN_DATE)
     found = spark.read.schema("fetched_at STRING, batch BIGINT").json(out).groupBy("batch").agg(F.count(F.lit(1)).alias("found"))
     return (run_state.batches(spark, marks).join(found, "batch", "left").groupBy("run")
@@ -49,8 +49,8 @@ def q_stream_dedup(spark, sf_dir):
     """A log in which a third of the messages come again in later files: each lands once."""
     bronze = Domain(spark, sf_dir).bronze_readings
     landing, out, ck = (scratch_path(spark, n) for n in ("landing", "bronze", "checkpoint"))
-    _lines(bronze).write.text(landing)
-    _lines(bronze.where(F.col("_offset") % 3 == 0)).write.mode("append").text(landing)
+    write_lines(_lines(bronze), landing)
+    write_lines(_lines(bronze.where(F.col("_offset") % 3 == 0)), landing, "append")
     # the log is written out of order over its whole span: no message is late
     stream_ingest(file_source(spark, landing, max_files_per_batch=4), out, ck, today=RUN_DATE, dedup_within="4000 days")
     return message_key(spark.read.schema(MESSAGE_SCHEMA).json(out)).select("message_key", "fetched_at")

@@ -98,7 +98,7 @@ def split_ndjson(spark: SparkSession, path: str, schema: StructType | str, out:
     parsed = StructType([*fields.fields]).add("_corrupt_record", "string")
     lines = spark.read.schema(parsed).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
     lines.withColumn(BAD, F.col("_corrupt_record").isNotNull()).write.mode("overwrite").option("partitionOverwriteMode", "static") \
-        .partitionBy(BAD).parquet(out)
+        .option("compression", "zstd").partitionBy(BAD).parquet(out)
     both = spark.read.schema(StructType([*parsed.fields]).add(BAD, "boolean")).parquet(out)
     return both.where(~F.col(BAD)).select(*fields.names), both.where(BAD).select("_corrupt_record")
 

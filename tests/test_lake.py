@@ -215,3 +215,14 @@ def test_backfill_holds_back_the_spoilt_day_and_equals_single_runs(spark, tmp_pa
         assert many.count() > 0 or name != "fact_water"
         assert many.exceptAll(single.select(*many.columns)).count() == 0 == single.select(*many.columns).exceptAll(many).count(), name
         assert spoilt not in {str(r.dt) for r in many.select("dt").distinct().collect()}
+
+
+def test_bronze_and_landed_lines_are_compressed(spark, tmp_path):
+    """Messages are repetitive text, which is written once or twice a load: as gzip files (failed before: plain text), of bounded length."""
+    from hydrolake.registry.written import write_lines
+    lines = spark.createDataFrame([(message(i, "2024-01-01"),) for i in range(10)], "value string").coalesce(1)
+    write_lines(lines, f"{tmp_path}/landing", lines_a_file=4)
+    load(spark, tmp_path)
+    for folder, files in (("landing", 3), ("bronze", 1)):
+        assert len(list((tmp_path / folder).rglob("*.txt.gz"))) == files and not list((tmp_path / folder).rglob("*.txt"))
+    assert found(spark, f"{tmp_path}/bronze") == sorted((f"R{i}", "2024-01-01T06:00:00+07:00") for i in range(10))
