@@ -35,44 +35,31 @@ def _num(c: str):
     return coerce_numeric(F.col(c))
 
 
-def dam_record(fetched_at: str) -> Column:
-    """Raw dam item -> 14-field common record."""
-    return F.struct(
-        F.lit("dam").alias("source"),
-        first_truthy("id", "code").alias("reservoir_id"),
-        F.coalesce(F.col("name"), F.lit("")).alias("reservoir_name"),
-        F.coalesce(F.col("region"), F.lit("")).alias("region"),
-        F.coalesce(first_truthy("owner"), F.lit(K.DEFAULT_OWNER)).alias("owner"),
-        first_truthy("report_date", "date", "payload_date").alias("record_date"),
-        _num("capacity").alias("capacity_mcm"), _num("storage").alias("volume_mcm"),
-        _num("percent_storage").alias("percent_storage"), _num("inflow").alias("inflow_mcm"),
-        _num("outflow").alias("outflow_mcm"), _num("active_storage").alias("active_storage_mcm"),
-        _num("dead_storage").alias("dead_storage_mcm"), F.lit(fetched_at).alias("fetched_at"))
-
-
-def reservoir_record(fetched_at: str) -> Column:
-    """Raw reservoir item -> the same record; volume or storage; date, record_date, then
-    report_date (the last fallback keeps backfilled days apart)."""
-    vol = F.coalesce(F.nullif(coerce_numeric(F.col("volume")), F.lit(0.0)), coerce_numeric(F.col("storage")))
-    return F.struct(
-        F.lit("reservoir").alias("source"),
-        first_truthy("reservoir_id", "id", "code").alias("reservoir_id"),
-        F.coalesce(first_truthy("reservoir_name", "name"), F.lit("")).alias("reservoir_name"),
+def normalize_items(items: DataFrame, fetched_at: str) -> DataFrame:
+    """Flattened dam and reservoir items as 14-field common records.
+
+    Of a reservoir the volume or storage counts, and its date, record_date, then report_date (the last fallback
+    keeps backfilled days apart).  Fields that both kinds have are written once: their numbers are parsed once.
+    """
+    def by_kind(dam: Column, reservoir: Column) -> Column:
+        return F.when(F.col("child") == "dam", dam).otherwise(reservoir)
+
+    storage = _num("storage")
+    return items.select(
+        by_kind(F.lit("dam"), F.lit("reservoir")).alias("source"),
+        by_kind(first_truthy("id", "code"), first_truthy("reservoir_id", "id", "code")).alias("reservoir_id"),
+        by_kind(F.coalesce(F.col("name"), F.lit("")), F.coalesce(first_truthy("reservoir_name", "name"), F.lit(""))).alias("reservoir_name"),
         F.coalesce(F.col("region"), F.lit("")).alias("region"),
         F.coalesce(first_truthy("owner"), F.lit(K.DEFAULT_OWNER)).alias("owner"),
-        first_truthy("date", "record_date", "report_date", "payload_date").alias("record_date"),
-        _num("capacity").alias("capacity_mcm"), vol.alias("volume_mcm"),
+        by_kind(first_truthy("report_date", "date", "payload_date"),
+                first_truthy("date", "record_date", "report_date", "payload_date")).alias("record_date"),
+        _num("capacity").alias("capacity_mcm"),
+        by_kind(storage, F.coalesce(F.nullif(_num("volume"), F.lit(0.0)), storage)).alias("volume_mcm"),
         _num("percent_storage").alias("percent_storage"), _num("inflow").alias("inflow_mcm"),
         _num("outflow").alias("outflow_mcm"), _num("active_storage").alias("active_storage_mcm"),
         _num("dead_storage").alias("dead_storage_mcm"), F.lit(fetched_at).alias("fetched_at"))
 
 
-def normalize_items(items: DataFrame, fetched_at: str) -> DataFrame:
-    """Flattened dam and reservoir items as common records."""
-    record = F.when(F.col("child") == "dam", dam_record(fetched_at)).otherwise(reservoir_record(fetched_at))
-    return items.select(record.alias("r")).select("r.*")
-
-
 FORECAST_FIELDS = ["tc_max", "tc_min", "rh", "rain", "ws10m"]
 
 
