@@ -86,6 +86,19 @@ def test_a_resent_message_lands_once_and_late_ones_are_dropped(spark, tmp_path):
     assert got == [("R1", "2024-01-05T06:00:00+07:00"), ("R1", "2024-01-05T07:00:00+07:00"), ("R2", "2024-01-05T06:00:00+07:00"), ("R9", "2024-03-01T06:00:00+07:00")]
 
 
+@pytest.mark.parametrize("dedup", [None, "10 days"])
+def test_a_small_bucket_is_one_file_a_batch(spark, tmp_path, dedup):
+    """Whatever task holds a message, its bucket's one writer gets it; the stream's next batch is not adaptive."""
+    from hydrolake.streaming.ingest import file_source, stream_ingest
+    for f in "abcd":
+        land(tmp_path / "landing", f"{f}.json", [message(f"{f}{i}", f"2024-01-0{i % 3 + 1}") for i in range(60)])
+    stream_ingest(file_source(spark, f"{tmp_path}/landing", 2), f"{tmp_path}/bronze", f"{tmp_path}/ck", dedup_within=dedup)
+    files = [str(f.parent.relative_to(tmp_path / "bronze")) for f in (tmp_path / "bronze").rglob("part-*")]
+    want = [f"batch={b}/bucket_source=dam/bucket_date=2024-01-0{d}" for b in (0, 1) for d in (1, 2, 3)]
+    assert sorted(f for f in files if "bucket_date" in f) == want
+    assert len(found(spark, f"{tmp_path}/bronze")) == 240
+
+
 def test_ledger_is_upserted_by_run(spark, tmp_path):
     from hydrolake.streaming import state
     path = f"{tmp_path}/ledger"
