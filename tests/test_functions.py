@@ -94,3 +94,31 @@ def test_dim_date_range(spark):
     assert d.count() == 2557
     first = d.orderBy("date_key").first()
     assert first["date_key"] == 20200101 and first["day_of_week"] == 4 and first["thai_year"] == 2563
+
+
+def test_lookups_equal_their_tables(spark):
+    levels = [*C.K.ALERT_LEVEL_EN, None, "", "x"]
+    assert col_values(spark, levels, C.alert_level_en, "string") == [*C.K.ALERT_LEVEL_EN.values(), "NORMAL", "NORMAL", "NORMAL"]
+    texts = [" N ", *C.K.REGION_TEXT_TO_CODE, None, "n", ""]
+    assert col_values(spark, texts, C.normalize_region, "string") == ["N", *C.K.REGION_TEXT_TO_CODE.values(), *["Unknown"] * 3]
+
+
+def test_classify_battery_is_compiled(spark):
+    """The JVM interprets methods of more than 8,000 bytes: no stage of the query generates one."""
+    import contextlib
+    import io
+    import re
+
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+
+    out = io.StringIO()
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")       # an adaptive plan shows no code before it runs
+    try:
+        with contextlib.redirect_stdout(out):
+            E.queries()["fn_classify_battery"](spark, SF_SMALL).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+    assert sizes and max(sizes) < 8000
