@@ -387,6 +387,47 @@ def test_lm_scores_of_all_words_equal_brute_force(spark, docs_of):
     assert lm.score(docs_of([])).count() == 0
 
 
+def test_lm_scores_of_many_slices_and_rows_that_wait_on_disk(spark, docs_of, monkeypatch):
+    """Slices and buckets of any size give the same scores, and no row for each n-gram is kept or shuffled."""
+    from hydrolake.llm import lm_scoring as lm
+
+    rnd = random.Random(9)
+    rows = [(i, " ".join(rnd.choices(["the", "of", "Dam"] + [f"r{j}" for j in range(300)], k=rnd.randint(0, 60)))) for i in range(80)]
+    rows += [(100, None), (101, " "), *[(102, "the dam of")] * 3, (None, "the dam"), *[(200 + i, "a copied text of the river " * 3) for i in range(30)]]
+    docs, kept, real = docs_of(rows), [], lm.cut
+
+    def cut(df):
+        done = real(df)
+        kept.append(done.count())
+        return done
+
+    monkeypatch.setattr(lm, "cut", cut)
+    fields = ("doc_id", "n_tokens", "n_backoff", "log_score", "mean_log_score", "copies")
+
+    def scored():
+        found = lm.score(docs).select(*fields[:3], *[F.round(c, 6).alias(c) for c in fields[3:5]], "copies")
+        return sorted(map(tuple, found.collect()), key=str)
+
+    whole = scored()
+    assert sum(kept) < 10 and len(whole) == len(set(rows))
+    monkeypatch.setattr(lm, "SLICE", 2000)
+    monkeypatch.setattr(lm, "BUCKET", 1000)
+    assert scored() == whole and sum(kept) > 20
+
+
+def test_lm_order_of_keys_is_stable():
+    import numpy as np
+
+    from hydrolake.llm import lm_scoring as lm
+
+    rng = np.random.default_rng(1)
+    for keys in (rng.integers(0, 5, 0, np.uint64), rng.integers(0, 3, 500, np.uint64), rng.integers(0, 1 << 63, 5000, np.uint64),
+                 (rng.integers(0, 50, 9000, np.uint64) << np.uint64(40)) | rng.integers(0, 3, 9000, np.uint64)):
+        assert (lm.stable_order(keys) == np.argsort(keys, kind="stable")).all()
+        gaps = np.diff(np.sort(keys), prepend=np.uint64(0))
+        assert (lm.unpacked(lm.packed(gaps), len(gaps), np.uint64) == gaps).all()
+
+
 def test_lm_keys_are_those_of_spark(spark):
     import numpy as np
 
