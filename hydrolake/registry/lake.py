@@ -53,7 +53,7 @@ def q_stream_dedup(spark, sf_dir):
     write_lines(_lines(bronze.where(F.col("_offset") % 3 == 0)), landing, "append")
     # the log is written out of order over its whole span: no message is late
     stream_ingest(file_source(spark, landing, max_files_per_batch=4), out, ck, today=RUN_DATE, dedup_within="4000 days")
-    return message_key(spark.read.schema(MESSAGE_SCHEMA).json(out)).select("message_key", "fetched_at")
+    return message_key(lake.read_json_folders(spark, out, MESSAGE_SCHEMA)).select("message_key", "fetched_at")
 
 
 @register("producer_ledger")

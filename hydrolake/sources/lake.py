@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import settings
+
 
 def _listing(spark: SparkSession, folder: str) -> list[str]:
     """Names in a folder, as its file system lists them; an absent folder is an empty one."""
@@ -56,6 +58,17 @@ def latest_partition(spark: SparkSession, root: str, dt: str, schema: str, fmt:
     return read_partitions(spark, root, [pick] if pick else [], schema, fmt, part_col)
 
 
+def read_json_folders(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """JSON lines under nested folders, found by one job of as many tasks as there are cores.
+
+    Left to itself Spark lists each folder of more than 32 sub-folders by a job of its own, with a task for each of these: two a
+    micro-batch of a Bronze of a few thousand buckets.
+    """
+    listing = "spark.sql.sources.parallelPartitionDiscovery"
+    with settings(spark, {f"{listing}.threshold": "1", f"{listing}.parallelism": str(spark.sparkContext.defaultParallelism)}):
+        return spark.read.schema(schema).json(root)     # lists before it returns
+
+
 # ------------------------------------------------------------------ whole versions of a table
 
 def current_version(spark: SparkSession, root: str) -> str:

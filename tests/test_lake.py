@@ -99,6 +99,53 @@ def test_a_small_bucket_is_one_file_a_batch(spark, tmp_path, dedup):
     assert len(found(spark, f"{tmp_path}/bronze")) == 240
 
 
+def test_a_message_is_parsed_once(spark):
+    """Filters on the fields stay above the parser; blank, broken and absent texts are skipped as before."""
+    from hydrolake.streaming.ingest import bucket_columns, decode_messages, watermark_filter
+    lines = [message(1, "2024-01-01"), "{broken", '{"source": "dam", "rese', "", None, "{}", "[]", '"text"', json.dumps({"date": "2024-01-02"}),
+             json.dumps({"fetched_at": "2024-01-03", "volume_mcm": {"a": [1]}, "date": None}), json.dumps({"reservoir_id": "R9"})]
+    raw = spark.createDataFrame([(x,) for x in lines], "value string")
+    assert sorted((r.reservoir_id, r.fetched_at, r.volume_mcm) for r in decode_messages(raw).na.fill("").collect()) == [
+        ("", "2024-01-03", '{"a":[1]}'), ("R1", "2024-01-01T06:00:00+07:00", "1"), ("R9", "", "")]
+    recs = bucket_columns(watermark_filter(decode_messages(raw)), "2024-01-09")
+    timed = recs.where(F.col("fetched_at").try_cast("timestamp").isNotNull())
+    assert timed._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_keys_seen_are_kept_on_disk(spark, tmp_path, monkeypatch):
+    """The store of a stream that drops what was sent again is on disk, without the fields that are not written; the session keeps its own."""
+    from hydrolake.streaming import ingest
+    store, got = "spark.sql.streaming.stateStore.providerClass", []
+    before, write = spark.conf.get(store), ingest._write_batch
+    monkeypatch.setattr(ingest, "_write_batch", lambda recs, *how: (got.append(recs.columns), write(recs, *how)))
+    for f in "ab":
+        land(tmp_path / "landing", f"{f}.json", [message(i, "2024-01-01") for i in (1, 2, f)])
+    load(spark, tmp_path, dedup_within="10 days")
+    used = json.loads((tmp_path / "ck/offsets/0").read_text().split("\n")[1])["conf"][store]
+    assert used.endswith("RocksDBStateStoreProvider") and spark.conf.get(store) == before != used
+    assert got == [["value", "fetched_at", "bucket_source", "bucket_date"]] * 2
+    assert [x[0] for x in found(spark, f"{tmp_path}/bronze")] == ["R1", "R2", "Ra", "Rb"]
+
+
+def test_many_folders_are_listed_by_one_job(spark, tmp_path):
+    from hydrolake.sources.lake import read_json_folders
+    for b in (0, 1, 2):
+        for day in range(60):
+            at = tmp_path / f"bronze/batch={b}/bucket_source=dam/bucket_date=d{day}"
+            at.mkdir(parents=True)
+            (at / "a.txt").write_text(message(day, "2024-01-01") + "\n")
+    sc, limit = spark.sparkContext, spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.threshold")
+    sc.setJobGroup(str(tmp_path), "listing")
+    try:
+        rows = read_json_folders(spark, f"{tmp_path}/bronze", "reservoir_id STRING")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    jobs = sc.statusTracker().getJobIdsForGroup(str(tmp_path))
+    assert [sc.statusTracker().getStageInfo(s).numTasks for j in jobs for s in sc.statusTracker().getJobInfo(j).stageIds] == [3]
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.threshold") == limit
+    assert rows.count() == 180 and set(rows.columns) == {"reservoir_id", "batch", "bucket_source", "bucket_date"}
+
+
 def test_ledger_is_upserted_by_run(spark, tmp_path):
     from hydrolake.streaming import state
     path = f"{tmp_path}/ledger"
